@@ -65,7 +65,7 @@ QUALITY = (
 
 
 def bronze_schema(source: StructType) -> StructType:
-    return StructType(source.fields).add("batch_id", StringType()).add("extract_date", DateType())
+    return StructType(list(source.fields)).add("batch_id", StringType()).add("extract_date", DateType())
 
 
 def silver_schema(source: StructType, derived: tuple[str, ...]) -> StructType:
