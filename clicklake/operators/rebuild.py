@@ -54,6 +54,23 @@ def date_list(dates: DataFrame) -> list[date]:
     return sorted(row[0] for row in dates.collect() if row[0] is not None)
 
 
+def partitions_holding(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_TABLE) -> DataFrame:
+    """Raw partitions that hold any version of a key which has a version on ``dates``.
+
+    Reads the key and two dates of every raw row, so that the rebuild need read whole rows of these
+    partitions only. Versions of a click are seldom far apart, so they are few.
+    """
+    per_key = (
+        bronze.filter(F.col(spec.key).isNotNull())
+        .groupBy(spec.key)
+        .agg(
+            F.max(F.coalesce(F.to_date(spec.event_column).isin(dates), F.lit(False))).alias("wanted"),
+            F.collect_set("extract_date").alias("partitions"),
+        )
+    )
+    return per_key.filter("wanted").select(F.explode("partitions").alias("extract_date")).distinct()
+
+
 def refine_dates(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_TABLE) -> DataFrame:
     """The refined rows of ``dates``, as a full rebuild would leave them.
 

@@ -15,24 +15,25 @@ def session_summary(silver: DataFrame) -> DataFrame:
 
     A plain aggregate: the partial step leaves one row per session and task before the shuffle.
     """
-    first = F.struct("event_timestamp", "click_id")
+    event = F.when(
+        F.col("event_timestamp").isNotNull(), F.struct("event_timestamp", "click_id", "user_id", "device_type")
+    )
     out = silver.groupBy("session_id").agg(
-        F.min_by("user_id", first).alias("user_id"),
-        F.min("event_timestamp").alias("started_at"),
+        F.min(event).alias("first"),
         F.max("event_timestamp").alias("ended_at"),
         F.count_if(F.col("event_type") == "page_view").alias("page_views_count"),
-        F.min_by("device_type", first).alias("device_type"),
     )
-    seconds = whole_seconds(F.col("ended_at"), F.col("started_at"))
+    started_at = F.col("first.event_timestamp")
+    seconds = whole_seconds(F.col("ended_at"), started_at)
     return out.select(
         "session_id",
-        "user_id",
-        "started_at",
+        "first.user_id",
+        started_at.alias("started_at"),
         "ended_at",
         F.nullif(seconds, F.lit(0).cast("long")).alias("duration_seconds"),
         "page_views_count",
         (F.col("page_views_count") == 1).alias("bounce"),
-        "device_type",
+        "first.device_type",
     )
 
 

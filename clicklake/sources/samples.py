@@ -38,11 +38,10 @@ PRIME = 2_147_483_647
 
 
 def draw(key: Column, seed: int, field: int, choices: int) -> Column:
-    """A number in ``[0, choices)`` from ``key``; two squarings modulo a prime, exact in 64 bits."""
-    mixed = (F.pmod(key.cast("long"), F.lit(PRIME)) + seed * 1_000_003 + field * 7_919 + 1) % PRIME
-    for _ in range(2):
-        mixed = (mixed * mixed + field + 12_345) % PRIME
-    return mixed % choices
+    """A number in ``[0, choices)`` from ``key``: the high bits of a squared linear congruence per field."""
+    factor, shift = pow(48_271, field + 1, PRIME), pow(16_807, seed + field + 1, PRIME)
+    mixed = (F.pmod(key.cast("long"), F.lit(PRIME)) * factor + shift) % PRIME
+    return F.shiftright(mixed * mixed % PRIME * choices, 31)
 
 
 def pick(values: list[str], index: Column) -> Column:

@@ -205,10 +205,9 @@ P = 2147483647
 
 
 def draw(key: str, field: int, choices: int, seed: int = 42) -> str:
-    mixed = f"((({key}) % {P} + {seed * 1_000_003 + field * 7_919 + 1}) % {P})"
-    for _ in range(2):
-        mixed = f"(list_transform([{mixed}], lambda x: (x * x + {field + 12_345}) % {P})[1])"
-    return f"({mixed} % {choices})"
+    factor, shift = pow(48_271, field + 1, P), pow(16_807, seed + field + 1, P)
+    mixed = f"((({key}) % {P} * {factor} + {shift}) % {P})"
+    return f"(({mixed} * {mixed} % {P} * {choices}) >> 31)"
 
 
 def one_of(values: list[str], index: str) -> str:
