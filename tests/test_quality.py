@@ -1,0 +1,131 @@
+import pytest
+from pyspark.sql import functions as F
+
+
+from clicklake.operators import quality
+from clicklake.operators.quality import SchemaError, collect_summary, run_checks, summarize, validate_schema
+from clicklake.operators.rebuild import refine
+from clicklake.plans.gate import QualityError, require, validate_frame
+from clicklake.schemas import CLICK_TABLE, CLICKS
+from conftest import click
+
+AT = "2024-01-05 10:00:00"
+
+
+def one(df, check):
+    row = run_checks(df, [check], "t").first()
+    return row.passed, row.failing_rows, row.total_rows
+
+
+@pytest.mark.parametrize(
+    "values, check, expected",
+    [
+        ([1, 2], quality.column_exists("v"), (True, 0, 2)),
+        ([1, 2], quality.column_exists("w"), (False, 2, 2)),
+        ([1, 2], quality.not_null("v"), (True, 0, 2)),
+        ([1, None], quality.not_null("v"), (False, 1, 2)),
+        ([], quality.not_null("v"), (True, 0, 0)),
+        ([1, 2, None], quality.unique("v"), (True, 0, 3)),
+        ([1, 1, None], quality.unique("v"), (False, 1, 3)),
+        ([None, None, 1], quality.unique("v"), (False, 1, 3)),
+        ([], quality.unique("v"), (True, 0, 0)),
+        ([0, 5, None], quality.at_least("v", 0), (True, 0, 3)),
+        ([-1, 5], quality.at_least("v", 0), (False, 1, 2)),
+        ([3, 5], quality.minimum("v", 3), (True, 0, 2)),
+        ([2, 5], quality.minimum("v", 3), (False, 1, 2)),
+        ([], quality.minimum("v", 3), (False, 0, 0)),
+        ([None], quality.minimum("v", 3), (False, 0, 1)),
+        ([1, 2, 3], quality.row_count(3, 3), (True, 0, 3)),
+        ([1, 2, 3], quality.row_count(4, 9), (False, 0, 3)),
+        ([1, 2, 3], quality.row_count(0, 2), (False, 0, 3)),
+    ],
+)
+def test_one_check(spark, values, check, expected):
+    assert one(spark.createDataFrame([(v,) for v in values], "v long"), check) == expected
+
+
+@pytest.mark.parametrize(
+    "values, expected",
+    [(["a", "b"], (True, 0, 2)), (["a", None], (True, 0, 2)), (["a", "x'y", "z"], (False, 1, 3)), ([], (True, 0, 0))],
+)
+def test_in_set(spark, values, expected):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert one(df, quality.in_set("v", ["a", "b", "x'y"])) == expected
+
+
+def test_bronze_suite_counts_twelve_and_passes(clicks):
+    df = clicks(click(1, AT), click(2, AT, "form_submit"), click(3, AT, None), click(4, AT, "video_play"))
+    summary = collect_summary(run_checks(df, quality.bronze_suite(), "bronze"))
+    assert (summary.passed, summary.failed, summary.success, summary.pass_rate) == (12, 0, True, 100.0)
+
+
+def test_every_bronze_check_can_fail(clicks):
+    df = clicks(click(1, AT, "error"), click(1, AT), click(None, AT))
+    failed = {r.check for r in run_checks(df, quality.bronze_suite(), "bronze").collect() if not r.passed}
+    assert failed == {"not_null", "unique", "in_set"}
+    empty = {r.check for r in run_checks(df.limit(0), quality.bronze_suite(), "bronze").collect() if not r.passed}
+    assert empty == {"row_count"}
+
+
+def test_missing_column_fails_its_checks_only(clicks):
+    df = clicks(click(1, AT)).drop("event_type", "page_url")
+    failed = [(r.check, r.column) for r in run_checks(df, quality.bronze_suite(), "b").collect() if not r.passed]
+    assert sorted(failed) == [("column_exists", "event_type"), ("column_exists", "page_url"), ("in_set", "event_type")]
+
+
+def test_silver_suite(clicks):
+    df = refine(clicks(click(1, AT, url="nohost"), click(2, AT)))
+    assert collect_summary(run_checks(df, quality.silver_suite(), "silver")).success
+    bad = df.withColumns({"browser": F.lit("Lynx"), "device_type": F.lit("tv"), "domain": F.lit(None).cast("string")})
+    summary = collect_summary(run_checks(bad.drop("event_date"), quality.silver_suite(), "silver"))
+    assert (summary.passed, summary.failed) == (3, 4)
+
+
+def test_strict_suite_has_seven_checks(clicks):
+    df = clicks(click(1, AT, user=-1), click(2, AT, "form_submit"), click(3, AT, user=None))
+    rows = run_checks(df, quality.strict_suite(), "strict").collect()
+    assert len(rows) == 7
+    assert {(r.check, r.column) for r in rows if not r.passed} == {
+        ("at_least", "user_id"), ("in_set", "event_type"), ("not_null", "user_id"),
+    }
+
+
+def test_suite_is_one_scan_and_one_result_job(clicks):
+    plan = run_checks(clicks(click(1, AT)), quality.bronze_suite(), "b")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1
+
+
+def test_summarize(clicks):
+    df = clicks(click(1, AT), click(1, AT))
+    row = summarize(run_checks(df, quality.bronze_suite(), "bronze")).first()
+    assert (row.passed, row.failed, row.total, row.success) == (11, 1, 12, False)
+    assert row.pass_rate == pytest.approx(100 * 11 / 12)
+    assert quality.Summary(0, 0, ()).pass_rate == 0.0
+
+
+def test_null_report(clicks):
+    report = quality.null_report(clicks(click(1, AT), click(None, AT))).first()
+    assert tuple(report) == (2, 1)
+
+
+def test_gate_raises_with_the_reason(clicks):
+    assert require(validate_frame(clicks(click(1, AT)), "bronze")).success
+    with pytest.raises(QualityError, match="unique.click_id. failed, 1 of 2 rows .50.00%."):
+        require(validate_frame(clicks(click(1, AT), click(1, AT)), "bronze"))
+
+
+def test_schema_drift(clicks):
+    df = clicks(click(1, AT))
+    assert validate_schema(df, CLICKS) == []
+    assert validate_schema(df.withColumn("extra", F.lit(1)), CLICKS) == ["new column extra"]
+    with pytest.raises(SchemaError, match="missing column page_url"):
+        validate_schema(df.drop("page_url"), CLICKS)
+    with pytest.raises(SchemaError, match="column user_id is int, not bigint"):
+        validate_schema(df.withColumn("user_id", F.col("user_id").cast("int")), CLICKS)
+
+
+def test_declared_schemas_do_not_grow():
+    before = len(CLICKS.fields)
+    assert len(CLICK_TABLE.bronze.fields) == before + 2
+    assert len(CLICK_TABLE.silver.fields) == before + 6
+    assert len(CLICKS.fields) == before
