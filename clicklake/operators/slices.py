@@ -19,6 +19,10 @@ def as_day(value: Moment) -> date:
     return value.date() if isinstance(value, datetime) else value
 
 
+def next_day(value: Moment) -> date:
+    return as_day(value) + timedelta(days=1)
+
+
 def as_moment(value: Moment) -> str:
     """ISO text of a bound; a day means its midnight."""
     if isinstance(value, str):
@@ -40,7 +44,7 @@ def changed_between(df: DataFrame, start: Moment, end: Moment, spec: TableSpec =
 def late_slice(df: DataFrame, day: Moment, days: int = LATE_DAYS, spec: TableSpec = CLICK_TABLE) -> DataFrame:
     """Rows changed on ``day`` whose event happened in the ``days`` days before it."""
     day = as_day(day)
-    changed = changed_between(df, day, day + timedelta(days=1), spec)
+    changed = changed_between(df, day, next_day(day), spec)
     return in_range(changed, spec.event_column, day - timedelta(days=days), day)
 
 
@@ -48,7 +52,7 @@ def day_with_late(df: DataFrame, day: Moment, days: int = LATE_DAYS, spec: Table
     """The day's extract and its late slice. They overlap, so the union keeps one version per key."""
     day = as_day(day)
     return union_versions(
-        changed_between(df, day, day + timedelta(days=1), spec), late_slice(df, day, days, spec), spec
+        changed_between(df, day, next_day(day), spec), late_slice(df, day, days, spec), spec
     )
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from clicklake.operators.completeness import missing_dates
 from clicklake.operators.metrics import METRICS
 from clicklake.operators.rebuild import date_list
-from clicklake.operators.slices import Moment, as_day
+from clicklake.operators.slices import Moment, as_day, next_day
 from clicklake.plans.bronze import days_between, land
 from clicklake.plans.gate import quality_gate
 from clicklake.plans.gold import build_gold
@@ -88,8 +88,7 @@ def run_range(
 
 def run_day(spark: SparkSession, lake: Lake, source: Source, day: Moment, **options) -> RunReport:
     """The daily run: rows changed on ``day``, that is in ``[day, day + 1)``."""
-    day = as_day(day)
-    return run_range(spark, lake, source, day, day + timedelta(days=1), **options)
+    return run_range(spark, lake, source, day, next_day(day), **options)
 
 
 def run_table(

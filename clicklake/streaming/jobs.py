@@ -4,6 +4,8 @@ batch atomically or overwrites only what the same batch wrote before.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -50,13 +52,15 @@ def stream_to_bronze(
 def stream_to_silver(
     stream: DataFrame, lake: Lake, checkpoint: str, drain: bool = False, spec: TableSpec = CLICK_TABLE
 ) -> StreamingQuery:
-    """Keep the refined layer current. Each micro-batch lands in raw partitions of its own, so running it
-    again replaces them; then the event dates of its keys are rebuilt by the batch operators. A replay
-    under a new checkpoint therefore ends in the same table.
+    """Keep the refined layer current. Each micro-batch lands in raw partitions of its own, named after the
+    checkpoint and its number, so running it again replaces them and nothing else; then the event dates of
+    its keys are rebuilt by the batch operators. A whole or partial replay under a new checkpoint therefore
+    ends in the same refined table. The raw layout differs from a batch run's: give streams their own lake.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def land_and_refine(rows: DataFrame, number: int) -> None:
-        name = f"stream_{number:012d}"
+        name = f"stream_{run}_{number:012d}"
         landed = rows.withColumns({"batch_id": F.lit(name), "extract_date": F.to_date(spec.change_column)})
         written = overwrite_partitions(landed, lake.bronze(spec), "extract_date", "batch_id")
         if written.rows:

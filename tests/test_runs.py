@@ -1,0 +1,180 @@
+import random
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicklake.operators.metrics import METRICS
+from clicklake.operators.rebuild import partitions_holding, refine, refine_dates, touched_dates
+from clicklake.plans import gold as gold_plan
+from clicklake.plans.bronze import land, with_metadata
+from clicklake.plans.runs import backfill_gaps, run_day, run_range, run_table
+from clicklake.plans.silver import rebuild_silver
+from clicklake.schemas import SESSION_TABLE
+from clicklake.sources.lake import Lake, read_bronze, read_silver
+from clicklake.sources.samples import sample_sessions
+from conftest import click, day_of_clicks, rows_of, ts
+
+D5, D6, D7, D8 = (date(2024, 1, d) for d in (5, 6, 7, 8))
+NO_BATCH = [c for c in ("click_id", "user_id", "event_type", "event_timestamp", "updated_at", "domain", "event_date")]
+
+
+@pytest.fixture
+def lake(tmp_path):
+    return Lake(str(tmp_path / "lake"))
+
+
+@pytest.fixture(scope="module")
+def source(clicks):
+    late = [
+        click(3, "2024-01-05 00:21:00", "purchase", user=3, updated="2024-01-07 09:00:00"),
+        click(900, "2024-01-05 13:00:00", "click", updated="2024-01-07 10:00:00"),
+    ]
+    days = [*day_of_clicks("2024-01-05", 40, 0), *day_of_clicks("2024-01-06", 40, 100)]
+    return clicks(*days, *late).persist()
+
+
+def gold_tables(spark, lake):
+    return {name: rows_of(spark.read.parquet(lake.gold(name))) for name in METRICS}
+
+
+def test_silver_follows_late_moved_and_vanished_rows(spark, clicks, lake):
+    """Three loads, each rebuilt incrementally; after each the table equals a full rebuild."""
+    first = [click(1, "2024-01-05 10:00:00"), click(2, "2024-01-05 11:00:00"), click(3, "2024-01-06 11:00:00")]
+    moved = click(1, "2024-01-06 12:00:00", updated="2024-01-07 01:00:00")
+    worse = click(3, "2024-01-06 11:00:00", "error", updated="2024-01-07 02:00:00")
+    steps = [
+        (first, D5, D7),
+        ([*first, moved, worse, click(4, "2024-01-05 09:00:00", updated="2024-01-07 03:00:00")], D7, D8),
+        ([first[0], first[2]], D5, D6),
+        ([first[0], first[2]], D7, D8),
+    ]
+    for rows, start, end in steps:
+        landed = land(spark, lake, clicks(*rows), start, end)
+        rebuild_silver(spark, lake, landed.event_dates)
+        full = refine(read_bronze(spark, lake))
+        assert rows_of(read_silver(spark, lake), *NO_BATCH) == rows_of(full, *NO_BATCH)
+    assert rows_of(read_silver(spark, lake), "click_id", "event_date") == [(1, D5), (3, D6)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_reloads_equal_a_full_rebuild(spark, clicks, lake, seed):
+    rng = random.Random(seed)
+    kinds = ["page_view", "click", "purchase", "error", None]
+    for _ in range(3):
+        rows = [
+            click(
+                rng.randrange(12),
+                ts("2024-01-05 00:00:00") + timedelta(hours=rng.randrange(72)),
+                rng.choice(kinds),
+                url=f"https://h{rng.randrange(3)}/",
+                updated=str(ts("2024-01-05 00:00:00") + timedelta(hours=rng.randrange(24 * 4))),
+            )
+            for _ in range(25)
+        ]
+        start = D5 + timedelta(days=rng.randrange(3))
+        landed = land(spark, lake, clicks(*rows), start, start + timedelta(days=rng.randrange(1, 3)))
+        rebuild_silver(spark, lake, landed.event_dates)
+        full = refine(read_bronze(spark, lake))
+        assert rows_of(read_silver(spark, lake), *NO_BATCH) == rows_of(full, *NO_BATCH)
+
+
+def test_broadcast_and_aggregate_lookups_agree(clicks, source):
+    raw = with_metadata(source, "b")
+    touched = F.col("extract_date") == F.lit(D7)
+    expected = rows_of(touched_dates(raw, touched))
+    assert expected == [(D5,)]
+    assert rows_of(touched_dates(raw, touched, broadcast_keys=0)) == expected
+
+
+def test_rebuild_reads_only_partitions_with_competing_versions(source):
+    raw = with_metadata(source, "b")
+    assert rows_of(partitions_holding(raw, [D5])) == [(D5,), (D7,)]
+    pruned = raw.filter(F.col("extract_date").isin(D5, D7))
+    full = refine(raw).filter(F.col("event_date") == F.lit(D5))
+    assert rows_of(refine_dates(pruned, [D5])) == rows_of(full)
+    assert refine_dates(raw, []).count() == 0
+
+
+def test_days_one_by_one_equal_one_range(spark, source, lake, tmp_path):
+    other = Lake(str(tmp_path / "range"))
+    for day in (D5, D6, D7):
+        assert run_day(spark, lake, lambda: source, day, batch_id="b").success
+    report = run_range(spark, other, lambda: source, D5, D8, batch_id="b")
+    assert report.success and report.rows["bronze"] == 82
+    assert rows_of(read_silver(spark, lake)) == rows_of(read_silver(spark, other))
+    assert gold_tables(spark, lake) == gold_tables(spark, other)
+    again = run_day(spark, lake, lambda: source, D6, batch_id="b")
+    assert again.success and gold_tables(spark, lake) == gold_tables(spark, other)
+    assert backfill_gaps(spark, lake, D5, date(2024, 1, 9)) == {
+        "bronze": [D8], "silver": [D7, D8],
+    }
+
+
+def test_late_day_rebuilds_the_older_date(spark, source, lake):
+    run_range(spark, lake, lambda: source, D5, D7)
+    before = read_silver(spark, lake, [D5]).count()
+    report = run_day(spark, lake, lambda: source, D7)
+    assert report.event_dates == [D5, D7]
+    assert read_silver(spark, lake, [D5]).count() == before + 1
+
+
+def test_dry_run_and_skips(spark, source, lake):
+    plan = run_range(spark, lake, lambda: source, D5, D7, skip=["bronze"], dry_run=True)
+    assert plan.planned == ["silver 2024-01-05 2024-01-07", "gold 2024-01-05 2024-01-07"]
+    assert read_bronze(spark, lake).count() == 0
+    run_range(spark, lake, lambda: source, D5, D7, skip=["silver", "gold"])
+    assert read_silver(spark, lake).count() == 0
+    report = run_range(spark, lake, lambda: source, D5, D7, skip=["bronze"])
+    assert "bronze" not in report.rows and report.rows["silver"] == read_silver(spark, lake).count() > 0
+    with pytest.raises(ValueError, match="unknown stages"):
+        run_range(spark, lake, lambda: source, D5, D7, skip=["platinum"])
+
+
+def test_failed_extract_stops_later_stages(spark, lake):
+    def broken():
+        raise OSError("no connection")
+
+    report = run_range(spark, lake, broken, D5, D6)
+    assert report.failures == {"bronze": "no connection"} and not report.success
+    assert read_silver(spark, lake).count() == 0
+
+
+def test_gate_stops_bad_raw_rows(spark, clicks, lake):
+    rows = clicks(click(1, "2024-01-05 10:00:00"), click(1, "2024-01-05 11:00:00"))
+    report = run_day(spark, lake, lambda: rows, D5, gate="bronze")
+    assert list(report.failures) == ["gate"] and read_silver(spark, lake).count() == 0
+    assert run_day(spark, lake, lambda: rows.limit(1), D5, gate="bronze").success
+
+
+def test_failing_metric_leaves_the_others(spark, source, lake, monkeypatch):
+    real = gold_plan.aggregate_metric
+
+    def flaky(silver, name):
+        if name == "hourly_metrics":
+            raise RuntimeError("boom")
+        return real(silver, name)
+
+    monkeypatch.setattr(gold_plan, "aggregate_metric", flaky)
+    report = run_range(spark, lake, lambda: source, D5, D7)
+    assert report.failures == {"hourly_metrics": "boom"}
+    assert spark.read.parquet(lake.gold("device_metrics")).count() > 0
+
+
+def test_gold_is_emptied_for_dates_that_lost_all_rows(spark, clicks, lake):
+    rows = clicks(click(1, "2024-01-05 10:00:00"), click(2, "2024-01-06 10:00:00"))
+    run_range(spark, lake, lambda: rows, D5, D7)
+    run_day(spark, lake, lambda: rows.filter("click_id = 2"), D5)
+    assert rows_of(read_silver(spark, lake), "click_id") == [(2,)]
+    for name in METRICS:
+        assert rows_of(spark.read.parquet(lake.gold(name)), "date") == [(D6,)]
+
+
+def test_sessions_take_the_same_path(spark, lake):
+    sessions = sample_sessions(spark.range(200))
+    start, end = date(2024, 1, 1), date(2024, 3, 22)
+    report = run_table(spark, lake, lambda: sessions, start, end)
+    assert report.rows == {"bronze": 200, "silver": 200}
+    silver = read_silver(spark, lake, spec=SESSION_TABLE)
+    assert silver.select("session_id").distinct().count() == 200
+    assert run_table(spark, lake, lambda: sessions, start, end).rows == report.rows
