@@ -17,7 +17,7 @@ from clicklake.plans.silver import dates_touched_by, rebuild_all_silver, rebuild
 from clicklake.schemas import TABLES
 from clicklake.session import build_session
 from clicklake.sources.jdbc import extract_jdbc
-from clicklake.sources.lake import Lake, read_table
+from clicklake.sources.lake import Lake, preview, read_bronze, read_silver, read_table
 from clicklake.sources.samples import SAMPLE_CLICKS, SAMPLE_SESSIONS, generate
 
 log = logging.getLogger("clicklake")
@@ -42,6 +42,8 @@ def parser() -> argparse.ArgumentParser:
 
     command("bronze", "land the rows changed in a range", dates=True, source=True)
     silver = command("silver", "rebuild the dates touched by a landed range", dates=True)
+    commands.choices["bronze"].add_argument("--preview", action="store_true", help="show a few landed rows")
+    silver.add_argument("--preview", action="store_true", help="show a few refined rows")
     silver.add_argument("--full", action="store_true", help="rebuild everything instead")
     gold = command("gold", "rebuild the metrics of one date, or of all")
     gold.add_argument("--date")
@@ -83,12 +85,17 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> bool:
         rows = source_rows(spark, args, args.start, args.end)
         landed = land(spark, lake, rows, args.start, args.end, spec=TABLES[args.table])
         log.info("%d rows landed", landed.written.rows)
+        if args.preview:
+            preview(read_bronze(spark, lake, args.start, args.end, TABLES[args.table])).show(truncate=False)
     elif args.command == "silver":
         if args.full:
             written = rebuild_all_silver(spark, lake)
         else:
             written = rebuild_silver(spark, lake, dates_touched_by(spark, lake, args.start, args.end))
         log.info("%d rows refined", written.rows)
+        if args.preview:
+            columns = ("click_id", "domain", "device_type", "browser", "event_date")
+            preview(read_silver(spark, lake), *columns).show(truncate=False)
     elif args.command == "gold":
         report = build_gold(spark, lake, [as_day(args.date)] if args.date else None)
         for name, error in report.failures.items():

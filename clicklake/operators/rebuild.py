@@ -5,10 +5,11 @@ Only a list of dates ever reaches the driver; its length is bounded by the calen
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from clicklake.functions.web import enrich_clicks
 from clicklake.operators.cleaning import valid_row
@@ -16,6 +17,7 @@ from clicklake.operators.versions import TIEBREAK, content_hash, latest_versions
 from clicklake.schemas import CLICK_TABLE, TableSpec
 
 BROADCAST_KEYS = 500_000
+BLOCK_BITS = 20
 
 
 def enrich(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -30,20 +32,31 @@ def refine(bronze: DataFrame, spec: TableSpec = CLICK_TABLE) -> DataFrame:
     return enrich(latest_versions(bronze.filter(valid_row(spec)), spec), spec)
 
 
+def at_most(df: DataFrame, rows: int) -> bool:
+    return df.limit(rows + 1).count() <= rows
+
+
 def touched_dates(
     bronze: DataFrame, touched: Column, spec: TableSpec = CLICK_TABLE, broadcast_keys: int = BROADCAST_KEYS
 ) -> DataFrame:
     """Event dates of every version of each key that has a version in the ``touched`` rows.
 
     A slice with few keys is broadcast, which spares the big side its shuffle. A larger one is handled by
-    one aggregate on the key, whose partial step folds a hot key into one row per task.
+    one aggregate on the key, whose partial step folds a hot key into one row per task. Serial keys that
+    arrive together lie together, so rows outside the key blocks of the slice are first dropped unshuffled,
+    if the blocks are few.
     """
     keyed = bronze.filter(F.col(spec.key).isNotNull())
     event_date = F.to_date(spec.event_column).alias("event_date")
     keys = keyed.filter(touched).select(spec.key).distinct()
-    if keys.limit(broadcast_keys + 1).count() <= broadcast_keys:
+    if at_most(keys, broadcast_keys):
         versions = keyed.select(spec.key, event_date).join(F.broadcast(keys), spec.key, "left_semi")
         return versions.select("event_date").distinct()
+    if spec.schema[spec.key].dataType == LongType():
+        block = F.shiftright(spec.key, BLOCK_BITS).alias("block")
+        blocks = keyed.filter(touched).select(block).distinct()
+        if at_most(blocks, broadcast_keys):
+            keyed = keyed.select("*", block).join(F.broadcast(blocks), "block", "left_semi")
     per_key = keyed.groupBy(spec.key).agg(
         F.max(F.coalesce(touched, F.lit(False))).alias("touched"), F.collect_set(event_date).alias("dates")
     )
@@ -54,21 +67,24 @@ def date_list(dates: DataFrame) -> list[date]:
     return sorted(row[0] for row in dates.collect() if row[0] is not None)
 
 
-def partitions_holding(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_TABLE) -> DataFrame:
-    """Raw partitions that hold any version of a key which has a version on ``dates``.
+def competing_rows(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_TABLE) -> DataFrame:
+    """The raw rows that can decide who wins a key on ``dates``, by whole partitions.
 
-    Reads the key and two dates of every raw row, so that the rebuild need read whole rows of these
-    partitions only. Versions of a click are seldom far apart, so they are few.
+    ``extract_date`` is the day a version changed, and the latest change wins. So a partition older than
+    every row on ``dates`` holds only losers against them, and history before the first such partition is
+    never read. Finding it reads two date columns of the row groups that reach into ``dates``.
     """
-    per_key = (
-        bronze.filter(F.col(spec.key).isNotNull())
-        .groupBy(spec.key)
-        .agg(
-            F.max(F.coalesce(F.to_date(spec.event_column).isin(dates), F.lit(False))).alias("wanted"),
-            F.collect_set("extract_date").alias("partitions"),
-        )
+    on_dates = (
+        (F.col(spec.event_column) >= F.lit(min(dates)))
+        & (F.col(spec.event_column) < F.lit(max(dates) + timedelta(days=1)))
+        & F.to_date(spec.event_column).isin(dates)
     )
-    return per_key.filter("wanted").select(F.explode("partitions").alias("extract_date")).distinct()
+    undated = F.coalesce(F.max(F.col("extract_date").isNull()), F.lit(False))
+    first, has_undated = bronze.filter(on_dates).agg(F.min("extract_date"), undated).first()
+    if first is None:
+        return bronze if has_undated else bronze.filter(F.lit(False))
+    since = F.col("extract_date") >= F.lit(first)
+    return bronze if has_undated else bronze.filter(since)
 
 
 def refine_dates(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_TABLE) -> DataFrame:

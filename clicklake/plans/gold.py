@@ -44,7 +44,9 @@ def build_gold(
                 stored = dates
                 if stored is None:
                     stored = date_list(read_table(spark, path, result.schema).select("date").distinct())
-                report.written[name] = replace_dates(result, path, result.schema, "date", stored)
+                ranked_by = METRICS[name].ranked_by
+                order = [F.desc(ranked_by)] if ranked_by else []
+                report.written[name] = replace_dates(result, path, result.schema, "date", stored, order=order)
             except Exception as error:
                 report.failures[name] = str(error)
     finally:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from clicklake.operators.rebuild import date_list, partitions_holding, refine, refine_dates, touched_dates
+from clicklake.operators.rebuild import competing_rows, date_list, refine, refine_dates, touched_dates
 from clicklake.operators.slices import Moment, as_day
 from clicklake.schemas import CLICK_TABLE, TableSpec
 from clicklake.sources.lake import Lake, Written, read_bronze, read_silver, replace_dates
@@ -21,9 +21,7 @@ def rebuild_silver(
     dates = sorted(dates)
     if not dates:
         return Written(0, ())
-    bronze = read_bronze(spark, lake, spec=spec)
-    homes = date_list(partitions_holding(bronze, dates, spec))
-    rows = refine_dates(bronze.filter(F.col("extract_date").isin(homes)), dates, spec)
+    rows = refine_dates(competing_rows(read_bronze(spark, lake, spec=spec), dates, spec), dates, spec)
     return replace_dates(rows, lake.silver(spec), spec.silver, "event_date", dates)
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicklake.schemas import CLICKS, SESSIONS, TRAFFIC_SOURCES
+from clicklake.schemas import DEVICE_TYPES, SESSIONS, TRAFFIC_SOURCES
 from clicklake.sources.samples import pick
 
 # The agent of an event by its id modulo 9; the last one is null.
@@ -23,53 +23,58 @@ AGENTS = [
     "Mozilla/5.0 (Android) Tablet Firefox/94.0",
     "curl/8.0",
 ]
-EVENT_NAMES = {"view": "page_view", "signup": "form_submit"}
+
+EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+PAGE_TABLE = "page_id BIGINT, url STRING, html STRING"
 
 
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
+
+
+def read_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(PAGE_TABLE).parquet(f"{folder}/pages.parquet")
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     """The events as a stream. The glob makes the source accept one file as well as a folder of files."""
-    schema = read_events(spark, folder).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet")
+    return spark.readStream.schema(EVENTS).parquet(f"{folder}/event[s].parquet")
 
 
 def as_clicks(events: DataFrame, pages: DataFrame) -> DataFrame:
     """Clicks of ``events``: one scan, one join; the repeated versions are exploded, not unioned."""
-    page_count = pages.count()
-    number = F.col("event_id")
-    linked = events.withColumn("page_id", number % page_count)
-    urls = pages.select("page_id", "url")
-    at = F.col("ts").cast("timestamp")
-    agent = F.element_at(F.array(*[F.lit(a) for a in AGENTS], F.lit(None)), (number % 9 + 1).cast("int"))
-    kind = F.col("event_type")
-    for raw, name in EVENT_NAMES.items():
-        kind = F.when(F.col("event_type") == raw, name).otherwise(kind)
-    lag = F.get_json_object("props", "$.k").cast("int")
-    again = F.when(number % 10 == 0, F.array(F.lit(0), F.lit(5))).otherwise(F.array(F.lit(0)))
-    return linked.join(urls, "page_id", "left").withColumn("delay", F.explode(again)).select(
-        number.alias("click_id"),
-        F.when(number % 97 != 0, F.col("user_id")).alias("user_id"),
-        F.concat_ws("_", F.lit("sess"), F.col("user_id"), F.to_date(at)).alias("session_id"),
-        F.when(number % 53 == 0, "nohost").otherwise(F.col("url")).alias("page_url"),
-        kind.alias("event_type"),
-        at.alias("event_timestamp"),
-        agent.alias("user_agent"),
-        F.lit(None).cast("string").alias("ip_address"),
-        F.lit(None).cast("string").alias("referrer_url"),
-        (at - F.make_dt_interval(secs=lag)).alias("created_at"),
-        (at + F.make_dt_interval(secs=number % 3600 + F.col("delay"))).alias("updated_at"),
-    ).select(*CLICKS.fieldNames())
+    agents = ", ".join(f"'{agent}'" for agent in AGENTS)
+    linked = events.withColumn("page_id", F.expr(f"event_id % {pages.count()}")).join(
+        pages.select("page_id", "url"), "page_id", "left"
+    )
+    repeated = linked.withColumns(
+        {
+            "delay": F.expr("explode(if(event_id % 10 = 0, array(0, 5), array(0)))"),
+            "at": F.expr("CAST(ts AS TIMESTAMP)"),
+        }
+    )
+    return repeated.selectExpr(
+        "event_id AS click_id",
+        "if(event_id % 97 = 0, NULL, user_id) AS user_id",
+        "concat_ws('_', 'sess', user_id, to_date(at)) AS session_id",
+        "if(event_id % 53 = 0, 'nohost', url) AS page_url",
+        "CASE event_type WHEN 'view' THEN 'page_view' WHEN 'signup' THEN 'form_submit' ELSE event_type END"
+        " AS event_type",
+        "at AS event_timestamp",
+        f"element_at(array({agents}, NULL), CAST(event_id % 9 + 1 AS INT)) AS user_agent",
+        "CAST(NULL AS STRING) AS ip_address",
+        "CAST(NULL AS STRING) AS referrer_url",
+        "at - make_dt_interval(0, 0, 0, CAST(get_json_object(props, '$.k') AS INT)) AS created_at",
+        "at + make_dt_interval(0, 0, 0, event_id % 3600 + delay) AS updated_at",
+    )
 
 
 def read_clicks(spark: SparkSession, folder: str) -> DataFrame:
-    return as_clicks(read_events(spark, folder), spark.read.parquet(f"{folder}/pages.parquet"))
+    return as_clicks(read_events(spark, folder), read_pages(spark, folder))
 
 
 def stream_clicks(spark: SparkSession, folder: str) -> DataFrame:
-    return as_clicks(stream_events(spark, folder), spark.read.parquet(f"{folder}/pages.parquet"))
+    return as_clicks(stream_events(spark, folder), read_pages(spark, folder))
 
 
 def read_sessions(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,6 +97,6 @@ def read_sessions(spark: SparkSession, folder: str) -> DataFrame:
         F.col("views").cast("int").alias("page_views_count"),
         (F.col("views") == 1).alias("bounce"),
         pick(TRAFFIC_SOURCES, user % 4).alias("traffic_source"),
-        pick(["desktop", "mobile", "tablet"], user % 3).alias("device_type"),
+        pick(DEVICE_TYPES, user % 3).alias("device_type"),
         F.col("started_at").alias("created_at"),
     ).select(*SESSIONS.fieldNames())

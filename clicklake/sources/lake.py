@@ -43,20 +43,14 @@ class Written:
     dates: tuple[date, ...]
 
 
-def stored(spark: SparkSession, path: str) -> bool:
-    """Whether there is Parquet data at ``path``."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
-
-
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Scan with the declared schema; no rows when nothing is stored yet. Old files lack new columns: null."""
-    return spark.read.schema(schema).parquet(path) if stored(spark, path) else spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return spark.createDataFrame([], schema)
 
 
 def read_with_evolution(spark: SparkSession, path: str) -> DataFrame:
@@ -64,6 +58,11 @@ def read_with_evolution(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def preview(df: DataFrame, *columns: str, rows: int = 5) -> DataFrame:
+    """A few rows to look at; off unless asked for, since showing them runs the plan again."""
+    return (df.select(*columns) if columns else df).limit(rows)
+
+
 def between_dates(df: DataFrame, column: str, start: Moment | None = None, end: Moment | None = None) -> DataFrame:
     """``[start, end)`` on a partition column, so only those partitions are listed and read."""
     if start is not None:
@@ -90,14 +89,18 @@ def read_silver(
     return silver if dates is None else silver.filter(F.col("event_date").isin(list(dates)))
 
 
-def overwrite_partitions(df: DataFrame, path: str, date_column: str, *extra: str, spread: bool = True) -> Written:
+def overwrite_partitions(
+    df: DataFrame, path: str, date_column: str, *extra: str, spread: bool = True, order: Iterable[Column] = ()
+) -> Written:
     """Replace the partitions ``df`` has rows for and leave the others; one job, which also counts.
 
     ``spread`` lets adaptive execution cut a large date into several tasks and gather small ones, so a hot
-    date is not one file from one task, and a small date is not a file per task.
+    date is not one file from one task, and a small date is not a file per task. ``order`` sorts each file.
     """
     if spread:
         df = df.hint("rebalance", date_column)
+    if order:
+        df = df.sortWithinPartitions(date_column, *extra, *order)
     seen = Observation()
     counted = df.observe(
         seen,
@@ -114,9 +117,9 @@ def clear_partitions(
 ) -> list[date]:
     """Empty the stored partitions of ``dates``. A dynamic overwrite cannot: it skips dates without rows."""
     dates = list(dates)
-    if not dates or not stored(spark, path):
+    if not dates:
         return []
-    rows = spark.read.schema(schema).parquet(path).filter(F.col(date_column).isin(dates))
+    rows = read_table(spark, path, schema).filter(F.col(date_column).isin(dates))
     held = sorted(r[0] for r in rows.select(date_column).distinct().collect())
     empty = spark.createDataFrame([], StructType([f for f in schema if f.name != date_column]))
     for day in held:
@@ -125,10 +128,16 @@ def clear_partitions(
 
 
 def replace_dates(
-    df: DataFrame, path: str, schema: StructType, date_column: str, dates: Iterable[date], spread: bool = True
+    df: DataFrame,
+    path: str,
+    schema: StructType,
+    date_column: str,
+    dates: Iterable[date],
+    spread: bool = True,
+    order: Iterable[Column] = (),
 ) -> Written:
     """Make the partitions of ``dates`` hold exactly the rows of ``df``, including those left with none."""
-    written = overwrite_partitions(df, path, date_column, spread=spread)
+    written = overwrite_partitions(df, path, date_column, spread=spread, order=order)
     clear_partitions(df.sparkSession, path, schema, date_column, set(dates) - set(written.dates))
     return written
 

@@ -13,11 +13,21 @@ def watermarked(stream: DataFrame, delay: str = WATERMARK, spec: TableSpec = CLI
     return stream.withWatermark(spec.event_column, delay)
 
 
-def first_versions(stream: DataFrame, delay: str = WATERMARK, spec: TableSpec = CLICK_TABLE) -> DataFrame:
+def first_versions(
+    stream: DataFrame, delay: str = WATERMARK, spec: TableSpec = CLICK_TABLE, salts: int = 8
+) -> DataFrame:
     """One row per key among rows within the watermark of each other. It keeps the first version to
     arrive; the refined layer keeps the latest, so it is built by ``stream_to_silver`` instead.
+
+    A first pass by key and salt leaves at most ``salts`` rows per key, so a hot key is spread over that
+    many tasks. It keeps every key twice in state: pass 1 where no key is hot.
     """
-    return watermarked(stream, delay, spec).dropDuplicatesWithinWatermark([spec.key])
+    rows = watermarked(stream, delay, spec)
+    if salts > 1:
+        others = [c for c in spec.columns if c != spec.key and c in stream.columns]
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64(*others), F.lit(salts)))
+        rows = salted.dropDuplicatesWithinWatermark([spec.key, "salt"]).drop("salt")
+    return rows.dropDuplicatesWithinWatermark([spec.key])
 
 
 def windowed_counts(stream: DataFrame, width: str = "1 hour", delay: str = WATERMARK) -> DataFrame:

@@ -1,4 +1,5 @@
 from datetime import date, datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from clicklake.sources.lake import (
     read_silver,
     read_table,
     read_with_evolution,
-    stored,
+    preview,
     verify_rows,
     write_idempotent,
 )
@@ -97,7 +98,6 @@ def test_same_batch_twice_leaves_the_same_rows(spark, clicks, lake):
 
 
 def test_missing_table_reads_as_empty(spark, lake):
-    assert not stored(spark, lake.bronze())
     assert read_bronze(spark, lake).count() == 0
     assert clear_partitions(spark, lake.bronze(), CLICK_TABLE.bronze, "extract_date", [D5]) == []
 
@@ -142,6 +142,20 @@ def test_stored_layers_validate(spark, clicks, lake):
     assert warn_about_nulls(spark, lake, D5, D6) == {"total_rows": 2, "null_click_ids": 1}
 
 
+def test_ranked_metric_files_keep_their_order(spark, clicks, lake):
+    rows = [click(i, "2024-01-05 10:00:00", url=f"https://h{i * i % 7}/") for i in range(60)]
+    land(spark, lake, clicks(*rows), D5, D6)
+    rebuild_all_silver(spark, lake)
+    build_gold(spark, lake, [D5], ["domain_metrics"])
+    for file in Path(lake.gold("domain_metrics")).rglob("*.parquet"):
+        views = [r.page_views for r in spark.read.parquet(str(file)).collect()]
+        assert views == sorted(views, reverse=True)
+
+
+def test_preview(spark, clicks):
+    assert preview(clicks(*day_of_clicks("2024-01-05", 9, 0)), "click_id").count() == 5
+
+
 def test_missing_dates(spark, clicks, lake):
     land(spark, lake, clicks(click(1, "2024-01-05 10:00:00"), click(2, "2024-01-07 10:00:00")), D5, date(2024, 1, 8))
     rebuild_all_silver(spark, lake)

@@ -4,8 +4,9 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from clicklake.operators import rebuild
 from clicklake.operators.metrics import METRICS
-from clicklake.operators.rebuild import partitions_holding, refine, refine_dates, touched_dates
+from clicklake.operators.rebuild import competing_rows, refine, refine_dates, touched_dates
 from clicklake.plans import gold as gold_plan
 from clicklake.plans.bronze import land, with_metadata
 from clicklake.plans.runs import backfill_gaps, run_day, run_range, run_table
@@ -87,12 +88,27 @@ def test_broadcast_and_aggregate_lookups_agree(clicks, source):
     assert rows_of(touched_dates(raw, touched, broadcast_keys=0)) == expected
 
 
-def test_rebuild_reads_only_partitions_with_competing_versions(source):
+def test_lookup_by_key_blocks_agrees(clicks, monkeypatch):
+    """Keys far apart, so that blocks drop rows; the lookup must not lose a touched key."""
+    monkeypatch.setattr(rebuild, "BLOCK_BITS", 4)
+    rows = [click(17 * i, f"2024-01-0{1 + i % 6} 10:00:00", updated="2024-01-07 00:00:00") for i in range(20)]
+    rows += [click(17 * i, "2024-01-08 10:00:00", updated="2024-01-09 00:00:00") for i in (3, 4)]
+    raw = with_metadata(clicks(*rows), "b")
+    touched = F.col("extract_date") == F.lit(date(2024, 1, 9))
+    found = rows_of(touched_dates(raw, touched, broadcast_keys=3))
+    assert found == rows_of(touched_dates(raw, touched, broadcast_keys=0)) == rows_of(touched_dates(raw, touched))
+    assert found == [(date(2024, 1, 4),), (D5,), (D8,)]
+
+
+def test_rebuild_skips_partitions_that_cannot_win(source):
     raw = with_metadata(source, "b")
-    assert rows_of(partitions_holding(raw, [D5])) == [(D5,), (D7,)]
-    pruned = raw.filter(F.col("extract_date").isin(D5, D7))
-    full = refine(raw).filter(F.col("event_date") == F.lit(D5))
-    assert rows_of(refine_dates(pruned, [D5])) == rows_of(full)
+    competing = competing_rows(raw, [D6])
+    assert rows_of(competing.select("extract_date").distinct()) == [(D6,), (D7,)]
+    full = refine(raw).filter(F.col("event_date") == F.lit(D6))
+    assert rows_of(refine_dates(competing, [D6])) == rows_of(full)
+    assert competing_rows(raw, [D8]).count() == 0
+    undated = raw.withColumn("extract_date", F.when(F.col("click_id") != 100, F.col("extract_date")))
+    assert competing_rows(undated, [D6]).count() == raw.count()
     assert refine_dates(raw, []).count() == 0
 
 

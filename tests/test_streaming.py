@@ -66,10 +66,11 @@ def test_exact_users_per_window(spark, feed, tmp_path):
     assert rows_of(out, "event_count", "unique_users") == [(5, 2)]
 
 
-def test_stream_dedup_across_batches(spark, feed, tmp_path):
+@pytest.mark.parametrize("salts", [1, 8])
+def test_stream_dedup_across_batches(spark, feed, tmp_path, salts):
     feed(click(1, "2024-01-05 10:00:00"), click(2, "2024-01-05 10:01:00"))
     path = feed(click(1, "2024-01-05 10:00:00", updated="2024-01-05 10:30:00"), click(3, "2024-01-05 10:02:00"))
-    rows = first_versions(stream_files(spark, path, 1))
+    rows = first_versions(stream_files(spark, path, 1), salts=salts)
     drain(stream_to_files(rows, str(tmp_path / "out"), str(tmp_path / "log"), drain=True))
     out = spark.read.schema(CLICKS).parquet(str(tmp_path / "out"))
     assert rows_of(out, "click_id") == [(1,), (2,), (3,)]
