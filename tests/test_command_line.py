@@ -14,24 +14,24 @@ def folder(spark, tmp_path_factory):
 
 def test_backfill_verify_and_quality(spark, folder):
     lake, clicks = str(folder / "lake"), str(folder / "clicks")
-    days = ["2024-01-01", "2024-01-06"]
+    days = ["2024-01-01", "2024-01-04"]
     assert main(["--lake", lake, "backfill", *days, "--source", clicks, "--dry-run"]) == 0
     assert read_bronze(spark, Lake(lake)).count() == 0
     assert main(["--lake", lake, "backfill", *days, "--source", clicks, "--gate", "bronze"]) == 0
     rows = read_silver(spark, Lake(lake)).count()
     assert rows == read_bronze(spark, Lake(lake)).count() > 0
     assert main(["--lake", lake, "verify-backfill", *days]) == 0
-    assert main(["--lake", lake, "verify-backfill", "2023-12-31", "2024-01-06"]) == 1
+    assert main(["--lake", lake, "verify-backfill", "2023-12-31", "2024-01-04"]) == 1
     assert main(["--lake", lake, "quality", "--input", f"{lake}/bronze/clicks"]) == 0
     assert main(["--lake", lake, "quality", "--input", f"{lake}/silver/clicks", "--layer", "silver"]) == 0
     assert main(["--lake", lake, "quality", "--input", clicks, "--layer", "silver"]) == 1
     assert main(["--lake", lake, "validate", "--date", "2024-01-02"]) == 0
-    assert main(["--lake", lake, "run-day", "2024-01-06", "--source", clicks]) == 0
+    assert main(["--lake", lake, "run-day", "2024-01-04", "--source", clicks]) == 0
     assert read_silver(spark, Lake(lake)).count() > rows
 
 
 def test_stages_one_by_one_equal_a_backfill(spark, folder):
-    clicks, days = str(folder / "clicks"), ["2024-01-01", "2024-01-06"]
+    clicks, days = str(folder / "clicks"), ["2024-01-01", "2024-01-04"]
     one, two = str(folder / "one"), str(folder / "two")
     assert main(["--lake", one, "backfill", *days, "--source", clicks]) == 0
     assert main(["--lake", two, "bronze", *days, "--source", clicks]) == 0
@@ -48,7 +48,7 @@ def test_stages_one_by_one_equal_a_backfill(spark, folder):
 def test_sessions_can_be_landed(spark, folder):
     lake = str(folder / "sessions_lake")
     source = ["--source", str(folder / "sessions"), "--table", "sessions"]
-    assert main(["--lake", lake, "bronze", "2024-01-01", "2024-03-22", *source]) == 0
+    assert main(["--lake", lake, "bronze", "2024-01-01", "2024-01-05", *source]) == 0
 
 
 def test_backfill_needs_a_source_or_a_skip(folder):
