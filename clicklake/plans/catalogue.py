@@ -13,12 +13,14 @@ from clicklake.operators import quality
 from clicklake.operators.cleaning import clean_clicks, cleaning_report, duplicate_report
 from clicklake.operators.completeness import missing_dates
 from clicklake.operators.metrics import METRICS, aggregate_metric, ranked_metric
-from clicklake.operators.rebuild import date_list, refine, refine_dates, touched_dates
+from clicklake.operators.rebuild import competing_rows, date_list, refine, refine_dates, touched_dates
 from clicklake.operators.sessions import conversion_funnel, session_summary
 from clicklake.operators.slices import changed_between, day_with_late, history_and_live, late_slice
 from clicklake.operators.versions import latest_versions
-from clicklake.plans.bronze import with_metadata
+from clicklake.plans.bronze import land, with_metadata
 from clicklake.plans.health import Layer, lake_health, layer_row_counts
+from clicklake.plans.runs import run_range
+from clicklake.plans.silver import rebuild_silver
 from clicklake.schemas import CLICK_TABLE, SESSION_TABLE
 from clicklake.session import scratch_path
 from clicklake.sources.derived import read_clicks, read_events, read_sessions, stream_clicks
@@ -65,6 +67,11 @@ def bronze_with_metadata(spark, folder):
     return bronze(spark, folder)
 
 
+@query
+def bronze_on_date(spark, folder):
+    return bronze(spark, folder).filter(F.col("extract_date") == F.lit(DAY))
+
+
 @query
 def sessions_extract_window(spark, folder):
     rows = changed_between(read_sessions(spark, folder), EXTRACT_START, EXTRACT_END, SESSION_TABLE)
@@ -140,6 +147,11 @@ def silver_clicks(spark, folder):
     return silver(spark, folder)
 
 
+@query
+def silver_on_date(spark, folder):
+    return silver(spark, folder).filter(F.col("event_date") == F.lit(DAY))
+
+
 @query
 def silver_sessions(spark, folder):
     return refine(read_sessions(spark, folder), SESSION_TABLE)
@@ -149,7 +161,8 @@ def silver_sessions(spark, folder):
 def affected_partition_rebuild(spark, folder):
     """The refined rows of every date touched by the rows that changed on one day."""
     raw = bronze(spark, folder)
-    return refine_dates(raw, date_list(touched_dates(raw, F.col("extract_date") == F.lit(DAY))))
+    dates = date_list(touched_dates(raw, F.col("extract_date") == F.lit(DAY)))
+    return refine_dates(competing_rows(raw, dates), dates)
 
 
 @query
@@ -163,6 +176,32 @@ def hybrid_history_live(spark, folder):
     return enrich_clicks(history_and_live(clicks, clicks, CUTOVER))
 
 
+# Whole runs, written to a lake in the shared scratch folder and read back
+
+
+@query
+def incremental_silver(spark, folder):
+    """Two loads, the second rebuilding only the dates it touches, instead of one full build."""
+    lake = Lake(scratch_path(spark, "incremental_silver"))
+    clicks = read_clicks(spark, folder)
+    for start, end in ((RANGE_START, CUTOVER), (CUTOVER, RANGE_END)):
+        landed = land(spark, lake, clicks, start, end, BATCH)
+        rebuild_silver(spark, lake, landed.event_dates)
+    return read_silver(spark, lake)
+
+
+@query
+def backfilled_user_summary(spark, folder):
+    """A range backfill of all three layers, then its user metric as stored."""
+    lake = Lake(scratch_path(spark, "backfilled_user_summary"))
+    report = run_range(
+        spark, lake, lambda: read_clicks(spark, folder), RANGE_START, RANGE_END, batch_id=BATCH, metrics=["user_summary"]
+    )
+    if not report.success:
+        raise RuntimeError(str(report.failures))
+    return spark.read.parquet(lake.gold("user_summary"))
+
+
 # Aggregated layer
 
 

@@ -29,10 +29,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
     Only a local master may fall back to a folder of this machine: executors elsewhere could not read it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="clicklake-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="clicklake-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/clicklake/{label}-{uuid.uuid4().hex}"

@@ -269,10 +269,23 @@ def layer_rows(layer: str, table: str, day: str) -> str:
     return f"SELECT '{layer}' AS layer, {day} AS date, count(*) AS rows FROM {table} GROUP BY {day}"
 
 
+USER_SUMMARY = """
+SELECT event_date AS date, user_id, count(*) AS total_events, count(DISTINCT session_id) AS sessions,
+  count(DISTINCT event_type) AS event_types, count(DISTINCT domain) AS domains_visited,
+  avg(epoch_us(event_timestamp) // 1000000 - epoch_us(created_at) // 1000000) AS avg_session_duration_sec
+FROM silver GROUP BY ALL
+"""
+
 ORACLES: dict[str, str] = {
     "bronze_extract_window": CLICKS
     + "SELECT * FROM clicks WHERE updated_at >= TIMESTAMP '2024-01-05' AND updated_at < TIMESTAMP '2024-01-08'",
     "bronze_with_metadata": CLICKS + "SELECT * FROM raw",
+    "bronze_on_date": CLICKS + "SELECT * FROM raw WHERE extract_date = DATE '2024-01-15'",
+    "silver_on_date": CLICKS + "SELECT * EXCLUDE (rn) FROM silver WHERE event_date = DATE '2024-01-15'",
+    "incremental_silver": CLICKS
+    + """SELECT * EXCLUDE (rn), 'batch_20240108_020000' AS batch_id, CAST(updated_at AS DATE) AS extract_date
+FROM silver""",
+    "backfilled_user_summary": CLICKS + USER_SUMMARY,
     "sessions_extract_window": SESSIONS
     + """SELECT *, 'batch_20240108_020000' AS batch_id, CAST(created_at AS DATE) AS extract_date FROM sessions
 WHERE created_at >= TIMESTAMP '2024-01-05' AND created_at < TIMESTAMP '2024-01-08'""",
@@ -323,11 +336,7 @@ FROM silver s WHERE event_date IN (SELECT event_date FROM touched)""",
     + """SELECT event_date AS date, domain, device_type, count(*) AS page_views,
   count(DISTINCT user_id) AS unique_users, count(DISTINCT session_id) AS sessions
 FROM silver GROUP BY ALL ORDER BY page_views DESC""",
-    "user_summary": CLICKS
-    + """SELECT event_date AS date, user_id, count(*) AS total_events, count(DISTINCT session_id) AS sessions,
-  count(DISTINCT event_type) AS event_types, count(DISTINCT domain) AS domains_visited,
-  avg(epoch_us(event_timestamp) // 1000000 - epoch_us(created_at) // 1000000) AS avg_session_duration_sec
-FROM silver GROUP BY ALL""",
+    "user_summary": CLICKS + USER_SUMMARY,
     "device_metrics": CLICKS
     + """SELECT event_date AS date, device_type, browser, count(*) AS event_count,
   count(DISTINCT user_id) AS unique_users FROM silver GROUP BY ALL""",
