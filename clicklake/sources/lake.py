@@ -6,7 +6,6 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -43,13 +42,16 @@ class Written:
     dates: tuple[date, ...]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's file system: a read that fails to find it would count as a failed query."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Scan with the declared schema; no rows when nothing is stored yet. Old files lack new columns: null."""
-    try:
+    if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
     return spark.createDataFrame([], schema)
 
 
