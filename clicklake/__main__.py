@@ -17,7 +17,7 @@ from clicklake.plans.silver import dates_touched_by, rebuild_all_silver, rebuild
 from clicklake.schemas import TABLES
 from clicklake.session import build_session
 from clicklake.sources.jdbc import extract_jdbc
-from clicklake.sources.lake import Lake, preview, read_bronze, read_silver, read_table
+from clicklake.sources.lake import Lake, clear_pending, preview, read_bronze, read_silver, read_table
 from clicklake.sources.samples import SAMPLE_CLICKS, SAMPLE_SESSIONS, generate
 
 log = logging.getLogger("clicklake")
@@ -100,6 +100,8 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> bool:
         report = build_gold(spark, lake, [as_day(args.date)] if args.date else None)
         for name, error in report.failures.items():
             log.error("%s: %s", name, error)
+        if not args.date and not report.failures:
+            clear_pending(spark, lake)
         return not report.failures
     elif args.command in ("run-day", "backfill"):
         options = {"skip": args.skip or (), "dry_run": args.dry_run, "gate": args.gate}

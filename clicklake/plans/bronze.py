@@ -12,7 +12,7 @@ from clicklake.operators.quality import validate_schema
 from clicklake.operators.rebuild import date_list, touched_dates
 from clicklake.operators.slices import Moment, as_day, changed_between
 from clicklake.schemas import CLICK_TABLE, TableSpec
-from clicklake.sources.lake import Lake, Written, log_batch, read_bronze, replace_dates, verify_rows
+from clicklake.sources.lake import Lake, Written, add_pending, log_batch, read_bronze, replace_dates, verify_rows
 
 # Fixed value: the format of a batch name.
 BATCH_FORMAT = "batch_%Y%m%d_%H%M%S"
@@ -66,6 +66,7 @@ def land(
     before: list[date] = []
     if not read_bronze(spark, lake, start, end, spec).isEmpty():
         before = date_list(touched_dates(read_bronze(spark, lake, spec=spec), in_range, spec))
+        add_pending(spark, lake, before, spec)
     days = days_between(start, end)
     written = replace_dates(rows, lake.bronze(spec), spec.bronze, "extract_date", days, spread=len(days) > 1)
     verify_rows(spark, lake.bronze(spec), spec.bronze, in_range, written.rows)

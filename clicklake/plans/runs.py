@@ -18,7 +18,7 @@ from clicklake.plans.gate import quality_gate
 from clicklake.plans.gold import build_gold
 from clicklake.plans.silver import dates_touched_by, rebuild_silver
 from clicklake.schemas import SESSION_TABLE, TableSpec
-from clicklake.sources.lake import Lake, read_bronze, read_silver
+from clicklake.sources.lake import Lake, clear_pending, pending_dates, read_bronze, read_silver
 
 log = logging.getLogger(__name__)
 STAGES = ("bronze", "silver", "gold")
@@ -72,6 +72,7 @@ def run_range(
                 quality_gate(spark, lake, start, end, gate)
                 stage = "silver"
             touched = dates_touched_by(spark, lake, start, end) if touched is None else touched
+            touched = sorted(set(touched) | set(pending_dates(spark, lake)))
             report.rows["silver"] = rebuild_silver(spark, lake, touched).rows
     except Exception as error:
         log.exception("%s failed", stage)
@@ -83,6 +84,8 @@ def run_range(
         gold = build_gold(spark, lake, report.event_dates, metrics)
         report.rows.update({name: written.rows for name, written in gold.written.items()})
         report.failures.update(gold.failures)
+        if report.success and "silver" not in skip and set(metrics) >= set(METRICS):
+            clear_pending(spark, lake)
     return report
 
 
@@ -103,6 +106,7 @@ def run_table(
     """Raw and refined layers of another source table, by the same code."""
     landed = land(spark, lake, source(), start, end, batch_id, spec)
     written = rebuild_silver(spark, lake, landed.event_dates, spec)
+    clear_pending(spark, lake, spec)
     return RunReport(rows={"bronze": landed.written.rows, "silver": written.rows}, event_dates=landed.event_dates)
 
 

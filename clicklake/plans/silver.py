@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from clicklake.operators.rebuild import competing_rows, date_list, refine, refine_dates, touched_dates
 from clicklake.operators.slices import Moment, as_day
 from clicklake.schemas import CLICK_TABLE, TableSpec
-from clicklake.sources.lake import Lake, Written, read_bronze, read_silver, replace_dates
+from clicklake.sources.lake import Lake, Written, pending_dates, read_bronze, read_silver, replace_dates
 
 
 def rebuild_silver(
     spark: SparkSession, lake: Lake, dates: Iterable[date], spec: TableSpec = CLICK_TABLE
 ) -> Written:
-    """Make the refined partitions of ``dates`` what a full rebuild would leave. Reads the raw layer only."""
-    dates = sorted(dates)
+    """Make the refined partitions of ``dates``, and of dates pending from an earlier run, what a full rebuild
+    would leave. Reads the raw layer only.
+    """
+    dates = sorted(set(dates) | set(pending_dates(spark, lake, spec)))
     if not dates:
         return Written(0, ())
     rows = refine_dates(competing_rows(read_bronze(spark, lake, spec=spec), dates, spec), dates, spec)

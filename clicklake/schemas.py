@@ -52,6 +52,8 @@ BATCH_LOG = (
     .add("finished_at", TimestampType())
 )
 
+PENDING = StructType().add("event_date", DateType())
+
 QUALITY = (
     StructType()
     .add("layer", StringType())

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clicklake.operators.slices import Moment, as_day
-from clicklake.schemas import BATCH_LOG, CLICK_TABLE, TableSpec
+from clicklake.schemas import BATCH_LOG, CLICK_TABLE, PENDING, TableSpec
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,9 @@ class Lake:
     def gold(self, metric: str) -> str:
         return f"{self.root}/gold/{metric}"
 
+    def pending(self, spec: TableSpec = CLICK_TABLE) -> str:
+        return f"{self.root}/pending/{spec.name}"
+
     @property
     def batch_log(self) -> str:
         return f"{self.root}/batch_log"
@@ -162,6 +165,25 @@ def read_batch_log(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_table(spark, lake.batch_log, BATCH_LOG)
 
 
+def add_pending(spark: SparkSession, lake: Lake, dates: Iterable[date], spec: TableSpec = CLICK_TABLE) -> None:
+    """Note event dates whose raw rows are about to be replaced. Rows that vanish leave no other trace, so a
+    run that dies before the later layers are rebuilt could not find their dates again.
+    """
+    rows = spark.createDataFrame([(d,) for d in dates], PENDING)
+    rows.coalesce(1).write.mode("append").parquet(lake.pending(spec))
+
+
+def pending_dates(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> list[date]:
+    rows = read_table(spark, lake.pending(spec), PENDING).distinct().collect()
+    return sorted(r[0] for r in rows)
+
+
+def clear_pending(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> None:
+    """All layers are current; to be called by the run that rebuilt the last one."""
+    if path_exists(spark, lake.pending(spec)):
+        spark.createDataFrame([], PENDING).coalesce(1).write.mode("overwrite").parquet(lake.pending(spec))
+
+
 def write_idempotent(
     spark: SparkSession, df: DataFrame, lake: Lake, path: str, date_column: str, batch_id: str, table: str
 ) -> Written:

@@ -262,7 +262,9 @@ FROM timed
 
 
 def versions(source: str) -> str:
-    return f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY click_id ORDER BY updated_at DESC) AS rn FROM {source}) WHERE rn = 1"
+    return f"""SELECT * EXCLUDE (rn)
+FROM (SELECT *, row_number() OVER (PARTITION BY click_id ORDER BY updated_at DESC) AS rn FROM {source})
+WHERE rn = 1"""
 
 
 def layer_rows(layer: str, table: str, day: str) -> str:

@@ -12,7 +12,7 @@ from clicklake.plans.bronze import land, with_metadata
 from clicklake.plans.runs import backfill_gaps, run_day, run_range, run_table
 from clicklake.plans.silver import rebuild_silver
 from clicklake.schemas import SESSION_TABLE
-from clicklake.sources.lake import Lake, read_bronze, read_silver
+from clicklake.sources.lake import Lake, pending_dates, read_bronze, read_silver
 from clicklake.sources.samples import sample_sessions
 from conftest import click, day_of_clicks, rows_of, ts
 
@@ -189,6 +189,20 @@ def test_gold_is_emptied_for_dates_that_lost_all_rows(spark, clicks, lake):
         assert rows_of(spark.read.parquet(lake.gold(name)), "date") == [(D6,)]
 
 
+def test_run_that_died_after_landing_is_caught_up(spark, clicks, lake):
+    """Click 1 vanishes from the source; the run dies with only the raw layer replaced."""
+    rows = clicks(click(1, "2024-01-06 10:00:00", updated="2024-01-05 10:00:00"), click(2, "2024-01-05 10:00:00"))
+    run_day(spark, lake, lambda: rows, D5)
+    land(spark, lake, rows.filter("click_id = 2"), D5, D6)
+    assert rows_of(read_silver(spark, lake), "click_id") == [(1,), (2,)]
+    report = run_day(spark, lake, lambda: rows.filter("click_id = 2"), D5)
+    assert report.event_dates == [D5, D6]
+    assert rows_of(read_silver(spark, lake), "click_id") == [(2,)]
+    for name in METRICS:
+        assert rows_of(spark.read.parquet(lake.gold(name)), "date") == [(D5,)]
+    assert pending_dates(spark, lake) == []
+
+
 def test_sessions_take_the_same_path(spark, lake):
     sessions = sample_sessions(spark.range(200))
     start, end = date(2024, 1, 1), date(2024, 1, 11)
