@@ -8,7 +8,8 @@ import pytest
 import __spark_entry__ as entry_points
 
 FOLDER = Path(entry_points.SMALLEST)
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+ORACLES = entry_points.ORACLES
+QUERIES = {name: query for name, query in entry_points.queries().items() if name in entry_points.QUERIES}
 SPARK_TO_SQL = {
     "bigint": "BIGINT", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "int": "INTEGER",
     "double": "DOUBLE", "boolean": "BOOLEAN",
