@@ -1,10 +1,11 @@
 """Queries of the corpus operators, and the SQL of those that SQL can express."""
 
-from clicklake.llm import decontamination, mixing, token_files, url_rules
+from clicklake.llm import decontamination, mixing, quality, token_files, url_rules
 
 QUERIES = {
     "op1_url_filters": url_rules.op1_url_filters,
     "op2_decontamination": decontamination.op2_decontamination,
+    "op6_quality": quality.op6_quality,
     "op7_mixing": mixing.op7_mixing,
     "op10_token_files": token_files.op10_token_files,
 }
