@@ -1,10 +1,13 @@
 """Queries of the corpus operators, and the SQL of those that SQL can express."""
 
-from clicklake.llm import decontamination, mixing, quality, token_files, url_rules
+from clicklake.llm import decontamination, licences, mixing, quality, token_files, toxicity, url_rules, warc
 
 QUERIES = {
     "op1_url_filters": url_rules.op1_url_filters,
     "op2_decontamination": decontamination.op2_decontamination,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_warc": warc.op4_warc,
+    "op5_licences": licences.op5_licences,
     "op6_quality": quality.op6_quality,
     "op7_mixing": mixing.op7_mixing,
     "op10_token_files": token_files.op10_token_files,
@@ -12,4 +15,5 @@ QUERIES = {
 
 ORACLES = {
     "op1_url_filters": url_rules.SQL,
+    "op5_licences": licences.SQL,
 }
