@@ -1,6 +1,17 @@
 """Queries of the corpus operators, and the SQL of those that SQL can express."""
 
-from clicklake.llm import block_search, decontamination, licences, mixing, quality, token_files, toxicity, url_rules, warc
+from clicklake.llm import (
+    block_search,
+    decontamination,
+    licences,
+    mixing,
+    near_duplicates,
+    quality,
+    token_files,
+    toxicity,
+    url_rules,
+    warc,
+)
 
 QUERIES = {
     "op1_url_filters": url_rules.op1_url_filters,
@@ -10,6 +21,7 @@ QUERIES = {
     "op5_licences": licences.op5_licences,
     "op6_quality": quality.op6_quality,
     "op7_mixing": mixing.op7_mixing,
+    "op8_near_duplicates": near_duplicates.op8_near_duplicates,
     "op9_block_search": block_search.op9_block_search,
     "op10_token_files": token_files.op10_token_files,
 }
