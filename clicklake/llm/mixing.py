@@ -244,7 +244,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) ->
     parts = F.array_sort(F.collect_list(F.struct("skip", "words", "times")))
     taken = pieces(rows, slots, block).groupBy("doc_id", "copy").agg(parts.alias("parts"))
     texts = docs.select(
-        F.struct(*docs.columns).alias("row"), "doc_id", _key(F.col("source")).alias("key"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", _key(F.col("source")).alias("key"),
         count_words(F.col("text")).alias("size"), F.xxhash64("text").alias("content"),
     )
     copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("key", "size", "content"))

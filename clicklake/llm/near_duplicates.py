@@ -409,7 +409,7 @@ def distinct(docs: DataFrame) -> DataFrame:
     ids, labels = text_classes(docs)
     first = Window.partitionBy("label").orderBy(F.col("doc_id").asc_nulls_last(), "digest")
     chosen = ids.distinct().join(labels, "digest").withColumn("turn", F.row_number().over(first)).where("turn = 1")
-    rows = docs.where("text is not null").select(F.struct(*docs.columns).alias("row"))
+    rows = docs.where("text is not null").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.withColumn("id", F.col("row.doc_id").cast("long")).withColumn("sum", F.md5("row.text"))
     same = (F.col("sum") == F.col("digest")) & F.col("id").eqNullSafe(F.col("doc_id"))
     once = Window.partitionBy("sum", "id").orderBy(F.lit(0))

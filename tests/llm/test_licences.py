@@ -1,0 +1,40 @@
+import duckdb
+import pandas as pd
+
+from clicklake.llm import licences
+from tests.llm.helpers import as_rows, documents
+
+MIT = licences.KNOWN["MIT"][2]
+TEXTS = [
+    None, "", "\n\n", "Copyright (c) 2020 A. Person", MIT, MIT.upper(), "Copyright 2021 X\n" + MIT.replace(",", " ;"),
+    MIT + " more", "some text\nReleased under the MIT Licence!\nother\nreleased under the mit license",
+    "LICENSED UNDER THE APACHE LICENSE — VERSION 2.0", "Licensed under CC BY-NC 4.0", "© 2020\nLicensed under CC BY-NC 4.0.",
+    "x " * 50_000 + "\nReleased under the MIT License.", "é Released under the MIT License.",
+]
+
+
+def test_variants_of_known_texts_share_a_digest(spark):
+    got = as_rows(licences.scan(documents(spark, *TEXTS)))
+    whole = sorted((r[0], r[2]) for r in got if r[1] == "text")
+    assert whole == [(4, "MIT"), (5, "MIT"), (6, "MIT"), (9, "Apache-2.0"), (10, "CC-BY-NC-4.0"), (11, "CC-BY-NC-4.0")]
+    lines = {r[0]: r[2:] for r in got if r[1] == "line" and r[0] >= 8}
+    assert lines[8] == ("MIT", 2, 2) and lines[12] == ("MIT", 1, 2) and 13 not in lines
+
+
+def test_fixture_matches_sql(spark):
+    connection = duckdb.connect()
+    connection.register("documents", pd.DataFrame({"doc_id": range(len(TEXTS)), "text": TEXTS}))
+    expected = connection.sql(licences.SQL).select("doc_id, scope, licence, units, first_line").fetchall()
+    assert as_rows(licences.scan(documents(spark, *TEXTS))) == sorted(expected, key=str)
+
+
+def test_empty_table_repeated_rows_and_null_keys(spark):
+    docs = documents(spark, "Released under the MIT License.")
+    assert licences.scan(docs.limit(0)).count() == 0
+    twice = docs.selectExpr("cast(null as long) doc_id", "text").unionAll(docs.selectExpr("cast(null as long) doc_id", "text"))
+    assert as_rows(licences.scan(twice), "doc_id", "scope", "units") == sorted([(None, "text", 1), (None, "line", 1)] * 2, key=str)
+
+
+def test_other_licences_can_be_given(spark):
+    got = licences.scan(documents(spark, "House rules: be kind."), {"house": ["house rules be kind"]})
+    assert {r["licence"] for r in got.collect()} == {"house"}
