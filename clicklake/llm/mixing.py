@@ -126,7 +126,7 @@ def placed(sizes: DataFrame, documents: int) -> DataFrame:
 def quotas(targets: DataFrame, block: int) -> DataFrame:
     """Adds blocks (of one pass) and quota (slots due): the target in blocks of the source's mean length."""
     blocks = F.ceil(F.col("source_size") / block).cast("long")
-    quota = F.round(F.col("target") * blocks / F.col("source_size")).cast("long")
+    quota = F.round(F.try_divide(F.col("target") * blocks, F.col("source_size"))).cast("long")
     return targets.withColumn("blocks", blocks).withColumn("quota", F.coalesce(quota, F.lit(0)))
 
 
@@ -181,7 +181,10 @@ def draw_slots(lines: DataFrame, slots: int, sources: int, shard: int) -> DataFr
         F.col("key").alias("to"), F.posexplode(F.expr("sequence(drawn, quota - 1)")).alias("i", "to_number"),
         "short_from",
     ).select("to", "to_number", (F.col("short_from") + F.col("i")).alias("trade"))
-    slots_of = numbered.join(ledger.select("key", "quota", "excess_from"), "key")
+    # renumbered at random, so that the slots to trade are spread over all shards
+    slots_of = numbered.join(ledger.select("key", "quota", "drawn", "excess_from"), "key").withColumn(
+        "number", _permuted(F.col("number"), F.col("drawn"), "key", F.lit(-1).cast("long"))
+    )
     kept = slots_of.where("number < quota").select("key", "shard", "number")
     traded = slots_of.where("number >= quota").select(
         "shard", (F.col("excess_from") + F.col("number") - F.col("quota")).alias("trade")

@@ -1,0 +1,145 @@
+import math
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicklake.llm import mixing as m
+from tests.llm.helpers import as_rows, documents
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_targets(sizes):
+    """The contract's rule, step by step: share, stop at three times the size, share the excess again."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    total, capped = sum(sizes.values()), {}
+    while True:
+        open_ = [s for s in order if s not in capped]
+        rest = total - sum(capped.values())
+        share = {s: rest * weight[s] / sum(weight[t] for t in open_) for s in open_}
+        above = [s for s in open_ if share[s] > 3 * sizes[s] + 1e-9]
+        if not above:
+            return {**capped, **share}
+        capped.update({s: 3.0 * sizes[s] for s in above})
+
+
+def sources_frame(spark, sizes):
+    rows = [(None if s is None else s, n) for s, n in sizes.items()]
+    frame = spark.createDataFrame(rows, "source string, size long")
+    return frame.select(m._key(F.col("source")).alias("key"), "size")
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 100, "b": 100, "c": 100},
+        {"a": 1000, "b": 1, "c": 5},
+        {"Z": 10, "a": 300, "é": 20, None: 7, "ab": 0, "": 50},
+        {"a": 5, "b": 6, "c": 7, "d": 100_000, "e": 3},
+        {"only": 12},
+    ],
+)
+def test_targets_follow_the_rule_step_by_step(spark, sizes):
+    got = {r["key"]: r["target"] for r in m.source_targets(sources_frame(spark, sizes)).collect()}
+    expected = {"n" if s is None else f"s{s}": v for s, v in brute_targets(sizes).items()}
+    assert got.keys() == expected.keys()
+    for key, value in expected.items():
+        assert math.isclose(got[key], value, rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_query_meets_its_targets(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: (r["text"], r["source"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = m.op7_mixing(spark, folder).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    sizes, taken, targets = defaultdict(int), defaultdict(int), {}
+    for r in rows:
+        text, source = docs[r["doc_id"]]
+        assert r["size"] == len(WORD.findall(text or "")) and 0 <= r["taken"] <= 3 * r["size"]
+        sizes[source] += r["size"]
+        taken[source] += r["taken"]
+        targets[source] = r["target"]
+    for source, target in brute_targets(dict(sizes)).items():
+        assert math.isclose(targets[source], target, rel_tol=1e-9)
+        assert abs(taken[source] - target) <= 0.01 * target
+
+
+def test_reruns_and_partitions_give_the_same(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    first = as_rows(m.taken_words(docs))
+    assert as_rows(m.taken_words(docs.repartition(7))) == first
+    assert sum(r[-1] for r in first) > 0
+
+
+def test_draws_are_multinomial_and_meet_the_quotas(spark):
+    lines = spark.createDataFrame([("a", 1, 2000), ("b", 2, 6000), ("c", 3, 0), ("d", 4, 1)], "key string, rank int, quota long")
+    slots = m.draw_slots(lines, 8001, 4, 100)
+    counts = {(r["key"], r["shard"]): r["count"] for r in slots.groupBy("key", "shard").count().collect()}
+    numbers = defaultdict(list)
+    for r in slots.collect():
+        numbers[r["key"]].append(r["number"])
+    assert {k: sorted(v) for k, v in numbers.items()} == {"a": list(range(2000)), "b": list(range(6000)), "d": [0]}
+    sizes = defaultdict(int)
+    for (_, shard), n in counts.items():
+        sizes[shard] += n
+    assert sorted(sizes.values()) == [1] + [100] * 80
+    shares = [counts.get(("a", s), 0) for s in range(80)]
+    variance = sum((n - 25) ** 2 for n in shares) / 80
+    assert 0.5 * 18.75 < variance < 1.7 * 18.75  # 100 draws with a chance of 1/4 vary by 18.75
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100, 1_000_003, 1_299_709 * 2])
+def test_permutations_are_bijections_keyed_by_pass(spark, size):
+    take = min(size, 5000)
+    frame = spark.range(2 * size if size <= 100 else take).select(
+        m._permuted(F.col("id"), F.lit(size).cast("long"), F.lit("s"), F.expr(f"id div {size}")).alias("p"), "id"
+    )
+    rows = [r["p"] for r in frame.orderBy("id").collect()]
+    assert all(0 <= p < size for p in rows)
+    assert len(set(rows[:take])) == take
+    if size == 100:
+        assert sorted(rows[:100]) == sorted(rows[100:]) and rows[:100] != rows[100:]
+
+
+def test_odd_tables(spark):
+    docs = documents(spark, None, "", " \n", "one", "one", "two words", sources=["a", None, "a", "b", "b", None])
+    rows = as_rows(m.taken_words(docs.unionAll(docs)))
+    assert len(rows) == 12
+    assert all(0 <= r[4] <= 3 * r[1] for r in rows)
+    assert sum(r[4] for r in rows if r[0] in (0, 1, 2)) == 0
+    assert m.taken_words(docs.limit(0)).count() == 0
+    assert [r[4] for r in as_rows(m.taken_words(docs.limit(3)))] == [0, 0, 0]
+    nobody = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    assert len(as_rows(m.taken_words(nobody))) == 6
+
+
+def test_long_text_is_taken_in_blocks(spark):
+    rows = as_rows(m.taken_words(documents(spark, "w " * 200_000, "v " * 10, sources=["a", "b"])))
+    assert [r[1] for r in rows] == [200_000, 10] and rows[1][4] == 30
+    assert abs(rows[0][4] - rows[0][3]) <= m.BLOCK
+
+
+def test_mixed_documents_hold_the_words_taken(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("parts", F.lit(1))
+    texts = {r["doc_id"]: WORD.findall(r["text"]) for r in docs.collect()}
+    got = m.mixed_documents(docs)
+    assert got.columns == docs.columns and got.dtypes == docs.dtypes
+    held = defaultdict(int)
+    for r in got.collect():
+        words = WORD.findall(r["text"])
+        held[r["doc_id"]] += len(words)
+        assert r["n_chars"] == len(r["text"])
+        rest = iter(texts[r["doc_id"]])
+        assert all(w in rest for w in words)
+    taken = {r["doc_id"]: r["taken"] for r in m.taken_words(docs).collect()}
+    assert dict(held) == {k: v for k, v in taken.items() if v}
+
+
+def test_main_path_runs_no_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for frame in (m.taken_words(docs), m.mixed_documents(docs)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

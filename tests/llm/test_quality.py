@@ -1,0 +1,127 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from clicklake.llm import quality as q
+from tests.llm.helpers import as_rows, documents
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def corpus(n, seed=0):
+    """Words, or words cut up by symbols; label 1 for the former."""
+    draw = random.Random(seed)
+    out = []
+    for i in range(n):
+        words = ["".join(draw.choices("etaoinshrd", k=draw.randint(2, 8))) for _ in range(draw.randint(5, 300))]
+        out.append((" ".join(words), 1) if i % 2 else ("### ".join(words), 0))
+    return out
+
+
+@pytest.fixture(scope="module")
+def net():
+    rows = corpus(200)
+    return q.fit([t for t, _ in rows], [label for _, label in rows])
+
+
+def test_unseen_documents_are_told_apart(net):
+    rows = corpus(200, seed=1)
+    scores = net.scores([t for t, _ in rows])
+    assert np.mean((scores >= 0.5) == [label for _, label in rows]) > 0.97
+
+
+def test_whole_texts_count(net):
+    clean = " ".join(t for t, label in corpus(200, seed=2) if label)
+    junk = " ".join(t for t, label in corpus(800, seed=3) if not label)
+    alone, spoiled = net.scores([clean, clean + junk])
+    assert len(clean) > 50_000 and alone > 0.5 and spoiled < alone - 0.1
+
+
+def test_chunks_cover_every_byte():
+    for length in (0, 1, q.CHUNK, q.CHUNK + 1, q.CHUNK + q.STEP, q.CHUNK + q.STEP + 1, 5000):
+        text = "".join(chr(97 + i % 26) for i in range(length))
+        rows, firsts = q.chunks([text, "next"])
+        held = np.zeros((firsts[1] - 1) * q.STEP + q.CHUNK, np.uint8)
+        for i, row in enumerate(rows[: firsts[1]]):
+            held[i * q.STEP : i * q.STEP + q.CHUNK] = row
+        assert held.tobytes().rstrip(b"\0").decode() == text
+        assert bytes(rows[firsts[1]]).rstrip(b"\0") == b"next"
+
+
+def test_gradients_match_finite_differences():
+    texts, labels = [corpus(2)[1][0] * 3, "###", "A b c"], np.array([1, 0, 1], np.float32)
+    net = q.Network(3)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+
+    def loss():
+        rows, firsts = q.chunks(texts)
+        top = np.maximum(net.pooled(rows), 0)
+        logits = np.maximum(top @ net.p["hidden"] + net.p["hidden_bias"], 0) @ net.p["out"]
+        p = q.sigmoid(net._combined(logits, firsts)[0])
+        return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
+
+    found = net.gradients(texts, labels)
+    draw = np.random.default_rng(0)
+    for name, g in found.items():
+        for _ in range(4):
+            at = tuple(draw.integers(0, n) for n in net.p[name].shape)
+            if name == "embed":
+                at = (ord("e"), at[1])
+            kept, step = net.p[name][at], 1e-5
+            net.p[name][at] = kept + step
+            up = loss()
+            net.p[name][at] = kept - step
+            down = loss()
+            net.p[name][at] = kept
+            assert abs((up - down) / (2 * step) - g[at]) < 1e-4, name
+
+
+def test_held_out_accuracy_of_the_query(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    rows = q.op6_quality(spark, folder).collect()
+    assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+    unseen = [(r["score"], labels[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    good, bad = ([s for s, y in unseen if y == k] for k in (1, 0))
+    assert len(bad) > 5
+    assert np.mean([a > b for a in good for b in bad]) > 0.9
+    assert np.mean([s >= 0.3 for s in good]) > 0.95
+
+
+def test_labels_of_held_out_rows_are_not_read(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(q, "fit", lambda texts, labels: seen.extend(texts))
+    texts = [f"text {i}" for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(40)] * 2 + [(None, 1, 1), (3, None, 0), (4, 7, 0)], LABELS)
+    q.train(documents(spark, *texts), labels)
+    expected = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5]
+    assert sorted(seen) == sorted(expected * 2)
+    seen.clear()
+    q.train(documents(spark, *texts), labels, limit=10)
+    assert len(seen) == 10
+
+
+def test_odd_rows(spark, net):
+    texts = [None, "", "x", "x", "y" * 300_000, "### %%%"]
+    docs = documents(spark, *texts).selectExpr("nullif(doc_id, 5) doc_id", "text", "lang held_out", "size score")
+    got = q.score(docs, net)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert rows[0]["score"] == rows[1]["score"] and rows[2]["score"] == rows[3]["score"]
+    assert rows[None]["held_out"] and len(rows) == 6
+    assert q.score(docs.limit(0), net).count() == 0
+    kept = q.keep(docs, net)
+    assert kept.schema == docs.schema
+    assert as_rows(kept, "doc_id") == sorted([(i,) for i, r in rows.items() if r["score"] >= 0.3], key=str)
+
+
+def test_labels_of_one_kind_or_none(spark):
+    docs = documents(spark, "a", "b")
+    for rows, share in (([], 0.5), ([(0, 1, 0), (1, 1, 0), (2, 1, 0)], 1.0)):
+        net = q.train(docs, spark.createDataFrame(rows, LABELS))
+        assert {r["score"] for r in q.score(docs, net).collect()} == {share}
