@@ -21,9 +21,10 @@ node first. Only those that fail are compared with all nodes of their component,
 a side, as matrix products inside tasks that return a spanning set of the links that they find.
 
 Defined cases: words are runs of ``\\w``, lower-cased; a text of fewer than five words is one shingle; a text without words
-is in a class with equal texts only; a null text is alone; equal rows share a class; classes are named after
-their smallest doc_id, which is null only where no member has one; long texts are taken whole; an empty table gives no rows;
-columns beside doc_id and text are not read, or pass through ``distinct`` untouched.
+is in a class with equal texts only; a null text is alone, in a class named after its doc_id; equal rows share a
+class. A class is named after its smallest doc_id; a text whose smallest doc_id is null, or also that of another text,
+counts under a hash of its own above 2**62 instead. Long texts are taken whole; an empty table gives no rows; columns
+beside doc_id and text are not read, or pass through ``distinct`` untouched.
 """
 
 from __future__ import annotations
@@ -398,8 +399,8 @@ def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size: a row for each document."""
     ids, labels = text_classes(docs)
     labelled = stored(ids.join(labels, "digest").select("doc_id", "label"), "class-members")
-    named = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    out = labelled.join(named, "label").select("doc_id", "class_id", "class_size")
+    sizes = labelled.groupBy("label").agg(F.count("*").alias("class_size"))
+    out = labelled.join(sizes, "label").select("doc_id", F.col("label").alias("class_id"), "class_size")
     alone = docs.where("text is null").select(F.col("doc_id").cast("long"))
     return out.unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
 
