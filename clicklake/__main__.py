@@ -9,15 +9,15 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from clicklake.operators.slices import as_day, next_day
-from clicklake.plans.bronze import land
+from clicklake.plans.bronze import dates_touched_by, land
 from clicklake.plans.gate import validate_layer, warn_about_nulls
-from clicklake.plans.gold import build_gold
+from clicklake.plans.gold import build_funnel, build_gold, build_sessions
 from clicklake.plans.runs import STAGES, backfill_gaps, run_day, run_range
-from clicklake.plans.silver import dates_touched_by, rebuild_all_silver, rebuild_silver
-from clicklake.schemas import TABLES
+from clicklake.plans.silver import rebuild_all_silver, rebuild_silver
+from clicklake.schemas import BRONZE_ROW_RANGE, TABLES
 from clicklake.session import build_session
 from clicklake.sources.jdbc import extract_jdbc
-from clicklake.sources.lake import Lake, clear_pending, preview, read_bronze, read_silver, read_table
+from clicklake.sources.lake import Lake, preview, read_bronze, read_silver, read_with_evolution
 from clicklake.sources.samples import SAMPLE_CLICKS, SAMPLE_SESSIONS, generate
 
 log = logging.getLogger("clicklake")
@@ -40,13 +40,19 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--partitions", type=int, default=32, help="parallel JDBC reads")
         return sub
 
+    def rows_option(sub: argparse.ArgumentParser) -> None:
+        text = "fewest and most rows the raw suite accepts"
+        sub.add_argument("--row-range", nargs=2, type=int, default=BRONZE_ROW_RANGE, metavar=("LOW", "HIGH"), help=text)
+
     command("bronze", "land the rows changed in a range", dates=True, source=True)
     silver = command("silver", "rebuild the dates touched by a landed range", dates=True)
     commands.choices["bronze"].add_argument("--preview", action="store_true", help="show a few landed rows")
     silver.add_argument("--preview", action="store_true", help="show a few refined rows")
     silver.add_argument("--full", action="store_true", help="rebuild everything instead")
+    silver.add_argument("--table", choices=sorted(TABLES), default="clicks")
     gold = command("gold", "rebuild the metrics of one date, or of all")
     gold.add_argument("--date")
+    command("sessions", "rebuild the session table and the conversion funnel")
     day = command("run-day", "raw, refined and aggregated layers of one day", source=True)
     day.add_argument("day")
     backfill = command("backfill", "the same for a range", dates=True, source=True)
@@ -55,12 +61,14 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--skip-{stage}", dest="skip", action="append_const", const=stage)
         sub.add_argument("--dry-run", action="store_true")
         sub.add_argument("--gate", choices=["bronze", "strict"], help="suite the raw rows must pass")
+        rows_option(sub)
     command("verify-backfill", "list the dates a layer has no rows for", dates=True)
     validate = command("validate", "totals and null keys of the raw layer; warns only")
     validate.add_argument("--date")
     quality = command("quality", "run a suite over a stored table")
     quality.add_argument("--input", required=True)
     quality.add_argument("--layer", choices=["bronze", "silver", "strict"], default="bronze")
+    rows_option(quality)
     sample = command("sample", "write sample clicks and sessions")
     sample.add_argument("--output", required=True)
     sample.add_argument("--clicks", type=int, default=SAMPLE_CLICKS)
@@ -76,7 +84,7 @@ def source_rows(spark: SparkSession, args: argparse.Namespace, start: str, end:
     if args.source.startswith("jdbc:"):
         properties = dict(p.split("=", 1) for p in args.property)
         return extract_jdbc(spark, args.source, start, end, spec, args.partitions, **properties)
-    return read_table(spark, args.source, spec.schema)
+    return read_with_evolution(spark, args.source)
 
 
 def execute(spark: SparkSession, args: argparse.Namespace) -> bool:
@@ -88,23 +96,27 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> bool:
         if args.preview:
             preview(read_bronze(spark, lake, args.start, args.end, TABLES[args.table])).show(truncate=False)
     elif args.command == "silver":
+        spec = TABLES[args.table]
         if args.full:
-            written = rebuild_all_silver(spark, lake)
+            written = rebuild_all_silver(spark, lake, spec)
         else:
-            written = rebuild_silver(spark, lake, dates_touched_by(spark, lake, args.start, args.end))
+            written = rebuild_silver(spark, lake, dates_touched_by(spark, lake, args.start, args.end, spec), spec)
         log.info("%d rows refined", written.rows)
         if args.preview:
-            columns = ("click_id", "domain", "device_type", "browser", "event_date")
-            preview(read_silver(spark, lake), *columns).show(truncate=False)
+            columns = (spec.key, *spec.derived, "event_date")
+            preview(read_silver(spark, lake, spec=spec), *columns).show(truncate=False)
     elif args.command == "gold":
         report = build_gold(spark, lake, [as_day(args.date)] if args.date else None)
         for name, error in report.failures.items():
             log.error("%s: %s", name, error)
-        if not args.date and not report.failures:
-            clear_pending(spark, lake)
         return not report.failures
+    elif args.command == "sessions":
+        log.info("%d sessions, %d days of the funnel", build_sessions(spark, lake), build_funnel(spark, lake))
     elif args.command in ("run-day", "backfill"):
-        options = {"skip": args.skip or (), "dry_run": args.dry_run, "gate": args.gate}
+        options = {
+            "skip": args.skip or (), "dry_run": args.dry_run, "gate": args.gate, "spec": TABLES[args.table],
+            "row_range": tuple(args.row_range),
+        }
         if args.command == "run-day":
             bounds = (args.day, str(next_day(args.day)))
             report = run_day(spark, lake, lambda: source_rows(spark, args, *bounds), args.day, **options)
@@ -125,7 +137,7 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> bool:
         bounds = (args.date, next_day(args.date)) if args.date else ()
         log.info("%s", warn_about_nulls(spark, lake, *bounds))
     elif args.command == "quality":
-        return validate_layer(spark, args.input, args.layer).success
+        return validate_layer(spark, args.input, args.layer, tuple(args.row_range)).success
     elif args.command == "sample":
         clicks, sessions = generate(spark, args.clicks, args.sessions, args.seed)
         clicks.write.mode("overwrite").parquet(f"{args.output}/clicks")

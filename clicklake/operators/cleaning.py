@@ -10,16 +10,22 @@ from clicklake.schemas import SILVER_EVENT_TYPES, TableSpec
 
 
 def valid_click() -> Column:
-    """Key and user present and a known event type. A null type makes the test null, so it is dropped."""
+    """Key, user and event time present and a known event type. A null type makes the test null, so it is dropped.
+
+    The source declares the event time as never null; a row without one belongs to no date of the refined layer.
+    """
     return (
-        F.col("click_id").isNotNull() & F.col("user_id").isNotNull() & F.col("event_type").isin(SILVER_EVENT_TYPES)
+        F.col("click_id").isNotNull()
+        & F.col("user_id").isNotNull()
+        & F.col("event_timestamp").isNotNull()
+        & F.col("event_type").isin(SILVER_EVENT_TYPES)
     )
 
 
 def valid_row(spec: TableSpec) -> Column:
     if spec.name == "clicks":
         return valid_click()
-    return F.col(spec.key).isNotNull() & F.col("user_id").isNotNull()
+    return F.col(spec.key).isNotNull() & F.col("user_id").isNotNull() & F.col(spec.event_column).isNotNull()
 
 
 def clean_clicks(clicks: DataFrame) -> DataFrame:
@@ -27,12 +33,15 @@ def clean_clicks(clicks: DataFrame) -> DataFrame:
 
 
 def cleaning_report(clicks: DataFrame) -> DataFrame:
-    """Rows before and after cleaning, percent kept, and kept rows whose URL has no host: one aggregate."""
+    """Rows before and after cleaning, percent kept, kept rows whose URL has no host, and rows without an event
+    time: one aggregate.
+    """
     kept = F.count_if(valid_click())
     return clicks.agg(
         F.count(F.lit(1)).alias("rows_before"),
         kept.alias("rows_after"),
         F.count_if(valid_click() & (url_domain(F.col("page_url")) == "")).alias("empty_domain"),
+        F.count_if(F.col("event_timestamp").isNull()).alias("undated"),
     ).withColumn(
         "kept_pct",
         F.when(F.col("rows_before") > 0, F.col("rows_after").cast("double") * 100 / F.col("rows_before")).otherwise(

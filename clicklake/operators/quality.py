@@ -65,7 +65,8 @@ def row_count(low: int, high: int) -> Check:
     return Check("row_count", "", {}, "0", f"total BETWEEN {low} AND {high}")
 
 
-def bronze_suite() -> list[Check]:
+def bronze_suite(row_range: tuple[int, int] = BRONZE_ROW_RANGE) -> list[Check]:
+    # The columns that raw clicks must have.
     required = [
         "click_id", "user_id", "session_id", "page_url", "event_type", "event_timestamp", "created_at", "updated_at",
     ]
@@ -73,7 +74,7 @@ def bronze_suite() -> list[Check]:
         not_null("click_id"),
         unique("click_id"),
         in_set("event_type", BRONZE_EVENT_TYPES),
-        row_count(*BRONZE_ROW_RANGE),
+        row_count(*row_range),
     ]
 
 

@@ -9,16 +9,12 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from clicklake.functions.web import enrich_clicks
 from clicklake.operators.cleaning import valid_row
 from clicklake.operators.versions import TIEBREAK, content_hash, latest_versions, newest
 from clicklake.schemas import CLICK_TABLE, TableSpec
 
-BROADCAST_KEYS = 500_000
-BLOCK_BITS = 20
-
 
 def enrich(df: DataFrame, spec: TableSpec) -> DataFrame:
     return enrich_clicks(df) if spec.name == "clicks" else df.withColumn("event_date", F.to_date(spec.event_column))
@@ -32,35 +28,29 @@ def refine(bronze: DataFrame, spec: TableSpec = CLICK_TABLE) -> DataFrame:
     return enrich(latest_versions(bronze.filter(valid_row(spec)), spec), spec)
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    return df.limit(rows + 1).count() <= rows
+def key_range(rows: DataFrame, spec: TableSpec) -> Column | None:
+    """A test for the keys between the smallest and the largest of ``rows``; None when they hold no key.
+
+    Both bounds are literals, so that a scan skips files and row groups by their statistics: raw files are sorted by
+    key, and keys that arrive together lie together.
+    """
+    low, high = rows.agg(F.min(spec.key), F.max(spec.key)).first()
+    return None if low is None else F.col(spec.key).between(F.lit(low), F.lit(high))
 
 
-def touched_dates(
-    bronze: DataFrame, touched: Column, spec: TableSpec = CLICK_TABLE, broadcast_keys: int = BROADCAST_KEYS
-) -> DataFrame:
+def touched_dates(bronze: DataFrame, touched: Column, spec: TableSpec = CLICK_TABLE) -> DataFrame:
     """Event dates of every version of each key that has a version in the ``touched`` rows.
 
-    A slice with few keys is broadcast, which spares the big side its shuffle. A larger one is handled by
-    one aggregate on the key, whose partial step folds a hot key into one row per task. Serial keys that
-    arrive together lie together, so rows outside the key blocks of the slice are first dropped unshuffled,
-    if the blocks are few.
+    One way for any number of keys: history is cut to the slice's range of keys by the scan, then reduced to the
+    slice's keys by a semi join, which adaptive execution broadcasts where the slice turns out small and splits where a
+    key is hot. Versions without an event time have no date.
     """
-    keyed = bronze.filter(F.col(spec.key).isNotNull())
-    event_date = F.to_date(spec.event_column).alias("event_date")
-    keys = keyed.filter(touched).select(spec.key).distinct()
-    if at_most(keys, broadcast_keys):
-        versions = keyed.select(spec.key, event_date).join(F.broadcast(keys), spec.key, "left_semi")
-        return versions.select("event_date").distinct()
-    if spec.schema[spec.key].dataType == LongType():
-        block = F.shiftright(spec.key, BLOCK_BITS).alias("block")
-        blocks = keyed.filter(touched).select(block).distinct()
-        if at_most(blocks, broadcast_keys):
-            keyed = keyed.select("*", block).join(F.broadcast(blocks), "block", "left_semi")
-    per_key = keyed.groupBy(spec.key).agg(
-        F.max(F.coalesce(touched, F.lit(False))).alias("touched"), F.collect_set(event_date).alias("dates")
-    )
-    return per_key.filter("touched").select(F.explode("dates").alias("event_date")).distinct()
+    slice_keys = bronze.filter(touched).select(spec.key)
+    inside = key_range(slice_keys, spec)
+    versions = bronze.filter(F.lit(False) if inside is None else inside & F.col(spec.event_column).isNotNull())
+    keys = slice_keys.filter(F.col(spec.key).isNotNull()).distinct()
+    dated = versions.select(spec.key, F.to_date(spec.event_column).alias("event_date"))
+    return dated.join(keys, spec.key, "left_semi").select("event_date").distinct()
 
 
 def date_list(dates: DataFrame) -> list[date]:
@@ -91,15 +81,18 @@ def refine_dates(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_T
     """The refined rows of ``dates``, as a full rebuild would leave them.
 
     A version on another date can still win a key, so all of them compete, but only rows on ``dates``
-    carry their payload through the shuffle; the others are a key and what orders them.
+    carry their payload through the shuffle; the others are a key and what orders them. Keys outside the range
+    of those on ``dates`` are not read.
     """
-    if not dates:
+    on_dates = valid_row(spec) & F.to_date(spec.event_column).isin(dates)
+    inside = key_range(bronze.filter(on_dates).select(spec.key), spec) if dates else None
+    if inside is None:
         return refine(bronze.limit(0), spec)
     ordering = [spec.key, spec.change_column, spec.event_column]
     if "batch_id" in bronze.columns:
         ordering.append("batch_id")
     payload = F.struct(*[c for c in bronze.columns if c not in ordering])
-    versions = bronze.filter(valid_row(spec)).select(
+    versions = bronze.filter(valid_row(spec) & inside).select(
         *ordering,
         content_hash(spec).alias(TIEBREAK),
         F.when(F.to_date(spec.event_column).isin(dates), payload).alias("payload"),

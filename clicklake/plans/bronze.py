@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -12,7 +13,19 @@ from clicklake.operators.quality import validate_schema
 from clicklake.operators.rebuild import date_list, touched_dates
 from clicklake.operators.slices import Moment, as_day, changed_between
 from clicklake.schemas import CLICK_TABLE, TableSpec
-from clicklake.sources.lake import Lake, Written, add_pending, log_batch, read_bronze, replace_dates, verify_rows
+from clicklake.sources.lake import (
+    Lake,
+    Written,
+    add_pending,
+    close_landings,
+    open_landing,
+    open_landings,
+    read_bronze,
+    verify_rows,
+    write_idempotent,
+)
+
+log = logging.getLogger(__name__)
 
 # Fixed value: the format of a batch name.
 BATCH_FORMAT = "batch_%Y%m%d_%H%M%S"
@@ -52,14 +65,17 @@ def land(
 ) -> Landed:
     """Extract ``[start, end)`` by change time into one partition per day, and check what was stored.
 
-    The source is read once. ``event_dates`` are the days of every version, old or new, of each key in the
-    new rows or in the rows they replace: those are looked up before the overwrite, the others after it.
+    The source is read once; columns it has beyond the declared ones are logged and left out, and a missing or
+    retyped one raises before anything is touched. ``event_dates`` are the days of every version, old or new, of each key in
+    the new rows or in the rows they replace: those are looked up before the overwrite, the others after it.
     A replaced key's new versions are new rows, and a new row's replaced versions are replaced rows, so the
-    two look-ups miss nothing.
+    two look-ups miss nothing. All are noted as pending for the refined layer, and the range itself before it is
+    written, so that a run that dies at any point is made good by the next one, whatever its own range.
     """
     start, end = as_day(start), as_day(end)
     batch_id = batch_id or batch_name()
-    validate_schema(source, spec.schema)
+    for warning in validate_schema(source, spec.schema):
+        log.warning("%s: %s", spec.name, warning)
     rows = with_metadata(changed_between(source, start, end, spec), batch_id, spec=spec)
     in_range = F.col("extract_date").between(F.lit(start), F.lit(end - timedelta(days=1)))
 
@@ -67,11 +83,29 @@ def land(
     if not read_bronze(spark, lake, start, end, spec).isEmpty():
         before = date_list(touched_dates(read_bronze(spark, lake, spec=spec), in_range, spec))
         add_pending(spark, lake, before, spec)
+    open_landing(spark, lake, start, end, spec)
     days = days_between(start, end)
-    written = replace_dates(rows, lake.bronze(spec), spec.bronze, "extract_date", days, spread=len(days) > 1)
+    written = write_idempotent(
+        spark, rows, lake, lake.bronze(spec), "extract_date", batch_id, f"bronze.{spec.name}", days, order=[F.col(spec.key)]
+    )
     verify_rows(spark, lake.bronze(spec), spec.bronze, in_range, written.rows)
-    after: list[date] = []
-    if written.rows:
-        after = date_list(touched_dates(read_bronze(spark, lake, spec=spec), in_range, spec))
-    log_batch(spark, lake, batch_id, f"bronze.{spec.name}", written.rows)
+    after = settle_landings(spark, lake, spec)
     return Landed(written, sorted(set(before) | set(after)))
+
+
+def settle_landings(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> list[date]:
+    """Turn noted ranges, of this run or of one that died, into pending event dates; returns those."""
+    dates: set[date] = set()
+    for start, end in open_landings(spark, lake, spec):
+        dates |= set(dates_touched_by(spark, lake, start, end, spec))
+    add_pending(spark, lake, dates, spec)
+    close_landings(spark, lake, spec)
+    return sorted(dates)
+
+
+def dates_touched_by(
+    spark: SparkSession, lake: Lake, start: Moment, end: Moment, spec: TableSpec = CLICK_TABLE
+) -> list[date]:
+    """Event dates to rebuild for raw rows already stored for ``[start, end)``."""
+    landed = (F.col("extract_date") >= F.lit(as_day(start))) & (F.col("extract_date") < F.lit(as_day(end)))
+    return date_list(touched_dates(read_bronze(spark, lake, spec=spec), landed, spec))

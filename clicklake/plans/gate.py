@@ -6,9 +6,9 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clicklake.operators.quality import SUITES, Summary, collect_summary, null_report, run_checks
+from clicklake.operators.quality import SUITES, Summary, bronze_suite, collect_summary, null_report, run_checks
 from clicklake.operators.slices import Moment
-from clicklake.schemas import CLICK_TABLE
+from clicklake.schemas import BRONZE_ROW_RANGE, CLICK_TABLE
 from clicklake.sources.lake import Lake, read_bronze
 
 log = logging.getLogger(__name__)
@@ -18,18 +18,21 @@ class QualityError(RuntimeError):
     """A quality suite found failing checks."""
 
 
-def validate_frame(df: DataFrame, suite: str) -> Summary:
-    """Run a suite in one job and report it."""
-    summary = collect_summary(run_checks(df, SUITES[suite](), suite))
+def validate_frame(df: DataFrame, suite: str, row_range: tuple[int, int] = BRONZE_ROW_RANGE) -> Summary:
+    """Run a suite in one job and report it; ``row_range`` is what the raw suite accepts."""
+    checks = bronze_suite(row_range) if suite == "bronze" else SUITES[suite]()
+    summary = collect_summary(run_checks(df, checks, suite))
     for failure in summary.failures:
         log.error(failure)
     log.info("%s: %d of %d checks passed (%.1f%%)", suite, summary.passed, summary.total, summary.pass_rate)
     return summary
 
 
-def validate_layer(spark: SparkSession, path: str, suite: str) -> Summary:
+def validate_layer(
+    spark: SparkSession, path: str, suite: str, row_range: tuple[int, int] = BRONZE_ROW_RANGE
+) -> Summary:
     """Run a suite over the table stored at ``path``."""
-    return validate_frame(spark.read.parquet(path), suite)
+    return validate_frame(spark.read.parquet(path), suite, row_range)
 
 
 def require(summary: Summary) -> Summary:
@@ -38,9 +41,16 @@ def require(summary: Summary) -> Summary:
     return summary
 
 
-def quality_gate(spark: SparkSession, lake: Lake, start: Moment, end: Moment, suite: str = "bronze") -> Summary:
+def quality_gate(
+    spark: SparkSession,
+    lake: Lake,
+    start: Moment,
+    end: Moment,
+    suite: str = "bronze",
+    row_range: tuple[int, int] = BRONZE_ROW_RANGE,
+) -> Summary:
     """Stop the run unless the raw rows of ``[start, end)`` pass."""
-    return require(validate_frame(read_bronze(spark, lake, start, end), suite))
+    return require(validate_frame(read_bronze(spark, lake, start, end), suite, row_range))
 
 
 def warn_about_nulls(spark: SparkSession, lake: Lake, start: Moment | None = None, end: Moment | None = None) -> dict:

@@ -6,14 +6,23 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark import StorageLevel
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from clicklake.operators.metrics import METRIC_COLUMNS, METRICS, aggregate_metric
 from clicklake.operators.rebuild import date_list
-from clicklake.operators.sessions import session_summary
-from clicklake.sources.lake import Lake, Written, read_silver, read_table, replace_dates
+from clicklake.operators.sessions import conversion_funnel, session_summary
+from clicklake.plans.bronze import batch_name
+from clicklake.sources.lake import (
+    Lake,
+    Written,
+    clear_pending,
+    pending_dates,
+    read_silver,
+    read_table,
+    replace_table,
+    write_idempotent,
+)
 
 
 @dataclass
@@ -27,36 +36,42 @@ def build_gold(
     lake: Lake,
     dates: Iterable[date] | None = None,
     metrics: Iterable[str] = tuple(METRICS),
+    batch_id: str | None = None,
 ) -> GoldReport:
     """Rebuild the metrics of ``dates`` (all when None); a metric that fails does not stop the others.
 
-    The columns the metrics need are persisted once for all of them; what does not fit memory goes to
-    disk, and what an executor loses is read again.
+    Each metric scans the few columns it needs, which is cheaper than to keep those of all metrics. Dates noted as
+    pending are done with when all metrics of them are rebuilt.
     """
+    metrics = tuple(metrics)
     dates = None if dates is None else sorted(dates)
-    silver = read_silver(spark, lake, dates)
-    slim = silver.select(*METRIC_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    waiting = pending_dates(spark, lake, stage="gold") if dates is None else dates
+    silver = read_silver(spark, lake, dates).select(*METRIC_COLUMNS)
     report = GoldReport()
-    try:
-        for name in metrics:
-            try:
-                result, path = aggregate_metric(slim, name), lake.gold(name)
-                stored = dates
-                if stored is None:
-                    stored = date_list(read_table(spark, path, result.schema).select("date").distinct())
-                ranked_by = METRICS[name].ranked_by
-                order = [F.desc(ranked_by)] if ranked_by else []
-                report.written[name] = replace_dates(result, path, result.schema, "date", stored, order=order)
-            except Exception as error:
-                report.failures[name] = str(error)
-    finally:
-        slim.unpersist()
+    for name in metrics:
+        try:
+            result, path = aggregate_metric(silver, name), lake.gold(name)
+            stored = dates
+            if stored is None:
+                stored = date_list(read_table(spark, path, result.schema).select("date").distinct())
+            ranked_by = METRICS[name].ranked_by
+            order = [F.desc(ranked_by)] if ranked_by else []
+            report.written[name] = write_idempotent(
+                spark, result, lake, path, "date", batch_id or batch_name(), f"gold.{name}", stored, order=order
+            )
+        except Exception as error:
+            report.failures[name] = str(error)
+    if not report.failures and set(metrics) >= set(METRICS):
+        clear_pending(spark, lake, waiting, stage="gold")
     return report
 
 
 def build_sessions(spark: SparkSession, lake: Lake) -> int:
     """Rebuild the session table, laid out by user so that reading one user touches few files."""
     by_user = session_summary(read_silver(spark, lake)).hint("rebalance", "user_id").sortWithinPartitions("user_id")
-    seen = Observation()
-    by_user.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(lake.gold("user_sessions"))
-    return seen.get["rows"]
+    return replace_table(by_user, lake.gold("user_sessions"))
+
+
+def build_funnel(spark: SparkSession, lake: Lake) -> int:
+    """Rebuild the conversion funnel, a row for each day."""
+    return replace_table(conversion_funnel(read_silver(spark, lake)).coalesce(1), lake.gold("conversion_funnel"))

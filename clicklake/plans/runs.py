@@ -13,12 +13,12 @@ from clicklake.operators.completeness import missing_dates
 from clicklake.operators.metrics import METRICS
 from clicklake.operators.rebuild import date_list
 from clicklake.operators.slices import Moment, as_day, next_day
-from clicklake.plans.bronze import days_between, land
+from clicklake.plans.bronze import dates_touched_by, days_between, land
 from clicklake.plans.gate import quality_gate
 from clicklake.plans.gold import build_gold
-from clicklake.plans.silver import dates_touched_by, rebuild_silver
-from clicklake.schemas import SESSION_TABLE, TableSpec
-from clicklake.sources.lake import Lake, clear_pending, pending_dates, read_bronze, read_silver
+from clicklake.plans.silver import dates_to_rebuild, rebuild_silver
+from clicklake.schemas import BRONZE_ROW_RANGE, CLICK_TABLE, TableSpec
+from clicklake.sources.lake import Lake, pending_dates, read_bronze, read_silver
 
 log = logging.getLogger(__name__)
 STAGES = ("bronze", "silver", "gold")
@@ -50,10 +50,17 @@ def run_range(
     gate: str | None = None,
     batch_id: str | None = None,
     metrics: Iterable[str] = tuple(METRICS),
+    spec: TableSpec = CLICK_TABLE,
+    row_range: tuple[int, int] = BRONZE_ROW_RANGE,
 ) -> RunReport:
     """Backfill ``[start, end)``. A failing raw or refined stage stops the later ones; a failing metric
-    does not stop the other metrics. ``gate`` names a suite the raw rows must pass.
+    does not stop the other metrics. ``gate`` names a suite the raw rows must pass, ``row_range`` how many rows
+    it accepts. Only clicks are aggregated: other tables end with the refined layer.
     """
+    if spec != CLICK_TABLE:
+        skip = {*skip, "gold"}
+        if gate:
+            raise ValueError(f"there is no suite for {spec.name}")
     skip = set(skip)
     if unknown := skip - set(STAGES):
         raise ValueError(f"unknown stages: {sorted(unknown)}")
@@ -63,17 +70,17 @@ def run_range(
     stage, touched = "bronze", None
     try:
         if "bronze" not in skip:
-            landed = land(spark, lake, source(), start, end, batch_id)
+            landed = land(spark, lake, source(), start, end, batch_id, spec)
             touched, report.rows["bronze"] = landed.event_dates, landed.written.rows
         stage = "silver"
         if "silver" not in skip:
             if gate:
                 stage = "gate"
-                quality_gate(spark, lake, start, end, gate)
+                quality_gate(spark, lake, start, end, gate, row_range)
                 stage = "silver"
-            touched = dates_touched_by(spark, lake, start, end) if touched is None else touched
-            touched = sorted(set(touched) | set(pending_dates(spark, lake)))
-            report.rows["silver"] = rebuild_silver(spark, lake, touched).rows
+            touched = dates_touched_by(spark, lake, start, end, spec) if touched is None else touched
+            touched = dates_to_rebuild(spark, lake, touched, spec)
+            report.rows["silver"] = rebuild_silver(spark, lake, touched, spec, batch_id).rows
     except Exception as error:
         log.exception("%s failed", stage)
         report.failures[stage] = str(error)
@@ -81,11 +88,10 @@ def run_range(
     rebuilt = [] if "silver" in skip else touched
     report.event_dates = sorted(set(rebuilt) | set(days_between(start, end)))
     if "gold" not in skip:
-        gold = build_gold(spark, lake, report.event_dates, metrics)
+        dates = {*report.event_dates, *pending_dates(spark, lake, spec, "gold")}
+        gold = build_gold(spark, lake, dates, metrics, batch_id)
         report.rows.update({name: written.rows for name, written in gold.written.items()})
         report.failures.update(gold.failures)
-        if report.success and "silver" not in skip and set(metrics) >= set(METRICS):
-            clear_pending(spark, lake)
     return report
 
 
@@ -94,22 +100,6 @@ def run_day(spark: SparkSession, lake: Lake, source: Source, day: Moment, **opti
     return run_range(spark, lake, source, day, next_day(day), **options)
 
 
-def run_table(
-    spark: SparkSession,
-    lake: Lake,
-    source: Source,
-    start: Moment,
-    end: Moment,
-    spec: TableSpec = SESSION_TABLE,
-    batch_id: str | None = None,
-) -> RunReport:
-    """Raw and refined layers of another source table, by the same code."""
-    landed = land(spark, lake, source(), start, end, batch_id, spec)
-    written = rebuild_silver(spark, lake, landed.event_dates, spec)
-    clear_pending(spark, lake, spec)
-    return RunReport(rows={"bronze": landed.written.rows, "silver": written.rows}, event_dates=landed.event_dates)
-
-
 def backfill_gaps(spark: SparkSession, lake: Lake, start: Moment, end: Moment) -> dict[str, list[date]]:
     """Dates in ``[start, end)`` without rows, per layer."""
     bronze = read_bronze(spark, lake, start, end)

@@ -6,37 +6,63 @@ from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from clicklake.operators.rebuild import competing_rows, date_list, refine, refine_dates, touched_dates
-from clicklake.operators.slices import Moment, as_day
+from clicklake.operators.rebuild import competing_rows, date_list, refine, refine_dates
+from clicklake.plans.bronze import batch_name, settle_landings
 from clicklake.schemas import CLICK_TABLE, TableSpec
-from clicklake.sources.lake import Lake, Written, pending_dates, read_bronze, read_silver, replace_dates
+from clicklake.sources.lake import (
+    Lake,
+    Written,
+    add_pending,
+    clear_pending,
+    pending_dates,
+    read_bronze,
+    read_silver,
+    write_idempotent,
+)
 
 
-def rebuild_silver(
+def dates_to_rebuild(
     spark: SparkSession, lake: Lake, dates: Iterable[date], spec: TableSpec = CLICK_TABLE
+) -> list[date]:
+    """``dates`` and those pending from earlier runs, also from such as died while landing."""
+    settle_landings(spark, lake, spec)
+    return sorted(set(dates) | set(pending_dates(spark, lake, spec)))
+
+
+def rebuild_silver(
+    spark: SparkSession, lake: Lake, dates: Iterable[date], spec: TableSpec = CLICK_TABLE, batch_id: str | None = None
 ) -> Written:
     """Make the refined partitions of ``dates``, and of dates pending from an earlier run, what a full rebuild
     would leave. Reads the raw layer only.
     """
-    dates = sorted(set(dates) | set(pending_dates(spark, lake, spec)))
+    dates = dates_to_rebuild(spark, lake, dates, spec)
     if not dates:
         return Written(0, ())
     rows = refine_dates(competing_rows(read_bronze(spark, lake, spec=spec), dates, spec), dates, spec)
-    return replace_dates(rows, lake.silver(spec), spec.silver, "event_date", dates)
+    return _store(spark, lake, rows, dates, dates, spec, batch_id)
 
 
-def rebuild_all_silver(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> Written:
+def rebuild_all_silver(
+    spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE, batch_id: str | None = None
+) -> Written:
     """One pass over the whole raw layer; dates that end up without rows are emptied."""
+    settle_landings(spark, lake, spec)
+    waiting = pending_dates(spark, lake, spec)
     held = date_list(read_silver(spark, lake, spec=spec).select("event_date").distinct())
     rows = refine(read_bronze(spark, lake, spec=spec), spec)
-    return replace_dates(rows, lake.silver(spec), spec.silver, "event_date", held)
+    return _store(spark, lake, rows, sorted({*held, *waiting}), waiting, spec, batch_id)
 
 
-def dates_touched_by(
-    spark: SparkSession, lake: Lake, start: Moment, end: Moment, spec: TableSpec = CLICK_TABLE
-) -> list[date]:
-    """Event dates to rebuild for raw rows already stored for ``[start, end)``."""
-    landed = (F.col("extract_date") >= F.lit(as_day(start))) & (F.col("extract_date") < F.lit(as_day(end)))
-    return date_list(touched_dates(read_bronze(spark, lake, spec=spec), landed, spec))
+def _store(spark, lake, rows, dates, waiting, spec, batch_id) -> Written:
+    """The aggregated layer has to follow on every date: noted before the write, and after it for dates that it added."""
+    has_gold = spec == CLICK_TABLE
+    if has_gold:
+        add_pending(spark, lake, dates, spec, "gold")
+    written = write_idempotent(
+        spark, rows, lake, lake.silver(spec), "event_date", batch_id or batch_name(), f"silver.{spec.name}", dates
+    )
+    if has_gold:
+        add_pending(spark, lake, written.dates, spec, "gold")
+    clear_pending(spark, lake, waiting, spec)
+    return written

@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# The columns of the source tables.
 CLICKS = (
     StructType()
     .add("click_id", LongType())
@@ -53,6 +54,7 @@ BATCH_LOG = (
 )
 
 PENDING = StructType().add("event_date", DateType())
+LANDINGS = StructType().add("start", DateType()).add("end", DateType())
 
 QUALITY = (
     StructType()
@@ -113,6 +115,7 @@ BRONZE_EVENT_TYPES = ["page_view", "click", "scroll", "purchase", "form_submit",
 TRAFFIC_SOURCES = ["organic", "paid", "direct", "referral"]
 DEVICE_TYPES = ["desktop", "mobile", "tablet"]
 BROWSERS = ["Chrome", "Firefox", "Safari", "Edge", "Other"]
+# Fixed value: the rows that the raw suite accepts where no other range is given.
 BRONZE_ROW_RANGE = (1, 10_000_000)
 
 # Words looked for in a user agent, in order of precedence.

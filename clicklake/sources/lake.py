@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clicklake.operators.slices import Moment, as_day
-from clicklake.schemas import BATCH_LOG, CLICK_TABLE, PENDING, TableSpec
+from clicklake.schemas import BATCH_LOG, CLICK_TABLE, LANDINGS, PENDING, TableSpec
 
 
 @dataclass(frozen=True)
@@ -27,8 +28,8 @@ class Lake:
     def gold(self, metric: str) -> str:
         return f"{self.root}/gold/{metric}"
 
-    def pending(self, spec: TableSpec = CLICK_TABLE) -> str:
-        return f"{self.root}/pending/{spec.name}"
+    def pending(self, stage: str, spec: TableSpec = CLICK_TABLE) -> str:
+        return f"{self.root}/pending/{stage}/{spec.name}"
 
     @property
     def batch_log(self) -> str:
@@ -59,7 +60,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_with_evolution(spark: SparkSession, path: str) -> DataFrame:
-    """Scan with the union of all file schemas; a column new files added is null in old ones."""
+    """Scan with the union of all file schemas; a column new files added is null in old ones. A path that does not
+    exist raises, so this is how sources are read.
+    """
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
@@ -165,29 +168,81 @@ def read_batch_log(spark: SparkSession, lake: Lake) -> DataFrame:
     return read_table(spark, lake.batch_log, BATCH_LOG)
 
 
-def add_pending(spark: SparkSession, lake: Lake, dates: Iterable[date], spec: TableSpec = CLICK_TABLE) -> None:
-    """Note event dates whose raw rows are about to be replaced. Rows that vanish leave no other trace, so a
-    run that dies before the later layers are rebuilt could not find their dates again.
+def add_pending(
+    spark: SparkSession, lake: Lake, dates: Iterable[date], spec: TableSpec = CLICK_TABLE, stage: str = "silver"
+) -> None:
+    """Note event dates that ``stage`` has yet to rebuild. The raw layer notes them for the refined one before and
+    after it replaces rows, the refined layer for the aggregated one before it does; so a run that dies leaves
+    its mark, in whatever order the stages are taken up again.
     """
-    rows = spark.createDataFrame([(d,) for d in dates], PENDING)
-    rows.coalesce(1).write.mode("append").parquet(lake.pending(spec))
+    if dates := sorted(set(dates) - set(pending_dates(spark, lake, spec, stage))):
+        rows = spark.createDataFrame([(d,) for d in dates], PENDING)
+        rows.coalesce(1).write.mode("append").parquet(lake.pending(stage, spec))
 
 
-def pending_dates(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> list[date]:
-    rows = read_table(spark, lake.pending(spec), PENDING).distinct().collect()
+def pending_dates(
+    spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE, stage: str = "silver"
+) -> list[date]:
+    rows = read_table(spark, lake.pending(stage, spec), PENDING).distinct().collect()
     return sorted(r[0] for r in rows)
 
 
-def clear_pending(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> None:
-    """All layers are current; to be called by the run that rebuilt the last one."""
-    if path_exists(spark, lake.pending(spec)):
-        spark.createDataFrame([], PENDING).coalesce(1).write.mode("overwrite").parquet(lake.pending(spec))
+def clear_pending(
+    spark: SparkSession, lake: Lake, dates: Iterable[date], spec: TableSpec = CLICK_TABLE, stage: str = "silver"
+) -> None:
+    """``stage`` is current on ``dates``; to be called by that stage only."""
+    held = pending_dates(spark, lake, spec, stage)
+    if held and (rest := set(held) - set(dates)) != set(held):
+        rows = spark.createDataFrame([(d,) for d in sorted(rest)], PENDING)
+        rows.coalesce(1).write.mode("overwrite").parquet(lake.pending(stage, spec))
+
+
+def open_landing(spark: SparkSession, lake: Lake, start: date, end: date, spec: TableSpec = CLICK_TABLE) -> None:
+    """Note a range of raw dates about to be written, whose event dates are not known before they are."""
+    rows = spark.createDataFrame([(start, end)], LANDINGS)
+    rows.coalesce(1).write.mode("append").parquet(lake.pending("landing", spec))
+
+
+def open_landings(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> list[tuple[date, date]]:
+    return sorted(tuple(r) for r in read_table(spark, lake.pending("landing", spec), LANDINGS).distinct().collect())
+
+
+def close_landings(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> None:
+    """The event dates of all noted ranges are pending; ranges of runs that died are settled by then as well."""
+    if open_landings(spark, lake, spec):
+        empty = spark.createDataFrame([], LANDINGS)
+        empty.coalesce(1).write.mode("overwrite").parquet(lake.pending("landing", spec))
+
+
+def replace_table(df: DataFrame, path: str) -> int:
+    """Replace a whole table by way of a second folder: a failed write leaves the old one. Returns its rows."""
+    spark, seen = df.sparkSession, Observation()
+    staged, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("staged", "old"))
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(staged)
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    system = as_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(as_path(path)):
+        system.rename(as_path(path), as_path(old))
+    if not system.rename(as_path(staged), as_path(path)):
+        raise OSError(f"{staged} could not be moved to {path}")
+    system.delete(as_path(old), True)
+    return seen.get["rows"]
 
 
 def write_idempotent(
-    spark: SparkSession, df: DataFrame, lake: Lake, path: str, date_column: str, batch_id: str, table: str
+    spark: SparkSession,
+    df: DataFrame,
+    lake: Lake,
+    path: str,
+    date_column: str,
+    batch_id: str,
+    table: str,
+    dates: Iterable[date] = (),
+    **options,
 ) -> Written:
-    """Replace the partitions of one batch and log it; the same batch again leaves the same rows."""
-    written = overwrite_partitions(df, path, date_column)
+    """Replace the partitions of one batch and log it; the same batch again leaves the same rows. ``dates`` are
+    those the batch answers for: they are emptied where it has no rows.
+    """
+    written = replace_dates(df, path, df.schema, date_column, dates, **options)
     log_batch(spark, lake, batch_id, table, written.rows)
     return written

@@ -38,7 +38,7 @@ raw AS (
 valid AS (
   SELECT * FROM clicks
   WHERE click_id IS NOT NULL AND user_id IS NOT NULL
-    AND event_type IN ('page_view', 'click', 'scroll', 'purchase')
+    AND event_timestamp IS NOT NULL AND event_type IN ('page_view', 'click', 'scroll', 'purchase')
 ),
 silver AS (
   SELECT *,
@@ -303,7 +303,8 @@ AND event_timestamp >= TIMESTAMP '2024-01-08' AND event_timestamp < TIMESTAMP '2
     "silver_clean_report": CLICKS
     + """SELECT count(*) AS rows_before, (SELECT count(*) FROM valid) AS rows_after,
   (SELECT count(*) FROM valid WHERE regexp_extract(page_url, '://([^/]+)', 1) = '') AS empty_domain,
-  CAST((SELECT count(*) FROM valid) AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(count(*) AS DOUBLE) AS kept_pct
+  CAST((SELECT count(*) FROM valid) AS DOUBLE) * CAST(100 AS DOUBLE) / CAST(count(*) AS DOUBLE) AS kept_pct,
+  count(*) FILTER (event_timestamp IS NULL) AS undated
 FROM clicks""",
     "silver_dedup": CLICKS + versions("clicks"),
     "duplicate_report": CLICKS

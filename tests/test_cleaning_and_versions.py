@@ -34,10 +34,10 @@ def test_clean_drops_nulls_and_unknown_types(clicks):
 def test_cleaning_report(clicks):
     df = clicks(click(1, AT), click(2, AT, url="nohost"), click(3, AT, None), click(4, AT, url=None))
     assert cleaning_report(df).first().asDict() == {
-        "rows_before": 4, "rows_after": 3, "empty_domain": 1, "kept_pct": 75.0,
+        "rows_before": 4, "rows_after": 3, "empty_domain": 1, "undated": 0, "kept_pct": 75.0,
     }
     assert cleaning_report(df.limit(0)).first().asDict() == {
-        "rows_before": 0, "rows_after": 0, "empty_domain": 0, "kept_pct": 0.0,
+        "rows_before": 0, "rows_after": 0, "empty_domain": 0, "undated": 0, "kept_pct": 0.0,
     }
 
 

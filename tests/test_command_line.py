@@ -1,6 +1,13 @@
+import logging
+
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from clicklake.__main__ import main, parser
+from clicklake.operators.quality import SchemaError
+from clicklake.operators.sessions import conversion_funnel, session_summary
+from clicklake.schemas import SESSION_TABLE
 from clicklake.sources.lake import Lake, read_bronze, read_silver
 from conftest import rows_of
 
@@ -45,10 +52,48 @@ def test_stages_one_by_one_equal_a_backfill(spark, folder):
     assert main(["--lake", two, "gold", "--date", "2024-01-02"]) == 0
 
 
-def test_sessions_can_be_landed(spark, folder):
-    lake = str(folder / "sessions_lake")
+def test_sessions_go_through_all_their_layers(spark, folder):
+    lake, days = str(folder / "sessions_lake"), ["2024-01-01", "2024-01-05"]
     source = ["--source", str(folder / "sessions"), "--table", "sessions"]
-    assert main(["--lake", lake, "bronze", "2024-01-01", "2024-01-05", *source]) == 0
+    assert main(["--lake", lake, "bronze", *days, *source]) == 0
+    assert main(["--lake", lake, "silver", *days, "--table", "sessions"]) == 0
+    rows = rows_of(read_silver(spark, Lake(lake), spec=SESSION_TABLE).drop("batch_id"))
+    other = str(folder / "sessions_other")
+    assert main(["--lake", other, "backfill", *days, *source]) == 0
+    assert rows_of(read_silver(spark, Lake(other), spec=SESSION_TABLE).drop("batch_id")) == rows != []
+    assert main(["--lake", other, "run-day", "2024-01-05", *source]) == 0
+
+
+def test_session_table_and_funnel(spark, folder):
+    lake = str(folder / "summaries")
+    assert main(["--lake", lake, "backfill", "2024-01-01", "2024-01-04", "--source", str(folder / "clicks")]) == 0
+    for _ in range(2):
+        assert main(["--lake", lake, "sessions"]) == 0
+    silver = read_silver(spark, Lake(lake))
+    for name, expected in (("user_sessions", session_summary(silver)), ("conversion_funnel", conversion_funnel(silver))):
+        stored = spark.read.parquet(Lake(lake).gold(name))
+        assert rows_of(stored, *expected.columns) == rows_of(expected, *expected.columns) != []
+
+
+def test_a_missing_or_drifted_source_leaves_the_lake_as_it_is(spark, folder, caplog):
+    lake, days = str(folder / "kept"), ["2024-01-01", "2024-01-03"]
+    clicks = spark.read.parquet(str(folder / "clicks"))
+    for name, changed in (
+        ("lacking", clicks.drop("user_id")),
+        ("retyped", clicks.withColumn("user_id", F.col("user_id").cast("string"))),
+        ("wider", clicks.withColumn("campaign", F.lit("c"))),
+    ):
+        changed.write.parquet(str(folder / name))
+    assert main(["--lake", lake, "backfill", *days, "--source", str(folder / "clicks")]) == 0
+    before = rows_of(read_bronze(spark, Lake(lake)))
+    for source in ("no-such-folder", "lacking", "retyped"):
+        assert main(["--lake", lake, "backfill", *days, "--source", str(folder / source)]) == 1
+        with pytest.raises((AnalysisException, SchemaError)):
+            main(["--lake", lake, "bronze", *days, "--source", str(folder / source)])
+        assert rows_of(read_bronze(spark, Lake(lake))) == before != []
+    with caplog.at_level(logging.WARNING):
+        assert main(["--lake", lake, "backfill", *days, "--source", str(folder / "wider")]) == 0
+    assert "new column campaign" in caplog.text
 
 
 def test_backfill_needs_a_source_or_a_skip(folder):

@@ -1,18 +1,23 @@
+import itertools
 import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from clicklake.operators import rebuild
+from clicklake.operators.cleaning import cleaning_report
 from clicklake.operators.metrics import METRICS
 from clicklake.operators.rebuild import competing_rows, refine, refine_dates, touched_dates
+from clicklake.plans import bronze as bronze_plan
 from clicklake.plans import gold as gold_plan
+from clicklake.plans import runs as runs_plan
+from clicklake.plans import silver as silver_plan
 from clicklake.plans.bronze import land, with_metadata
-from clicklake.plans.runs import backfill_gaps, run_day, run_range, run_table
+from clicklake.plans.runs import backfill_gaps, run_day, run_range
 from clicklake.plans.silver import rebuild_silver
 from clicklake.schemas import SESSION_TABLE
-from clicklake.sources.lake import Lake, pending_dates, read_bronze, read_silver
+from clicklake.sources.lake import Lake, pending_dates, read_batch_log, read_bronze, read_silver
 from clicklake.sources.samples import sample_sessions
 from conftest import click, day_of_clicks, rows_of, ts
 
@@ -66,7 +71,7 @@ def test_random_reloads_equal_a_full_rebuild(spark, clicks, lake, seed):
     rng = random.Random(seed)
     kinds = ["page_view", "click", "purchase", "error", None]
     for _ in range(3):
-        rows = [
+        rows = [  # every fifth row has no event time
             click(
                 rng.randrange(12),
                 ts("2024-01-05 00:00:00") + timedelta(hours=rng.randrange(72)),
@@ -76,6 +81,7 @@ def test_random_reloads_equal_a_full_rebuild(spark, clicks, lake, seed):
             )
             for _ in range(25)
         ]
+        rows = [Row(**(r.asDict() | ({} if i % 5 else {"event_timestamp": None}))) for i, r in enumerate(rows)]
         start = D5 + timedelta(days=rng.randrange(3))
         landed = land(spark, lake, clicks(*rows), start, start + timedelta(days=rng.randrange(1, 3)))
         rebuild_silver(spark, lake, landed.event_dates)
@@ -83,24 +89,82 @@ def test_random_reloads_equal_a_full_rebuild(spark, clicks, lake, seed):
         assert rows_of(read_silver(spark, lake), *NO_BATCH) == rows_of(full, *NO_BATCH)
 
 
-def test_broadcast_and_aggregate_lookups_agree(clicks, source):
-    raw = with_metadata(source, "b")
-    touched = F.col("extract_date") == F.lit(D7)
-    expected = rows_of(touched_dates(raw, touched))
-    assert expected == [(D5,)]
-    assert rows_of(touched_dates(raw, touched, broadcast_keys=0)) == expected
-
-
-def test_lookup_by_key_blocks_agrees(clicks, monkeypatch):
-    """Keys far apart, so that blocks drop rows; the lookup must not lose a touched key."""
-    monkeypatch.setattr(rebuild, "BLOCK_BITS", 4)
+def test_lookup_reads_only_the_range_of_the_slice(spark, clicks, lake):
+    """Keys far apart; the look-up loses none of them, and bounds on the key reach the scan."""
     rows = [click(17 * i, f"2024-01-0{1 + i % 6} 10:00:00", updated="2024-01-07 00:00:00") for i in range(20)]
     rows += [click(17 * i, "2024-01-08 10:00:00", updated="2024-01-09 00:00:00") for i in (3, 4)]
-    raw = with_metadata(clicks(*rows), "b")
-    touched = F.col("extract_date") == F.lit(date(2024, 1, 9))
-    found = rows_of(touched_dates(raw, touched, broadcast_keys=3))
-    assert found == rows_of(touched_dates(raw, touched, broadcast_keys=0)) == rows_of(touched_dates(raw, touched))
-    assert found == [(date(2024, 1, 4),), (D5,), (D8,)]
+    rows.append(click(None, "2024-01-03 10:00:00", updated="2024-01-09 00:00:00"))
+    land(spark, lake, clicks(*rows), date(2024, 1, 7), date(2024, 1, 10))
+    found = touched_dates(read_bronze(spark, lake), F.col("extract_date") == F.lit(date(2024, 1, 9)))
+    assert rows_of(found) == [(date(2024, 1, 4),), (D5,), (D8,)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(click_id,51)" in plan and "LessThanOrEqual(click_id,68)" in plan
+    rebuilt = refine_dates(read_bronze(spark, lake), [D8])._jdf.queryExecution().optimizedPlan().toString()
+    assert ">= 51)" in rebuilt and "<= 68)" in rebuilt
+    assert touched_dates(read_bronze(spark, lake), F.col("extract_date") == F.lit(D5)).count() == 0
+
+
+def test_rows_without_an_event_time_are_refined_by_no_path(spark, clicks, lake):
+    first = [click(1, "2024-01-05 10:00:00"), click(2, "2024-01-05 11:00:00")]
+    undated = click(1, "2024-01-05 10:00:00", updated="2024-01-06 01:00:00").asDict() | {"event_timestamp": None}
+    for rows, start in ((first, D5), ([*first, Row(**undated)], D6)):
+        rebuild_silver(spark, lake, land(spark, lake, clicks(*rows), start, start + timedelta(days=1)).event_dates)
+        full = refine(read_bronze(spark, lake))
+        assert rows_of(read_silver(spark, lake), *NO_BATCH) == rows_of(full, *NO_BATCH)
+    assert rows_of(read_silver(spark, lake), "click_id") == [(1,), (2,)]
+    assert cleaning_report(read_bronze(spark, lake)).first()["undated"] == 1
+    raw = read_bronze(spark, lake)
+    assert rows_of(touched_dates(raw, F.col("extract_date") == F.lit(D6))) == [(D5,)]
+
+
+def metrics_of(spark, lake):
+    return {name: rows_of(spark.read.parquet(lake.gold(name))) for name in METRICS}
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations(["bronze", "silver", "gold"])))
+def test_stages_in_any_order_end_like_a_full_rebuild(spark, clicks, lake, order):
+    """A row vanishes; then each stage runs once by itself, in this order, and once more in the usual one."""
+    rows = clicks(click(1, "2024-01-06 10:00:00", updated="2024-01-05 10:00:00"), click(2, "2024-01-05 10:00:00"))
+    run_day(spark, lake, lambda: rows, D5)
+    left = rows.filter("click_id = 2")
+    stages = {
+        "bronze": lambda: land(spark, lake, left, D5, D6),
+        "silver": lambda: rebuild_silver(spark, lake, []),
+        "gold": lambda: gold_plan.build_gold(spark, lake, pending_dates(spark, lake, stage="gold")),
+    }
+    for name in (*order, "silver", "gold"):
+        stages[name]()
+    assert rows_of(read_silver(spark, lake), "click_id") == [(2,)]
+    for name in METRICS:
+        assert rows_of(spark.read.parquet(lake.gold(name)), "date") == [(D5,)]
+    assert pending_dates(spark, lake) == pending_dates(spark, lake, stage="gold") == []
+
+
+@pytest.mark.parametrize("dies", ["replaced", "landed", "refined"])
+def test_next_day_makes_good_a_first_landing_that_died(spark, clicks, lake, tmp_path, monkeypatch, dies):
+    """The late row of the 6th belongs to the 5th, which the run of the 7th would never touch by itself."""
+    rows = clicks(
+        click(1, "2024-01-05 10:00:00"), click(2, "2024-01-05 11:00:00", updated="2024-01-06 10:00:00"),
+        click(3, "2024-01-06 10:00:00"), click(4, "2024-01-07 10:00:00"),
+    )
+    run_day(spark, lake, lambda: rows, D5)
+
+    def die(*args, **options):
+        raise KeyboardInterrupt
+
+    module, name = {
+        "replaced": (bronze_plan, "verify_rows"), "landed": (silver_plan, "refine_dates"), "refined": (gold_plan, "aggregate_metric"),
+    }[dies]
+    with monkeypatch.context() as patched, pytest.raises(KeyboardInterrupt):
+        patched.setattr(module, name, die)
+        patched.setattr(runs_plan, "build_gold", gold_plan.build_gold if dies != "refined" else die)
+        run_day(spark, lake, lambda: rows, D6)
+    assert run_day(spark, lake, lambda: rows, D7).success
+    other = Lake(str(tmp_path / "other"))
+    assert run_range(spark, other, lambda: rows, D5, D8).success
+    assert rows_of(read_silver(spark, lake), *NO_BATCH) == rows_of(read_silver(spark, other), *NO_BATCH)
+    assert metrics_of(spark, lake) == metrics_of(spark, other)
+    assert pending_dates(spark, lake) == pending_dates(spark, lake, stage="gold") == []
 
 
 def test_rebuild_skips_partitions_that_cannot_win(source):
@@ -206,9 +270,23 @@ def test_run_that_died_after_landing_is_caught_up(spark, clicks, lake):
 def test_sessions_take_the_same_path(spark, lake):
     sessions = sample_sessions(spark.range(200))
     start, end = date(2024, 1, 1), date(2024, 1, 11)
-    report = run_table(spark, lake, lambda: sessions, start, end)
+    report = run_range(spark, lake, lambda: sessions, start, end, spec=SESSION_TABLE)
     landed = sessions.filter("created_at < '2024-01-11'").count()
-    assert report.rows == {"bronze": landed, "silver": landed} and landed > 10
+    assert report.rows == {"bronze": landed, "silver": landed} and landed > 10 and report.success
     silver = read_silver(spark, lake, spec=SESSION_TABLE)
     assert silver.select("session_id").distinct().count() == landed
-    assert run_table(spark, lake, lambda: sessions, start, end).rows == report.rows
+    assert run_range(spark, lake, lambda: sessions, start, end, spec=SESSION_TABLE).rows == report.rows
+    assert pending_dates(spark, lake, SESSION_TABLE) == []
+    with pytest.raises(ValueError, match="no suite"):
+        run_range(spark, lake, lambda: sessions, start, end, spec=SESSION_TABLE, gate="bronze")
+
+
+def test_every_stage_is_logged(spark, source, lake):
+    run_range(spark, lake, lambda: source, D5, D6, batch_id="b7")
+    names = {r["table"] for r in read_batch_log(spark, lake).filter("batch_id = 'b7'").collect()}
+    assert names == {"bronze.clicks", "silver.clicks", *(f"gold.{m}" for m in METRICS)}
+
+
+def test_row_range_of_the_gate_can_be_set(spark, source, lake):
+    report = run_day(spark, lake, lambda: source, D5, gate="bronze", row_range=(1, 5))
+    assert list(report.failures) == ["gate"]
