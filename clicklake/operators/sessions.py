@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicklake.functions.web import whole_seconds
 
-FUNNEL_CHUNK = "10 minutes"
-
 
 def session_summary(silver: DataFrame) -> DataFrame:
     """One row per session; user and device are those of its earliest event.
@@ -37,76 +35,34 @@ def session_summary(silver: DataFrame) -> DataFrame:
     )
 
 
-def _first(stamp: Column, when: Column) -> Column:
-    return F.min(F.when(when, stamp))
-
-
-def funnel_times(silver: DataFrame, chunk: str = FUNNEL_CHUNK) -> DataFrame:
+def funnel_times(silver: DataFrame) -> DataFrame:
     """When each session first viewed a page, then clicked, then bought; null where it stopped.
 
-    A window over a whole session would put a session with a third of all rows into one task. So each
-    session is first cut into chunks of time, and a chunk is boiled down to the step times it can
-    contribute, whichever step the session has reached on entering it. The second window sees one row per
-    session and chunk; their number is bounded by the calendar, not by the traffic.
+    Each step is an aggregate with map-side combining: rows of its kind are joined with the session's previous step
+    and reduced to the first one not before it. A session with a third of all rows is one row per task after
+    that, and adaptive execution splits the join.
     """
-    at, kind = F.col("at"), F.col("event_type")
-    viewed, clicked, bought = (kind == k for k in ("page_view", "click", "purchase"))
-    steps = silver.filter(kind.isin("page_view", "click", "purchase")).select(
-        "session_id",
-        "event_type",
-        F.col("event_timestamp").alias("at"),
-        F.window("event_timestamp", chunk)["start"].alias("chunk"),
-    )
-    piece = Window.partitionBy("session_id", "chunk")
-    pieces = (
-        steps.withColumn("view", _first(at, viewed).over(piece))
-        .withColumn("click", _first(at, clicked).over(piece))
-        .withColumn("click_after_view", _first(at, clicked & (at >= F.col("view"))).over(piece))
-        .groupBy("session_id", "chunk")
-        .agg(
-            F.min("view").alias("view"),
-            F.min("click").alias("click"),
-            F.min("click_after_view").alias("click_after_view"),
-            _first(at, bought).alias("buy"),
-            _first(at, bought & (at >= F.col("click"))).alias("buy_after_click"),
-            _first(at, bought & (at >= F.col("click_after_view"))).alias("buy_after_both"),
-        )
-    )
-
-    session = Window.partitionBy("session_id")
-    here = F.col("chunk")
-
-    def chunk_of(column: str) -> Column:
-        return F.min(F.when(F.col(column).isNotNull(), here)).over(session)
-
-    next_click = F.when(here == F.col("view_chunk"), F.col("click_after_view")).when(
-        here > F.col("view_chunk"), F.col("click")
-    )
-    same_chunk = F.col("click_chunk") == F.col("view_chunk")
-    next_buy = (
-        F.when(here > F.col("click_chunk"), F.col("buy"))
-        .when((here == F.col("click_chunk")) & same_chunk, F.col("buy_after_both"))
-        .when(here == F.col("click_chunk"), F.col("buy_after_click"))
-    )
-    return (
-        pieces.withColumn("view_chunk", chunk_of("view"))
-        .withColumn("next_click", next_click)
-        .withColumn("click_chunk", chunk_of("next_click"))
-        .withColumn("next_buy", next_buy)
-        .groupBy("session_id")
-        .agg(
-            F.min("view").alias("viewed_at"),
-            F.min("next_click").alias("clicked_at"),
-            F.min("next_buy").alias("bought_at"),
+    steps = silver.select("session_id", "event_type", F.col("event_timestamp").alias("at"))
+    reached = (
+        steps.filter(F.col("event_type") == "page_view").groupBy("session_id").agg(F.min("at").alias("viewed_at"))
+    ).filter("viewed_at IS NOT NULL")
+    for kind, before, after in (("click", "viewed_at", "clicked_at"), ("purchase", "clicked_at", "bought_at")):
+        of_kind = steps.filter(F.col("event_type") == kind).alias("s")
+        same = F.col("s.session_id").eqNullSafe(F.col("r.session_id"))
+        later = (
+            of_kind.join(reached.filter(F.col(before).isNotNull()).alias("r"), same & (F.col("s.at") >= F.col(f"r.{before}")))
+            .groupBy("r.session_id")
+            .agg(F.min("s.at").alias(after))
         )
-        .filter("viewed_at IS NOT NULL")
-    )
+        same = F.col("r.session_id").eqNullSafe(F.col("l.session_id"))
+        reached = reached.alias("r").join(later.alias("l"), same, "left").select("r.*", f"l.{after}")
+    return reached
 
 
-def conversion_funnel(silver: DataFrame, chunk: str = FUNNEL_CHUNK) -> DataFrame:
+def conversion_funnel(silver: DataFrame) -> DataFrame:
     """Per day of the first page view: sessions that reached each step in order."""
     return (
-        funnel_times(silver, chunk)
+        funnel_times(silver)
         .groupBy(F.to_date("viewed_at").alias("date"))
         .agg(
             F.count(F.lit(1)).alias("viewed"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from clicklake.operators.sessions import conversion_funnel, session_summary
 from clicklake.operators.slices import changed_between, day_with_late, history_and_live, late_slice
 from clicklake.operators.versions import latest_versions
 from clicklake.plans.bronze import land, with_metadata
+from clicklake.plans.gold import build_sessions
 from clicklake.plans.health import Layer, lake_health, layer_row_counts
 from clicklake.plans.runs import run_range
 from clicklake.plans.silver import rebuild_silver
@@ -179,12 +180,19 @@ def hybrid_history_live(spark, folder):
 # Whole runs, written to a lake in the shared scratch folder and read back
 
 
+def change_range(clicks: DataFrame) -> tuple[date, date, date]:
+    """The first day on which a row changed, a day in the middle, and the day after the last one."""
+    first, last = clicks.agg(F.min(F.to_date("updated_at")), F.max(F.to_date("updated_at"))).first()
+    return first, first + (last - first) // 2, last + timedelta(days=1)
+
+
 @query
 def incremental_silver(spark, folder):
     """Two loads, the second rebuilding only the dates it touches, instead of one full build."""
     lake = Lake(scratch_path(spark, "incremental_silver"))
     clicks = read_clicks(spark, folder)
-    for start, end in ((RANGE_START, CUTOVER), (CUTOVER, RANGE_END)):
+    first, middle, last = change_range(clicks)
+    for start, end in ((first, middle), (middle, last)):
         landed = land(spark, lake, clicks, start, end, BATCH)
         rebuild_silver(spark, lake, landed.event_dates)
     return read_silver(spark, lake)
@@ -194,14 +202,42 @@ def incremental_silver(spark, folder):
 def backfilled_user_summary(spark, folder):
     """A range backfill of all three layers, then its user metric as stored."""
     lake = Lake(scratch_path(spark, "backfilled_user_summary"))
-    report = run_range(
-        spark, lake, lambda: read_clicks(spark, folder), RANGE_START, RANGE_END, batch_id=BATCH, metrics=["user_summary"]
-    )
+    clicks = read_clicks(spark, folder)
+    first, _, last = change_range(clicks)
+    report = run_range(spark, lake, lambda: clicks, first, last, batch_id=BATCH, metrics=["user_summary"])
     if not report.success:
         raise RuntimeError(str(report.failures))
     return spark.read.parquet(lake.gold("user_summary"))
 
 
+@query
+def incremental_undated(spark, folder):
+    """As ``incremental_silver``, where some rows have no event time: no path may refine those."""
+    lake = Lake(scratch_path(spark, "incremental_undated"))
+    at = F.when(F.col("click_id") % 7 != 0, F.col("event_timestamp"))
+    late = F.when(F.col("click_id") % 5 == 0, F.col("updated_at") + F.expr("INTERVAL 3 DAYS")).otherwise(F.col("updated_at"))
+    clicks = read_clicks(spark, folder)
+    clicks = clicks.unionByName(clicks.withColumns({"event_timestamp": at, "updated_at": late}))
+    first, middle, last = change_range(clicks)
+    for start, end in ((first, middle), (middle, last)):
+        landed = land(spark, lake, clicks, start, end, BATCH)
+        rebuild_silver(spark, lake, landed.event_dates)
+    return read_silver(spark, lake).select("click_id", "event_timestamp", "updated_at", "domain", "event_date")
+
+
+@query
+def stored_user_sessions(spark, folder):
+    """A backfill, then the session table as stored."""
+    lake = Lake(scratch_path(spark, "stored_user_sessions"))
+    clicks = read_clicks(spark, folder)
+    first, _, last = change_range(clicks)
+    report = run_range(spark, lake, lambda: clicks, first, last, skip=["gold"], batch_id=BATCH)
+    if not report.success:
+        raise RuntimeError(str(report.failures))
+    build_sessions(spark, lake)
+    return spark.read.parquet(lake.gold("user_sessions"))
+
+
 # Aggregated layer
 
 
@@ -353,7 +389,9 @@ def sample_sessions_of(spark, folder):
 
 @query
 def sample_clicks_of(spark, folder):
-    return sample_clicks(read_events(spark, folder).select(F.col("event_id").alias("id")))
+    """As many sessions as ``sample_sessions`` has, so that every click's session is there."""
+    numbers = read_events(spark, folder).select(F.col("event_id").alias("id"))
+    return sample_clicks(numbers, sessions=numbers.count())
 
 
 assert set(METRICS) <= set(QUERIES)

@@ -38,9 +38,12 @@ PRIME = 2_147_483_647
 
 
 def draw(key: Column, seed: int, field: int, choices: int) -> Column:
-    """A number in ``[0, choices)`` from ``key``: the high bits of a squared linear congruence per field."""
+    """A number in ``[0, choices)`` from ``key``: the high bits of a squared linear congruence per field. The part of
+    a key above the prime enters with a factor of its own, so that larger keys do not repeat smaller ones.
+    """
     factor, shift = pow(48_271, field + 1, PRIME), pow(16_807, seed + field + 1, PRIME)
-    mixed = (F.pmod(key.cast("long"), F.lit(PRIME)) * factor + shift) % PRIME
+    low, high = F.pmod(key.cast("long"), F.lit(PRIME)), F.pmod(F.floor(key / PRIME), F.lit(PRIME))
+    mixed = (low * factor % PRIME + high * pow(69_621, field + 1, PRIME) % PRIME + shift) % PRIME
     return F.shiftright(mixed * mixed % PRIME * choices, 31)
 
 

@@ -14,24 +14,32 @@ from clicklake.operators.rebuild import date_list, touched_dates
 from clicklake.plans.silver import rebuild_silver
 from clicklake.schemas import CHECKPOINT_INTERVAL, CLICK_TABLE, TableSpec
 from clicklake.sources.lake import Lake, overwrite_partitions, read_bronze
+from clicklake.streaming.sources import MALFORMED
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep streaming state out of the heap; for queries whose state outgrows an executor's memory."""
-    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _start(writer: DataStreamWriter, checkpoint: str, drain: bool) -> StreamingQuery:
-    """Run on the checkpoint interval, or with ``drain`` over what there is now and then stop."""
+def _start(spark: SparkSession, writer: DataStreamWriter, checkpoint: str, drain: bool) -> StreamingQuery:
+    """Run on the checkpoint interval, or with ``drain`` over what there is now and then stop.
+
+    State is kept in RocksDB, out of the executors' heaps; a query takes its settings when it starts.
+    """
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=CHECKPOINT_INTERVAL)
-    return writer.start()
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(STATE_STORE, before)
 
 
 def stream_to_files(stream: DataFrame, path: str, checkpoint: str, *partition_by: str, drain: bool = False):
     writer = stream.writeStream.format("parquet").option("path", path)
-    return _start(writer.partitionBy(*partition_by) if partition_by else writer, checkpoint, drain)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
+    return _start(stream.sparkSession, writer, checkpoint, drain)
 
 
 def stream_to_bronze(
@@ -56,11 +64,16 @@ def stream_to_silver(
     checkpoint and its number, so running it again replaces them and nothing else; then the event dates of
     its keys are rebuilt by the batch operators. A whole or partial replay under a new checkpoint therefore
     ends in the same refined table. The raw layout differs from a batch run's: give streams their own lake.
+    Messages that could not be decoded go to the lake's ``rejected`` folder, by batch.
     """
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def land_and_refine(rows: DataFrame, number: int) -> None:
         name = f"stream_{run}_{number:012d}"
+        if MALFORMED in rows.columns:
+            rejected = rows.filter(F.col(MALFORMED).isNotNull()).select(MALFORMED)
+            rejected.write.mode("overwrite").parquet(f"{lake.root}/rejected/{spec.name}/batch_id={name}")
+            rows = rows.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
         landed = rows.withColumns({"batch_id": F.lit(name), "extract_date": F.to_date(spec.change_column)})
         written = overwrite_partitions(landed, lake.bronze(spec), "extract_date", "batch_id")
         if written.rows:
@@ -68,4 +81,4 @@ def stream_to_silver(
             touched = touched_dates(read_bronze(spark, lake, spec=spec), F.col("batch_id") == name, spec)
             rebuild_silver(spark, lake, date_list(touched), spec)
 
-    return _start(stream.writeStream.foreachBatch(land_and_refine), checkpoint, drain)
+    return _start(stream.sparkSession, stream.writeStream.foreachBatch(land_and_refine), checkpoint, drain)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from clicklake.schemas import CLICK_TABLE, WATERMARK, TableSpec
 
@@ -19,13 +19,13 @@ def first_versions(
     """One row per key among rows within the watermark of each other. It keeps the first version to
     arrive; the refined layer keeps the latest, so it is built by ``stream_to_silver`` instead.
 
-    A first pass by key and salt leaves at most ``salts`` rows per key, so a hot key is spread over that
-    many tasks. It keeps every key twice in state: pass 1 where no key is hot.
+    A first pass by key and a random salt leaves at most ``salts`` rows per key, so a hot key is spread over that
+    many tasks, exact redeliveries too. It keeps every key twice in state: pass 1 where no key is hot. A batch that runs
+    again may draw other salts, but starts from the state before it, so each key still comes out once.
     """
     rows = watermarked(stream, delay, spec)
     if salts > 1:
-        others = [c for c in spec.columns if c != spec.key and c in stream.columns]
-        salted = rows.withColumn("salt", F.pmod(F.xxhash64(*others), F.lit(salts)))
+        salted = rows.withColumn("salt", F.floor(F.rand() * salts).cast("int"))
         rows = salted.dropDuplicatesWithinWatermark([spec.key, "salt"]).drop("salt")
     return rows.dropDuplicatesWithinWatermark([spec.key])
 
@@ -64,6 +64,28 @@ def windowed_users(stream: DataFrame, width: str = "1 hour", delay: str = WATERM
     )
 
 
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows so far that came later than the watermark, from the query's progress reports."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+class LateRows(StreamingQueryListener):
+    """Counts, per query, the rows that came later than the watermark, from its first batch to its last.
+
+    A query keeps reports of its last batches only; a listener is told of every one. Add it to ``spark.streams``
+    before the query starts.
+    """
+
+    def __init__(self) -> None:
+        self._dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self._dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self._dropped[str(event.progress.id)] = self._dropped.get(str(event.progress.id), 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def dropped(self, query: StreamingQuery) -> int:
+        return self._dropped.get(str(query.id), 0)

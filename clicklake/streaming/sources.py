@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from clicklake.operators.slices import Moment, as_moment
 from clicklake.schemas import CLICK_TABLE, TableSpec
@@ -20,10 +21,18 @@ def stream_files(
     return reader.parquet(path)
 
 
+#: Holds the text of a message that is not an object with the table's columns; null in sound rows.
+MALFORMED = "malformed"
+
+
 def decode_messages(messages: DataFrame, spec: TableSpec = CLICK_TABLE) -> DataFrame:
-    """Rows of a topic whose ``value`` is a JSON object with the table's columns."""
-    row = F.from_json(F.col("value").cast("string"), spec.schema)
-    return messages.select(row.alias("row")).select("row.*")
+    """Rows of a topic whose ``value`` is a JSON object with the table's columns, and ``malformed``."""
+    schema = StructType([*spec.schema.fields, StructField(MALFORMED, StringType())])
+    text = F.col("value").cast("string")
+    row = F.from_json(text, schema, {"columnNameOfCorruptRecord": MALFORMED})
+    decoded = messages.select(text.alias("text"), row.alias("row")).select("text", "row.*")
+    unread = F.col(MALFORMED).isNull() & F.coalesce(*[F.col(c).cast("string") for c in spec.columns]).isNull()
+    return decoded.withColumn(MALFORMED, F.when(unread, F.coalesce("text", F.lit(""))).otherwise(F.col(MALFORMED))).drop("text")
 
 
 def topic_options(servers: str, spec: TableSpec = CLICK_TABLE, start: str | Moment = "earliest") -> dict[str, str]:

@@ -204,9 +204,10 @@ FROM state LEFT JOIN summary USING (layer)
 P = 2147483647
 
 
-def draw(key: str, field: int, choices: int, seed: int = 42) -> str:
+def draw(key: str, field: int, choices: int | str, seed: int = 42) -> str:
     factor, shift = pow(48_271, field + 1, P), pow(16_807, seed + field + 1, P)
-    mixed = f"((({key}) % {P} * {factor} + {shift}) % {P})"
+    above = pow(69_621, field + 1, P)
+    mixed = f"((({key}) % {P} * {factor} % {P} + ({key}) // {P} * {above} % {P} + {shift}) % {P})"
     return f"(({mixed} * {mixed} % {P} * {choices}) >> 31)"
 
 
@@ -215,10 +216,19 @@ def one_of(values: list[str], index: str) -> str:
     return f"([{listed}])[{index} + 1]"
 
 
-SHOP = ["https://shop.example.com/" + p for p in (
-    "", "products", "products/electronics", "products/clothing", "cart", "checkout", "account", "search", "blog",
-    "contact",
-)]
+# The pages of the sample shop.
+SHOP = [
+    "https://shop.example.com/",
+    "https://shop.example.com/products",
+    "https://shop.example.com/products/electronics",
+    "https://shop.example.com/products/clothing",
+    "https://shop.example.com/cart",
+    "https://shop.example.com/checkout",
+    "https://shop.example.com/account",
+    "https://shop.example.com/search",
+    "https://shop.example.com/blog",
+    "https://shop.example.com/contact",
+]
 
 
 def session_start(number: str) -> str:
@@ -241,7 +251,7 @@ FROM drawn
 """
 
 SAMPLE_CLICKS = f"""
-WITH numbered AS (SELECT event_id AS n, {draw("event_id", 11, 10_000)} AS s FROM events),
+WITH numbered AS (SELECT event_id AS n, {draw("event_id", 11, "(SELECT count(*) FROM events)")} AS s FROM events),
 timed AS (
   SELECT n, s,
          {session_start("s")} + to_seconds({draw("n", 12, 1 << 30)} % ({draw("s", 2, 3601)} + 1)) AS happened
@@ -278,6 +288,22 @@ SELECT event_date AS date, user_id, count(*) AS total_events, count(DISTINCT ses
 FROM silver GROUP BY ALL
 """
 
+SESSION_SUMMARY = (
+    CLICKS
+    + """, numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY event_timestamp, click_id) AS place FROM silver
+),
+grouped AS (
+  SELECT session_id, max(user_id) FILTER (place = 1) AS user_id, min(event_timestamp) AS started_at,
+         max(event_timestamp) AS ended_at, count(*) FILTER (event_type = 'page_view') AS page_views_count,
+         max(device_type) FILTER (place = 1) AS device_type
+  FROM numbered GROUP BY session_id
+)
+SELECT session_id, user_id, started_at, ended_at,
+  nullif(epoch_us(ended_at) // 1000000 - epoch_us(started_at) // 1000000, 0) AS duration_seconds,
+  page_views_count, page_views_count = 1 AS bounce, device_type FROM grouped"""
+)
+
 ORACLES: dict[str, str] = {
     "bronze_extract_window": CLICKS
     + "SELECT * FROM clicks WHERE updated_at >= TIMESTAMP '2024-01-05' AND updated_at < TIMESTAMP '2024-01-08'",
@@ -287,6 +313,23 @@ ORACLES: dict[str, str] = {
     "incremental_silver": CLICKS
     + """SELECT * EXCLUDE (rn), 'batch_20240108_020000' AS batch_id, CAST(updated_at AS DATE) AS extract_date
 FROM silver""",
+    "incremental_undated": CLICKS
+    + """, versions AS (
+  SELECT * FROM clicks
+  UNION ALL
+  SELECT * REPLACE (
+    CASE WHEN click_id % 7 <> 0 THEN event_timestamp END AS event_timestamp,
+    CASE WHEN click_id % 5 = 0 THEN updated_at + INTERVAL 3 DAY ELSE updated_at END AS updated_at)
+  FROM clicks
+)
+SELECT click_id, event_timestamp, updated_at, regexp_extract(page_url, '://([^/]+)', 1) AS domain,
+       CAST(event_timestamp AS DATE) AS event_date
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY click_id ORDER BY updated_at DESC) AS rn FROM versions
+  WHERE click_id IS NOT NULL AND user_id IS NOT NULL AND event_timestamp IS NOT NULL
+    AND event_type IN ('page_view', 'click', 'scroll', 'purchase')
+)
+WHERE rn = 1""",
     "backfilled_user_summary": CLICKS + USER_SUMMARY,
     "sessions_extract_window": SESSIONS
     + """SELECT *, 'batch_20240108_020000' AS batch_id, CAST(created_at AS DATE) AS extract_date FROM sessions
@@ -343,19 +386,8 @@ FROM silver GROUP BY ALL ORDER BY page_views DESC""",
     "device_metrics": CLICKS
     + """SELECT event_date AS date, device_type, browser, count(*) AS event_count,
   count(DISTINCT user_id) AS unique_users FROM silver GROUP BY ALL""",
-    "session_summary": CLICKS
-    + """, numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY event_timestamp, click_id) AS place FROM silver
-),
-grouped AS (
-  SELECT session_id, max(user_id) FILTER (place = 1) AS user_id, min(event_timestamp) AS started_at,
-         max(event_timestamp) AS ended_at, count(*) FILTER (event_type = 'page_view') AS page_views_count,
-         max(device_type) FILTER (place = 1) AS device_type
-  FROM numbered GROUP BY session_id
-)
-SELECT session_id, user_id, started_at, ended_at,
-  nullif(epoch_us(ended_at) // 1000000 - epoch_us(started_at) // 1000000, 0) AS duration_seconds,
-  page_views_count, page_views_count = 1 AS bounce, device_type FROM grouped""",
+    "session_summary": SESSION_SUMMARY,
+    "stored_user_sessions": SESSION_SUMMARY,
     "conversion_funnel": CLICKS
     + """, views AS (
   SELECT session_id, min(event_timestamp) AS v FROM silver WHERE event_type = 'page_view' GROUP BY session_id

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +8,8 @@ from clicklake.operators.rebuild import refine
 from clicklake.operators.slices import history_and_live
 from clicklake.schemas import CLICK_TABLE, CLICKS
 from clicklake.sources.lake import Lake, read_bronze, read_silver
-from clicklake.streaming.jobs import stream_to_bronze, stream_to_files, stream_to_silver, use_rocksdb
-from clicklake.streaming.operators import dropped_rows, first_versions, windowed_counts, windowed_users
+from clicklake.streaming.jobs import stream_to_bronze, stream_to_files, stream_to_silver
+from clicklake.streaming.operators import LateRows, first_versions, windowed_counts, windowed_users
 from clicklake.streaming.sources import changed_since, decode_messages, stream_files, topic_options
 from conftest import click, day_of_clicks, rows_of
 
@@ -45,6 +46,8 @@ def test_stream_lands_raw_rows_once_across_restarts(spark, clicks, feed, tmp_pat
 
 
 def test_windows_close_behind_the_watermark_and_late_rows_are_counted(spark, feed, tmp_path):
+    late_rows = LateRows()
+    spark.streams.addListener(late_rows)
     timely = [click(i, f"2024-01-05 1{i}:05:00", user=i % 2) for i in range(4)]
     late = click(50, "2024-01-05 10:30:00", user=5)
     for rows in ([*timely, click(9, "2024-01-05 10:06:00", user=7)], [late, click(51, "2024-01-05 13:10:00")]):
@@ -53,7 +56,41 @@ def test_windows_close_behind_the_watermark_and_late_rows_are_counted(spark, fee
     out = spark.read.schema(counts.schema).parquet(str(tmp_path / "out"))
     found = rows_of(out, F.hour("window_start"), "event_type", "event_count", "approx_users")
     assert found == [(10, "page_view", 2, 2), (11, "page_view", 1, 1), (12, "page_view", 1, 1)]
-    assert dropped_rows(query) == 1
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    assert wait_for(lambda: late_rows.dropped(query)) == 1
+    spark.streams.removeListener(late_rows)
+
+
+def wait_for(value, seconds=20):
+    """Listeners are told of a batch a moment after it."""
+    end = time.monotonic() + seconds
+    while not value() and time.monotonic() < end:
+        time.sleep(0.1)
+    return value()
+
+
+def test_late_rows_are_counted_over_more_batches_than_are_kept(spark, feed, tmp_path):
+    late_rows, key = LateRows(), "spark.sql.streaming.numRecentProgressUpdates"
+    spark.streams.addListener(late_rows)
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        feed(click(1, "2024-01-05 12:00:00"))
+        for i in range(5):
+            path = feed(click(10 + i, "2024-01-05 10:00:00"), click(20 + i, f"2024-01-05 12:0{i}:30"))
+        counts = windowed_counts(stream_files(spark, path, 1))
+        query = drain(stream_to_files(counts, str(tmp_path / "out"), str(tmp_path / "log"), drain=True))
+        assert len(query.recentProgress) <= 3
+        out = spark.read.schema(counts.schema).parquet(str(tmp_path / "out"))
+        # rows are late by the watermark of the batch before theirs, so the second batch's still counts
+        assert rows_of(out, F.hour("window_start"), "event_count") == [(10, 1)]
+        wait_for(lambda: late_rows.dropped(query) >= 4)
+        assert late_rows.dropped(query) == 4 > sum(
+            op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
+        )
+    finally:
+        spark.conf.set(key, kept)
+        spark.streams.removeListener(late_rows)
 
 
 def test_exact_users_per_window(spark, feed, tmp_path):
@@ -125,14 +162,23 @@ def test_replay_positions_of_a_topic():
     assert topic_options("h:1")["subscribe"] == "clicks"
 
 
-def test_state_in_rocksdb_gives_the_same_rows(spark, feed, tmp_path):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    path = feed(click(1, "2024-01-05 10:00:00"), click(1, "2024-01-05 10:00:00"))
-    try:
-        use_rocksdb(spark)
-        rows = first_versions(stream_files(spark, path))
-        drain(stream_to_files(rows, str(tmp_path / "out"), str(tmp_path / "log"), drain=True))
-    finally:
-        spark.conf.set(key, before)
+def test_malformed_messages_are_kept_apart(spark, tmp_path):
+    good = json.dumps({"click_id": 7, "user_id": 2, "event_type": "click", "event_timestamp": "2024-01-05T10:00:00Z", "updated_at": "2024-01-05T10:00:00Z"})
+    texts = [good, "{broken", '{"click_id": "x"}', "[]", None]
+    spark.createDataFrame([(t,) for t in texts], "value string").write.parquet(str(tmp_path / "topic"))
+    messages = spark.readStream.schema("value string").parquet(str(tmp_path / "topic"))
+    lake = Lake(str(tmp_path / "lake"))
+    drain(stream_to_silver(decode_messages(messages), lake, str(tmp_path / "log"), drain=True))
+    assert rows_of(read_silver(spark, lake), "click_id") == [(7,)]
+    rejected = spark.read.parquet(f"{lake.root}/rejected/clicks")
+    assert rejected.count() == 4 and ("{broken",) in rows_of(rejected, "malformed")
+
+
+def test_exact_copies_of_a_hot_key_are_spread_and_left_once(spark, feed, tmp_path):
+    path = feed(*[click(1, "2024-01-05 10:00:00")] * 400)
+    rows = first_versions(stream_files(spark, path))
+    query = drain(stream_to_files(rows, str(tmp_path / "out"), str(tmp_path / "log"), drain=True))
     assert spark.read.schema(CLICKS).parquet(str(tmp_path / "out")).count() == 1
+    states = [op for p in query.recentProgress for op in p["stateOperators"]]
+    assert max(op["numRowsTotal"] for op in states) == 8
+    assert any("rocksdb" in name for op in states for name in op["customMetrics"])
