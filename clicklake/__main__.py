@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import logging
 import sys
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,7 @@ from clicklake.operators.slices import as_day, next_day
 from clicklake.plans.bronze import dates_touched_by, land
 from clicklake.plans.gate import validate_layer, warn_about_nulls
 from clicklake.plans.gold import build_funnel, build_gold, build_sessions
+from clicklake.plans.health import lake_health, run_measures, stored_layers
 from clicklake.plans.runs import STAGES, backfill_gaps, run_day, run_range
 from clicklake.plans.silver import rebuild_all_silver, rebuild_silver
 from clicklake.schemas import BRONZE_ROW_RANGE, TABLES
@@ -63,6 +65,8 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--gate", choices=["bronze", "strict"], help="suite the raw rows must pass")
         rows_option(sub)
     command("verify-backfill", "list the dates a layer has no rows for", dates=True)
+    health = command("health", "state of every layer and of the runs; fails when a target is missed", dates=True)
+    health.add_argument("--now", help="moment to judge by; the present if not given")
     validate = command("validate", "totals and null keys of the raw layer; warns only")
     validate.add_argument("--date")
     quality = command("quality", "run a suite over a stored table")
@@ -133,6 +137,13 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> bool:
         for layer, days in gaps.items():
             log.info("%s lacks %s", layer, ", ".join(map(str, days)) or "nothing")
         return not any(gaps.values())
+    elif args.command == "health":
+        now = args.now or datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
+        state = lake_health(stored_layers(spark, lake), now, args.start, args.end).collect()
+        measures = run_measures(spark, lake, now).collect()
+        for row in (*state, *measures):
+            log.info("%s", row.asDict())
+        return not any(row["breached"] for row in (*state, *measures))
     elif args.command == "validate":
         bounds = (args.date, next_day(args.date)) if args.date else ()
         log.info("%s", warn_about_nulls(spark, lake, *bounds))

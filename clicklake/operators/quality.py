@@ -102,10 +102,10 @@ def strict_suite() -> list[Check]:
 SUITES = {"bronze": bronze_suite, "silver": silver_suite, "strict": strict_suite}
 
 
-def run_checks(df: DataFrame, checks: list[Check], layer: str) -> DataFrame:
-    """One row per check, lazily: one aggregate, then one row per check exploded from its single row."""
+def measure_checks(df: DataFrame, checks: list[Check], layer: str, **measures: Column) -> DataFrame:
+    """One row, lazily, by one aggregate: ``results``, an array of check rows, and any further measures."""
     present = set(df.columns)
-    aggregates: list[Column] = [F.count(F.lit(1)).alias("total")]
+    aggregates = [F.count(F.lit(1)).alias("total"), *(m.alias(name) for name, m in measures.items())]
     rows: list[Column] = []
     for i, check in enumerate(checks):
         if check.column and check.column not in present:
@@ -125,8 +125,13 @@ def run_checks(df: DataFrame, checks: list[Check], layer: str) -> DataFrame:
                 F.col("total").alias("total_rows"),
             )
         )
+    return df.agg(*aggregates).select("total", *measures, F.array(*rows).alias("results"))
+
+
+def run_checks(df: DataFrame, checks: list[Check], layer: str) -> DataFrame:
+    """One row per check, exploded from the single row of one aggregate."""
     pct = F.when(F.col("total_rows") > 0, F.col("failing_rows").cast("double") * 100 / F.col("total_rows"))
-    exploded = df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    exploded = measure_checks(df, checks, layer).select(F.inline("results"))
     return exploded.withColumn("failing_pct", F.coalesce(pct, F.lit(0.0))).select(*QUALITY.fieldNames())
 
 

@@ -19,7 +19,7 @@ from clicklake.operators.slices import changed_between, day_with_late, history_a
 from clicklake.operators.versions import latest_versions
 from clicklake.plans.bronze import land, with_metadata
 from clicklake.plans.gold import build_sessions
-from clicklake.plans.health import Layer, lake_health, layer_row_counts
+from clicklake.plans.health import Layer, lake_health, layer_row_counts, stored_layers
 from clicklake.plans.runs import run_range
 from clicklake.plans.silver import rebuild_silver
 from clicklake.schemas import CLICK_TABLE, SESSION_TABLE
@@ -339,6 +339,18 @@ def lake_health_of(spark, folder):
     return lake_health(layers(spark, folder), NOW, date(2024, 1, 1), date(2024, 1, 31))
 
 
+@query
+def stored_lake_health(spark, folder):
+    """The same over a lake as stored by a backfill."""
+    lake = Lake(scratch_path(spark, "stored_lake_health"))
+    clicks = read_clicks(spark, folder)
+    first, _, last = change_range(clicks)
+    report = run_range(spark, lake, lambda: clicks, first, last, batch_id=BATCH)
+    if not report.success:
+        raise RuntimeError(str(report.failures))
+    return lake_health(stored_layers(spark, lake), NOW, date(2024, 1, 1), date(2024, 1, 31))
+
+
 # Streams: run over all there is now into the shared scratch folder, then read back
 
 

@@ -13,12 +13,12 @@ from clicklake.operators.completeness import missing_dates
 from clicklake.operators.metrics import METRICS
 from clicklake.operators.rebuild import date_list
 from clicklake.operators.slices import Moment, as_day, next_day
-from clicklake.plans.bronze import dates_touched_by, days_between, land
+from clicklake.plans.bronze import batch_name, dates_touched_by, days_between, land
 from clicklake.plans.gate import quality_gate
 from clicklake.plans.gold import build_gold
 from clicklake.plans.silver import dates_to_rebuild, rebuild_silver
 from clicklake.schemas import BRONZE_ROW_RANGE, CLICK_TABLE, TableSpec
-from clicklake.sources.lake import Lake, pending_dates, read_bronze, read_silver
+from clicklake.sources.lake import Lake, log_batch, pending_dates, read_bronze, read_silver
 
 log = logging.getLogger(__name__)
 STAGES = ("bronze", "silver", "gold")
@@ -67,7 +67,7 @@ def run_range(
     report = RunReport(planned=[f"{stage} {as_day(start)} {as_day(end)}" for stage in STAGES if stage not in skip])
     if dry_run:
         return report
-    stage, touched = "bronze", None
+    stage, touched, batch_id = "bronze", None, batch_id or batch_name()
     try:
         if "bronze" not in skip:
             landed = land(spark, lake, source(), start, end, batch_id, spec)
@@ -84,6 +84,7 @@ def run_range(
     except Exception as error:
         log.exception("%s failed", stage)
         report.failures[stage] = str(error)
+        log_batch(spark, lake, batch_id, f"{stage}.{spec.name}", 0, success=False)
         return report
     rebuilt = [] if "silver" in skip else touched
     report.event_dates = sorted(set(rebuilt) | set(days_between(start, end)))
@@ -92,6 +93,8 @@ def run_range(
         gold = build_gold(spark, lake, dates, metrics, batch_id)
         report.rows.update({name: written.rows for name, written in gold.written.items()})
         report.failures.update(gold.failures)
+        for name in gold.failures:
+            log_batch(spark, lake, batch_id, f"gold.{name}", 0, success=False)
     return report
 
 

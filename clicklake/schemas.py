@@ -50,7 +50,9 @@ BATCH_LOG = (
     .add("batch_id", StringType())
     .add("table", StringType())
     .add("rows", LongType())
+    .add("started_at", TimestampType())
     .add("finished_at", TimestampType())
+    .add("success", BooleanType())
 )
 
 PENDING = StructType().add("event_date", DateType())
@@ -124,6 +126,8 @@ BROWSER_WORDS = [("Chrome", "Chrome"), ("Firefox", "Firefox"), ("Safari", "Safar
 
 # Operating targets of the lake.
 MAX_FRESHNESS_HOURS = 4.0
+MAX_BATCH_HOURS = 4.0
+MAX_LAG_MINUTES = 5.0
 MIN_PASS_RATE = 95.0
 LATE_DAYS = 7
 WATERMARK = "10 minutes"

@@ -158,9 +158,17 @@ def verify_rows(spark: SparkSession, path: str, schema: StructType, where: Colum
     return found
 
 
-def log_batch(spark: SparkSession, lake: Lake, batch_id: str, table: str, rows: int) -> None:
+def log_batch(
+    spark: SparkSession,
+    lake: Lake,
+    batch_id: str,
+    table: str,
+    rows: int,
+    started: datetime | None = None,
+    success: bool = True,
+) -> None:
     finished = datetime.now(timezone.utc)
-    entry = spark.createDataFrame([(batch_id, table, rows, finished)], BATCH_LOG)
+    entry = spark.createDataFrame([(batch_id, table, rows, started or finished, finished, success)], BATCH_LOG)
     entry.coalesce(1).write.mode("append").parquet(lake.batch_log)
 
 
@@ -243,6 +251,7 @@ def write_idempotent(
     """Replace the partitions of one batch and log it; the same batch again leaves the same rows. ``dates`` are
     those the batch answers for: they are emptied where it has no rows.
     """
+    started = datetime.now(timezone.utc)
     written = replace_dates(df, path, df.schema, date_column, dates, **options)
-    log_batch(spark, lake, batch_id, table, written.rows)
+    log_batch(spark, lake, batch_id, table, written.rows, started)
     return written

@@ -5,6 +5,7 @@ batch atomically or overwrites only what the same batch wrote before.
 from __future__ import annotations
 
 import hashlib
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from clicklake.operators.rebuild import date_list, touched_dates
 from clicklake.plans.silver import rebuild_silver
 from clicklake.schemas import CHECKPOINT_INTERVAL, CLICK_TABLE, TableSpec
-from clicklake.sources.lake import Lake, overwrite_partitions, read_bronze
+from clicklake.sources.lake import Lake, log_batch, overwrite_partitions, read_bronze
 from clicklake.streaming.sources import MALFORMED
 
 
@@ -75,8 +76,10 @@ def stream_to_silver(
             rejected.write.mode("overwrite").parquet(f"{lake.root}/rejected/{spec.name}/batch_id={name}")
             rows = rows.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
         landed = rows.withColumns({"batch_id": F.lit(name), "extract_date": F.to_date(spec.change_column)})
+        started = datetime.now(timezone.utc)
         written = overwrite_partitions(landed, lake.bronze(spec), "extract_date", "batch_id")
         if written.rows:
+            log_batch(rows.sparkSession, lake, name, f"bronze.{spec.name}", written.rows, started)
             spark = rows.sparkSession
             touched = touched_dates(read_bronze(spark, lake, spec=spec), F.col("batch_id") == name, spec)
             rebuild_silver(spark, lake, date_list(touched), spec)

@@ -423,6 +423,7 @@ WHERE CAST(d AS DATE) NOT IN (SELECT event_date FROM silver)""",
         layer_rows("gold", "daily", "date"),
     ]),
     "lake_health": CLICKS + HEALTH,
+    "stored_lake_health": CLICKS + HEALTH,
     "stream_bronze": CLICKS + "SELECT * REPLACE ('stream' AS batch_id) FROM raw",
     "stream_tumbling_counts": CLICKS
     + CLOSED_HOURS

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clicklake.__main__ import main, parser
 from clicklake.operators.quality import SchemaError
+from clicklake.plans.health import lake_health, stored_layers
 from clicklake.operators.sessions import conversion_funnel, session_summary
 from clicklake.schemas import SESSION_TABLE
 from clicklake.sources.lake import Lake, read_bronze, read_silver
@@ -100,3 +101,19 @@ def test_backfill_needs_a_source_or_a_skip(folder):
     assert main(["--lake", str(folder / "x"), "backfill", "2024-01-01", "2024-01-02"]) == 1
     args = parser().parse_args(["--lake", "x", "backfill", "a", "b", "--skip-bronze", "--skip-gold"])
     assert args.skip == ["bronze", "gold"]
+
+
+def test_health_of_a_stored_lake(spark, folder):
+    lake, days = str(folder / "health"), ["2024-01-01", "2024-01-03"]
+    assert main(["--lake", lake, "health", *days]) == 1
+    assert main(["--lake", lake, "backfill", *days, "--source", str(folder / "clicks")]) == 0
+    assert main(["--lake", lake, "health", *days, "--now", "2024-01-03 01:00:00"]) == 0
+    assert main(["--lake", lake, "health", *days, "--now", "2024-01-04 01:00:00"]) == 1
+    assert main(["--lake", lake, "backfill", *days, "--source", str(folder / "missing")]) == 1
+    assert main(["--lake", lake, "health", *days, "--now", "2024-01-03 01:00:00"]) == 1
+
+
+def test_health_scans_each_layer_once(spark, folder):
+    lake = Lake(str(folder / "health"))
+    plan = lake_health(stored_layers(spark, lake), "2024-01-03", "2024-01-01", "2024-01-03")._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("Relation [") == 3
