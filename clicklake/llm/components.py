@@ -11,22 +11,27 @@ from clicklake.llm.common import stored
 def components(edges: DataFrame) -> DataFrame:
     """node and label, the smallest node of its component; ``edges`` has a and b (longs), in any order or number.
 
-    Each round takes the smallest label among a node and its neighbours, then that label's own label. Labels are
-    written to the shared scratch folder after every round; a round without a change is the last.
+    In each round every node is merged into the smallest among itself and its neighbours, or into that one's own choice,
+    and edges are redrawn between what nodes were merged into. Edges inside a merged node vanish, so rounds shrink fast; none
+    left is the end. Each round is written to the shared scratch folder.
     """
-    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = both.groupBy("a").agg(F.min("b").alias("b"))
-    labels = stored(labels.select(F.col("a").alias("node"), F.least("a", "b").alias("label")), "labels")
+    edges = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    labels = None
     while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        lowered = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        lowered = lowered.join(jump, "label").select("node", "old", F.least("label", "further").alias("label"))
-        lowered = stored(lowered, "labels")
-        labels = lowered.select("node", "label")
-        if lowered.where(F.col("label") != F.col("old")).isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("b"))
+        parents = stored(least.select(F.col("a").alias("node"), F.least("a", "b").alias("parent")), "parents")
+        above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("root"))
+        parents = stored(parents.join(above, "parent").select("node", F.col("root").alias("parent")), "parents")
+        if labels is None:
+            labels = parents.select("node", F.col("parent").alias("label"))
+        else:
+            moved = parents.select(F.col("node").alias("label"), "parent")
+            labels = labels.join(moved, "label", "left").select("node", F.coalesce("parent", "label").alias("label"))
+        labels = stored(labels, "labels")
+        ends = [parents.select(F.col("node").alias(x), F.col("parent").alias(f"to_{x}")) for x in ("a", "b")]
+        redrawn = edges.join(ends[0], "a").join(ends[1], "b").where("to_a <> to_b")
+        redrawn = redrawn.select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")).distinct()
+        edges = stored(redrawn, "edges")
+        if edges.isEmpty():
             return labels

@@ -15,8 +15,8 @@ gives all shingles that may be common, then those are counted in all documents.
 sample number. For the weight that most shingles have, the outcome is a table as well.
 
 *Skew.* Exact copies share a node. In a bucket every node is held against the bucket's smallest one by the share of
-equal samples, not against all others; those below ``LOOSE`` form a smaller bucket of the next round, until none
-is left. What hangs together this way is a candidate component. In each, nodes are verified against its smallest
+equal samples, not against all others; those below ``LOOSE`` form a smaller bucket of the next round, with a few more
+pivots, until none is left. What hangs together this way is a candidate component. In each, nodes are verified against its smallest
 node first. Only those that fail are compared with all nodes of their component, in blocks of about ``SIDE`` nodes
 a side, as matrix products inside tasks that return a spanning set of the links that they find.
 
@@ -40,10 +40,12 @@ from clicklake.llm.common import (
 from clicklake.llm.components import components
 
 THRESHOLD = 0.8
-BANDS, ROWS = 24, 5
+BANDS, ROWS = 16, 4
 COMMON = 0.01
 LOOSE = 0.4
 SIDE = 256
+PIVOTS = 256
+SLOTS = 1 << 21
 BATCH = 128
 TOP_WEIGHT = 1.5
 
@@ -227,7 +229,11 @@ def make_nodes(drawn: DataFrame) -> DataFrame:
 
 
 def candidate_edges(nodes: DataFrame) -> DataFrame:
-    """a, b: nodes of a bucket with the bucket's smallest node, where enough of their samples are equal."""
+    """a, b: nodes of a bucket with one of the bucket's pivots, where enough of their samples are equal.
+
+    A bucket's pivot is its smallest node. Nodes that are close to none of the pivots go on to the next round, which takes
+    four times as many pivots, up to ``PIVOTS``, until no node is left.
+    """
 
     def compare(batches):
         for batch in batches:
@@ -241,10 +247,16 @@ def candidate_edges(nodes: DataFrame) -> DataFrame:
 
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     short = nodes.select("node", "short")
-    edges = None
+    edges, pivots = None, 1
     while True:
-        least = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-        paired = members.join(least.select("bucket", "a"), "bucket").where("node <> a")
+        shared = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
+        if pivots == 1:
+            chosen = shared
+        else:
+            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
+            chosen = members.withColumn("rank", rank).where(F.col("rank") <= pivots)
+            chosen = chosen.join(shared.select("bucket"), "bucket").select("bucket", F.col("node").alias("a"))
+        paired = members.join(chosen.select("bucket", "a"), "bucket").where("node > a")
         paired = stored(paired.select("bucket", F.col("node").alias("b"), "a"), "bucket-pairs")
         pairs = (
             paired.select("a", "b")
@@ -256,10 +268,13 @@ def candidate_edges(nodes: DataFrame) -> DataFrame:
         judged = stored(pairs.mapInArrow(compare, "b long, a long, close boolean"), "bucket-judged")
         found = judged.where("close").select("a", "b")
         edges = found if edges is None else edges.unionByName(found)
-        far = judged.where(~F.col("close"))
-        if far.isEmpty():
+        # a pivot has been held against all nodes after it; of the others, those close to no pivot are left
+        left = paired.join(judged, ["a", "b"]).groupBy("bucket", F.col("b").alias("node"))
+        left = left.agg(F.count("*").alias("held"), F.max("close").alias("close"))
+        left = stored(left.where((F.col("held") == pivots) & ~F.col("close")).select("node", "bucket"), "bucket-left")
+        if left.isEmpty():
             return edges
-        members = paired.join(far.select("a", "b"), ["a", "b"]).select(F.col("b").alias("node"), "bucket")
+        members, pivots = left, min(4 * pivots, PIVOTS)
 
 
 def elements(text: str, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
@@ -379,6 +394,22 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node and text for the wanted nodes (node, digest, first_id).
+
+    Before texts are shuffled, those whose digest falls on none of the wanted nodes' places among ``SLOTS`` are dropped:
+    that set has at most so many numbers, whatever the size of the corpus, and is broadcast.
+    """
+    slot = F.pmod(F.xxhash64("digest"), F.lit(SLOTS)).alias("slot")
+    rows = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("id"), F.md5("text").alias("digest"), "text")
+    rows = rows.select("*", slot).join(F.broadcast(wanted.select(slot).distinct()), "slot", "left_semi")
+    own = F.coalesce(F.col("id"), F.lit(0)) == F.coalesce("first_id", F.lit(0))
+    return (
+        rows.join(wanted, "digest").where(own).groupBy("digest", "node").agg(F.first("text").alias("text"))
+        .select("node", "text")
+    )
+
+
 def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, digest) of all non-null texts, and (digest, label) of all different ones: texts of one class share a label."""
     documents = docs.count()
@@ -387,10 +418,8 @@ def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = stored(make_nodes(drawn), "nodes")
     near = components(candidate_edges(nodes))
     wanted = nodes.join(near, "node").select("node", "digest", "first_id")
-    rows = docs.where("text is not null").select(F.col("doc_id").cast("long"), F.md5("text").alias("digest"), "text")
-    same = (F.col("d.digest") == F.col("w.digest")) & F.col("d.doc_id").eqNullSafe(F.col("w.first_id"))
-    texts = rows.alias("d").join(wanted.alias("w"), same).select("w.node", "d.text").dropDuplicates(["node"])
-    classes = components(stored(verified_links(near, stored(texts, "candidate-texts"), weights), "links"))
+    texts = stored(texts_of(docs, stored(wanted, "candidates")), "candidate-texts")
+    classes = components(stored(verified_links(near, texts, weights), "links"))
     label = F.coalesce("label", "node").alias("label")
     return drawn.select("doc_id", "digest"), nodes.join(classes, "node", "left").select("digest", label)
 
