@@ -254,12 +254,19 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) ->
     texts = texts.select("row", "doc_id", "size", copy.alias("copy"))
     same = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.copy") == F.col("t.copy"))
     joined = texts.alias("d").join(taken.alias("t"), same).select("d.row", "d.size", "t.parts")
+    # words are cut once for each document, below the explode, and only where a pass does not hold all of them
+    even = F.expr("array_min(transform(parts, p -> p.times)) = array_max(transform(parts, p -> p.times))")
+    held = F.expr("aggregate(parts, 0L, (n, p) -> n + p.words)")
+    words = F.regexp_extract_all("row.text", F.lit(WORDS), F.lit(0))
+    joined = joined.withColumn("all", F.when(~(even & (held == F.col("size"))), words))
     times = joined.withColumn("pass", F.explode(F.expr("sequence(1L, array_max(transform(parts, p -> p.times)))")))
     chosen = times.withColumn("parts", F.expr("filter(parts, p -> p.times >= pass)"))
-    whole = F.expr("aggregate(parts, 0L, (n, p) -> n + p.words)") == F.col("size")
-    words = F.regexp_extract_all("row.text", F.lit(WORDS), F.lit(0))
-    cut = chosen.withColumn("all", F.when(~whole, words)).withColumn(
-        "cut", F.expr("array_join(flatten(transform(parts, p -> slice(all, int(p.skip) + 1, int(p.words)))), ' ')")
+    cut = chosen.withColumn(
+        "cut",
+        F.when(
+            held < F.col("size"),
+            F.expr("array_join(flatten(transform(parts, p -> slice(all, int(p.skip) + 1, int(p.words)))), ' ')"),
+        ),
     )
     text = F.coalesce("cut", "row.text")
     new = {"text": text, "n_chars": F.length(text).cast(dict(docs.dtypes).get("n_chars", "long"))}
