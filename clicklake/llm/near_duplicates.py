@@ -15,8 +15,8 @@ gives all shingles that may be common, then those are counted in all documents.
 sample number. For the weight that most shingles have, the outcome is a table as well.
 
 *Skew.* Exact copies share a node. In a bucket every node is held against the bucket's smallest one by the share of
-equal samples, not against all others; those below ``LOOSE`` form a smaller bucket of the next round, with a few more
-pivots, until none is left. What hangs together this way is a candidate component. In each, nodes are verified against its smallest
+equal samples, not against all others; those below ``LOOSE`` go on to a smaller bucket of the next round, until none
+is left. What hangs together this way is a candidate component. In each, nodes are verified against its smallest
 node first. Only those that fail are compared with all nodes of their component, in blocks of about ``SIDE`` nodes
 a side, as matrix products inside tasks that return a spanning set of the links that they find.
 
@@ -44,7 +44,7 @@ BANDS, ROWS = 16, 4
 COMMON = 0.01
 LOOSE = 0.4
 SIDE = 256
-PIVOTS = 256
+REFINED, PIVOTS = 2, 256
 SLOTS = 1 << 21
 BATCH = 128
 TOP_WEIGHT = 1.5
@@ -231,8 +231,10 @@ def make_nodes(drawn: DataFrame) -> DataFrame:
 def candidate_edges(nodes: DataFrame) -> DataFrame:
     """a, b: nodes of a bucket with one of the bucket's pivots, where enough of their samples are equal.
 
-    A bucket's pivot is its smallest node. Nodes that are close to none of the pivots go on to the next round, which takes
-    four times as many pivots, up to ``PIVOTS``, until no node is left.
+    A bucket's pivot is its smallest node. Nodes that are not close to it go on to the next round. In the first rounds,
+    ``REFINED`` of them, they are dealt anew, to buckets of nodes that share one more band: documents that only have a common passage
+    part there, and similar ones share further bands. What is left after that stays in its bucket, and each round takes four times
+    as many pivots, up to ``PIVOTS``, until no node is left.
     """
 
     def compare(batches):
@@ -247,7 +249,7 @@ def candidate_edges(nodes: DataFrame) -> DataFrame:
 
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     short = nodes.select("node", "short")
-    edges, pivots = None, 1
+    edges, pivots, refined = None, 1, 0
     while True:
         shared = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
         if pivots == 1:
@@ -274,7 +276,17 @@ def candidate_edges(nodes: DataFrame) -> DataFrame:
         left = stored(left.where((F.col("held") == pivots) & ~F.col("close")).select("node", "bucket"), "bucket-left")
         if left.isEmpty():
             return edges
-        members, pivots = left, min(4 * pivots, PIVOTS)
+        if refined < REFINED:
+            refined += 1
+            known = paths if refined > 1 else left.select("bucket", F.array("bucket").alias("path")).distinct()
+            paths = left.join(known, "bucket").join(nodes.select("node", "bands"), "node")
+            paths = paths.select("node", "path", F.explode("bands").alias("band"))
+            paths = paths.where(~F.array_contains("path", F.col("band")))
+            paths = paths.select("node", F.array_sort(F.array_append("path", F.col("band"))).alias("path")).distinct()
+            paths = stored(paths.select("node", F.xxhash64("path").alias("bucket"), "path"), "bucket-paths")
+            members, paths = paths.select("node", "bucket"), paths.select("bucket", "path").distinct()
+        else:
+            members, pivots = left, min(4 * pivots, PIVOTS)
 
 
 def elements(text: str, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
