@@ -1,9 +1,15 @@
 """Licence scans by canonical digests, hash-joined with the digests of known licences.
 
-A text's canonical form drops copyright lines, lower-cases, replaces equivalent spellings, and turns every run of ASCII
+A text's canonical form drops copyright notices, lower-cases, replaces equivalent spellings, and turns every run of ASCII
 punctuation, typographic quotes, dashes and white space into one blank. Its SHA-256 digest stands for the text.
 Whole texts and single lines are both looked up, as entire units; nothing is compared word by word.
 
+A notice is a whole line: it starts with a copyright sign, or with "copyright" or "(c)" in front of a sign or a year, or
+says that all rights are reserved. Prose that a line break leaves at the start of a line ("copyright holders be liable", "copyright notice")
+is kept, so a text has one form in every line wrapping. Other lines that start with "copyright" or "(c)" are a name or
+prose and a list item; a whole text that holds any is looked up both with and without them. A notice that runs on into the text
+within its line takes that line with it, and the further lines of a wrapped notice stay.
+
 Defined cases: a null text, or one whose canonical form is empty, matches nothing; equal documents match
 alike; a line that occurs more than once in a document is one row with its count; texts of any length are scanned
 whole; an empty table gives no rows; other columns are not read. Known licences are a parameter; their digests
@@ -17,8 +23,19 @@ from pyspark.sql import functions as F
 
 from clicklake.llm.common import ascii_lower, table
 
-#: A line that starts with a copyright notice, in the lower-cased text.
+#: A line that starts like a copyright notice, in the lower-cased text.
 COPYRIGHT = r"^[^a-z0-9©]*(copyright|\(c\)|©|all rights reserved)"
+#: Such a line that is one: a sign, a year or a place for one follows.
+NOTICE = (
+    r"^[^a-z0-9©]*(?:©|all rights reserved"
+    r"|(?:(?:copyright|\(c\))[^a-z0-9©]*){1,3}(?:\(c\)|©|[12][0-9]{3}(?![0-9])|(?:year|yyyy)(?![a-z])))"
+)
+#: Such a line that is prose, from the words that follow "copyright" in licences.
+PROSE = (
+    r"^[^a-z0-9©]*copyright(?:s|ed|able)?(?:[^a-z0-9©]*$|[^a-z0-9©]+(?:holders?|owners?|notices?|licen[cs]es?|laws?|statements?"
+    r"|interests?|claims?|rights?|disclaimers?|treaty|status|protection|permissions?|works?|material|patents?|trademarks?"
+    r"|and|or|in|to|of|is|on|as|for|the|this|that|under|if|with|applies|you|your)(?![a-z]))"
+)
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{00A0}\x{2010}-\x{2015}\x{2018}-\x{201F}\x{2026}\x{3000}]+"
 #: Equivalent spellings, replaced in this order after punctuation has become blanks.
 SPELLINGS = [
@@ -78,13 +95,19 @@ KNOWN = {
 }
 
 
-def canonical_line(line):
-    """The canonical form of a line; empty for a copyright line."""
-    lowered = ascii_lower(line)
-    words = F.regexp_replace(lowered, SEPARATORS, " ")
+def spelled(words):
     for given, kept in SPELLINGS:
         words = F.replace(words, F.lit(given), F.lit(kept))
-    return F.when(F.regexp_like(lowered, F.lit(COPYRIGHT)), F.lit("")).otherwise(F.trim(words))
+    return words
+
+
+def canonical_line(line):
+    """form and doubtful: the canonical form of a line, empty for a copyright notice, and whether it may be one."""
+    lowered = ascii_lower(line)
+    words = spelled(F.regexp_replace(lowered, SEPARATORS, " "))
+    like = lambda pattern: F.regexp_like(lowered, F.lit(pattern))
+    form = F.when(like(COPYRIGHT) & like(NOTICE), F.lit("")).otherwise(F.trim(words))
+    return F.struct(form.alias("form"), (like(COPYRIGHT) & ~like(NOTICE) & ~like(PROSE)).alias("doubtful"))
 
 
 def canonical_lines(text):
@@ -92,30 +115,34 @@ def canonical_lines(text):
 
 
 def whole(lines):
-    return F.array_join(F.filter(lines, lambda line: line != ""), " ")
+    """The canonical forms of a text: with its doubtful lines, and without them. A spelling may run over two lines."""
+    joined = lambda kept: spelled(F.array_join(F.transform(F.filter(lines, kept), lambda line: line["form"]), " "))
+    held = joined(lambda line: line["form"] != "")
+    return F.array_distinct(F.array(held, joined(lambda line: (line["form"] != "") & ~line["doubtful"])))
 
 
 def known_digests(spark, known: dict[str, list[str]] = KNOWN) -> DataFrame:
     rows = [(name, text) for name, texts in known.items() for text in texts]
-    lines = canonical_lines(F.col("text"))
-    frame = spark.createDataFrame(rows, "licence string, text string")
-    return frame.select("licence", F.sha2(whole(lines), 256).alias("digest")).distinct()
+    forms = F.explode(whole(canonical_lines(F.col("text")))).alias("form")
+    frame = spark.createDataFrame(rows, "licence string, text string").select("licence", forms).where("form <> ''")
+    return frame.select("licence", F.sha2("form", 256).alias("digest")).distinct()
 
 
 def scan(docs: DataFrame, known: dict[str, list[str]] = KNOWN, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, scope (text or line), licence, units (how many lines), first_line (from 1; 0 for a whole text)."""
     numbered = docs.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
     lines = numbered.select("key", "row", canonical_lines(F.col("text")).alias("lines"))
-    entire = F.struct(F.lit("text").alias("scope"), F.lit(0).alias("line"), whole(F.col("lines")).alias("form"))
-    each = F.transform("lines", lambda form, i: F.struct(F.lit("line").alias("scope"), (i + 1).alias("line"), form.alias("form")))
-    units = F.filter(F.concat(F.array(entire), each), lambda u: u["form"] != "")
+    unit = lambda scope, line, form: F.struct(F.lit(scope).alias("scope"), line.alias("line"), form.alias("form"))
+    entire = F.transform(whole(F.col("lines")), lambda form: unit("text", F.lit(0), form))
+    each = F.transform("lines", lambda line, i: unit("line", i + 1, line["form"]))
+    units = F.filter(F.concat(entire, each), lambda u: u["form"] != "")
     digests = F.transform(
         units, lambda u: F.struct(u["scope"].alias("scope"), u["line"].alias("line"), F.sha2(u["form"], 256).alias("digest"))
     )
     found = lines.select("key", "row", F.inline(digests)).join(F.broadcast(known_digests(docs.sparkSession, known)), "digest")
     return (
         found.groupBy("key", "row", "scope", "licence")
-        .agg(F.count("*").alias("units"), F.min("line").alias("first_line"))
+        .agg(F.when(F.col("scope") == "text", 1).otherwise(F.count("*")).cast("long").alias("units"), F.min("line").alias("first_line"))
         .select(F.col("key").alias(key), "scope", "licence", "units", "first_line")
     )
 

@@ -1,3 +1,6 @@
+import re
+import textwrap
+
 import duckdb
 import pandas as pd
 
@@ -38,3 +41,31 @@ def test_empty_table_repeated_rows_and_null_keys(spark):
 def test_other_licences_can_be_given(spark):
     got = licences.scan(documents(spark, "House rules: be kind."), {"house": ["house rules be kind"]})
     assert {r["licence"] for r in got.collect()} == {"house"}
+
+
+NOTICES = ["Copyright (c) 2020 A. Person", "Copyright 2019-2021, B", "(c) 2020 C", "© D", "Copyright E. Person", "(c) F. Person", "Copyright (c) <year> <holder>", "All rights reserved."]
+
+
+def wrapped(text, width):
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False) for p in text.split("\n\n"))
+
+
+def test_whole_texts_match_in_every_line_wrapping(spark):
+    for name, texts in licences.KNOWN.items():
+        text = texts[-1]
+        forms = [wrapped(text, width) for width in (1, 20, 40, 60, 72, 79, 80, 100, 120, 100_000)]
+        forms += [text[: m.start()] + "\n" + text[m.start() :] for m in re.finditer(r"(?i)\bcopyright|\(c\)", text)]
+        got = as_rows(licences.scan(documents(spark, *forms)).where("scope = 'text'"), "doc_id", "licence", "units")
+        assert got == sorted([(i, name, 1) for i in range(len(forms))], key=str), name
+
+
+def test_notices_are_dropped_and_list_items_kept(spark):
+    texts = [f"{notice}\n\n{wrapped(MIT, 79)}" for notice in NOTICES]
+    got = licences.scan(documents(spark, *texts)).where("scope = 'text'")
+    assert as_rows(got, "doc_id", "licence") == [(i, "MIT") for i in range(len(NOTICES))]
+    rules = {"house": ["House rules: (a) be kind, (b) be brief, (c) be there."]}
+    got = licences.scan(documents(spark, "House rules:\n(a) be kind,\n(b) be brief,\n(c) be there.", "House rules: a be kind b be brief"), rules)
+    assert as_rows(got, "doc_id", "scope") == [(0, "text")]
+    rules = {"house": ["You may sub-license it if the copyright owner agrees."]}
+    got = licences.scan(documents(spark, "You may sub-\nlicense it if the\ncopyright\nowner agrees."), rules)
+    assert as_rows(got, "doc_id", "scope") == [(0, "text")]
