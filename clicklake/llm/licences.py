@@ -49,8 +49,8 @@ SPELLINGS = [
     ("https", "http"),
 ]
 
-#: Known licence texts and notices; notices are given for the versions in use. Fixed values.
-KNOWN = {
+#: Licence texts and notices that the SQL knows too. Fixed values.
+LISTED = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
     "Apache-1.1": ["Licensed under the Apache License, Version 1.1."],
     "MIT": [
@@ -94,6 +94,207 @@ KNOWN = {
     **{f"CC-BY-{v}": [f"Licensed under CC BY {v}."] for v in ("2.0", "2.5", "3.0", "4.0")},
 }
 
+_MIT = LISTED["MIT"][2].split("\n", 1)[1]
+_ISC = LISTED["ISC"][0].split("\n", 1)[1]
+_ISC_AUTHORS = _ISC.replace("AUTHOR DISCLAIMS", "AUTHORS DISCLAIM").replace("AUTHOR BE", "AUTHORS BE")
+_0BSD, _0BSD_AUTHORS = (
+    t.replace(", provided that the above copyright notice and this permission notice appear in all copies", "")
+    for t in (_ISC, _ISC_AUTHORS)
+)
+_ZLIB = """
+    This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+    liable for any damages arising from the use of this software.
+
+    Permission is granted to anyone to use this software for any purpose, including commercial applications, and to
+    alter it and redistribute it freely, subject to the following restrictions:
+
+    1. The origin of this software must not be misrepresented; you must not claim that you wrote the original
+    software. If you use this software in a product, an acknowledgment in the product documentation would be
+    appreciated but is not required.
+
+    2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
+    software.
+
+    3. This notice may not be removed or altered from any source distribution."""
+_UNLICENSE = """
+    This is free and unencumbered software released into the public domain.
+
+    Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code
+    form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+    In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all
+    copyright interest in the software to the public domain. We make this dedication for the benefit of the public
+    at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of
+    relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+    THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+    THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+    AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+    OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+    For more information, please refer to <http://unlicense.org/>"""
+_BSL = """
+    Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+    accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute,
+    execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties
+    to whom the Software is furnished to do so, all subject to the following:
+
+    The copyright notices in the Software and this entire statement, including the above license grant, this
+    restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part,
+    and all derivative works of the Software, unless such copies or derivative works are solely in the form of
+    machine-executable object code generated by a source language processor.
+
+    THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+    THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT
+    SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY,
+    WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+    OTHER DEALINGS IN THE SOFTWARE."""
+_BSD_HEAD = """
+    Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+    following conditions are met:"""
+_BSD_CLAUSES = [
+    """
+    Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+    disclaimer.""",
+    """
+    Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+    following disclaimer in the documentation and/or other materials provided with the distribution.""",
+    """
+    Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission.""",
+]
+_BSD_TAIL = """
+    THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+    WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A
+    PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY
+    DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+    PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+    CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+    OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+    DAMAGE."""
+
+
+def _bsd(clauses: int) -> list[str]:
+    """The text with numbered clauses, with marks and with letters."""
+    marks = [["1.", "2.", "3."], ["*", "*", "*"], ["(1)", "(2)", "(3)"], ["a.", "b.", "c."], ["i.", "ii.", "iii."]]
+    given = [[f"{mark} {text}" for mark, text in zip(m, _BSD_CLAUSES[:clauses])] for m in marks]
+    return ["\n\n".join([_BSD_HEAD, *each, _BSD_TAIL]) for each in given]
+
+
+#: Whole texts of short licences: titles that they come with, and bodies. Each body is known without a title as well.
+TEXTS = {
+    "MIT": (["MIT License", "The MIT License", "The MIT License (MIT)"], [_MIT]),
+    "ISC": (["ISC License", "The ISC License"], [_ISC, _ISC_AUTHORS]),
+    "0BSD": (["Zero-Clause BSD", "BSD Zero Clause License", "Zero Clause BSD License", "0BSD"], [_0BSD, _0BSD_AUTHORS]),
+    "BSD-2-Clause": (
+        ["BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License", "BSD License"],
+        _bsd(2),
+    ),
+    "BSD-3-Clause": (
+        [
+            "BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License",
+            "Modified BSD License", "BSD License",
+        ],
+        _bsd(3),
+    ),
+    "Zlib": (["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"], [_ZLIB]),
+    "Unlicense": (
+        ["The Unlicense", "Unlicense"],
+        [_UNLICENSE, _UNLICENSE.replace("http:", "https:"), _UNLICENSE.replace("<http://unlicense.org/>", "<https://unlicense.org>")],
+    ),
+    "BSL-1.0": (["Boost Software License - Version 1.0 - August 17th, 2003", "Boost Software License 1.0"], [_BSL]),
+}
+
+#: Names that notices call a licence by.
+NAMES = {
+    "MIT": ["the MIT License", "the MIT license (MIT)", "MIT"],
+    "ISC": ["the ISC License"],
+    "0BSD": ["the Zero-Clause BSD License", "the BSD Zero Clause License"],
+    "Zlib": ["the zlib License"],
+    "Unlicense": ["the Unlicense"],
+    "BSL-1.0": ["the Boost Software License, Version 1.0", "the Boost Software License 1.0"],
+    "CC0-1.0": ["CC0 1.0", "CC0", "CC0 1.0 Universal", "the Creative Commons CC0 1.0 Universal License"],
+    **{f"BSD-{n}-Clause": [f"the BSD {n}-Clause License", f"the {n}-Clause BSD License"] for n in (2, 3, 4)},
+    **{f"Apache-{v}": [f"the Apache License, Version {v}", f"the Apache License {v}", f"Apache {v}"] for v in ("1.0", "1.1", "2.0")},
+    **{
+        f"MPL-{v}": [f"the Mozilla Public License, Version {v}", f"the Mozilla Public License, v. {v}", f"the Mozilla Public License {v}"]
+        for v in ("1.0", "1.1", "2.0")
+    },
+    **{f"EPL-{v}": [f"the Eclipse Public License, Version {v}", f"the Eclipse Public License {v}"] for v in ("1.0", "2.0")},
+    **{
+        f"{short}-{v if '.' in v else v + '.0'}{suffix}": [
+            form.format(name=name, short=short, v=v, later=later)
+            for form in ("the GNU {name}, version {v}{later}", "the GNU {name} v{v}{later}", "the GNU {short} v{v}{later}", "the {short} v{v}{later}")
+            for later in laters
+        ]
+        for short, name, versions in [
+            ("GPL", "General Public License", "1 2 3"), ("LGPL", "Lesser General Public License", "2.1 3"),
+            ("LGPL", "Library General Public License", "2"), ("AGPL", "Affero General Public License", "3"),
+            ("GFDL", "Free Documentation License", "1.1 1.2 1.3"),
+        ]
+        for v in versions.split()
+        for suffix, laters in [("", [""]), ("-or-later", [" or later", " or any later version"])]
+    },
+    **{
+        f"CC-{kind}-{v}": [
+            f"CC {kind} {v}", f"a Creative Commons {name} {v} {scope} License", f"the Creative Commons {name} {v} {scope} License",
+            f"Creative Commons {name} {v} {scope}", f"Creative Commons {name} {v}",
+        ]
+        for kind, name in [
+            ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+            ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        ]
+        for v, scope in [("1.0", "Generic"), ("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International")]
+    },
+}
+OPENINGS = [
+    "Licensed under", "Released under", "Distributed under", "Available under", "License:",
+    *[f"This {what} is {how} under" for what in ("work", "program", "library", "software", "project", "file", "code", "document") for how in ("licensed", "released", "distributed")],
+]
+
+
+def _known() -> dict[str, list[str]]:
+    known = {name: list(texts) for name, texts in LISTED.items()}
+    for name, (titles, bodies) in TEXTS.items():
+        known.setdefault(name, []).extend(f"{title}\n\n{body}" for title in ["", *titles] for body in bodies)
+    for name, names in NAMES.items():
+        known.setdefault(name, []).extend(f"{opening} {called}." for opening in OPENINGS for called in names)
+        known[name].append(f"SPDX-License-Identifier: {name}")
+    return known
+
+
+#: Known licence texts and notices.
+KNOWN = _known()
+#: SHA-256 of the canonical forms of long licences, whole and up to the end of their terms.
+LONG = {
+    "036b5ff6d47b44974c624da95e5bf0ac7ddfe5030e41dfa7ff8ac0c1daa9f32b": "Apache-2.0",
+    "6aa661403864282a4d084f1551e8149a5f1a7b5e8b05b6db8e1a8a28d0badc64": "Apache-2.0",
+    "f70a2718f78121f2da77cd6afbffffbd668d7c1fd36c85a3ef121e83cb5f48fe": "Apache-2.0",
+    "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702": "Artistic-1.0-Perl",
+    "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f": "CC0-1.0",
+    "15f6a8d360ffdecc988c29279c00f23e20de17f14f2a06572ab0d41de6e98b7b": "GFDL-1.2",
+    "2d36daeff2ad303badb6dee8149748be25e22974dd468e1e8a55cf40f16fc01d": "GFDL-1.3",
+    "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc": "GPL-1.0",
+    "89f75ffda938e788be38679f9f83e317c2a03398fccf03ee60505d44d1bf9f70": "GPL-1.0",
+    "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224": "GPL-1.0",
+    "6d332dc4c3c5293a73c6c9da402f9bbc970b3bb1eb472f577e00580573469808": "GPL-2.0",
+    "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34": "GPL-2.0",
+    "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821": "GPL-2.0",
+    "092a7f3b82e6c22949b46388bca99e725b6e756f1c2b1e3f575447fbd44b6191": "GPL-3.0",
+    "ac6b52d57c0104e687039148f7b8e370e04c9bb5705bb786f8ef814eb65e8636": "GPL-3.0",
+    "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a": "GPL-3.0",
+    "430627da7218a92ab4a6d75d5140cdb70ee750be7a53f913299b37e0d1b0eea2": "LGPL-2.0",
+    "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260": "LGPL-2.0",
+    "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908": "LGPL-2.0",
+    "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4": "LGPL-2.1",
+    "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891": "LGPL-2.1",
+    "bf2f0c6bf1c47b3b1e3cbedeefecddd1e7db21d1919858d45c2f918efaf426df": "LGPL-2.1",
+    "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be": "LGPL-3.0",
+    "cbbde7eeab9b4d180dc00b34252f800e97fb1cddbab38ed8c0c73b956dc2cbf6": "MPL-1.1",
+    "6fedd8db6adb0e102fc0f69b9e1501d2edaf25940e34910831cab46f9f5d4e4d": "MPL-2.0",
+}
+
 
 def spelled(words):
     for given, kept in SPELLINGS:
@@ -125,7 +326,10 @@ def known_digests(spark, known: dict[str, list[str]] = KNOWN) -> DataFrame:
     rows = [(name, text) for name, texts in known.items() for text in texts]
     forms = F.explode(whole(canonical_lines(F.col("text")))).alias("form")
     frame = spark.createDataFrame(rows, "licence string, text string").select("licence", forms).where("form <> ''")
-    return frame.select("licence", F.sha2("form", 256).alias("digest")).distinct()
+    frame = frame.select("licence", F.sha2("form", 256).alias("digest"))
+    if known is KNOWN:
+        frame = frame.unionByName(spark.createDataFrame([(d, n) for d, n in LONG.items()], "digest string, licence string"))
+    return frame.distinct()
 
 
 def scan(docs: DataFrame, known: dict[str, list[str]] = KNOWN, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -158,7 +362,7 @@ def _sql() -> str:
     lines = f"list_transform(string_split(text, chr(10)), lambda l: {canonical('l', lower)})"
     entire = "array_to_string(list_filter(lines, lambda l: l <> ''), ' ')"
     values = ", ".join(
-        "('{}', '{}')".format(name, text.replace("'", "''")) for name, texts in KNOWN.items() for text in texts
+        "('{}', '{}')".format(name, text.replace("'", "''")) for name, texts in LISTED.items() for text in texts
     )
     return f"""
 WITH given(licence, text) AS (VALUES {values}),
