@@ -15,8 +15,8 @@ gives all shingles that may be common, then those are counted in all documents.
 sample number. For the weight that most shingles have, the outcome is a table as well.
 
 *Skew.* Exact copies share a node. In a bucket every node is held against the bucket's smallest one by the share of
-equal samples, not against all others; those below ``LOOSE`` go on to a smaller bucket of the next round, until none
-is left. What hangs together this way is a candidate component. In each, nodes are verified against its smallest
+equal samples; only those below ``LOOSE`` are held against all others of the bucket, in blocks of about ``SIDE`` nodes
+a side inside tasks. So no pair that shares a band is passed over. What hangs together this way is a candidate component. In each, nodes are verified against its smallest
 node first. Only those that fail are compared with all nodes of their component, in blocks of about ``SIDE`` nodes
 a side, as matrix products inside tasks that return a spanning set of the links that they find.
 
@@ -44,7 +44,6 @@ BANDS, ROWS = 16, 4
 COMMON = 0.01
 LOOSE = 0.4
 SIDE = 256
-REFINED, PIVOTS = 2, 256
 SLOTS = 1 << 21
 BATCH = 128
 TOP_WEIGHT = 1.5
@@ -228,13 +227,27 @@ def make_nodes(drawn: DataFrame) -> DataFrame:
     return merged.join(named, "digest").select("node", "digest", "first_id", "bands", "short")
 
 
+def bucket_blocks(some: DataFrame, others: DataFrame, sizes: DataFrame) -> DataFrame:
+    """bucket, i, j, left, node: blocks of about ``SIDE`` a side that hold ``some`` of a bucket's nodes against the ``others``.
+
+    ``sizes`` has bucket and its number of others; some and others have bucket and node, and may have nodes in common.
+    """
+    blocks = (
+        some.groupBy("bucket").agg(F.count("*").alias("some")).join(sizes, "bucket")
+        .select("bucket", F.ceil(F.col("some") / SIDE).alias("lefts"), F.ceil(F.col("others") / SIDE).alias("rights"))
+    )
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    lefts = some.join(blocks, "bucket").select("bucket", "node", place("lefts").alias("i"), every("rights").alias("j"), F.lit(True).alias("left"))
+    rights = others.join(blocks, "bucket").select("bucket", "node", every("lefts").alias("i"), place("rights").alias("j"), F.lit(False).alias("left"))
+    return lefts.unionByName(rights)
+
+
 def candidate_edges(nodes: DataFrame) -> DataFrame:
-    """a, b: nodes of a bucket with one of the bucket's pivots, where enough of their samples are equal.
+    """a, b: nodes that share a bucket and enough samples; they connect what all such pairs connect.
 
-    A bucket's pivot is its smallest node. Nodes that are not close to it go on to the next round. In the first rounds,
-    ``REFINED`` of them, they are dealt anew, to buckets of nodes that share one more band: documents that only have a common passage
-    part there, and similar ones share further bands. What is left after that stays in its bucket, and each round takes four times
-    as many pivots, up to ``PIVOTS``, until no node is left.
+    A bucket's pivot is its smallest node. Nodes that are close to it hang together by it. Each of the rest is compared with all nodes
+    of the bucket but the pivot, in blocks inside tasks that return a spanning set of the pairs that they find.
     """
 
     def compare(batches):
@@ -249,44 +262,52 @@ def candidate_edges(nodes: DataFrame) -> DataFrame:
 
     members = nodes.select("node", F.explode("bands").alias("bucket"))
     short = nodes.select("node", "short")
-    edges, pivots, refined = None, 1, 0
-    while True:
-        shared = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-        if pivots == 1:
-            chosen = shared
-        else:
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("node"))
-            chosen = members.withColumn("rank", rank).where(F.col("rank") <= pivots)
-            chosen = chosen.join(shared.select("bucket"), "bucket").select("bucket", F.col("node").alias("a"))
-        paired = members.join(chosen.select("bucket", "a"), "bucket").where("node > a")
-        paired = stored(paired.select("bucket", F.col("node").alias("b"), "a"), "bucket-pairs")
-        pairs = (
-            paired.select("a", "b")
-            .distinct()
-            .join(short.withColumnsRenamed({"node": "b", "short": "right"}), "b")
-            .join(short.withColumnsRenamed({"node": "a", "short": "left"}), "a")
-            .select("b", "a", "left", "right")
+    shared = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
+    paired = members.join(shared, "bucket").where("node > a").select("bucket", F.col("node").alias("b"), "a", "n")
+    paired = stored(paired, "bucket-pairs")
+    pairs = (
+        paired.select("a", "b")
+        .distinct()
+        .join(short.withColumnsRenamed({"node": "b", "short": "right"}), "b")
+        .join(short.withColumnsRenamed({"node": "a", "short": "left"}), "a")
+        .select("b", "a", "left", "right")
+    )
+    judged = stored(pairs.mapInArrow(compare, "b long, a long, close boolean"), "bucket-judged")
+    star = judged.where("close").select("a", "b")
+    apart = paired.where("n > 2").join(judged.where(~F.col("close")), ["a", "b"])
+    apart = stored(apart.select("bucket", F.col("b").alias("node"), "n"), "bucket-left")
+    sizes = apart.select("bucket", (F.col("n") - 1).alias("others")).distinct()
+    rows = bucket_blocks(apart.select("bucket", "node"), paired.where("n > 2").select("bucket", F.col("b").alias("node")), sizes)
+    rows = rows.join(short, "node").select("bucket", "i", "j", "left", "node", "short")
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def block(held):
+        a, b = ([n for *_, side, n, _ in held if side == left] for left in (True, False))
+        if not a or not b:
+            return []
+        one, other = (
+            np.frombuffer(b"".join(s for *_, side, _, s in held if side == left), np.uint16).reshape(-1, BANDS * ROWS)
+            for left in (True, False)
         )
-        judged = stored(pairs.mapInArrow(compare, "b long, a long, close boolean"), "bucket-judged")
-        found = judged.where("close").select("a", "b")
-        edges = found if edges is None else edges.unionByName(found)
-        # a pivot has been held against all nodes after it; of the others, those close to no pivot are left
-        left = paired.join(judged, ["a", "b"]).groupBy("bucket", F.col("b").alias("node"))
-        left = left.agg(F.count("*").alias("held"), F.max("close").alias("close"))
-        left = stored(left.where((F.col("held") == pivots) & ~F.col("close")).select("node", "bucket"), "bucket-left")
-        if left.isEmpty():
-            return edges
-        if refined < REFINED:
-            refined += 1
-            known = paths if refined > 1 else left.select("bucket", F.array("bucket").alias("path")).distinct()
-            paths = left.join(known, "bucket").join(nodes.select("node", "bands"), "node")
-            paths = paths.select("node", "path", F.explode("bands").alias("band"))
-            paths = paths.where(~F.array_contains("path", F.col("band")))
-            paths = paths.select("node", F.array_sort(F.array_append("path", F.col("band"))).alias("path")).distinct()
-            paths = stored(paths.select("node", F.xxhash64("path").alias("bucket"), "path"), "bucket-paths")
-            members, paths = paths.select("node", "bucket"), paths.select("bucket", "path").distinct()
-        else:
-            members, pivots = left, min(4 * pivots, PIVOTS)
+        equal = np.zeros((len(a), len(b)), np.uint8)
+        for k in range(BANDS * ROWS):
+            equal += one[:, k, None] == other[None, :, k]
+        return spanning((a[i], b[j]) for i, j in zip(*np.nonzero(equal >= LOOSE * BANDS * ROWS)) if a[i] != b[j])
+
+    def grouped(batches):
+        held, last = [], None
+        for batch in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:3] != last and held:
+                    out += block(held)
+                    held = []
+                last = row[:3]
+                held.append(row)
+            yield _edges(out)
+        yield _edges(block(held) if held else [])
+
+    return star.unionByName(stored(rows.mapInArrow(grouped, "a long, b long"), "bucket-links"))
 
 
 def elements(text: str, weights: Weights) -> tuple[np.ndarray, np.ndarray]:

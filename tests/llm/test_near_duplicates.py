@@ -166,3 +166,18 @@ def test_components_match_a_search(spark):
             todo += [m for m in near[todo.pop()] if m not in seen and not seen.add(m)]
         assert got[start] == min(seen)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_pairs_that_share_one_band_of_a_mixed_bucket_are_compared(spark, monkeypatch):
+    """A hot bucket of unlike nodes, with planted copies that share no other band; also more nodes than a block holds."""
+    monkeypatch.setattr(nd, "SIDE", 16)
+    draw = np.random.default_rng(3)
+    rows, copies = [], []
+    for node in range(300):
+        short = draw.integers(0, 1 << 16, nd.BANDS * nd.ROWS).astype(np.uint16)
+        if node % 10 == 9:  # near the one before
+            short[:48] = np.frombuffer(rows[-1][2], np.uint16)[:48]
+            copies.append((node - 1, node))
+        rows.append((node, [7, *(1000 + node * nd.BANDS + k for k in range(1, nd.BANDS))], short.tobytes()))
+    found = nd.candidate_edges(spark.createDataFrame(rows, "node long, bands array<long>, short binary"))
+    assert sorted({(min(r), max(r)) for r in found.collect()}) == copies
