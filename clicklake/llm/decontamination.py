@@ -5,7 +5,8 @@ similarity, so items are partitioned by size into classes that double (8, 16, 32
 seen through windows of each class: two blocks of the class's size, one block apart, so that some window holds any
 passage of that size whole. An item and the window around it then have similar sizes, and its containment bounds
 their Jaccard similarity from below by about 0.2. ``FUNCTIONS`` MinHash values, each a band of its own, make a
-pair with 0.2 a candidate but for one in a million. Candidates are verified by exact containment: the share of the item's
+pair with 0.2 a candidate but for one in a million. Items of fewer than ``FEW`` shingles are too small for even the smallest
+window, so they are looked up by their shingle hashes themselves, and none is missed. Candidates are verified by exact containment: the share of the item's
 distinct shingles, as words, that the document holds.
 
 The search is one pass over the documents without a shuffle. Items travel with the tasks in blocks of at most about
@@ -29,6 +30,7 @@ THRESHOLD = 0.8
 FUNCTIONS = 64
 ITEM_BLOCK = 20_000
 BASE = 8
+FEW = 4
 _draw = np.random.default_rng(8_241_733)
 FACTORS = _draw.integers(0, 1 << 31, FUNCTIONS, np.uint32) * np.uint32(2) + np.uint32(1)
 SHIFTS = _draw.integers(0, 1 << 32, FUNCTIONS, np.uint32)
@@ -50,7 +52,7 @@ class ItemIndex:
         hashes = []
         for i, text in enumerate(texts):
             hashes.append(shingle_hashes(word_hashes(text, known)).astype(np.uint32))
-            if count := len(hashes[-1]):
+            if (count := len(hashes[-1])) >= FEW:
                 sizes.setdefault(max(BASE, 1 << count.bit_length()), []).append(i)
         bits = max(16, 4 + len(texts).bit_length())
         self.classes = []
@@ -64,11 +66,21 @@ class ItemIndex:
                 tables.append((least[order], np.array(items, np.int32)[order], seen))
             self.classes.append((size, tables))
         self.bits = np.uint32(32 - bits)
+        few = [(h, i) for i, hs in enumerate(hashes) if len(hs) < FEW for h in hs]
+        order = np.argsort(np.array([h for h, _ in few], np.uint32), kind="stable")
+        self.few = np.array([h for h, _ in few], np.uint32)[order]
+        self.few_items = np.array([i for _, i in few], np.int32)[order]
 
     def candidates(self, hashes: list[np.ndarray]) -> set[tuple[int, int]]:
         """Pairs of a document's place in the list and an item's."""
         found: set[tuple[int, int]] = set()
         held = [(d, h) for d, h in enumerate(hashes) if len(h)]
+        if held and len(self.few):
+            flat = np.concatenate([h for _, h in held]).astype(np.uint32)
+            owner = np.repeat([d for d, _ in held], [len(h) for _, h in held])
+            left, right = (np.searchsorted(self.few, flat, side) for side in ("left", "right"))
+            for hit in np.flatnonzero(left < right):
+                found.update((int(owner[hit]), int(item)) for item in self.few_items[left[hit] : right[hit]])
         if not held or not self.classes:
             return found
         counts = np.array([len(h) for _, h in held])

@@ -73,3 +73,9 @@ def test_remove_keeps_clean_rows_with_all_columns(spark):
     got = d.remove(docs, spark.createDataFrame([(1, item), (2, None)], ITEMS))
     assert got.schema == docs.schema
     assert as_rows(got) == as_rows(docs.where("doc_id in (1, 2, 3, 5)"))
+
+
+def test_items_of_few_words_are_never_missed():
+    items = [" ".join(words(5 + n % 2, 50_000 + n)) for n in range(2000)]
+    texts = [" ".join([item, *words(24, n)]) for n, item in enumerate(items)]
+    assert [p[:2] for p in d.ItemIndex(items).matches(texts, d.THRESHOLD)] == [(n, n) for n in range(2000)]
