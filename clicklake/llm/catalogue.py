@@ -3,6 +3,7 @@
 from clicklake.llm import (
     block_search,
     decontamination,
+    fill_in_middle,
     licences,
     mixing,
     near_duplicates,
@@ -24,10 +25,12 @@ QUERIES = {
     "op8_near_duplicates": near_duplicates.op8_near_duplicates,
     "op9_block_search": block_search.op9_block_search,
     "op10_token_files": token_files.op10_token_files,
+    "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
 }
 
 ORACLES = {
     "op1_url_filters": url_rules.SQL,
     "op5_licences": licences.SQL,
     "op9_block_search": block_search.SQL,
+    "op12_fill_in_middle": fill_in_middle.SQL,
 }

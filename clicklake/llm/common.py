@@ -8,6 +8,8 @@ import types
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,3 +86,31 @@ def slices(batches: Iterable, rows: int) -> Iterator:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a string column one after the other, nulls as empty, and each text's first place (and the end)."""
+    column = pc.fill_null(column, "") if column.null_count else column
+    wide = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, places, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    offsets = np.frombuffer(places, wide, len(column) + 1, column.offset * np.dtype(wide).itemsize).astype(np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def text_column(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The string column of such bytes, without copying them."""
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
+
+
+def byte_slices(batches: Iterable, place: int, rows: int, size: int) -> Iterator:
+    """Arrow record batches of at most ``rows`` rows and about ``size`` bytes of text in column ``place``, one row at least."""
+    for batch in batches:
+        ends = text_bytes(batch.column(place))[1][1:]
+        start = 0
+        while start < batch.num_rows:
+            upto = int(ends[start - 1] if start else 0) + size
+            stop = min(start + rows, max(start + 1, int(np.searchsorted(ends, upto, "right"))))
+            yield batch.slice(start, stop - start)
+            start = stop

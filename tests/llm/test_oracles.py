@@ -35,5 +35,5 @@ def test_query_matches_its_oracle(spark, engine, name):
 def test_all_queries_are_registered():
     registered = entry_points.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered)
-    assert {name.partition("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.partition("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLES) <= set(entry_points.oracle_sql())
