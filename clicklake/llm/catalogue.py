@@ -4,6 +4,7 @@ from clicklake.llm import (
     block_search,
     decontamination,
     fill_in_middle,
+    language_id,
     licences,
     mixing,
     near_duplicates,
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_near_duplicates": near_duplicates.op8_near_duplicates,
     "op9_block_search": block_search.op9_block_search,
     "op10_token_files": token_files.op10_token_files,
+    "op11_language_id": language_id.op11_language_id,
     "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
 }
 
@@ -32,5 +34,6 @@ ORACLES = {
     "op1_url_filters": url_rules.SQL,
     "op5_licences": licences.SQL,
     "op9_block_search": block_search.SQL,
+    "op11_language_id": language_id.op11_language_id,
     "op12_fill_in_middle": fill_in_middle.SQL,
 }
