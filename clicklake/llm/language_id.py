@@ -226,17 +226,18 @@ def fold(key):
 def train(docs: DataFrame, limit: int = LABELLED, families: dict[str, list[str]] = FAMILIES) -> Model:
     """Fits on at most ``limit`` documents with a language that are not held out, drawn by a hash, languages in turn."""
     known = (F.col("lang") != "") & (fold(F.col("doc_id")) != 2)
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    drawn = (
-        docs.where(known).select("doc_id", "lang").withColumn("turn", turn).where(F.col("turn") <= limit)
-        .orderBy("turn", F.xxhash64("lang")).limit(limit)
-        .select(F.col("doc_id").alias("id"), F.col("lang").alias("language")).distinct()
-    )
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 1).alias("place")
+    rows = docs.where(known).select("lang", "text", place)
+    # of a language with n documents, about 4 * limit are ranked, whatever n is: those below that share of all hashes
+    upto = F.greatest(F.min("place"), (F.least(F.lit(4.0 * limit) / F.count("*"), F.lit(1.0)) * float((1 << 63) - 1024)).cast("long")).alias("upto")
+    shares = rows.groupBy(F.col("lang").alias("language")).agg(upto)
+    few = rows.join(shares, F.col("lang") == F.col("language")).where("place <= upto").select("language", "place").distinct()
+    turn = F.row_number().over(Window.partitionBy("language").orderBy("place"))
+    drawn = few.withColumn("turn", turn).orderBy("turn", F.xxhash64("language")).limit(limit)
+    drawn = drawn.select("language", F.col("place").alias("spot"))
     rows = (
-        docs.where(known).select("doc_id", "lang", "text")
-        .join(F.broadcast(drawn), (F.col("lang") == F.col("language")) & F.col("doc_id").eqNullSafe(F.col("id")))
-        .select("lang", "text", F.xxhash64("doc_id", "text").alias("order"))
-        .orderBy("order", "lang").limit(limit).toArrow()
+        rows.join(F.broadcast(drawn), (F.col("lang") == F.col("language")) & (F.col("place") == F.col("spot")))
+        .select("lang", "text", "place").orderBy("place", "lang").limit(limit).toArrow()
     )
     return fit(rows["text"].to_pylist(), rows["lang"].to_pylist(), families)
 
