@@ -1,27 +1,27 @@
 """Token files: documents as token ids in Arrow streams of fixed-size lists.
 
 A file holds two columns, ``ids`` and ``mask``, each a list of ``length`` values in every row: the ids of its
-documents one after the other, cut into sequences of equal length. The mask is true where there is an id and
-false in the padding of the last sequence. Every record batch but the last has ``batch`` sequences, so all of them take
-the same number of bytes, and sequence *i* is found by arithmetic in a memory map, without copying (``TokenFile``).
-Ids are 16-bit where the vocabulary allows it. Beside each file lies a ``docs`` stream: a row for each document,
-with its key and its number of ids.
+documents one after the other, cut into sequences of equal length. The mask is a byte for each place: 1 where there is an id,
+0 in the padding of the last sequence. Every record batch but the last has ``batch`` sequences, so all of them take
+the same number of bytes, and sequence *i* is found by arithmetic; in a memory map, both columns are views of the file
+(``TokenFile``). Ids are 16-bit where the vocabulary allows it. Beside each file lies a ``docs`` stream: a row for each
+document, with its key and its number of ids. A file is closed once it holds ``roll`` ids; a document lies in one file.
 
-Documents are dealt by ranges of their key, so files in order of their number hold documents in order of key. A
+Documents are dealt by ranges of their key, so files in order of part and number hold documents in order of key. A
 task writes under a name of its own attempt and reports it; the stored manifest lists what the successful
 attempts wrote, so a lost executor or a second attempt leaves no trace in the result.
 
+Texts are encoded by the tokenizers library with its default settings, each distinct piece once in a task (``pieces``).
+
 Defined cases: a null or empty text has no ids but the closing one; rows that share a key are all written, in
-order of a hash of their text; a null key comes first; a text of any length is encoded whole; an empty table gives no file;
-columns beside key and text are not read.
+order of a hash of their text; a null key comes first; a text of any length is encoded whole; the string of a special token
+gives what the library makes of it; an empty table gives no file; columns beside key and text are not read.
 """
 
 from __future__ import annotations
 
-import os
 import zlib
-from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,84 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicklake.llm.common import scratch_path, slices, stored, table, worker_cache
+from clicklake.llm.common import byte_slices, scratch_path, stored, table
+from clicklake.llm.pieces import PieceIds
 
 LENGTH = 2048
 BATCH = 32
-#: Characters that the tokenizer's pattern splits from a word in front of them.
-MARKS = ".,;:!?|%&*#$"
-#: Letters below this one are letters for every version of Unicode.
-PLAIN = "ɐ"
-
-
-class Encoder:
-    """Texts to ids by the tokenizers library, which sees each distinct blank-separated piece once.
-
-    The tokenizer's pattern always splits in front of a blank that a non-space follows, so a text may be encoded piece by
-    piece. Texts with a blank before other white space, or at their end, are encoded whole. Two generations of
-    at most ``limit`` pieces are remembered.
-    """
-
-    limit = 500_000
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.pieces: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
-        self.marks: dict[str, bytes] = {}
-
-    def _encode(self, texts: Sequence[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
-        return [array(self.code, e.ids).tobytes() for e in found]
-
-    def _learn(self, missing: set[str]) -> None:
-        if len(self.pieces) + len(missing) > self.limit:
-            self.older, self.pieces = self.pieces, {}
-        parts, words, marks = {}, {}, {}
-        for piece in missing:
-            if piece in self.older:
-                self.pieces[piece] = self.older[piece]
-                continue
-            if not piece or piece[0].isspace():
-                self.pieces[piece] = None
-                continue
-            stem = piece.rstrip(MARKS)
-            if not (stem and stem.isalpha() and max(stem) < PLAIN):
-                stem = piece
-            parts[piece] = stem, piece[len(stem) :]
-            if stem not in self.pieces:
-                words[stem] = None
-            if len(stem) < len(piece) and piece[len(stem) :] not in self.marks:
-                marks[piece[len(stem) :]] = None
-        self.pieces.update(zip(words, self._encode([f" {w}" for w in words])))
-        self.marks.update(zip(marks, self._encode(list(marks))))
-        for piece, (stem, tail) in parts.items():
-            if tail:
-                self.pieces[piece] = self.pieces[stem] + self.marks[tail]
-
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        """The ids of each text as bytes."""
-        split = [(t or "").split(" ") for t in texts]
-        missing = set().union(*(s[1:] for s in split)).difference(self.pieces)
-        before = self.pieces
-        self._learn(missing)
-        if self.pieces is not before:
-            self._learn(set().union(*(s[1:] for s in split)).difference(self.pieces))
-        if len(self.marks) > self.limit:
-            self.marks = {}
-        heads = self._encode([s[0] for s in split])
-        out: list[bytes] = []
-        for text, head, rest in zip(texts, heads, split):
-            try:
-                out.append(head + b"".join(map(self.pieces.__getitem__, rest[1:])))
-            except TypeError:  # a piece that must not be encoded alone
-                out += self._encode([text])
-        return out
+ROLL = 1 << 26
+ROWS, SIZE = 4096, 1 << 20
 
 
 def _open(uri: str):
@@ -116,122 +45,122 @@ def _open(uri: str):
 
 
 class Writer:
-    """Appends documents to one token file."""
+    """Appends documents to one token file and the list of its documents."""
 
-    def __init__(self, ids_sink, docs_sink, kind: pa.DataType, width: type, length: int, batch: int):
-        self.length, self.batch, self.width = length, batch, width
+    def __init__(self, uri: str, kind: pa.DataType, width: type, length: int, batch: int):
+        filesystem, path = _open(uri)
+        filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        self.uri, self.length, self.batch, self.width = uri, length, batch, width
+        self.sinks = [filesystem.open_output_stream(f"{path}.{name}.arrow") for name in ("ids", "docs")]
         item = pa.from_numpy_dtype(width)
-        self.schema = pa.schema([("ids", pa.list_(item, length)), ("mask", pa.list_(pa.bool_(), length))])
-        self.ids = pa.ipc.new_stream(ids_sink, self.schema)
+        self.schema = pa.schema([("ids", pa.list_(item, length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.ids = pa.ipc.new_stream(self.sinks[0], self.schema)
         self.docs_schema = pa.schema([("key", kind), ("tokens", pa.int64())])
-        self.docs = pa.ipc.new_stream(docs_sink, self.docs_schema)
-        self.held: list[bytes] = []
-        self.size = self.tokens = self.sequences = self.documents = 0
-
-    def add(self, keys: pa.Array, encoded: Sequence[bytes]) -> None:
-        each = np.dtype(self.width).itemsize
-        self.held += encoded
-        counts = np.array([len(e) // each for e in encoded], np.int64)
+        self.docs = pa.ipc.new_stream(self.sinks[1], self.docs_schema)
+        self.held = np.zeros(0, width)
+        self.tokens = self.sequences = self.documents = 0
+
+    def add(self, keys: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
         self.docs.write_batch(pa.RecordBatch.from_arrays([keys, pa.array(counts)], schema=self.docs_schema))
-        self.size += int(counts.sum())
-        self.tokens += int(counts.sum())
+        self.tokens += len(ids)
         self.documents += len(counts)
-        if self.size >= self.length * self.batch:
+        self.held = np.concatenate([self.held, ids.astype(self.width)])
+        if len(self.held) >= self.length * self.batch:
             self._flush(False)
 
     def _flush(self, last: bool) -> None:
-        ids = np.frombuffer(b"".join(self.held), self.width)
         step = self.length * self.batch
-        full = len(ids) if last else len(ids) // step * step
+        full = len(self.held) if last else len(self.held) // step * step
         for start in range(0, full, step):
-            part = ids[start : min(start + step, full)]
+            part = self.held[start : min(start + step, full)]
             rows = -(-len(part) // self.length)
             padded = np.zeros(rows * self.length, self.width)
             padded[: len(part)] = part
-            mask = np.arange(len(padded)) < len(part)
-            columns = [pa.array(padded), pa.array(mask)]
-            lists = [pa.FixedSizeListArray.from_arrays(c, type=f.type) for c, f in zip(columns, self.schema)]
+            mask = (np.arange(len(padded)) < len(part)).view(np.uint8)
+            lists = [pa.FixedSizeListArray.from_arrays(pa.array(c), type=f.type) for c, f in zip((padded, mask), self.schema)]
             self.ids.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
             self.sequences += rows
-        self.held, self.size = [ids[full:].tobytes()], len(ids) - full
+        self.held = self.held[full:]
 
-    def close(self) -> None:
+    def close(self) -> pa.RecordBatch:
+        """Ends the file; its line of the manifest, but for part and number."""
         self._flush(True)
         self.ids.close()
         self.docs.close()
+        for sink in self.sinks:
+            sink.close()
+        values = [self.uri, self.documents, self.tokens, self.sequences]
+        return dict(zip(["file", "documents", "tokens", "sequences"], values))
 
 
 class TokenFile:
-    """Random access to the sequences of a token file, without copying them."""
+    """Random access to the sequences of a token file: views of a local one's memory map, reads of one batch elsewhere."""
 
     def __init__(self, uri: str):
         filesystem, path = _open(uri)
-        source = pa.memory_map(path) if filesystem.type_name == "local" else filesystem.open_input_file(path)
-        self.buffer = source.read_buffer()
-        reader = pa.BufferReader(self.buffer)
-        self.schema = pa.ipc.read_schema(reader)
-        self.head = reader.tell()
+        self.local = filesystem.type_name == "local"
+        self.source = pa.memory_map(path) if self.local else filesystem.open_input_file(path)
+        self.buffer = self.source.read_buffer() if self.local else None
+        self.source.seek(0)
+        self.schema = pa.ipc.read_schema(self.source)
+        self.head = self.source.tell()
         self.batch = self.step = 0
-        if (first := self._read(self.head)) is not None:
-            self.batch, self.step = first[0].num_rows, first[1]
-
-    def _read(self, offset: int):
-        reader = pa.BufferReader(self.buffer.slice(offset))
         try:
-            batch = pa.ipc.read_record_batch(pa.ipc.read_message(reader), self.schema)
+            message = pa.ipc.read_message(self.source)
         except EOFError:
-            return None
-        return batch, reader.tell()
+            return
+        self.batch, self.step = pa.ipc.read_record_batch(message, self.schema).num_rows, self.source.tell() - self.head
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``; the ids are a view of the file."""
-        batch, _ = self._read(self.head + i // self.batch * self.step)
-        ids, mask = (batch.column(c)[i % self.batch].values for c in (0, 1))
-        return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+        """Ids and mask of sequence ``i``."""
+        offset = self.head + i // self.batch * self.step
+        source = self.buffer[offset : offset + self.step] if self.local else self.source.read_at(self.step, offset)
+        batch = pa.ipc.read_record_batch(pa.ipc.read_message(source), self.schema)
+        ids, mask = (batch.column(c)[i % self.batch].values.to_numpy() for c in (0, 1))
+        return ids, mask.view(bool)
 
     def batches(self) -> Iterator[np.ndarray]:
         """The ids of each record batch, without padding."""
-        reader = pa.ipc.open_stream(pa.BufferReader(self.buffer))
-        for batch in reader:
-            ids, mask = (batch.column(c).flatten() for c in (0, 1))
-            yield ids.to_numpy()[: mask.true_count]
+        self.source.seek(0)
+        for batch in pa.ipc.open_stream(self.source):
+            ids, mask = (batch.column(c).flatten().to_numpy() for c in (0, 1))
+            yield ids[: int(mask.sum())]
 
 
 def write_tokens(
     docs: DataFrame, folder: str, tokenizer: str, end: int, key: str = "doc_id", text: str = "text",
-    length: int = LENGTH, batch: int = BATCH,
+    length: int = LENGTH, batch: int = BATCH, roll: int = ROLL,
 ) -> DataFrame:
-    """Writes the token files under ``folder``; returns their manifest: part, file, docs, tokens, sequences."""
+    """Writes the token files under ``folder``; returns their manifest: part, number, file, documents, tokens, sequences."""
 
     def write(batches):
-        from pyarrow import fs
-
-        name = f"{folder}/part-{TaskContext.get().partitionId():06d}-{TaskContext.get().taskAttemptId()}"
-        cache = worker_cache("encoders")
-        encoder = cache.get(tokenizer) or cache.setdefault(tokenizer, Encoder(tokenizer))
-        width = np.dtype(encoder.code).type
-        closing = np.array([end], width).tobytes()
-        filesystem, path = _open(name)
-        writer = None
-        for rows in slices(batches, 256):
-            if writer is None:
-                filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                sinks = [filesystem.open_output_stream(f"{path}.{kind}.arrow") for kind in ("ids", "docs")]
-                writer = Writer(*sinks, rows.column(0).type, width, length, batch)
-            writer.add(rows.column(0), [e + closing for e in encoder.encode(rows.column(1).to_pylist())])
+        part = TaskContext.get().partitionId()
+        name = f"{folder}/part-{part:06d}-{TaskContext.get().taskAttemptId()}"
+        encoder = PieceIds(tokenizer)
+        width = np.uint16 if len(encoder.bytes) <= 1 << 16 else np.uint32
+        writer, number = None, 0
+
+        def line():
+            return pa.RecordBatch.from_pylist([{"part": part, "number": number, **writer.close()}])
+
+        for rows in byte_slices(batches, 1, ROWS, SIZE):
+            writer = writer or Writer(f"{name}-{number}", rows.column(0).type, width, length, batch)
+            found, counts = encoder.encode(rows.column(1))
+            ids = np.full(len(found) + len(counts), end, np.int64)
+            inner = np.ones(len(ids), bool)
+            inner[np.cumsum(counts + 1) - 1] = False
+            ids[inner] = found
+            writer.add(rows.column(0), ids, counts + 1)
+            if writer.tokens >= roll:
+                yield line()
+                writer, number = None, number + 1
         if writer is not None:
-            writer.close()
-            for sink in sinks:
-                sink.close()
-            values = [TaskContext.get().partitionId(), name, writer.documents, writer.tokens, writer.sequences]
-            yield pa.RecordBatch.from_pydict(
-                dict(zip(["part", "file", "documents", "tokens", "sequences"], [[v] for v in values]))
-            )
+            yield line()
 
     ordered = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("content"))
     ordered = ordered.repartitionByRange("key", "content").sortWithinPartitions("key", "content")
     manifest = ordered.select("key", "text").mapInArrow(
-        write, "part long, file string, documents long, tokens long, sequences long"
+        write, "part long, number long, file string, documents long, tokens long, sequences long"
     )
     return stored(manifest, "token-manifest")
 
@@ -263,7 +192,8 @@ def read_documents(manifest: DataFrame, kind: str, key: str = "doc_id") -> DataF
                 )
                 yield from out.to_batches(max_chunksize=10_000)
 
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # one short row for each file
+    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start"))
     files = files.repartition(max(1, manifest.count()))
     return files.mapInArrow(read, f"`{key}` {kind}, start long, n_tokens long, ids_crc32 long")

@@ -7,12 +7,14 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from clicklake.llm import pieces
 from clicklake.llm import token_files as tf
 from tests.llm.helpers import as_rows, documents
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
-    None, "", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "a\n \nb", "\n\n x", "a\t b", "don't can't 'll", "x<|endoftext|>y", "1 22 333",
+    None, "", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "a\n \nb", "\n\n x", "a\t b", "don't can't 'll", "x<|endoftext|>y", "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|> x",
+    "y<|endoftext|>", "a<|endoftext|>, b. <|endoftext", "1 22 333",
     "word, word. Word! (x) #$%", "é èa ñ, ß. 漢字 かな", "a b c d e　 f", "\x1c a", "a \x1cb", "²³ x² ½,", "😀 😀, é",
     "Ǆ ǅ, ʰ.", "tail \r\n", "a,b.c", "'s 't", " 's", "x 're,", "long " * 30_000, "ordinary words, as they come.\nAnd a new line.",
 ]
@@ -20,9 +22,7 @@ ODD = [
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def plain(tokenizer, text):
@@ -38,15 +38,17 @@ def expected(tokenizer, rows):
     return sorted(out, key=str)
 
 
-def test_pieces_encode_like_whole_texts(tokenizer):
+def test_pieces_encode_like_whole_texts(tokenizer, monkeypatch):
     draw = random.Random(0)
-    parts = ["a", "Word", "é", "'s", ",", ".", " ", "  ", "\n", "\t", "12", "#", " ", "漢", "don't", "ab,", "x!?"]
+    parts = ["a", "Word", "é", "'s", ",", ".", " ", "  ", "\n", "\t", "12", "#", " ", "漢", "don't", "ab,", "x!?", "<|endoftext|>", " Th", " the", "\u3000", "\x1c", "\u2028", "ab. ", "*", ";&", "“"]
     texts = ODD + ["".join(draw.choices(parts, k=draw.randint(1, 12))) for _ in range(3000)]
-    encoder = tf.Encoder(PATH)
-    encoder.limit = 300
+    monkeypatch.setattr(pieces, "LIMIT", 300)
+    monkeypatch.setattr(pieces, "CHUNK", 100)
+    encoder = pieces.PieceIds(PATH)
     for start in range(0, len(texts), 100):
         some = texts[start : start + 100]
-        got = [np.frombuffer(e, np.uint16).tolist() for e in encoder.encode(some)]
+        ids, counts = encoder.encode(pa.array(some))
+        got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
         assert got == [plain(tokenizer, t)[:-1] for t in some]
 
 
@@ -95,9 +97,22 @@ def test_sequences_have_equal_length_and_random_access(spark, tokenizer, tmp_pat
 def test_access_does_not_copy(spark, tmp_path):
     manifest = tf.write_tokens(documents(spark, "some words " * 500), f"file://{tmp_path}/t", PATH, tf.END, length=8, batch=2)
     file = tf.TokenFile(f"{manifest.first()['file']}.ids.arrow")
-    sequence, _ = file.sequence(5)
-    address = sequence.__array_interface__["data"][0]
-    assert file.buffer.address <= address < file.buffer.address + file.buffer.size
+    for view in file.sequence(5):
+        address = view.__array_interface__["data"][0]
+        assert file.buffer.address <= address < file.buffer.address + file.buffer.size
+    elsewhere = tf.TokenFile(f"{manifest.first()['file']}.ids.arrow")
+    elsewhere.local = False
+    for i in (0, 5, manifest.first()["sequences"] - 1):
+        assert all((a == b).all() for a, b in zip(file.sequence(i), elsewhere.sequence(i)))
+
+
+def test_files_are_rolled_at_a_number_of_ids(spark, tokenizer, tmp_path, monkeypatch):
+    monkeypatch.setattr(tf, "ROWS", 4)
+    texts = [f"document {i} of some words" for i in range(40)]
+    docs = documents(spark, *texts).repartition(2)
+    manifest = tf.write_tokens(docs, f"file://{tmp_path}/t", PATH, tf.END, length=8, batch=2, roll=50)
+    assert manifest.count() >= 4 and manifest.agg({"tokens": "max"}).first()[0] < 90
+    assert as_rows(tf.read_documents(manifest, "long")) == expected(tokenizer, list(enumerate(texts)))
 
 
 def test_files_of_failed_attempts_are_not_read(spark, tokenizer, tmp_path):
