@@ -10,6 +10,7 @@ from clicklake.llm import (
     near_duplicates,
     quality,
     token_files,
+    token_links,
     toxicity,
     url_rules,
     warc,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_token_files": token_files.op10_token_files,
     "op11_language_id": language_id.op11_language_id,
     "op12_fill_in_middle": fill_in_middle.op12_fill_in_middle,
+    "op13_token_links": token_links.op13_token_links,
 }
 
 ORACLES = {

@@ -88,9 +88,13 @@ class PieceTable:
     def learn(self, pieces: pa.Array) -> None:
         raise NotImplementedError
 
+    @property
+    def full(self) -> bool:
+        return len(self.known) > LIMIT or self.size > BYTES
+
     def numbers(self, data: np.ndarray, offsets: np.ndarray, whole: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The number of each piece of the texts, and each text's first piece (and the end)."""
-        if len(self.known) > LIMIT or self.size > BYTES:
+        """The number of each piece of the texts, and each text's first piece (and the end). A full table starts anew."""
+        if self.full:
             self.reset()
         starts, first = cut(data, offsets, np.zeros(len(offsets) - 1, bool) if whole is None else whole, self.marks)
         if not len(starts):
