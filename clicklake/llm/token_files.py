@@ -1,10 +1,10 @@
 """Token files: documents as token ids in Arrow streams of fixed-size lists.
 
 A file holds two columns, ``ids`` and ``mask``, each a list of ``length`` values in every row: the ids of its
-documents one after the other, cut into sequences of equal length. The mask is a byte for each place: 1 where there is an id,
-0 in the padding of the last sequence. Every record batch but the last has ``batch`` sequences, so all of them take
-the same number of bytes, and sequence *i* is found by arithmetic; in a memory map, both columns are views of the file
-(``TokenFile``). Ids are 16-bit where the vocabulary allows it. Beside each file lies a ``docs`` stream: a row for each
+documents one after the other, cut into sequences of equal length, a multiple of eight. The mask is true where there is an
+id, false in the padding of the last sequence. Every record batch but the last has ``batch`` sequences, so all of them take
+the same number of bytes, and sequence *i* is found by arithmetic; in a memory map, its ids and its mask, eight places to a byte
+as Arrow keeps them, are views of the file (``TokenFile``). A byte for each place would take half as much again as the ids. Ids are 16-bit where the vocabulary allows it. Beside each file lies a ``docs`` stream: a row for each
 document, with its key and its number of ids. A file is closed once it holds ``roll`` ids; a document lies in one file.
 
 Documents are dealt by ranges of their key, so files in order of part and number hold documents in order of key. A
@@ -48,12 +48,14 @@ class Writer:
     """Appends documents to one token file and the list of its documents."""
 
     def __init__(self, uri: str, kind: pa.DataType, width: type, length: int, batch: int):
+        if length % 8:
+            raise ValueError("the length of a sequence must be a multiple of eight")
         filesystem, path = _open(uri)
         filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
         self.uri, self.length, self.batch, self.width = uri, length, batch, width
         self.sinks = [filesystem.open_output_stream(f"{path}.{name}.arrow") for name in ("ids", "docs")]
         item = pa.from_numpy_dtype(width)
-        self.schema = pa.schema([("ids", pa.list_(item, length)), ("mask", pa.list_(pa.uint8(), length))])
+        self.schema = pa.schema([("ids", pa.list_(item, length)), ("mask", pa.list_(pa.bool_(), length))])
         self.ids = pa.ipc.new_stream(self.sinks[0], self.schema)
         self.docs_schema = pa.schema([("key", kind), ("tokens", pa.int64())])
         self.docs = pa.ipc.new_stream(self.sinks[1], self.docs_schema)
@@ -76,7 +78,7 @@ class Writer:
             rows = -(-len(part) // self.length)
             padded = np.zeros(rows * self.length, self.width)
             padded[: len(part)] = part
-            mask = (np.arange(len(padded)) < len(part)).view(np.uint8)
+            mask = np.arange(len(padded)) < len(part)
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(c), type=f.type) for c, f in zip((padded, mask), self.schema)]
             self.ids.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
             self.sequences += rows
@@ -112,19 +114,26 @@ class TokenFile:
         self.batch, self.step = pa.ipc.read_record_batch(message, self.schema).num_rows, self.source.tell() - self.head
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of sequence ``i``."""
+        """Ids of sequence ``i`` and its mask in packed bits (``unpacked`` spreads them)."""
         offset = self.head + i // self.batch * self.step
         source = self.buffer[offset : offset + self.step] if self.local else self.source.read_at(self.step, offset)
         batch = pa.ipc.read_record_batch(pa.ipc.read_message(source), self.schema)
-        ids, mask = (batch.column(c)[i % self.batch].values.to_numpy() for c in (0, 1))
-        return ids, mask.view(bool)
+        ids = batch.column(0)[i % self.batch].values.to_numpy()
+        bits = np.frombuffer(batch.column(1).values.buffers()[1], np.uint8)
+        each = len(ids) // 8
+        return ids, bits[i % self.batch * each : (i % self.batch + 1) * each]
 
     def batches(self) -> Iterator[np.ndarray]:
         """The ids of each record batch, without padding."""
         self.source.seek(0)
         for batch in pa.ipc.open_stream(self.source):
-            ids, mask = (batch.column(c).flatten().to_numpy() for c in (0, 1))
-            yield ids[: int(mask.sum())]
+            ids, mask = (batch.column(c).flatten() for c in (0, 1))
+            yield ids.to_numpy()[: mask.true_count]
+
+
+def unpacked(mask: np.ndarray) -> np.ndarray:
+    """A mask as one boolean for each place."""
+    return np.unpackbits(mask, bitorder="little").view(bool)
 
 
 def write_tokens(
