@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from clicklake.llm.common import byte_slices, mix, table, worker_cache
 
 LABELLED = 2048
+#: The most frequent languages, at most so many, are learned.
+LANGUAGES = 1000
 DIMENSIONS = 1 << 13
 ORDERS = 4
 WINDOW = 1 << 17
@@ -230,8 +232,10 @@ def train(docs: DataFrame, limit: int = LABELLED, families: dict[str, list[str]]
     rows = docs.where(known).select("lang", "text", place)
     # of a language with n documents, about 4 * limit are ranked, whatever n is: those below that share of all hashes
     upto = F.greatest(F.min("place"), (F.least(F.lit(4.0 * limit) / F.count("*"), F.lit(1.0)) * float((1 << 63) - 1024)).cast("long")).alias("upto")
-    shares = rows.groupBy(F.col("lang").alias("language")).agg(upto)
-    few = rows.join(shares, F.col("lang") == F.col("language")).where("place <= upto").select("language", "place").distinct()
+    shares = rows.groupBy(F.col("lang").alias("language")).agg(F.count("*").alias("n"), upto)
+    shares = shares.orderBy(F.desc("n"), "language").limit(LANGUAGES).select("language", "upto")
+    few = rows.join(F.broadcast(shares), F.col("lang") == F.col("language")).where("place <= upto")
+    few = few.select("language", "place").distinct()
     turn = F.row_number().over(Window.partitionBy("language").orderBy("place"))
     drawn = few.withColumn("turn", turn).orderBy("turn", F.xxhash64("language")).limit(limit)
     drawn = drawn.select("language", F.col("place").alias("spot"))
