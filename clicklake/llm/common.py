@@ -30,21 +30,35 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_often(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: int, share: int = 1000) -> DataFrame:
+    """``rows`` joined with ``facts``, which has one row for each key and how many rows have it (``weight``, of ``total``).
+
+    Keys with more than one in ``share`` of all rows are fewer than ``share``, so they are broadcast and no task gets all their rows;
+    the others are joined as usual.
+    """
+    often = F.col(weight) * share > total
+    hot = facts.where(often)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(facts.where(~often), key))
+
+
 def ascii_lower(column):
     """A-Z lower-cased; other letters stay."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def worker_cache(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, shared by its tasks."""
+    """A dictionary that its tasks share in a Python worker, until work of another name begins there."""
     holder = sys.modules.setdefault("clicklake_worker_cache", types.ModuleType("clicklake_worker_cache"))
-    return holder.__dict__.setdefault(name, {})
+    if holder.__dict__.get("name") != name:
+        holder.name, holder.held = name, {}
+    return holder.held
 
 
 class WordHashes(dict):
-    """Word -> 64-bit hash, remembered while fewer than ``limit`` words are held."""
+    """Word -> 64-bit hash, remembered while fewer than ``limit`` words are held (about 15 MB)."""
 
-    limit = 1_000_000
+    limit = 100_000
 
     def __missing__(self, word: str) -> int:
         import xxhash

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicklake.llm.common import (
-    SHINGLE, WordHashes, mix, shingle_hashes, slices, stored, table, word_hashes, worker_cache,
+    SHINGLE, WordHashes, byte_slices, join_often, mix, shingle_hashes, stored, table, word_hashes, worker_cache,
 )
 from clicklake.llm.components import components
 
@@ -46,6 +46,8 @@ LOOSE = 0.4
 SIDE = 256
 SLOTS = 1 << 21
 BATCH = 128
+#: Letters of text that a task turns into shingles at once; a longer text is taken by itself.
+SIZE = 1 << 20
 TOP_WEIGHT = 1.5
 
 _draw = np.random.default_rng(5_310_977)
@@ -134,7 +136,7 @@ def common_shingles(docs: DataFrame, documents: int) -> Weights:
 
     def guess(batches):
         held = LossyCounts(COMMON / 4)
-        for batch in slices(batches, 1024):
+        for batch in byte_slices(batches, 0, 1024, SIZE):
             held.add([shingle_set(t, _known())[0] for t in batch.column(0).to_pylist()])
         hashes, counts = held.frequent()
         for start in range(0, len(hashes), 10_000):
@@ -151,7 +153,7 @@ def common_shingles(docs: DataFrame, documents: int) -> Weights:
 
     def count(batches):
         totals = np.zeros(len(candidates), np.int64)
-        for batch in slices(batches, BATCH):
+        for batch in byte_slices(batches, 0, BATCH, SIZE):
             for text in batch.column(0).to_pylist():
                 hashes = shingle_set(text, _known())[0]
                 at = np.minimum(np.searchsorted(candidates, hashes), len(candidates) - 1)
@@ -196,7 +198,7 @@ def sketches(docs: DataFrame, weights: Weights) -> DataFrame:
     """doc_id, digest, bands and short samples (empty for a text without words): a row for each non-null text."""
 
     def draw(batches):
-        for batch in slices(batches, BATCH):
+        for batch in byte_slices(batches, 2, BATCH, SIZE):
             sets = [shingle_set(t, _known()) for t in batch.column(2).to_pylist()]
             full = [i for i, (h, _) in enumerate(sets) if len(h)]
             bands, short = [[]] * len(sets), [b""] * len(sets)
@@ -215,16 +217,17 @@ def sketches(docs: DataFrame, weights: Weights) -> DataFrame:
 
 
 def make_nodes(drawn: DataFrame) -> DataFrame:
-    """node, digest, first_id, bands, short: a row for each different text; a node is its smallest doc_id where that is its own."""
+    """node, digest, first_id, bands, short, copies: a row for each different text; a node is its smallest doc_id where that is its own."""
     merged = drawn.groupBy("digest").agg(
-        F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("short").alias("short")
+        F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("short").alias("short"),
+        F.count("*").alias("copies"),
     )
     ids = merged.select("digest", "first_id")
     hashed = F.shiftrightunsigned(F.xxhash64("digest"), 2).bitwiseOR(F.lit(1 << 62))
     turn = F.row_number().over(Window.partitionBy("first_id").orderBy("digest"))
     own = ids.where("first_id is not null").select("digest", F.when(turn == 1, F.col("first_id")).otherwise(hashed).alias("node"))
     named = own.unionByName(ids.where("first_id is null").select("digest", hashed.alias("node")))
-    return merged.join(named, "digest").select("node", "digest", "first_id", "bands", "short")
+    return merged.join(named, "digest").select("node", "digest", "first_id", "bands", "short", "copies")
 
 
 def bucket_blocks(some: DataFrame, others: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -369,47 +372,64 @@ def verified_links(labels: DataFrame, texts: DataFrame, weights: Weights) -> Dat
 
     ``labels`` has node and label (its component's smallest node), ``texts`` the text of every such node.
     """
+    sizes = stored(labels.groupBy("label").agg(F.count("*").alias("nodes")).where("nodes > 1"), "component-sizes")
+    total = labels.count()
+    sized = join_often(labels, sizes, "label", "nodes", total)
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    by = ["label", "i", "left", "node"]
+
+    # a component's nodes in parts of about SIDE, each with the smallest node in front
+    stars = sized.withColumn("parts", F.ceil(F.col("nodes") / SIDE))
+    others = stars.where("node <> label").select("label", place("parts").alias("i"), F.lit(False).alias("left"), "node")
+    bases = stars.where("node = label").select("label", every("parts").alias("i"), F.lit(True).alias("left"), "node")
+    rows = others.unionByName(bases).join(texts, "node").select(*by, "text")
+    rows = rows.repartition("label", "i").sortWithinPartitions("label", "i", F.desc("left"), "node")
 
     def star(batches):
         last, held = None, None
-        for batch in batches:
-            close = []
-            for node, text, base in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                if base != last:
-                    last, held = base, elements(base, weights)
-                close.append(similarity(held, elements(text, weights)) >= THRESHOLD)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(close)], names=["a", "b", "close"])
-
-    base = texts.select(F.col("node").alias("label"), F.col("text").alias("base"))
-    pairs = labels.where("node <> label").join(texts, "node").join(base, "label").select("label", "node", "text", "base")
-    judged = stored(pairs.mapInArrow(star, "a long, b long, close boolean"), "star-links")
+        for batch in byte_slices(batches, 4, SIDE, SIZE):
+            found = []
+            for label, i, base, node, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if base:
+                    last, held = (label, i), elements(text, weights)
+                elif last == (label, i):
+                    found.append((node, label, similarity(held, elements(text, weights)) >= THRESHOLD))
+            columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "close"])
+
+    judged = stored(rows.mapInArrow(star, "a long, b long, close boolean"), "star-links")
     links = judged.where("close").select("a", "b")
-    apart = judged.where(~F.col("close")).select(F.col("a").alias("label"), F.col("b").alias("node"))
     # a component of two is settled by its star
-    sizes = labels.groupBy("label").agg(F.count("*").alias("nodes")).where("nodes > 2")
-    blocks = (
-        apart.groupBy("label").agg(F.count("*").alias("apart")).join(sizes, "label")
-        .select("label", F.ceil(F.col("apart") / SIDE).alias("lefts"), F.ceil(F.col("nodes") / SIDE).alias("rights"))
+    large = sizes.where("nodes > 2")
+    apart = judged.where(~F.col("close")).select(F.col("a").alias("node"), F.col("b").alias("label"))
+    counted = apart.groupBy("label").agg(F.count("*").alias("apart"))
+    blocks = stored(
+        counted.join(large, "label")
+        .select("label", "nodes", "apart", F.ceil(F.col("apart") / SIDE).alias("lefts"), F.ceil(F.col("nodes") / SIDE).alias("rights")),
+        "component-blocks",
     )
-    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    lefts = apart.join(blocks, "label").select("label", "node", place("lefts").alias("i"), every("rights").alias("j"), F.lit(True).alias("left"))
-    rights = labels.join(blocks, "label").select("label", "node", every("lefts").alias("i"), place("rights").alias("j"), F.lit(False).alias("left"))
-    rows = lefts.unionByName(rights).join(texts, "node").select("label", "i", "j", "left", "node", "text")
-    rows = rows.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j", "left", "node")
+    by = ["label", "i", "j", "left", "node"]
+    lefts = join_often(apart, blocks, "label", "nodes", total)
+    lefts = lefts.select("label", place("lefts").alias("i"), every("rights").alias("j"), F.lit(True).alias("left"), "node")
+    rights = join_often(labels, blocks, "label", "nodes", total)
+    rights = rights.select("label", every("lefts").alias("i"), place("rights").alias("j"), F.lit(False).alias("left"), "node")
+    rows = lefts.unionByName(rights).join(texts, "node").select(*by, "text")
+    rows = rows.repartition("label", "i", "j").sortWithinPartitions(*by)
 
     def compare(held):
-        left = {n: elements(t, weights) for _, _, _, side, n, t in held if side}
-        right = {n: left.get(n) or elements(t, weights) for _, _, _, side, n, t in held if not side}
-        a, b = list(left), list(right)
-        if not a or not b:
-            return []
-        found = similarities(list(left.values()), list(right.values()))
-        return spanning((a[i], b[j]) for i, j in zip(*np.nonzero(found >= THRESHOLD)) if a[i] != b[j])
+        left, right = ([(n, t) for *_, side, n, t in held if side == which] for which in (True, False))
+        found = []
+        for some in portions(left):
+            one = [elements(t, weights) for _, t in some]
+            for others in portions(right):
+                close = similarities(one, [elements(t, weights) for _, t in others]) >= THRESHOLD
+                found += [(some[i][0], others[j][0]) for i, j in zip(*np.nonzero(close)) if some[i][0] != others[j][0]]
+        return spanning(found)
 
     def grouped(batches):
         held, last = [], None
-        for batch in batches:
+        for batch in byte_slices(batches, 5, SIDE, SIZE):
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[:3] != last and held:
@@ -423,6 +443,19 @@ def verified_links(labels: DataFrame, texts: DataFrame, weights: Weights) -> Dat
     return links.unionByName(rows.mapInArrow(grouped, "a long, b long"))
 
 
+def portions(nodes: list[tuple[int, str]]):
+    """The nodes in lists of texts of about ``SIZE`` letters together, one at least."""
+    held, size = [], 0
+    for node in nodes:
+        if held and size + len(node[1]) > SIZE:
+            yield held
+            held, size = [], 0
+        held.append(node)
+        size += len(node[1])
+    if held:
+        yield held
+
+
 def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
@@ -443,8 +476,9 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, digest) of all non-null texts, and (digest, label) of all different ones: texts of one class share a label."""
+def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(doc_id, digest) of all non-null texts; (digest, label, copies) of all different ones, texts of one class sharing a label;
+    and the number of documents."""
     documents = docs.count()
     weights = common_shingles(docs, documents)
     drawn = stored(sketches(docs, weights), "sketches")
@@ -454,29 +488,33 @@ def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = stored(texts_of(docs, stored(wanted, "candidates")), "candidate-texts")
     classes = components(stored(verified_links(near, texts, weights), "links"))
     label = F.coalesce("label", "node").alias("label")
-    return drawn.select("doc_id", "digest"), nodes.join(classes, "node", "left").select("digest", label)
+    labels = nodes.join(classes, "node", "left").select("digest", label, "copies")
+    return drawn.select("doc_id", "digest"), stored(labels, "text-labels"), documents
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size: a row for each document."""
-    ids, labels = text_classes(docs)
-    labelled = stored(ids.join(labels, "digest").select("doc_id", "label"), "class-members")
-    sizes = labelled.groupBy("label").agg(F.count("*").alias("class_size"))
-    out = labelled.join(sizes, "label").select("doc_id", F.col("label").alias("class_id"), "class_size")
+    ids, labels, documents = text_classes(docs)
+    sizes = labels.groupBy("label").agg(F.sum("copies").alias("class_size"))
+    sized = join_often(labels, stored(sizes, "class-sizes"), "label", "class_size", documents)
+    sized = stored(sized.select("digest", F.col("label").alias("class_id"), "class_size", "copies"), "text-classes")
+    out = join_often(ids, sized, "digest", "copies", documents).select("doc_id", "class_id", "class_size")
     alone = docs.where("text is null").select(F.col("doc_id").cast("long"))
     return out.unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
 
 
 def distinct(docs: DataFrame) -> DataFrame:
     """One document of each class, with all its columns: the one with the smallest doc_id; documents without text stay."""
-    ids, labels = text_classes(docs)
-    first = Window.partitionBy("label").orderBy(F.col("doc_id").asc_nulls_last(), "digest")
-    chosen = ids.distinct().join(labels, "digest").withColumn("turn", F.row_number().over(first)).where("turn = 1")
+    ids, labels, _ = text_classes(docs)
+    # an aggregate, not a window: each map task sends one row for each class
+    order = F.struct(F.col("first_id").isNull(), "first_id", "digest").alias("least")
+    firsts = ids.groupBy("digest").agg(F.min("doc_id").alias("first_id")).join(labels, "digest").select("label", order)
+    chosen = firsts.groupBy("label").agg(F.min("least").alias("least")).select("least.first_id", "least.digest")
     rows = docs.where("text is not null").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.withColumn("id", F.col("row.doc_id").cast("long")).withColumn("sum", F.md5("row.text"))
-    same = (F.col("sum") == F.col("digest")) & F.col("id").eqNullSafe(F.col("doc_id"))
-    once = Window.partitionBy("sum", "id").orderBy(F.lit(0))
-    kept = rows.join(chosen.select("doc_id", "digest"), same).withColumn("turn", F.row_number().over(once)).where("turn = 1")
+    same = (F.col("sum") == F.col("digest")) & F.col("id").eqNullSafe(F.col("first_id"))
+    # equal rows under one id: any one of them, again by an aggregate
+    kept = rows.join(chosen, same).groupBy("sum", "id").agg(F.first("row").alias("row"))
     return kept.select("row.*").unionByName(docs.where("text is null"))
 
 
