@@ -29,7 +29,8 @@ _BLANKS = np.zeros(256, bool)
 _BLANKS[[9, 10, 11, 12, 13, 32]] = True
 _LETTERS, _MARKS = np.zeros(256, bool), np.zeros(256, bool)
 _LETTERS[[*range(65, 91), *range(97, 123)]] = True
-_MARKS[list(b".,;:!?|%&*#$")] = True
+MARKS = ".,;:!?|%&*#$"
+_MARKS[list(MARKS.encode())] = True
 #: First bytes of the sequences in ``_ODD``.
 _LEADS = np.zeros(256, bool)
 _LEADS[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -52,15 +53,17 @@ def odd_places(data: np.ndarray) -> np.ndarray:
 def cut(data: np.ndarray, offsets: np.ndarray, whole: np.ndarray, marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Where pieces begin, and each text's first piece (and the end). Texts flagged ``whole`` are one piece.
 
-    With ``marks``, a mark after an ASCII letter begins a piece too, as it begins a word of the byte-level pattern.
+    With ``marks``, a mark after an ASCII letter begins a piece too, and a line end after either, as they begin words of the
+    byte-level pattern.
     """
     begins = np.zeros(len(data), bool)
     if len(data) > 2:
         blank = _BLANKS[data]
         begins[1:-1] = (data[1:-1] == 32) & ~blank[:-2] & ~blank[2:]
         if marks:
-            begins[1:-1] |= _MARKS[data[1:-1]] & _LETTERS[data[:-2]]
-    # a blank at the end of a text begins nothing, nor does one at its start that follows another text
+            letter = _LETTERS[data[:-2]]
+            begins[1:-1] |= _MARKS[data[1:-1]] & letter | (data[1:-1] == 10) & (letter | _MARKS[data[:-2]])
+    # a blank at the end of a text begins nothing
     filled = np.flatnonzero(np.diff(offsets))
     begins[offsets[filled + 1] - 1] &= data[offsets[filled + 1] - 1] != 32
     flagged = whole.copy()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicklake.llm.common import byte_slices, mix, stored, table, text_bytes, worker_cache
-from clicklake.llm.pieces import PieceTable, byte_tokenizer, encode_joined, holds, joinable, spread
+from clicklake.llm.pieces import MARKS, PieceTable, byte_tokenizer, encode_joined, holds, joinable, spread
 
 BLOCK = 1 << 16
 GROUP = 1 << 22
@@ -44,7 +44,7 @@ SHIFT = 32
 
 
 def piece_tokenizer(path: str):
-    """The tokenizer, loaded once in a worker; each id's bytes, and their number."""
+    """The tokenizer, loaded once in a worker; each id's bytes, and their number; whether words end before marks."""
     cache = worker_cache("tokenizers")
     if path not in cache:
         from sentencepiece import SentencePieceProcessor
@@ -54,7 +54,10 @@ def piece_tokenizer(path: str):
         for i in range(tokenizer.get_piece_size()):
             piece = tokenizer.id_to_piece(i)
             tokens.append(bytes([int(piece[3:-1], 16)]) if tokenizer.is_byte(i) else piece.replace("▁", " ").encode())
-        cache[path] = tokenizer, tokens, np.array([len(t) for t in tokens], np.int64)
+        held = [tokenizer.id_to_piece(i) for i in range(len(tokens)) if not tokenizer.is_byte(i)]
+        # no entry goes from a letter to a mark, or holds a line end: what follows such a place is encoded independently
+        apart = not any("\n" in p or any(x.isascii() and x.isalpha() and y in MARKS for x, y in zip(p, p[1:])) for p in held)
+        cache[path] = tokenizer, tokens, np.array([len(t) for t in tokens], np.int64), apart
     return cache[path]
 
 
@@ -105,7 +108,7 @@ class Links(PieceTable):
 
     def __init__(self, first: str, second: str, strings: bool = False):
         self.a, self.a_size, self.a_added = byte_tokenizer(first, plain_specials=True)
-        self.b, self.b_tokens, self.b_size = piece_tokenizer(second)
+        self.b, self.b_tokens, self.b_size, self.marks = piece_tokenizer(second)
         self.strings = strings
         super().__init__()
 
@@ -122,8 +125,10 @@ class Links(PieceTable):
         return [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_b(self, texts: list[str]) -> list[np.ndarray]:
-        # the tokenizer puts the blank in front itself
-        return [np.array(ids, np.int64) for ids in self.b.encode([t[1:] for t in texts], num_threads=1)]
+        # the tokenizer puts a blank in front itself; a piece without one goes behind a letter, which is one token
+        led = [t[1:] if t[0] == " " else "a" + t for t in texts]
+        found = self.b.encode(led, num_threads=1)
+        return [np.array(ids if t[0] == " " else ids[1:], np.int64) for t, ids in zip(texts, found)]
 
     def learn(self, pieces: pa.Array) -> None:
         joined = joinable(pieces) & ~holds(pieces, [*self.a_added, "▁"])
