@@ -1,15 +1,17 @@
 """Mixing sources to target weights, by DataFrame and SQL functions only.
 
-The words of each source form one stream, cut into blocks of ``block`` words. The mix is a row of slots, one block
-each, dealt to output shards of ``shard`` slots. For every shard the number of slots of each source is drawn from
+The words of each source form one stream, cut into blocks of up to ``block`` words, shorter ones in small sources, down to single words.
+The mix is a row of slots, one block each, dealt to output shards of ``shard`` slots. For every shard the number of slots of each source is drawn from
 a multinomial distribution over the sources' shares: each slot inverts the cumulated shares at a pseudorandom
 number. What the draws of all shards give a source beyond its target goes, slot by slot, to sources that came short,
 so that totals meet the targets to within a block. A source's slots are numbered through all shards; number *i* is
-mapped to block ``permutation(i mod blocks)`` of the source, a bijection keyed by source and pass, so that each
-block is used once before any is used again. Joining blocks by their index gives the words.
+mapped to block ``permutation(i mod blocks)`` of the source, a Feistel network keyed by source and pass, so that each
+block is used once before any is used again. Joining blocks by their index gives the words. Sources of single-word blocks
+share what rounding leaves by largest remainder; others miss their target by half a block at most, under one per cent of their size.
 
 A document's place in its source's stream follows from prefix sums in two levels: over small hash buckets of
-documents, then within each bucket, so that no source, however large, is ordered in one task. What reaches a
+documents, then within each bucket, so that no source, however large, is ordered in one task. Rows that are equal, or share
+an id and a text, are one row with a number of copies until then, and are told apart in chunks of ``CHUNK``. What reaches a
 single task is one row for each source (shares, the trade between sources) and one for each bucket.
 
 Defined cases: a null or empty text has size 0 and is never taken; a null source is a source of its own, last in
@@ -30,6 +32,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 BLOCK = 32
 SHARD = 1024
 BUCKET = 4096
+CHUNK = 4096
 CAP = 3
 SEED = 20_240_601
 
@@ -83,51 +86,85 @@ def _uniform(*columns):
     return (F.shiftrightunsigned(F.xxhash64(F.lit(SEED), *columns), 11)).cast("double") / F.lit(float(1 << 53))
 
 
+def _half(left, right, size, turn: int, *keys):
+    """One side of a Feistel round: ``left`` moved, within ``size``, by a hash of the other side."""
+    return F.pmod(left + F.pmod(F.xxhash64(F.lit(SEED + turn), right, *keys), size), size)
+
+
 def _permuted(index, size, *keys):
-    """A bijection of 0 .. size - 1 keyed by ``keys``: an affine map whose factor shares no divisor with size.
+    """A bijection of 0 .. size - 1 keyed by ``keys``: a Feistel network over pairs, walking on from places beyond ``size``.
 
-    The factor is the first of eight primes, from a keyed start, that does not divide the size. Factors stay below
-    2**27, so that sizes up to 2**36 blocks do not overflow.
+    Numbers are pairs of two digits, to bases that are about the square root of the size. Fewer than one number in four, for
+    large sizes one in the square root, lies beyond; it is sent through the network again until it does not. No more of them than
+    the first base can follow each other, so 64 times are enough for certain up to a size of 4,096, and beyond it but for less than one in
+    64 ** 64.
     """
-    primes = [1_000_003, 1_299_709, 9_999_991, 15_485_863, 32_452_843, 49_979_687, 67_867_967, 86_028_121]
-    known = F.array(*[F.lit(p).cast("long") for p in primes])
-    turn = F.pmod(F.xxhash64(F.lit(SEED + 1), *keys), F.lit(len(primes))).cast("int")
-    factor = F.lit(1).cast("long")
-    for i in reversed(range(len(primes))):
-        prime = F.get(known, (turn + i) % len(primes))
-        factor = F.when(size % prime != 0, prime).otherwise(factor)
-    shift = F.pmod(F.xxhash64(F.lit(SEED + 2), *keys), size)
-    return F.pmod((index % size) * factor + shift, size)
-
-
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, key, size, copy: one narrow row for each document; copy tells rows of one doc_id apart."""
+    one = F.ceil(F.sqrt(size.cast("double"))).cast("long")
+    one = F.greatest(F.when(one * one < size, one + 1).otherwise(one), F.lit(1))
+    other = F.greatest(F.ceil(size / one).cast("long"), F.lit(1))
+
+    def through(number):
+        left, right = number % one, F.floor(number / one).cast("long")
+        for turn in (11, 13):
+            left = _half(left, right, one, turn, *keys)
+            right = _half(right, left, other, turn + 1, *keys)
+        return right * one + left
+
+    first = through(index % size)
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(64)), first, lambda at, _: F.when(at < size, at).otherwise(through(at)))
+    return F.when(first < size, first).otherwise(walked)
+
+
+def _content(docs: DataFrame, columns: list[str]):
+    """What tells the rows of one doc_id apart: two hashes of some columns."""
+    held = [F.col(f"`{c}`") for c in columns]
+    return F.struct(F.xxhash64(*held).alias("a"), F.xxhash64(F.lit(SEED), *held).alias("b"))
+
+
+def sized(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """doc_id, key, size, content, copies: one narrow row for all rows alike in doc_id, source and ``columns`` (the text)."""
     rows = docs.select(
         "doc_id", _key(F.col("source")).alias("key"), count_words(F.col("text")).alias("size"),
-        F.xxhash64("text").alias("content"),
+        _content(docs, columns or ["text"]).alias("content"),
     )
-    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("key", "size", "content"))
-    return rows.select("doc_id", "key", "size", copy.alias("copy"))
+    return rows.groupBy("doc_id", "key", "size", "content").agg(F.count("*").alias("copies"))
 
 
 def placed(sizes: DataFrame, documents: int) -> DataFrame:
-    """Adds offset: the number of words before the document in its source's stream."""
+    """doc_id, key, size, content, chunk, copy, offset: a row for each document; offset is the number of words before it in its
+    source's stream."""
     buckets = 1 << max(0, (documents // BUCKET).bit_length())
-    bucket = F.pmod(F.xxhash64(F.lit(SEED + 3), "doc_id", "copy"), F.lit(buckets))
-    rows = sizes.withColumn("bucket", bucket)
-    sums = rows.groupBy("key", "bucket").agg(F.sum("size").alias("words"))
+    chunks = sizes.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (copies - 1) div {CHUNK})")))
+    chunks = chunks.withColumn("copies", F.least(F.lit(CHUNK).cast("long"), F.col("copies") - F.col("chunk") * CHUNK))
+    bucket = F.pmod(F.xxhash64(F.lit(SEED + 3), "doc_id", "content", "chunk"), F.lit(buckets))
+    rows = chunks.withColumn("bucket", bucket).withColumn("words", F.col("size") * F.col("copies"))
+    sums = rows.groupBy("key", "bucket").agg(F.sum("words").alias("words"))
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("key", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("key", "bucket").orderBy("doc_id", "copy").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return rows.join(starts, ["key", "bucket"]).withColumn("offset", F.col("start") + F.col("inside"))
+    order = Window.partitionBy("key", "bucket").orderBy("doc_id", "content", "chunk", "size")
+    inside = F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumn("inside", inside).join(starts, ["key", "bucket"])
+    rows = rows.withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
+    offset = F.col("start") + F.col("inside") + F.col("copy") * F.col("size")
+    return rows.select("doc_id", "key", "size", "content", "chunk", "copy", offset.alias("offset"))
 
 
 def quotas(targets: DataFrame, block: int) -> DataFrame:
-    """Adds blocks (of one pass) and quota (slots due): the target in blocks of the source's mean length."""
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    quota = F.round(F.try_divide(F.col("target") * blocks, F.col("source_size"))).cast("long")
-    return targets.withColumn("blocks", blocks).withColumn("quota", F.coalesce(quota, F.lit(0)))
+    """Adds width (words of a block), blocks (of one pass) and quota (slots due).
+
+    The quota is the target in blocks of the source's mean length; with blocks of one word it is the target itself, rounded so that
+    all such sources together get what they are due.
+    """
+    size, target = F.col("source_size"), F.col("target")
+    width = F.greatest(F.least(F.lit(block), F.expr("source_size div 64")), F.lit(1)).cast("long")
+    rows = targets.withColumn("width", width).withColumn("blocks", F.ceil(size / F.col("width")).cast("long"))
+    single = F.col("width") == 1
+    part = F.when(single, target - F.floor(target))
+    ranked = Window.partitionBy("width").orderBy(F.desc("part"), "rank")
+    extra = F.when(F.row_number().over(ranked) <= F.round(F.sum("part").over(Window.partitionBy("width"))), 1).otherwise(0)
+    rows = rows.withColumn("part", part).withColumn("extra", extra)
+    quota = F.when(single, F.floor(target) + F.col("extra")).otherwise(F.round(F.try_divide(target * F.col("blocks"), size)))
+    return rows.withColumn("quota", F.coalesce(quota.cast("long"), F.lit(0))).drop("part", "extra")
 
 
 def _intervals(lines: DataFrame, count: str, first: str) -> DataFrame:
@@ -194,10 +231,13 @@ def draw_slots(lines: DataFrame, slots: int, sources: int, shard: int) -> DataFr
     )
 
 
-def plan(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> tuple[DataFrame, DataFrame, DataFrame]:
+def plan(
+    docs: DataFrame, block: int = BLOCK, shard: int = SHARD, columns: list[str] | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The mix as three frames: placed documents; sources with targets; slots (key, shard, number, block)."""
-    sizes = stored(sized(docs), "mix-sizes")
-    lines = stored(quotas(source_targets(sizes), block), "mix-sources")
+    sizes = stored(sized(docs, columns), "mix-sizes")
+    words = sizes.withColumn("size", F.col("size") * F.col("copies"))
+    lines = stored(quotas(source_targets(words), block), "mix-sources")
     slots, sources = lines.agg(F.coalesce(F.sum("quota"), F.lit(0)), F.count("*")).first()
     drawn = draw_slots(lines.select("key", "rank", "quota"), slots, sources, shard) if slots else None
     if drawn is None:
@@ -207,15 +247,27 @@ def plan(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> tuple[DataF
     return placed(sizes, sizes.count()), lines, blocks.select("key", "shard", "number", index.alias("block"))
 
 
-def pieces(docs: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:
+#: What tells documents apart once they are placed.
+ROW = ["doc_id", "content", "chunk", "copy"]
+
+
+def _same(left: str, right: str, columns: list[str]):
+    """Equality of rows by such columns, for doc_id also of nulls."""
+    each = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+    out = each[0]
+    for equal in each[1:]:
+        out = out & equal
+    return out
+
+
+def pieces(docs: DataFrame, lines: DataFrame, slots: DataFrame) -> DataFrame:
     """Each document's parts in blocks: block, skip (words of it before the part), words, times taken."""
-    parts = F.expr(f"sequence(offset div {block}, (offset + size - 1) div {block})")
-    rows = docs.where("size > 0").withColumn("block", F.explode(parts))
-    begin = F.greatest(F.col("offset"), F.col("block") * block)
-    end = F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * block)
-    rows = rows.select(
-        "doc_id", "copy", "key", "block", (begin - F.col("offset")).alias("skip"), (end - begin).alias("words")
-    )
+    rows = docs.where("size > 0").join(lines.select("key", "width"), "key")
+    parts = F.expr("sequence(offset div width, (offset + size - 1) div width)")
+    rows = rows.withColumn("block", F.explode(parts))
+    begin = F.greatest(F.col("offset"), F.col("block") * F.col("width"))
+    end = F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * F.col("width"))
+    rows = rows.select(*ROW, "key", "block", (begin - F.col("offset")).alias("skip"), (end - begin).alias("words"))
     times = slots.groupBy("key", "block").agg(F.count("*").alias("times"))
     return rows.join(times, ["key", "block"])
 
@@ -223,15 +275,10 @@ def pieces(docs: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:
 def taken_words(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """doc_id, size, source_size, target, taken: a row for each document."""
     rows, lines, slots = plan(docs, block, shard)
-    taken = (
-        pieces(rows, slots, block)
-        .groupBy("doc_id", "copy")
-        .agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    )
-    same = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.copy") == F.col("t.copy"))
+    taken = pieces(rows, lines, slots).groupBy(*ROW, "key").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     return (
         rows.alias("d")
-        .join(taken.alias("t"), same, "left")
+        .join(taken.alias("t"), _same("d", "t", [*ROW, "key"]), "left")
         .join(lines.alias("s"), F.col("d.key") == F.col("s.key"))
         .select("d.doc_id", "d.size", "s.source_size", "s.target", F.coalesce("t.taken", F.lit(0)).alias("taken"))
     )
@@ -243,16 +290,17 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) ->
     The r-th row of a document holds the words that are taken r times or more, in order. A row that holds all of
     them keeps the text as it is; in others, words are joined by blanks. ``n_chars``, where there is one, follows the text.
     """
-    rows, _, slots = plan(docs, block, shard)
+    rows, lines, slots = plan(docs, block, shard, docs.columns)
     parts = F.array_sort(F.collect_list(F.struct("skip", "words", "times")))
-    taken = pieces(rows, slots, block).groupBy("doc_id", "copy").agg(parts.alias("parts"))
+    taken = pieces(rows, lines, slots).groupBy(*ROW, "key").agg(parts.alias("parts"))
+    # equal rows are one here, and once for each chunk of copies
     texts = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", _key(F.col("source")).alias("key"),
-        count_words(F.col("text")).alias("size"), F.xxhash64("text").alias("content"),
+        count_words(F.col("text")).alias("size"), _content(docs, docs.columns).alias("content"),
     )
-    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("key", "size", "content"))
-    texts = texts.select("row", "doc_id", "size", copy.alias("copy"))
-    same = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("d.copy") == F.col("t.copy"))
+    texts = texts.groupBy("doc_id", "key", "size", "content").agg(F.first("row").alias("row"), F.count("*").alias("copies"))
+    texts = texts.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (copies - 1) div {CHUNK})")))
+    same = _same("d", "t", ["doc_id", "key", "content", "chunk"])
     joined = texts.alias("d").join(taken.alias("t"), same).select("d.row", "d.size", "t.parts")
     # words are cut once for each document, below the explode, and only where a pass does not hold all of them
     even = F.expr("array_min(transform(parts, p -> p.times)) = array_max(transform(parts, p -> p.times))")

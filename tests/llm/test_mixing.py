@@ -91,19 +91,63 @@ def test_draws_are_multinomial_and_meet_the_quotas(spark):
     assert 0.5 * 18.75 < variance < 1.7 * 18.75  # 100 draws with a chance of 1/4 vary by 18.75
 
 
-@pytest.mark.parametrize("size", [1, 2, 3, 100, 1_000_003, 1_299_709 * 2])
+def feistel(spark, size, count, *keys):
+    frame = spark.range(count).select("id", m._permuted(F.col("id"), F.lit(size).cast("long"), *keys).alias("p"))
+    return [r["p"] for r in frame.orderBy("id").collect()]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 7, 100, 4099, 1_000_003, 1_299_709 * 2])
 def test_permutations_are_bijections_keyed_by_pass(spark, size):
     take = min(size, 5000)
-    frame = spark.range(2 * size if size <= 100 else take).select(
-        m._permuted(F.col("id"), F.lit(size).cast("long"), F.lit("s"), F.expr(f"id div {size}")).alias("p"), "id"
-    )
-    rows = [r["p"] for r in frame.orderBy("id").collect()]
+    rows = feistel(spark, size, 2 * size if size <= 100 else take, F.lit("s"), F.expr(f"id div {size}"))
     assert all(0 <= p < size for p in rows)
     assert len(set(rows[:take])) == take
     if size == 100:
         assert sorted(rows[:100]) == sorted(rows[100:]) and rows[:100] != rows[100:]
 
 
+@pytest.mark.parametrize("size", [12, 997, 166_667])
+def test_permutations_are_no_affine_maps(spark, size):
+    rows = feistel(spark, size, min(size, 2000), F.lit("s"), F.lit(0))
+    steps = {(b - a) % size for a, b in zip(rows, rows[1:])}
+    assert len(steps) > min(5, len(rows) // 2)
+    assert rows != sorted(rows)
+
+
+def test_small_sources_meet_their_targets(spark):
+    texts, sources = [], []
+    for i in range(300):
+        size = i * 7 % 50 + 1
+        for start in range(0, size, 13):
+            texts.append(" ".join(f"w{k}" for k in range(min(13, size - start))))
+            sources.append(f"s{i:03}")
+    docs = documents(spark, *texts, sources=sources)
+    source_of = dict(enumerate(sources))
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in m.taken_words(docs).collect():
+        sizes[source_of[r["doc_id"]]] += r["size"]
+        taken[source_of[r["doc_id"]]] += r["taken"]
+        assert r["taken"] <= 3 * r["size"]
+    targets = brute_targets(dict(sizes))
+    assert all(abs(taken[s] - t) <= 1 for s, t in targets.items())
+    assert abs(sum(taken.values()) - sum(sizes.values())) <= 0.01 * sum(sizes.values())
+
+
+def test_equal_rows_are_documents_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(m, "CHUNK", 3)
+    texts = ["one two three"] * 20 + ["four five"] * 5 + ["six " * 40]
+    docs = documents(spark, *texts, sources=["a"] * 25 + ["b"]).withColumn("doc_id", F.lit(None).cast("long"))
+    docs = docs.select("doc_id", "text", "source", F.lit(1).alias("chunk"))
+    rows = m.taken_words(docs).collect()
+    assert len(rows) == 26 and all(r["taken"] <= 3 * r["size"] for r in rows)
+    mixed = [r["text"] for r in m.mixed_documents(docs).collect()]
+    assert sum(len(t.split()) for t in mixed) == sum(r["taken"] for r in rows)
+    # every copy of a chunk has a place in the stream, and none is there twice
+    offsets = sorted((r["key"], r["offset"], r["size"]) for r in m.plan(docs)[0].collect())
+    for (key, at, size), (other, then, _) in zip(offsets, offsets[1:]):
+        assert key != other or then == at + size
+
+
 def test_odd_tables(spark):
     docs = documents(spark, None, "", " \n", "one", "one", "two words", sources=["a", None, "a", "b", "b", None])
     rows = as_rows(m.taken_words(docs.unionAll(docs)))
