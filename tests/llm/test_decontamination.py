@@ -16,9 +16,10 @@ def words(n, seed):
 def brute(texts, items):
     found = []
     for i, text in enumerate(texts):
-        held = set(d.shingles(text))
         for j, item in enumerate(items):
-            wanted = set(d.shingles(item))
+            width = min(5, len(d.WORD.findall((item or "").lower())))
+            wanted = set(d.shingles(item, width)) if width else set()
+            held = set(d.shingles(text, width)) if width else set()
             if wanted and len(wanted & held) >= 0.8 * len(wanted):
                 found.append((i, j, len(wanted & held), len(wanted), len(wanted & held) / len(wanted)))
     return sorted(found, key=str)
@@ -79,3 +80,22 @@ def test_items_of_few_words_are_never_missed():
     items = [" ".join(words(5 + n % 2, 50_000 + n)) for n in range(2000)]
     texts = [" ".join([item, *words(24, n)]) for n, item in enumerate(items)]
     assert [p[:2] for p in d.ItemIndex(items).matches(texts, d.THRESHOLD)] == [(n, n) for n in range(2000)]
+
+
+def test_items_of_one_to_four_words_are_found(spark):
+    items = ["alpha", "Beta gamma", "delta-epsilon zeta", "one two three four", "one two", "!?", "absent word", "word"]
+    texts = ["before alpha after", "ALPHA", "beta  gamma", "beta, x gamma", "a delta epsilon zeta b c d e f", "one two three four five", "one", "", None]
+    expected = brute(texts, items)
+    assert {(i, j) for i, j, *_ in expected} == {(0, 0), (1, 0), (2, 1), (4, 2), (5, 3), (5, 4)}
+    got = d.find(documents(spark, *texts), spark.createDataFrame(list(enumerate(items)), ITEMS))
+    assert as_rows(got) == expected
+    kept = d.remove(documents(spark, *texts), spark.createDataFrame(list(enumerate(items)), ITEMS))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [3, 6, 7, 8]
+
+
+def test_blocks_of_items_are_removed_one_after_the_other(spark, monkeypatch):
+    monkeypatch.setattr(d, "ITEM_BLOCK", 2)
+    items = [" ".join(words(20, n)) for n in range(7)]
+    docs = documents(spark, *items, "a clean text of six words", None)
+    kept = d.remove(docs, spark.createDataFrame(list(enumerate(items)), ITEMS))
+    assert as_rows(kept) == as_rows(docs.where("doc_id >= 7"))
