@@ -7,14 +7,15 @@ of its weight times either bound, and their sum bounds every score in the block.
 falling bounds and scored through their forward index, until the next bound is below the k-th best score so far.
 A bound that equals it is still visited, as ties go to smaller ids.
 
-Queries travel with the tasks in blocks of at most ``QUERY_BLOCK``, a pass over the candidates for each. A task keeps the k best of
+Rows are told apart by a number: rows that share an id are numbered in order of their vector, and a query leaves out the candidate of its own
+id and number. Queries travel with the tasks in blocks of at most ``QUERY_BLOCK``, a pass over the candidates for each. A task keeps the k best of
 its own rows; a query's lists are merged by rank afterwards. As a start, every query's k-th best score among the bounded pilot
 sample of candidates already bounds the final one from below, in all tasks.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, take no part; vectors of another length
-than a query's are no candidates for it; an empty vector scores 0; a query is not its own candidate, by id, and null ids
-take no part; rows that share an id are separate candidates; fewer than k candidates are all returned; empty
-tables give no rows; other columns are not read. Components are scaled by ``scale`` and rounded down; scores must stay under 2**62.
+than a query's are no candidates for it; an empty vector scores 0; null ids take no part; rows that share an id are separate
+candidates and separate queries, each with a list of its own, and the other rows of its id are candidates for it; of equal rows any one counts
+as the query's own; fewer than k candidates are all returned; empty tables give no rows; other columns are not read. Components are scaled by ``scale`` and rounded down; scores must stay under 2**62.
 """
 
 from __future__ import annotations
@@ -42,17 +43,23 @@ LOW, NONE = -(1 << 62), (1 << 63) - 1
 
 
 def integer_vectors(rows: DataFrame, key: str, vector: str, scale: int = SCALE) -> DataFrame:
-    """key and vector of longs, for vectors without null or non-finite components."""
+    """id, vector of longs and turn (0, 1, ... within an id), for vectors without null or non-finite components."""
     values = F.transform(vector, lambda x: x.cast("double"))
     sound = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     whole = F.transform(values, lambda x: F.floor(x * scale).cast("long"))
-    return rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & sound).select(
+    rows = rows.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & sound).select(
         F.col(key).cast("long").alias("id"), whole.alias("vector")
     )
+    # equal rows are one until they are numbered, so that an id that many equal rows share is no more than one row of a window
+    counted = rows.groupBy("id", "vector").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("id").orderBy("vector").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
+    each = F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("turn")
+    return counted.select("id", "vector", "n", first).select("id", "vector", each)
 
 
 def matrices(ids: np.ndarray, vectors: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Ids and matrix of the vectors of each length."""
+    """Ids (with turns: two columns) and matrix of the vectors of each length."""
     lengths = np.array([len(v) for v in vectors])
     out = {}
     for length in np.unique(lengths):
@@ -99,7 +106,7 @@ class TopK:
 def search(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, top: TopK, block: int = BLOCK
 ) -> int:
-    """Offers ``rows`` to ``top`` block by block; returns how many scores were computed."""
+    """Offers ``rows`` to ``top`` block by block; returns how many scores were computed. Ids have two columns, id and turn."""
     starts = np.arange(0, len(ids), block)
     least, most = np.minimum.reduceat(rows, starts), np.maximum.reduceat(rows, starts)
     bound = bounds(queries, least, most)
@@ -117,18 +124,18 @@ def search(
             start = starts[chosen[group[0]]]
             held = ids[start : start + block]
             scores = product(queries[active[group]], rows[start : start + block])
-            scores[held[None, :] == query_ids[active[group], None]] = LOW
+            scores[(held[None] == query_ids[active[group], None]).all(axis=2)] = LOW
             computed += scores.size
-            top.add(active[group], scores, held)
+            top.add(active[group], scores, held[:, 0])
     return computed
 
 
 def _gather(batches) -> tuple[np.ndarray, list]:
     ids, vectors = [], []
     for batch in batches:
-        ids.append(batch.column(0).to_numpy())
+        ids.append(np.column_stack([batch.column(0).to_numpy(), batch.column(2).to_numpy()]))
         vectors += batch.column(1).to_numpy(zero_copy_only=False).tolist()
-    return np.concatenate(ids) if ids else np.zeros(0, np.int64), vectors
+    return np.concatenate(ids) if ids else np.zeros((0, 2), np.int64), vectors
 
 
 def _pieces(batches, size: int = 65_536) -> Iterator[tuple[np.ndarray, list]]:
@@ -146,13 +153,14 @@ def _pieces(batches, size: int = 65_536) -> Iterator[tuple[np.ndarray, list]]:
 
 def _collected(frame: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     rows = frame.toArrow()
-    return matrices(rows["id"].to_numpy(), rows["vector"].to_numpy().tolist())
+    ids = np.column_stack([rows["id"].to_numpy(), rows["turn"].to_numpy()])
+    return matrices(ids, rows["vector"].to_numpy().tolist())
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score; both frames have id (long) and vector (array of longs)."""
+    """query_id, rank, vec_id, score; both frames have id (long), vector (array of longs) and turn (long), which tells rows of an id apart."""
     spark = candidates.sparkSession
-    pilot = _collected(candidates.orderBy(F.xxhash64("id"), "id").limit(PILOT))
+    pilot = _collected(candidates.orderBy(F.xxhash64("id"), "id", "turn").limit(PILOT))
     pivots = {n: rows[:PIVOTS] for n, (_, rows) in pilot.items()}
 
     def near(batches):
@@ -165,17 +173,21 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, block: int = BL
                     fit = product(rows, pivots[n]) - (pivots[n].astype(float) ** 2).sum(axis=1) / 2
                     pivot[lengths == n] = fit.argmax(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(pivot)], names=["id", "vector", "pivot"]
+                [*batch.columns, pa.array(pivot)], names=["id", "vector", "turn", "pivot"]
             )
 
-    grouped = candidates.mapInArrow(near, "id long, vector array<bigint>, pivot int")
-    ordered = grouped.repartitionByRange("pivot", "id").sortWithinPartitions("pivot", "id").select("id", "vector")
+    candidates = candidates.select("id", "vector", "turn")
+    grouped = candidates.mapInArrow(near, "id long, vector array<bigint>, turn long, pivot int")
+    by = ["pivot", "id", "turn"]
+    ordered = grouped.repartitionByRange(*by).sortWithinPartitions(*by).select("id", "vector", "turn")
     ordered = stored(ordered, "search-candidates")
+    queries = stored(queries, "search-queries")
     total = queries.count()
     blocks = -(-total // QUERY_BLOCK)
-    out = spark.createDataFrame([], "query_id long, vec_id long, score long")
+    kinds = "query_id long, turn long, vec_id long, score long"
+    out = spark.createDataFrame([], kinds)
     for number in range(blocks):
-        held = queries.where(F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)) == number)
+        held = queries.where(F.pmod(F.xxhash64("id", "turn"), F.lit(blocks)) == number)
         asked = _collected(held)
         floors = {}
         for n, (ids, rows) in asked.items():
@@ -196,12 +208,14 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = K, block: int = BL
                 real = (scores > LOW) & (scores >= floors[n][row])
                 if real.any():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(asked[n][0][row[real]]), pa.array(top.ids[row, column][real]), pa.array(scores[real])],
-                        names=["query_id", "vec_id", "score"],
+                        [*map(pa.array, (*asked[n][0][row[real]].T, top.ids[row, column][real], scores[real]))],
+                        names=["query_id", "turn", "vec_id", "score"],
                     )
 
-        out = out.unionByName(ordered.mapInArrow(run, "query_id long, vec_id long, score long"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        found = ordered.mapInArrow(run, kinds)
+        # stored, a block leaves the driver before the next one is read
+        out = out.unionByName(found if number == blocks - 1 else stored(found, "search-found"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "turn").orderBy(F.desc("score"), "vec_id"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -210,13 +224,15 @@ WITH sound AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), numbered AS (
+  SELECT *, row_number() OVER () AS row FROM sound
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.vec_id AS query_id, q.row, c.vec_id,
     list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
-  FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  FROM numbered q JOIN numbered c ON q.vec_id % 50 = 0 AND q.row <> c.row AND len(q.v) = len(c.v)
 )
 SELECT query_id, rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
 ) WHERE rank <= 5
 """
 

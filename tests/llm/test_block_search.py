@@ -50,6 +50,17 @@ def test_repeated_ids_are_candidates_of_their_own(spark):
     assert found(spark, rows) == [(0, 1, 1, 131072), (0, 2, 1, 131072), (0, 3, 1, 65536)]
 
 
+def test_repeated_queries_have_lists_of_their_own(spark):
+    rows = [(50, [1.0]), (50, [3.0]), (1, [2.0]), (2, [2.0]), (50, [3.0]), (100, [-1.0])]
+    units = [(i, round(256 * v[0])) for i, v in rows]
+    expected = []
+    for at, (query, value) in enumerate(units):
+        if query % 50 == 0:
+            others = sorted((-value * v, i) for place, (i, v) in enumerate(units) if place != at)
+            expected += [(query, rank, i, -s) for rank, (s, i) in enumerate(others[:5], 1)]
+    assert sorted(found(spark, rows)) == sorted(expected) and len(expected) == 20
+
+
 def test_large_components_stay_exact(spark):
     rows = [(i, [float(2**20 + i), float(-(2**20)) - i / 7]) for i in range(60)]
     assert found(spark, rows) == brute(rows, lambda q: q % 50 == 0)
@@ -71,7 +82,8 @@ def test_blocks_are_pruned_without_a_loss(block):
     ids = draw.permutation(2000)
     queries, names = rows[::97], ids[::97]
     top = b.TopK(len(queries), 5)
-    computed = b.search(names, queries, ids, rows, top, block)
+    two = lambda x: np.column_stack([x, np.zeros(len(x), np.int64)])
+    computed = b.search(two(names), queries, two(ids), rows, top, block)
     scores = queries @ rows.T
     for i, name in enumerate(names):
         expected = sorted((-s, c) for s, c in zip(scores[i].tolist(), ids.tolist()) if c != name)[:5]
