@@ -45,8 +45,12 @@ BLOCKS = frozenset(
     "header hr html li main nav ol p pre section table tbody td tfoot th thead title tr ul".split()
 )
 TAG_NAME = re.compile(r"</?([a-z][a-z0-9]*)", re.IGNORECASE)
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.IGNORECASE | re.DOTALL)
-LINK = re.compile(r"<a\b[^>]*?\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+#: What holds no title and no link. A tag without an end reaches to the end of the page.
+UNSEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*(?:>.*?(?:</\1\s*>|\Z)|\Z)", re.IGNORECASE | re.DOTALL)
+TITLE, TITLE_END = re.compile(r"<title\b", re.IGNORECASE), re.compile(r"</title\s*>", re.IGNORECASE)
+ANCHOR = re.compile(r"<a\b", re.IGNORECASE)
+HREF = re.compile(r"\shref\s*=\s*", re.IGNORECASE)
+VALUE = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
 SPACES = re.compile(r"[^\S\n]+")
 LINES = re.compile(r" ?\n[ \n]*")
 
@@ -70,14 +74,34 @@ def plain_text(payload: str) -> str:
     return LINES.sub("\n", text).strip()
 
 
+def title(seen: str) -> str | None:
+    """What stands between the first title tag and the end tag after it. One scan: no later title can have an end if the first has none."""
+    begin = TITLE.search(seen)
+    start = seen.find(">", begin.end()) if begin else -1
+    end = TITLE_END.search(seen, start + 1) if start >= 0 else None
+    return SPACES.sub(" ", html.unescape(MARKUP.sub("", seen[start + 1 : end.start()]))).strip() if end else None
+
+
+def links(seen: str) -> list[str]:
+    """The targets of all anchors, in order, by one scan: where a tag holds no target, neither does a tag that begins within it."""
+    out, at, end = [], 0, -1
+    while anchor := ANCHOR.search(seen, at):
+        if end < anchor.end():
+            end = seen.find(">", anchor.end())
+            end = end if end >= 0 else len(seen)
+        at = end
+        for href in HREF.finditer(seen, anchor.end(), end):
+            if value := VALUE.match(seen, href.end()):
+                out.append(html.unescape(next((g for g in value.groups() if g is not None), "")))
+                at = value.end()
+                break
+    return out
+
+
 def described(payload: str) -> dict:
     """Title and link targets of an HTML page, without what stands in comments and scripts."""
-    seen = re.sub(r"(?is)<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)", "", payload)
-    title = TITLE.search(seen)
-    return {
-        "title": SPACES.sub(" ", html.unescape(MARKUP.sub("", title.group(1)))).strip() if title else None,
-        "links": [html.unescape(a or b or c) for a, b, c in LINK.findall(seen)],
-    }
+    seen = UNSEEN.sub("", payload)
+    return {"title": title(seen), "links": links(seen)}
 
 
 def block(headers: list[tuple[str, str]], content: bytes) -> bytes:

@@ -1,10 +1,15 @@
 import base64
 import gzip
 import hashlib
+import html
 import json
+import random
 import re
+import time
 from html.parser import HTMLParser
 
+import pytest
+
 from clicklake.llm import warc
 from tests.llm.helpers import as_rows
 
@@ -107,3 +112,29 @@ def test_written_files_hold_the_records(spark, tmp_path):
             written.append((fields["WARC-Record-ID"], fields["WARC-Refers-To"], rest[:length].decode()))
             data = rest[length + 4 :]
     assert sorted(written) == as_rows(records, "record_id", "refers_to", "content")
+
+
+OLD_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.IGNORECASE | re.DOTALL)
+OLD_LINK = re.compile(r"<a\b[^>]*?\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+
+
+def test_scans_agree_with_plain_patterns():
+    draw = random.Random(5)
+    parts = ["<a ", "<A", " href=", "href =", "'", '"', "x", ">", "<", "/", "</a>", "<title>", "<title ", "</title>", "</TITLE >", " ", "\n", "&amp;", "<b>"]
+    for _ in range(4000):
+        page = "".join(draw.choices(parts, k=draw.randrange(25)))
+        found = OLD_TITLE.search(page)
+        inner = warc.SPACES.sub(" ", html.unescape(warc.MARKUP.sub("", found.group(1)))).strip() if found else None
+        assert warc.title(page) == inner
+        assert warc.links(page) == [html.unescape(a or b or c) for a, b, c in OLD_LINK.findall(page)], page
+
+
+@pytest.mark.parametrize(
+    "part", ["<a ", "<title>", "<title ", "<script ", "<style>", "<!--", "<a href=", "<a href='", "</title ", "&", "<", "<p", " \n", "<a href=x"]
+)
+def test_long_broken_pages_take_linear_time(part):
+    page = part * (5_000_000 // len(part))
+    begun = time.process_time()
+    warc.plain_text(page)
+    warc.described(page)
+    assert time.process_time() - begun < 4
