@@ -91,62 +91,76 @@ def _half(left, right, size, turn: int, *keys):
     return F.pmod(left + F.pmod(F.xxhash64(F.lit(SEED + turn), right, *keys), size), size)
 
 
-def _permuted(index, size, *keys):
-    """A bijection of 0 .. size - 1 keyed by ``keys``: a Feistel network over pairs, walking on from places beyond ``size``.
+def permuted(rows: DataFrame, index, size, *keys, out: str) -> DataFrame:
+    """Adds ``out``, a bijection of 0 .. size - 1 keyed by ``keys``: a Feistel network over pairs, walking on from places beyond ``size``.
 
     Numbers are pairs of two digits, to bases that are about the square root of the size. Fewer than one number in four, for
     large sizes one in the square root, lies beyond; it is sent through the network again until it does not. No more of them than
     the first base can follow each other, so 64 times are enough for certain up to a size of 4,096, and beyond it but for less than one in
     64 ** 64.
     """
-    one = F.ceil(F.sqrt(size.cast("double"))).cast("long")
-    one = F.greatest(F.when(one * one < size, one + 1).otherwise(one), F.lit(1))
-    other = F.greatest(F.ceil(size / one).cast("long"), F.lit(1))
-
-    def through(number):
-        left, right = number % one, F.floor(number / one).cast("long")
+    columns, one, other = rows.columns, F.col("_one"), F.col("_other")
+    root = F.ceil(F.sqrt(size.cast("double"))).cast("long")
+    # column by column, so that no expression holds another one twice
+    rows = rows.withColumns({"_size": size, "_index": index % size, "_root": root})
+    rows = rows.withColumn("_one", F.greatest(F.col("_root") + F.when(F.col("_root") * F.col("_root") < F.col("_size"), 1).otherwise(0), F.lit(1)))
+    rows = rows.withColumn("_other", F.greatest(F.ceil(F.col("_size") / one).cast("long"), F.lit(1)))
+    rows = rows.withColumns({"_left": F.col("_index") % one, "_right": F.floor(F.col("_index") / one).cast("long")})
+    for turn in (11, 13):
+        rows = rows.withColumn("_left", _half(F.col("_left"), F.col("_right"), one, turn, *keys))
+        rows = rows.withColumn("_right", _half(F.col("_right"), F.col("_left"), other, turn + 1, *keys))
+    rows = rows.withColumn("_first", F.col("_right") * one + F.col("_left"))
+
+    def again(at):
+        left, right = at % one, F.floor(at / one).cast("long")
         for turn in (11, 13):
             left = _half(left, right, one, turn, *keys)
             right = _half(right, left, other, turn + 1, *keys)
         return right * one + left
 
-    first = through(index % size)
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(64)), first, lambda at, _: F.when(at < size, at).otherwise(through(at)))
-    return F.when(first < size, first).otherwise(walked)
+    walked = F.aggregate(
+        F.sequence(F.lit(1), F.lit(64)), F.col("_first"), lambda at, _: F.when(at < F.col("_size"), at).otherwise(again(at))
+    )
+    found = F.when(F.col("_first") < F.col("_size"), F.col("_first")).otherwise(walked)
+    return rows.select(*[c for c in columns if c != out], found.alias(out))
+
 
+#: What rows that are alike share: two hashes of their doc_id, source and the columns that tell rows of one doc_id apart.
+ALIKE = ["a", "b"]
 
-def _content(docs: DataFrame, columns: list[str]):
-    """What tells the rows of one doc_id apart: two hashes of some columns."""
-    held = [F.col(f"`{c}`") for c in columns]
-    return F.struct(F.xxhash64(*held).alias("a"), F.xxhash64(F.lit(SEED), *held).alias("b"))
+
+def _alike(columns: list[str]) -> list:
+    held = [F.col(f"`{c}`") for c in dict.fromkeys(["doc_id", "source", *columns])]
+    # a null hashes as nothing, so it is told apart by which columns are null
+    nulls = F.concat(*[F.when(c.isNull(), "0").otherwise("1") for c in held])
+    return [F.xxhash64(nulls, *held).alias("a"), F.xxhash64(F.lit(SEED), nulls, *held).alias("b")]
 
 
 def sized(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """doc_id, key, size, content, copies: one narrow row for all rows alike in doc_id, source and ``columns`` (the text)."""
+    """a, b, doc_id, key, size, copies: one narrow row for all rows alike in doc_id, source and ``columns`` (the text)."""
     rows = docs.select(
-        "doc_id", _key(F.col("source")).alias("key"), count_words(F.col("text")).alias("size"),
-        _content(docs, columns or ["text"]).alias("content"),
-    )
-    return rows.groupBy("doc_id", "key", "size", "content").agg(F.count("*").alias("copies"))
+        *_alike(columns or ["text"]), "doc_id", _key(F.col("source")).alias("key"), count_words(F.col("text")).alias("size")
+    )
+    return rows.groupBy(*ALIKE, "doc_id", "key", "size").agg(F.count("*").alias("copies"))
 
 
 def placed(sizes: DataFrame, documents: int) -> DataFrame:
-    """doc_id, key, size, content, chunk, copy, offset: a row for each document; offset is the number of words before it in its
-    source's stream."""
+    """a, b, chunk, copy, doc_id, key, size, offset: a row for each document; offset is the number of words before it in its source's
+    stream."""
     buckets = 1 << max(0, (documents // BUCKET).bit_length())
     chunks = sizes.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (copies - 1) div {CHUNK})")))
     chunks = chunks.withColumn("copies", F.least(F.lit(CHUNK).cast("long"), F.col("copies") - F.col("chunk") * CHUNK))
-    bucket = F.pmod(F.xxhash64(F.lit(SEED + 3), "doc_id", "content", "chunk"), F.lit(buckets))
+    bucket = F.pmod(F.xxhash64(F.lit(SEED + 3), *ALIKE, "chunk"), F.lit(buckets))
     rows = chunks.withColumn("bucket", bucket).withColumn("words", F.col("size") * F.col("copies"))
     sums = rows.groupBy("key", "bucket").agg(F.sum("words").alias("words"))
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("key", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
-    order = Window.partitionBy("key", "bucket").orderBy("doc_id", "content", "chunk", "size")
+    order = Window.partitionBy("key", "bucket").orderBy("doc_id", *ALIKE, "chunk")
     inside = F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rows = rows.withColumn("inside", inside).join(starts, ["key", "bucket"])
     rows = rows.withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
     offset = F.col("start") + F.col("inside") + F.col("copy") * F.col("size")
-    return rows.select("doc_id", "key", "size", "content", "chunk", "copy", offset.alias("offset"))
+    return rows.select(*ROW, "doc_id", "key", "size", offset.alias("offset"))
 
 
 def quotas(targets: DataFrame, block: int) -> DataFrame:
@@ -219,9 +233,8 @@ def draw_slots(lines: DataFrame, slots: int, sources: int, shard: int) -> DataFr
         "short_from",
     ).select("to", "to_number", (F.col("short_from") + F.col("i")).alias("trade"))
     # renumbered at random, so that the slots to trade are spread over all shards
-    slots_of = numbered.join(ledger.select("key", "quota", "drawn", "excess_from"), "key").withColumn(
-        "number", _permuted(F.col("number"), F.col("drawn"), "key", F.lit(-1).cast("long"))
-    )
+    slots_of = numbered.join(ledger.select("key", "quota", "drawn", "excess_from"), "key")
+    slots_of = permuted(slots_of, F.col("number"), F.col("drawn"), "key", F.lit(-1).cast("long"), out="number")
     kept = slots_of.where("number < quota").select("key", "shard", "number")
     traded = slots_of.where("number >= quota").select(
         "shard", (F.col("excess_from") + F.col("number") - F.col("quota")).alias("trade")
@@ -243,21 +256,13 @@ def plan(
     if drawn is None:
         drawn = lines.select("key", F.lit(0).cast("long").alias("shard"), F.col("quota").alias("number")).limit(0)
     blocks = drawn.join(lines.select("key", "blocks"), "key")
-    index = _permuted(F.col("number"), F.col("blocks"), "key", F.expr("number div blocks"))
-    return placed(sizes, sizes.count()), lines, blocks.select("key", "shard", "number", index.alias("block"))
+    blocks = permuted(blocks, F.col("number"), F.col("blocks"), "key", F.expr("number div blocks"), out="block")
+    places = stored(placed(sizes, sizes.count()), "mix-places")
+    return places, lines, blocks.select("key", "shard", "number", "block")
 
 
 #: What tells documents apart once they are placed.
-ROW = ["doc_id", "content", "chunk", "copy"]
-
-
-def _same(left: str, right: str, columns: list[str]):
-    """Equality of rows by such columns, for doc_id also of nulls."""
-    each = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
-    out = each[0]
-    for equal in each[1:]:
-        out = out & equal
-    return out
+ROW = [*ALIKE, "chunk", "copy"]
 
 
 def pieces(docs: DataFrame, lines: DataFrame, slots: DataFrame) -> DataFrame:
@@ -275,13 +280,9 @@ def pieces(docs: DataFrame, lines: DataFrame, slots: DataFrame) -> DataFrame:
 def taken_words(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """doc_id, size, source_size, target, taken: a row for each document."""
     rows, lines, slots = plan(docs, block, shard)
-    taken = pieces(rows, lines, slots).groupBy(*ROW, "key").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    return (
-        rows.alias("d")
-        .join(taken.alias("t"), _same("d", "t", [*ROW, "key"]), "left")
-        .join(lines.alias("s"), F.col("d.key") == F.col("s.key"))
-        .select("d.doc_id", "d.size", "s.source_size", "s.target", F.coalesce("t.taken", F.lit(0)).alias("taken"))
-    )
+    taken = pieces(rows, lines, slots).groupBy(*ROW).agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    out = rows.join(taken, ROW, "left").join(lines.select("key", "source_size", "target"), "key")
+    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
@@ -292,16 +293,18 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) ->
     """
     rows, lines, slots = plan(docs, block, shard, docs.columns)
     parts = F.array_sort(F.collect_list(F.struct("skip", "words", "times")))
-    taken = pieces(rows, lines, slots).groupBy(*ROW, "key").agg(parts.alias("parts"))
-    # equal rows are one here, and once for each chunk of copies
+    taken = stored(pieces(rows, lines, slots).groupBy(*ROW).agg(parts.alias("parts")), "mix-taken")
     texts = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", _key(F.col("source")).alias("key"),
-        count_words(F.col("text")).alias("size"), _content(docs, docs.columns).alias("content"),
-    )
-    texts = texts.groupBy("doc_id", "key", "size", "content").agg(F.first("row").alias("row"), F.count("*").alias("copies"))
-    texts = texts.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (copies - 1) div {CHUNK})")))
-    same = _same("d", "t", ["doc_id", "key", "content", "chunk"])
-    joined = texts.alias("d").join(taken.alias("t"), same).select("d.row", "d.size", "t.parts")
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_alike(docs.columns), count_words(F.col("text")).alias("size")
+    )
+    # rows without a like are joined as they are; rows that are alike are one, and once for each chunk of copies
+    many = stored(rows.where("copy > 0").select(*ALIKE).distinct(), "mix-alike")
+    joined = texts.join(taken, ALIKE).select("row", "size", "parts")
+    if not many.isEmpty():
+        joined = texts.join(taken.join(many, ALIKE, "left_anti"), ALIKE).select("row", "size", "parts")
+        chunks = rows.join(many, ALIKE).select(*ALIKE, "chunk").distinct()
+        one = texts.join(many, ALIKE, "left_semi").groupBy(*ALIKE, "size").agg(F.first("row").alias("row")).join(chunks, ALIKE)
+        joined = joined.unionByName(one.join(taken, [*ALIKE, "chunk"]).select("row", "size", "parts"))
     # words are cut once for each document, below the explode, and only where a pass does not hold all of them
     even = F.expr("array_min(transform(parts, p -> p.times)) = array_max(transform(parts, p -> p.times))")
     held = F.expr("aggregate(parts, 0L, (n, p) -> n + p.words)")

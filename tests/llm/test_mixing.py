@@ -92,7 +92,7 @@ def test_draws_are_multinomial_and_meet_the_quotas(spark):
 
 
 def feistel(spark, size, count, *keys):
-    frame = spark.range(count).select("id", m._permuted(F.col("id"), F.lit(size).cast("long"), *keys).alias("p"))
+    frame = m.permuted(spark.range(count), F.col("id"), F.lit(size).cast("long"), *keys, out="p")
     return [r["p"] for r in frame.orderBy("id").collect()]
 
 
