@@ -6,9 +6,11 @@ Only a list of dates ever reaches the driver; its length is bounded by the calen
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from clicklake.functions.web import enrich_clicks
 from clicklake.operators.cleaning import valid_row
@@ -28,25 +30,46 @@ def refine(bronze: DataFrame, spec: TableSpec = CLICK_TABLE) -> DataFrame:
     return enrich(latest_versions(bronze.filter(valid_row(spec)), spec), spec)
 
 
-def key_range(rows: DataFrame, spec: TableSpec) -> Column | None:
-    """A test for the keys between the smallest and the largest of ``rows``; None when they hold no key.
+#: Numbered keys this far apart are held to be neighbours, and so many runs of neighbours are told apart.
+NEIGHBOURS, RUNS = 1 << 24, 64
 
-    Both bounds are literals, so that a scan skips files and row groups by their statistics: raw files are sorted by
-    key, and keys that arrive together lie together.
+
+def key_ranges(rows: DataFrame, spec: TableSpec) -> Column | None:
+    """A test that the keys of ``rows`` pass and most others don't; None when they hold no key.
+
+    All bounds are literals, so that a scan skips files and row groups by their statistics: raw files are sorted by
+    key, and keys that arrive together lie together. Numbered keys are tested by up to ``RUNS`` ranges, so that an old key among new ones
+    does not open all that lies between them.
     """
-    low, high = rows.agg(F.min(spec.key), F.max(spec.key)).first()
-    return None if low is None else F.col(spec.key).between(F.lit(low), F.lit(high))
+    key = F.col(spec.key)
+    numbered = isinstance(spec.schema[spec.key].dataType, NumericType)
+    block = F.floor(key / F.lit(NEIGHBOURS)) if numbered else F.lit(0)
+    found = rows.where(key.isNotNull()).groupBy(block.alias("block")).agg(F.min(key), F.max(key)).collect()
+    runs = sorted((low, high) for _, low, high in found)
+    if not runs:
+        return None
+    gaps = sorted((b[0] - a[1] for a, b in zip(runs, runs[1:])), reverse=True)[: RUNS - 1] if numbered else []
+    widest, joined = min((g for g in gaps if g > NEIGHBOURS), default=None), [runs[0]]
+    for low, high in runs[1:]:
+        if widest is not None and low - joined[-1][1] >= widest:
+            joined.append((low, high))
+        else:
+            joined[-1] = (joined[-1][0], high)
+    # gaps that are equally wide may give a few more runs; those count as one from there on
+    if len(joined) > RUNS:
+        joined = [*joined[: RUNS - 1], (joined[RUNS - 1][0], joined[-1][1])]
+    return reduce(Column.__or__, [key.between(F.lit(low), F.lit(high)) for low, high in joined])
 
 
 def touched_dates(bronze: DataFrame, touched: Column, spec: TableSpec = CLICK_TABLE) -> DataFrame:
     """Event dates of every version of each key that has a version in the ``touched`` rows.
 
-    One way for any number of keys: history is cut to the slice's range of keys by the scan, then reduced to the
+    One way for any number of keys, and without an index: history is cut to the slice's ranges of keys by the scan, then reduced to the
     slice's keys by a semi join, which adaptive execution broadcasts where the slice turns out small and splits where a
     key is hot. Versions without an event time have no date.
     """
     slice_keys = bronze.filter(touched).select(spec.key)
-    inside = key_range(slice_keys, spec)
+    inside = key_ranges(slice_keys, spec)
     versions = bronze.filter(F.lit(False) if inside is None else inside & F.col(spec.event_column).isNotNull())
     keys = slice_keys.filter(F.col(spec.key).isNotNull()).distinct()
     dated = versions.select(spec.key, F.to_date(spec.event_column).alias("event_date"))
@@ -81,11 +104,12 @@ def refine_dates(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_T
     """The refined rows of ``dates``, as a full rebuild would leave them.
 
     A version on another date can still win a key, so all of them compete, but only rows on ``dates``
-    carry their payload through the shuffle; the others are a key and what orders them. Keys outside the range
-    of those on ``dates`` are not read.
+    carry their payload through the shuffle; the others are a key and what orders them. Keys outside the ranges
+    of those on ``dates`` are not read, and versions of keys that are not on ``dates`` go no further than a semi join.
     """
     on_dates = valid_row(spec) & F.to_date(spec.event_column).isin(dates)
-    inside = key_range(bronze.filter(on_dates).select(spec.key), spec) if dates else None
+    keys = bronze.filter(on_dates).select(spec.key)
+    inside = key_ranges(keys, spec) if dates else None
     if inside is None:
         return refine(bronze.limit(0), spec)
     ordering = [spec.key, spec.change_column, spec.event_column]
@@ -97,6 +121,7 @@ def refine_dates(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_T
         content_hash(spec).alias(TIEBREAK),
         F.when(F.to_date(spec.event_column).isin(dates), payload).alias("payload"),
     )
+    versions = versions.join(keys.distinct(), spec.key, "left_semi")
     winners = newest(versions, spec).filter("payload IS NOT NULL")
     columns = [F.col(c) if c in ordering else F.col("payload")[c].alias(c) for c in bronze.columns]
     return enrich(winners.select(*columns), spec)

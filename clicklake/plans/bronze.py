@@ -1,10 +1,11 @@
-"""Raw layer: land an extract, exactly once per date however often it is rerun."""
+"""Raw layer: stage an extract, audit it, and publish it for all its days at once, however often it is rerun."""
 
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,18 +13,10 @@ from pyspark.sql import functions as F
 from clicklake.operators.quality import validate_schema
 from clicklake.operators.rebuild import date_list, touched_dates
 from clicklake.operators.slices import Moment, as_day, changed_between
+from clicklake.plans.keys import add_keys, block_of, dates_of_keys
 from clicklake.schemas import CLICK_TABLE, TableSpec
-from clicklake.sources.lake import (
-    Lake,
-    Written,
-    add_pending,
-    close_landings,
-    open_landing,
-    open_landings,
-    read_bronze,
-    verify_rows,
-    write_idempotent,
-)
+from clicklake.sources.lake import Lake, Written, add_pending, log_batch, read_bronze, verify_rows
+from clicklake.sources.snapshots import Staged, current, discard, publish, read_staged, stage
 
 log = logging.getLogger(__name__)
 
@@ -54,6 +47,61 @@ class Landed:
     event_dates: list[date]
 
 
+#: Looks at the staged rows of a landing and raises if they must not be published.
+Audit = Callable[[DataFrame], object]
+
+
+def stage_rows(rows: DataFrame, lake: Lake, spec: TableSpec = CLICK_TABLE, name: str | None = None) -> Staged:
+    """Write raw rows, which have ``batch_id`` and ``extract_date``, where no reader sees them yet: one job, which also tells their
+    days and blocks of keys.
+    """
+    text = lambda column: F.collect_set(column.cast("string"))
+    facts = {
+        "dates": text(F.col("extract_date")), "event_dates": text(F.to_date(spec.event_column)), "blocks": F.collect_set(block_of(spec)),
+    }
+    return stage(rows, lake.bronze(spec), "extract_date", [F.col(spec.key)], name, facts)
+
+
+def publish_rows(
+    spark: SparkSession,
+    lake: Lake,
+    staged: Staged,
+    days: Iterable[date] = (),
+    spec: TableSpec = CLICK_TABLE,
+    audit: Audit | None = None,
+    series: tuple[str, int] | None = None,
+) -> Landed:
+    """Make staged rows the raw rows of ``days`` (and add them to those of other days), all at once.
+
+    ``event_dates`` are the days of every version, old or new, of each key in the new rows or in the rows they replace: the index of
+    keys knows those of all that landed before. Before the raw layer changes, the new keys are indexed and the dates
+    noted as pending for the refined layer, so a run that dies at any point is made good by the next one, whatever its own range; if
+    it dies earlier, or the audit fails, the raw layer is as it was.
+    """
+    rows = read_staged(spark, staged, spec.bronze)
+    if audit:
+        try:
+            audit(rows)
+        except Exception:
+            discard(spark, staged)
+            raise
+    names = {d.isoformat() for d in days}
+    blocks, keys = set(staged.facts["blocks"]), rows.select(spec.key)
+    if names & set(current(spark, lake.bronze(spec)).partitions):
+        old = read_bronze(spark, lake, min(days), max(days) + timedelta(days=1), spec)
+        old = old.where(F.col("extract_date").isin(list(days)))
+        blocks |= {r[0] for r in old.select(block_of(spec)).distinct().collect() if r[0] is not None}
+        keys = keys.unionByName(old.select(spec.key))
+    dates = {date.fromisoformat(d) for d in staged.facts["event_dates"]}
+    if blocks:
+        add_keys(spark, lake, rows.select(spec.key, spec.event_column), spec)
+        dates |= set(date_list(dates_of_keys(spark, lake, keys, blocks, spec)))
+    add_pending(spark, lake, dates, spec)
+    publish(spark, staged, names, series=series)
+    written = Written(staged.rows, tuple(sorted(date.fromisoformat(d) for d in staged.facts["dates"])))
+    return Landed(written, sorted(dates))
+
+
 def land(
     spark: SparkSession,
     lake: Lake,
@@ -62,45 +110,25 @@ def land(
     end: Moment,
     batch_id: str | None = None,
     spec: TableSpec = CLICK_TABLE,
+    audit: Audit | None = None,
 ) -> Landed:
     """Extract ``[start, end)`` by change time into one partition per day, and check what was stored.
 
     The source is read once; columns it has beyond the declared ones are logged and left out, and a missing or
-    retyped one raises before anything is touched. ``event_dates`` are the days of every version, old or new, of each key in
-    the new rows or in the rows they replace: those are looked up before the overwrite, the others after it.
-    A replaced key's new versions are new rows, and a new row's replaced versions are replaced rows, so the
-    two look-ups miss nothing. All are noted as pending for the refined layer, and the range itself before it is
-    written, so that a run that dies at any point is made good by the next one, whatever its own range.
+    retyped one raises before anything is touched. The rows are written aside, audited, and then replace those of all days of the range at
+    once (``publish_rows``).
     """
     start, end = as_day(start), as_day(end)
-    batch_id = batch_id or batch_name()
+    batch_id, started = batch_id or batch_name(), datetime.now(timezone.utc)
     for warning in validate_schema(source, spec.schema):
         log.warning("%s: %s", spec.name, warning)
     rows = with_metadata(changed_between(source, start, end, spec), batch_id, spec=spec)
-    in_range = F.col("extract_date").between(F.lit(start), F.lit(end - timedelta(days=1)))
-
-    before: list[date] = []
-    if not read_bronze(spark, lake, start, end, spec).isEmpty():
-        before = date_list(touched_dates(read_bronze(spark, lake, spec=spec), in_range, spec))
-        add_pending(spark, lake, before, spec)
-    open_landing(spark, lake, start, end, spec)
     days = days_between(start, end)
-    written = write_idempotent(
-        spark, rows, lake, lake.bronze(spec), "extract_date", batch_id, f"bronze.{spec.name}", days, order=[F.col(spec.key)]
-    )
-    verify_rows(spark, lake.bronze(spec), spec.bronze, in_range, written.rows)
-    after = settle_landings(spark, lake, spec)
-    return Landed(written, sorted(set(before) | set(after)))
-
-
-def settle_landings(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> list[date]:
-    """Turn noted ranges, of this run or of one that died, into pending event dates; returns those."""
-    dates: set[date] = set()
-    for start, end in open_landings(spark, lake, spec):
-        dates |= set(dates_touched_by(spark, lake, start, end, spec))
-    add_pending(spark, lake, dates, spec)
-    close_landings(spark, lake, spec)
-    return sorted(dates)
+    landed = publish_rows(spark, lake, stage_rows(rows, lake, spec), days, spec, audit)
+    log_batch(spark, lake, batch_id, f"bronze.{spec.name}", landed.written.rows, started)
+    in_range = F.col("extract_date").between(F.lit(start), F.lit(end - timedelta(days=1)))
+    verify_rows(spark, lake.bronze(spec), spec.bronze, in_range, landed.written.rows)
+    return landed
 
 
 def dates_touched_by(

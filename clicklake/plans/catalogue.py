@@ -24,11 +24,12 @@ from clicklake.plans.runs import run_range
 from clicklake.plans.silver import rebuild_silver
 from clicklake.schemas import CLICK_TABLE, SESSION_TABLE
 from clicklake.session import scratch_path
-from clicklake.sources.derived import read_clicks, read_events, read_sessions, stream_clicks
-from clicklake.sources.lake import Lake, read_silver
+from clicklake.sources.derived import read_clicks, read_events, read_feed, read_sessions, stream_clicks, write_feed
+from clicklake.sources.lake import Lake, read_bronze, read_silver
 from clicklake.sources.samples import sample_clicks, sample_sessions
-from clicklake.streaming.jobs import stream_to_bronze, stream_to_files, stream_to_silver
-from clicklake.streaming.operators import first_versions, windowed_counts, windowed_users
+from clicklake.streaming.jobs import hybrid_run, repair_late, replay, stream_to_bronze, stream_to_files, stream_to_silver
+from clicklake.streaming.operators import first_versions, live_sessions, windowed_counts, windowed_users
+from clicklake.streaming.sources import stream_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +37,7 @@ QUERIES: dict[str, Query] = {}
 EXTRACT_START, EXTRACT_END = date(2024, 1, 5), date(2024, 1, 8)
 DAY, NEXT_DAY = date(2024, 1, 15), date(2024, 1, 16)
 CUTOVER = date(2024, 1, 20)
+FEED_DAY = date(2024, 1, 13)
 RANGE_START, RANGE_END = date(2023, 12, 30), date(2024, 2, 3)
 NOW = "2024-01-31 03:00:00"
 BATCH = "batch_20240108_020000"
@@ -385,6 +387,85 @@ def stream_silver(spark, folder):
     return read_silver(spark, lake).drop("batch_id", "extract_date")
 
 
+# Feeds: several files, with exact copies, late redeliveries and rows moved to another date
+
+
+def fed(spark: SparkSession, folder: str, label: str) -> DataFrame:
+    """The feed written to files of its own, as a stream that takes a slice at a time."""
+    path = scratch_path(spark, label)
+    write_feed(read_feed(spark, folder), path)
+    return stream_files(spark, path, files_per_batch=2)
+
+
+def feed_history(spark: SparkSession, folder: str) -> DataFrame:
+    """What the source of the feed holds halfway."""
+    return read_feed(spark, folder).filter("arrival < 3").drop("arrival")
+
+
+@query
+def feed_late_slice(spark, folder):
+    return late_slice(read_feed(spark, folder).drop("arrival"), FEED_DAY)
+
+
+@query
+def feed_affected_dates(spark, folder):
+    raw = with_metadata(read_feed(spark, folder).drop("arrival"), BATCH)
+    return touched_dates(raw, F.col("extract_date") == F.lit(FEED_DAY))
+
+
+@query
+def feed_stream_silver(spark, folder):
+    """Six micro-batches; days that more than two commits hold are merged on the way."""
+    lake = Lake(scratch_path(spark, "feed_stream_silver"))
+    stream_to_silver(fed(spark, folder, "feed"), lake, f"{lake.root}/log", drain=True, most=2).awaitTermination()
+    return read_silver(spark, lake).drop("batch_id", "extract_date")
+
+
+@query
+def feed_late_repaired(spark, folder):
+    """Rows behind the watermark are set aside by the stream and repaired afterwards."""
+    lake = Lake(scratch_path(spark, "feed_late_repaired"))
+    stream_to_silver(fed(spark, folder, "feed"), lake, f"{lake.root}/log", drain=True, delay="10 minutes").awaitTermination()
+    repair_late(spark, lake)
+    return read_silver(spark, lake).drop("batch_id", "extract_date")
+
+
+@query
+def feed_hybrid(spark, folder):
+    """History by a batch up to the cut-over, the feed from its beginning as a stream: what it missed lands, nothing lands twice."""
+    lake = Lake(scratch_path(spark, "feed_hybrid"))
+    history = feed_history(spark, folder)
+    hybrid_run(spark, lake, history, fed(spark, folder, "feed"), FEED_DAY, f"{lake.root}/log", drain=True).awaitTermination()
+    return read_silver(spark, lake).drop("batch_id", "extract_date")
+
+
+@query
+def feed_hybrid_raw(spark, folder):
+    """Raw rows of such a run by day of change: as many as the feed has different ones that history did not hold, and its own."""
+    lake = Lake(scratch_path(spark, "feed_hybrid_raw"))
+    history = feed_history(spark, folder)
+    hybrid_run(spark, lake, history, fed(spark, folder, "feed"), FEED_DAY, f"{lake.root}/log", drain=True).awaitTermination()
+    return read_bronze(spark, lake).groupBy("extract_date").agg(F.count(F.lit(1)).alias("raw_rows"))
+
+
+@query
+def feed_replayed(spark, folder):
+    """The first half landed by a batch, the second replayed from the recorded positions of a stream."""
+    lake, log = Lake(scratch_path(spark, "feed_replayed")), scratch_path(spark, "feed_log")
+    stream_to_bronze(fed(spark, folder, "feed"), f"{log}/data", f"{log}/log", drain=True).awaitTermination()
+    history = feed_history(spark, folder)
+    first, _, last = change_range(history)
+    landed = land(spark, lake, history, first, last, BATCH)
+    rebuild_silver(spark, lake, landed.event_dates)
+    replay(spark, lake, f"{log}/log", 3)
+    return read_silver(spark, lake).drop("batch_id", "extract_date")
+
+
+@query
+def feed_live_sessions(spark, folder):
+    return _drained(spark, live_sessions(fed(spark, folder, "feed")), "feed_live_sessions")
+
+
 def _drained(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     out = scratch_path(spark, label)
     stream_to_files(stream, f"{out}/data", f"{out}/log", drain=True).awaitTermination()

@@ -10,6 +10,7 @@ from clicklake.operators.quality import SUITES, Summary, bronze_suite, collect_s
 from clicklake.operators.slices import Moment
 from clicklake.schemas import BRONZE_ROW_RANGE, CLICK_TABLE
 from clicklake.sources.lake import Lake, read_bronze
+from clicklake.sources.snapshots import is_snapshot_table, read_snapshot
 
 log = logging.getLogger(__name__)
 
@@ -31,8 +32,9 @@ def validate_frame(df: DataFrame, suite: str, row_range: tuple[int, int] = BRONZ
 def validate_layer(
     spark: SparkSession, path: str, suite: str, row_range: tuple[int, int] = BRONZE_ROW_RANGE
 ) -> Summary:
-    """Run a suite over the table stored at ``path``."""
-    return validate_frame(spark.read.parquet(path), suite, row_range)
+    """Run a suite over the table stored at ``path``, of a table with versions over the latest."""
+    stored = read_snapshot(spark, path) if is_snapshot_table(spark, path) else spark.read.parquet(path)
+    return validate_frame(stored, suite, row_range)
 
 
 def require(summary: Summary) -> Summary:
@@ -49,7 +51,7 @@ def quality_gate(
     suite: str = "bronze",
     row_range: tuple[int, int] = BRONZE_ROW_RANGE,
 ) -> Summary:
-    """Stop the run unless the raw rows of ``[start, end)`` pass."""
+    """Stop the run unless the raw rows stored for ``[start, end)`` pass."""
     return require(validate_frame(read_bronze(spark, lake, start, end), suite, row_range))
 
 

@@ -14,7 +14,7 @@ from clicklake.operators.metrics import METRICS
 from clicklake.operators.rebuild import date_list
 from clicklake.operators.slices import Moment, as_day, next_day
 from clicklake.plans.bronze import batch_name, dates_touched_by, days_between, land
-from clicklake.plans.gate import quality_gate
+from clicklake.plans.gate import quality_gate, require, validate_frame
 from clicklake.plans.gold import build_gold
 from clicklake.plans.silver import dates_to_rebuild, rebuild_silver
 from clicklake.schemas import BRONZE_ROW_RANGE, CLICK_TABLE, TableSpec
@@ -55,7 +55,8 @@ def run_range(
 ) -> RunReport:
     """Backfill ``[start, end)``. A failing raw or refined stage stops the later ones; a failing metric
     does not stop the other metrics. ``gate`` names a suite the raw rows must pass, ``row_range`` how many rows
-    it accepts. Only clicks are aggregated: other tables end with the refined layer.
+    it accepts: new rows pass it before they are published, so a failed gate leaves all layers as they were; where the raw stage is skipped, the
+    stored ones do. Only clicks are aggregated: other tables end with the refined layer.
     """
     if spec != CLICK_TABLE:
         skip = {*skip, "gold"}
@@ -70,11 +71,19 @@ def run_range(
     stage, touched, batch_id = "bronze", None, batch_id or batch_name()
     try:
         if "bronze" not in skip:
-            landed = land(spark, lake, source(), start, end, batch_id, spec)
+            rows = source()
+
+            def audit(staged):
+                nonlocal stage
+                stage = "gate"
+                require(validate_frame(staged, gate, row_range))
+                stage = "bronze"
+
+            landed = land(spark, lake, rows, start, end, batch_id, spec, audit if gate else None)
             touched, report.rows["bronze"] = landed.event_dates, landed.written.rows
         stage = "silver"
         if "silver" not in skip:
-            if gate:
+            if gate and touched is None:
                 stage = "gate"
                 quality_gate(spark, lake, start, end, gate, row_range)
                 stage = "silver"

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from clicklake.operators.rebuild import competing_rows, date_list, refine, refine_dates
-from clicklake.plans.bronze import batch_name, settle_landings
+from clicklake.plans.bronze import batch_name
 from clicklake.schemas import CLICK_TABLE, TableSpec
 from clicklake.sources.lake import (
     Lake,
@@ -25,8 +25,7 @@ from clicklake.sources.lake import (
 def dates_to_rebuild(
     spark: SparkSession, lake: Lake, dates: Iterable[date], spec: TableSpec = CLICK_TABLE
 ) -> list[date]:
-    """``dates`` and those pending from earlier runs, also from such as died while landing."""
-    settle_landings(spark, lake, spec)
+    """``dates`` and those pending from earlier runs, also from such as died after they landed."""
     return sorted(set(dates) | set(pending_dates(spark, lake, spec)))
 
 
@@ -47,7 +46,6 @@ def rebuild_all_silver(
     spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE, batch_id: str | None = None
 ) -> Written:
     """One pass over the whole raw layer; dates that end up without rows are emptied."""
-    settle_landings(spark, lake, spec)
     waiting = pending_dates(spark, lake, spec)
     held = date_list(read_silver(spark, lake, spec=spec).select("event_date").distinct())
     rows = refine(read_bronze(spark, lake, spec=spec), spec)

@@ -55,8 +55,6 @@ BATCH_LOG = (
     .add("success", BooleanType())
 )
 
-PENDING = StructType().add("event_date", DateType())
-LANDINGS = StructType().add("start", DateType()).add("end", DateType())
 
 QUALITY = (
     StructType()

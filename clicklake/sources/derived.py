@@ -69,6 +69,44 @@ def as_clicks(events: DataFrame, pages: DataFrame) -> DataFrame:
     )
 
 
+#: A feed arrives in so many slices of ``SLICE_DAYS`` days from ``FEED_START`` on; earlier and later days belong to the outer ones.
+SLICES, SLICE_DAYS, FEED_START = 6, 5, "2024-01-01"
+#: Rows that arrive late come this many slices after their own.
+LATE_SLICES = 3
+
+
+def as_feed(clicks: DataFrame) -> DataFrame:
+    """Clicks as a feed delivers them, with the slice of their ``arrival``: some are repeated exactly, some of the first slices are
+    redelivered late, changed 1 to 6 days after, and some are moved to the next day by a change 8 days after.
+    """
+    last = SLICES - LATE_SLICES
+    own = f"least(greatest(datediff(to_date(event_timestamp), DATE '{FEED_START}') div {SLICE_DAYS}, 0), {SLICES - 1})"
+    kinds = (
+        "filter(array(struct('first' AS kind, true AS there), struct('copy' AS kind, click_id % 11 = 2 AS there),"
+        f" struct('late' AS kind, click_id % 7 = 3 AND slice < {last} AS there),"
+        f" struct('moved' AS kind, click_id % 31 = 5 AND slice < {last} AS there)), k -> k.there)"
+    )
+    rows = clicks.withColumn("slice", F.expr(own)).withColumn("kind", F.explode(F.expr(f"transform({kinds}, k -> k.kind)")))
+    days = "CASE kind WHEN 'late' THEN 1 + click_id % 6 WHEN 'moved' THEN 8 ELSE 0 END"
+    return rows.withColumns(
+        {
+            "updated_at": F.expr(f"updated_at + make_dt_interval(CAST({days} AS INT))"),
+            "event_timestamp": F.expr("event_timestamp + make_dt_interval(CAST(if(kind = 'moved', 1, 0) AS INT))"),
+            "arrival": F.expr(f"slice + if(kind IN ('late', 'moved'), {LATE_SLICES}, 0)"),
+        }
+    ).drop("slice", "kind")
+
+
+def read_feed(spark: SparkSession, folder: str) -> DataFrame:
+    return as_feed(read_clicks(spark, folder))
+
+
+def write_feed(feed: DataFrame, path: str, files: int = 2) -> None:
+    """The feed as files, slice after slice, so that a stream that takes ``files`` at once sees a slice in each batch."""
+    for number in range(SLICES):
+        feed.filter(F.col("arrival") == number).drop("arrival").repartition(files).write.mode("append").parquet(path)
+
+
 def read_clicks(spark: SparkSession, folder: str) -> DataFrame:
     return as_clicks(read_events(spark, folder), read_pages(spark, folder))
 

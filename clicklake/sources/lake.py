@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clicklake.operators.slices import Moment, as_day
-from clicklake.schemas import BATCH_LOG, CLICK_TABLE, LANDINGS, PENDING, TableSpec
+from clicklake.schemas import BATCH_LOG, CLICK_TABLE, TableSpec
+from clicklake.sources.snapshots import delete, is_snapshot_table, names_in, path_exists, read_snapshot, touch
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,15 @@ class Lake:
     def gold(self, metric: str) -> str:
         return f"{self.root}/gold/{metric}"
 
+    def keys(self, spec: TableSpec = CLICK_TABLE) -> str:
+        return f"{self.root}/keys/{spec.name}"
+
+    def late(self, spec: TableSpec = CLICK_TABLE) -> str:
+        return f"{self.root}/late/{spec.name}"
+
+    def handover(self, spec: TableSpec = CLICK_TABLE) -> str:
+        return f"{self.root}/handover/{spec.name}"
+
     def pending(self, stage: str, spec: TableSpec = CLICK_TABLE) -> str:
         return f"{self.root}/pending/{stage}/{spec.name}"
 
@@ -46,14 +56,12 @@ class Written:
     dates: tuple[date, ...]
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Asked of the path's file system: a read that fails to find it would count as a failed query."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Scan with the declared schema; no rows when nothing is stored yet. Old files lack new columns: null."""
+    """Scan with the declared schema; no rows when nothing is stored yet. Old files lack new columns: null. Of a table with
+    versions, the latest is read.
+    """
+    if is_snapshot_table(spark, path):
+        return read_snapshot(spark, path, schema)
     if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
@@ -87,7 +95,14 @@ def read_bronze(
     end: Moment | None = None,
     spec: TableSpec = CLICK_TABLE,
 ) -> DataFrame:
-    return between_dates(read_table(spark, lake.bronze(spec), spec.bronze), "extract_date", start, end)
+    """Raw rows as last published; folders of days outside ``[start, end)`` are not listed."""
+    path, low, high = lake.bronze(spec), *(None if m is None else as_day(m).isoformat() for m in (start, end))
+    if low is None and high is None or not is_snapshot_table(spark, path):
+        rows = read_table(spark, path, spec.bronze)
+    else:
+        inside = lambda day: day[:1].isdigit() and (low is None or day >= low) and (high is None or day < high)
+        rows = read_snapshot(spark, path, spec.bronze, inside)
+    return between_dates(rows, "extract_date", start, end)
 
 
 def read_silver(
@@ -179,47 +194,26 @@ def read_batch_log(spark: SparkSession, lake: Lake) -> DataFrame:
 def add_pending(
     spark: SparkSession, lake: Lake, dates: Iterable[date], spec: TableSpec = CLICK_TABLE, stage: str = "silver"
 ) -> None:
-    """Note event dates that ``stage`` has yet to rebuild. The raw layer notes them for the refined one before and
-    after it replaces rows, the refined layer for the aggregated one before it does; so a run that dies leaves
+    """Note event dates that ``stage`` has yet to rebuild, each by an empty file of its name. The raw layer notes them for the refined
+    one before it replaces rows, the refined layer for the aggregated one before and after it does; so a run that dies leaves
     its mark, in whatever order the stages are taken up again.
     """
-    if dates := sorted(set(dates) - set(pending_dates(spark, lake, spec, stage))):
-        rows = spark.createDataFrame([(d,) for d in dates], PENDING)
-        rows.coalesce(1).write.mode("append").parquet(lake.pending(stage, spec))
+    for day in sorted(set(dates) - set(pending_dates(spark, lake, spec, stage))):
+        touch(spark, f"{lake.pending(stage, spec)}/{day.isoformat()}")
 
 
 def pending_dates(
     spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE, stage: str = "silver"
 ) -> list[date]:
-    rows = read_table(spark, lake.pending(stage, spec), PENDING).distinct().collect()
-    return sorted(r[0] for r in rows)
+    return [date.fromisoformat(n) for n in names_in(spark, lake.pending(stage, spec)) if n[:1].isdigit()]
 
 
 def clear_pending(
     spark: SparkSession, lake: Lake, dates: Iterable[date], spec: TableSpec = CLICK_TABLE, stage: str = "silver"
 ) -> None:
     """``stage`` is current on ``dates``; to be called by that stage only."""
-    held = pending_dates(spark, lake, spec, stage)
-    if held and (rest := set(held) - set(dates)) != set(held):
-        rows = spark.createDataFrame([(d,) for d in sorted(rest)], PENDING)
-        rows.coalesce(1).write.mode("overwrite").parquet(lake.pending(stage, spec))
-
-
-def open_landing(spark: SparkSession, lake: Lake, start: date, end: date, spec: TableSpec = CLICK_TABLE) -> None:
-    """Note a range of raw dates about to be written, whose event dates are not known before they are."""
-    rows = spark.createDataFrame([(start, end)], LANDINGS)
-    rows.coalesce(1).write.mode("append").parquet(lake.pending("landing", spec))
-
-
-def open_landings(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> list[tuple[date, date]]:
-    return sorted(tuple(r) for r in read_table(spark, lake.pending("landing", spec), LANDINGS).distinct().collect())
-
-
-def close_landings(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> None:
-    """The event dates of all noted ranges are pending; ranges of runs that died are settled by then as well."""
-    if open_landings(spark, lake, spec):
-        empty = spark.createDataFrame([], LANDINGS)
-        empty.coalesce(1).write.mode("overwrite").parquet(lake.pending("landing", spec))
+    for day in sorted(set(dates) & set(pending_dates(spark, lake, spec, stage))):
+        delete(spark, f"{lake.pending(stage, spec)}/{day.isoformat()}")
 
 
 def replace_table(df: DataFrame, path: str) -> int:

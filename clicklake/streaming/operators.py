@@ -64,11 +64,33 @@ def windowed_users(stream: DataFrame, width: str = "1 hour", delay: str = WATERM
     )
 
 
+#: A session ends when nothing happens for so long.
+GAP = "30 minutes"
+
+
+def live_sessions(stream: DataFrame, gap: str = GAP, delay: str = WATERMARK) -> DataFrame:
+    """A row for each session of a user, closed by a gap: emitted once the watermark has passed the gap after its last event.
+
+    Rows behind the watermark are left out, rows without a user or an event time too. State holds a row for each open session, not its events.
+    """
+    rows = watermarked(stream, delay).filter(F.col("user_id").isNotNull())
+    session = F.session_window("event_timestamp", gap).alias("span")
+    return (
+        rows.groupBy(session, "user_id")
+        .agg(
+            F.max("event_timestamp").alias("ended_at"),
+            F.count(F.lit(1)).alias("event_count"),
+            F.count_if(F.col("event_type") == "page_view").alias("page_views_count"),
+        )
+        .select("user_id", F.col("span.start").alias("started_at"), "ended_at", "event_count", "page_views_count")
+    )
+
+
 class LateRows(StreamingQueryListener):
-    """Counts, per query, the rows that came later than the watermark, from its first batch to its last.
+    """Counts, per query, the rows that came later than the watermark, since this process began.
 
     A query keeps reports of its last batches only; a listener is told of every one. Add it to ``spark.streams``
-    before the query starts.
+    before the query starts. ``late_rows`` of the jobs that set such rows aside counts across restarts.
     """
 
     def __init__(self) -> None:

@@ -304,6 +304,45 @@ SELECT session_id, user_id, started_at, ended_at,
   page_views_count, page_views_count = 1 AS bounce, device_type FROM grouped"""
 )
 
+# The clicks of a feed: some rows twice, some again with a later change, some moved to the next day, each with its slice of arrival.
+FEED = CLICKS.replace(
+    "clicks AS (\n  SELECT * FROM event_clicks", "base AS (\n  SELECT * FROM event_clicks", 1
+).replace(
+    "raw AS (",
+    """sliced AS (
+  SELECT *, least(greatest(trunc(datediff('day', DATE '2024-01-01', CAST(event_timestamp AS DATE)) / 5), 0), 5) AS slice FROM base
+),
+feed AS (
+  SELECT *, 'first' AS kind FROM sliced
+  UNION ALL SELECT *, 'copy' FROM sliced WHERE click_id % 11 = 2
+  UNION ALL SELECT * REPLACE (updated_at + to_days(CAST(1 + click_id % 6 AS INTEGER)) AS updated_at), 'late'
+    FROM sliced WHERE click_id % 7 = 3 AND slice < 3
+  UNION ALL SELECT * REPLACE (updated_at + to_days(8) AS updated_at, event_timestamp + to_days(1) AS event_timestamp), 'moved'
+    FROM sliced WHERE click_id % 31 = 5 AND slice < 3
+),
+clicks AS (SELECT * EXCLUDE (slice, kind) FROM feed),
+raw AS (""",
+    1,
+)
+
+# Sessions of a user by gaps of half an hour, over rows that came in time; those that had ended by the last watermark.
+LIVE_SESSIONS = """, timely AS (
+  SELECT user_id, event_timestamp AS moment, event_type,
+         CASE WHEN lag(event_timestamp) OVER w >= event_timestamp - INTERVAL 30 MINUTES THEN 0 ELSE 1 END AS begins
+  FROM feed WHERE kind IN ('first', 'copy') AND user_id IS NOT NULL
+  WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp)
+),
+numbered AS (
+  SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY moment ROWS UNBOUNDED PRECEDING) AS session FROM timely
+)
+SELECT user_id, min(moment) AS started_at, max(moment) AS ended_at, count(*) AS event_count,
+  count(*) FILTER (event_type = 'page_view') AS page_views_count
+FROM numbered GROUP BY user_id, session
+HAVING epoch_ms(max(moment) + INTERVAL 30 MINUTES) <= (SELECT epoch_ms(max(event_timestamp)) FROM feed) - 600000
+"""
+
+FEED_SILVER = FEED + "SELECT * EXCLUDE (rn) FROM silver"
+
 ORACLES: dict[str, str] = {
     "bronze_extract_window": CLICKS
     + "SELECT * FROM clicks WHERE updated_at >= TIMESTAMP '2024-01-05' AND updated_at < TIMESTAMP '2024-01-08'",
@@ -434,6 +473,18 @@ WHERE CAST(d AS DATE) NOT IN (SELECT event_date FROM silver)""",
   count(DISTINCT user_id) AS unique_users FROM closed GROUP BY ALL""",
     "stream_dedup": CLICKS + "SELECT DISTINCT * EXCLUDE (updated_at) FROM clicks",
     "stream_silver": CLICKS + "SELECT * EXCLUDE (rn) FROM silver",
+    "feed_late_slice": FEED
+    + """SELECT * FROM clicks WHERE updated_at >= TIMESTAMP '2024-01-13' AND updated_at < TIMESTAMP '2024-01-14'
+AND event_timestamp >= TIMESTAMP '2024-01-06' AND event_timestamp < TIMESTAMP '2024-01-13'""",
+    "feed_affected_dates": FEED
+    + """SELECT DISTINCT CAST(event_timestamp AS DATE) AS event_date FROM clicks
+WHERE click_id IN (SELECT click_id FROM clicks WHERE CAST(updated_at AS DATE) = DATE '2024-01-13')""",
+    "feed_stream_silver": FEED_SILVER,
+    "feed_late_repaired": FEED_SILVER,
+    "feed_hybrid": FEED_SILVER,
+    "feed_hybrid_raw": FEED + "SELECT extract_date, count(*) AS raw_rows FROM raw GROUP BY ALL",
+    "feed_replayed": FEED_SILVER,
+    "feed_live_sessions": FEED + LIVE_SESSIONS,
     "sample_sessions": SAMPLE_SESSIONS,
     "sample_clicks": SAMPLE_CLICKS,
 }

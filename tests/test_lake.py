@@ -113,7 +113,7 @@ def test_partition_filter_prunes_and_columns_are_pruned(spark, clicks, lake):
 
 
 def test_new_columns_are_null_in_old_files(spark, clicks, lake):
-    land(spark, lake, clicks(click(1, "2024-01-05 10:00:00")), D5, D6)
+    overwrite_partitions(with_metadata(clicks(click(1, "2024-01-05 10:00:00")), "a"), lake.bronze(), "extract_date")
     newer = with_metadata(clicks(click(2, "2024-01-06 10:00:00")), "b").withColumn("country", F.lit("pt"))
     overwrite_partitions(newer, lake.bronze(), "extract_date")
     assert rows_of(read_with_evolution(spark, lake.bronze()), "click_id", "country") == [(1, None), (2, "pt")]
