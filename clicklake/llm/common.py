@@ -23,9 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared scratch folder and read back: a lost executor recomputes nothing above."""
+#: Narrow rows that a file of a stored table holds, more or less.
+FILE_ROWS = 1 << 16
+
+
+def stored(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """The rows written to the shared scratch folder and read back: a lost executor recomputes nothing above.
+
+    Given about how many ``rows`` there may be, small neighbouring partitions are written by one task: many narrow tables as a file for
+    each shuffle partition would cost more in files than in rows. There are always tasks enough for all cores.
+    """
     path = scratch_path(df.sparkSession, label)
+    if rows is not None:
+        df = df.coalesce(max(4 * df.sparkSession.sparkContext.defaultParallelism, rows // FILE_ROWS))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -209,7 +209,7 @@ def draw_slots(lines: DataFrame, slots: int, sources: int, shard: int) -> DataFr
         .count()
         .withColumn("span", F.expr("shard div 1024"))
     )
-    counts = stored(counts, "mix-draws")
+    counts = stored(counts, "mix-draws", slots // shard * min(sources, shard))
     earlier = Window.partitionBy("key").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     spans = counts.groupBy("key", "span").agg(F.sum("count").alias("drawn"))
     spans = spans.select("key", "span", F.coalesce(F.sum("drawn").over(earlier), F.lit(0)).alias("start"))
@@ -248,16 +248,17 @@ def plan(
     docs: DataFrame, block: int = BLOCK, shard: int = SHARD, columns: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The mix as three frames: placed documents; sources with targets; slots (key, shard, number, block)."""
-    sizes = stored(sized(docs, columns), "mix-sizes")
+    documents = docs.count()
+    sizes = stored(sized(docs, columns), "mix-sizes", documents)
     words = sizes.withColumn("size", F.col("size") * F.col("copies"))
-    lines = stored(quotas(source_targets(words), block), "mix-sources")
+    lines = stored(quotas(source_targets(words), block), "mix-sources", 0)
     slots, sources = lines.agg(F.coalesce(F.sum("quota"), F.lit(0)), F.count("*")).first()
     drawn = draw_slots(lines.select("key", "rank", "quota"), slots, sources, shard) if slots else None
     if drawn is None:
         drawn = lines.select("key", F.lit(0).cast("long").alias("shard"), F.col("quota").alias("number")).limit(0)
     blocks = drawn.join(lines.select("key", "blocks"), "key")
     blocks = permuted(blocks, F.col("number"), F.col("blocks"), "key", F.expr("number div blocks"), out="block")
-    places = stored(placed(sizes, sizes.count()), "mix-places")
+    places = stored(placed(sizes, documents), "mix-places", documents)
     return places, lines, blocks.select("key", "shard", "number", "block")
 
 
@@ -293,12 +294,12 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shard: int = SHARD) ->
     """
     rows, lines, slots = plan(docs, block, shard, docs.columns)
     parts = F.array_sort(F.collect_list(F.struct("skip", "words", "times")))
-    taken = stored(pieces(rows, lines, slots).groupBy(*ROW).agg(parts.alias("parts")), "mix-taken")
+    taken = stored(pieces(rows, lines, slots).groupBy(*ROW).agg(parts.alias("parts")), "mix-taken", rows.count())
     texts = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_alike(docs.columns), count_words(F.col("text")).alias("size")
     )
     # rows without a like are joined as they are; rows that are alike are one, and once for each chunk of copies
-    many = stored(rows.where("copy > 0").select(*ALIKE).distinct(), "mix-alike")
+    many = stored(rows.where("copy > 0").select(*ALIKE).distinct(), "mix-alike", 0)
     joined = texts.join(taken, ALIKE).select("row", "size", "parts")
     if not many.isEmpty():
         joined = texts.join(taken.join(many, ALIKE, "left_anti"), ALIKE).select("row", "size", "parts")

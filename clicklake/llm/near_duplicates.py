@@ -246,7 +246,7 @@ def bucket_blocks(some: DataFrame, others: DataFrame, sizes: DataFrame) -> DataF
     return lefts.unionByName(rights)
 
 
-def candidate_edges(nodes: DataFrame) -> DataFrame:
+def candidate_edges(nodes: DataFrame, documents: int | None = None) -> DataFrame:
     """a, b: nodes that share a bucket and enough samples; they connect what all such pairs connect.
 
     A bucket's pivot is its smallest node. Nodes that are close to it hang together by it. Each of the rest is compared with all nodes
@@ -267,7 +267,7 @@ def candidate_edges(nodes: DataFrame) -> DataFrame:
     short = nodes.select("node", "short")
     shared = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
     paired = members.join(shared, "bucket").where("node > a").select("bucket", F.col("node").alias("b"), "a", "n")
-    paired = stored(paired, "bucket-pairs")
+    paired = stored(paired, "bucket-pairs", documents)
     pairs = (
         paired.select("a", "b")
         .distinct()
@@ -275,10 +275,10 @@ def candidate_edges(nodes: DataFrame) -> DataFrame:
         .join(short.withColumnsRenamed({"node": "a", "short": "left"}), "a")
         .select("b", "a", "left", "right")
     )
-    judged = stored(pairs.mapInArrow(compare, "b long, a long, close boolean"), "bucket-judged")
+    judged = stored(pairs.mapInArrow(compare, "b long, a long, close boolean"), "bucket-judged", documents)
     star = judged.where("close").select("a", "b")
     apart = paired.where("n > 2").join(judged.where(~F.col("close")), ["a", "b"])
-    apart = stored(apart.select("bucket", F.col("b").alias("node"), "n"), "bucket-left")
+    apart = stored(apart.select("bucket", F.col("b").alias("node"), "n"), "bucket-left", documents)
     sizes = apart.select("bucket", (F.col("n") - 1).alias("others")).distinct()
     rows = bucket_blocks(apart.select("bucket", "node"), paired.where("n > 2").select("bucket", F.col("b").alias("node")), sizes)
     rows = rows.join(short, "node").select("bucket", "i", "j", "left", "node", "short")
@@ -310,7 +310,7 @@ def candidate_edges(nodes: DataFrame) -> DataFrame:
             yield _edges(out)
         yield _edges(block(held) if held else [])
 
-    return star.unionByName(stored(rows.mapInArrow(grouped, "a long, b long"), "bucket-links"))
+    return star.unionByName(stored(rows.mapInArrow(grouped, "a long, b long"), "bucket-links", documents))
 
 
 def elements(text: str, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
@@ -367,12 +367,12 @@ def spanning(pairs) -> list[tuple[int, int]]:
     return out
 
 
-def verified_links(labels: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+def verified_links(labels: DataFrame, texts: DataFrame, weights: Weights, documents: int | None = None) -> DataFrame:
     """a, b: links that connect what all links within the candidate components connect.
 
     ``labels`` has node and label (its component's smallest node), ``texts`` the text of every such node.
     """
-    sizes = stored(labels.groupBy("label").agg(F.count("*").alias("nodes")).where("nodes > 1"), "component-sizes")
+    sizes = stored(labels.groupBy("label").agg(F.count("*").alias("nodes")).where("nodes > 1"), "component-sizes", documents)
     total = labels.count()
     sized = join_often(labels, sizes, "label", "nodes", total)
     place = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
@@ -398,7 +398,7 @@ def verified_links(labels: DataFrame, texts: DataFrame, weights: Weights) -> Dat
             columns = [pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "close"])
 
-    judged = stored(rows.mapInArrow(star, "a long, b long, close boolean"), "star-links")
+    judged = stored(rows.mapInArrow(star, "a long, b long, close boolean"), "star-links", documents)
     links = judged.where("close").select("a", "b")
     # a component of two is settled by its star
     large = sizes.where("nodes > 2")
@@ -407,7 +407,7 @@ def verified_links(labels: DataFrame, texts: DataFrame, weights: Weights) -> Dat
     blocks = stored(
         counted.join(large, "label")
         .select("label", "nodes", "apart", F.ceil(F.col("apart") / SIDE).alias("lefts"), F.ceil(F.col("nodes") / SIDE).alias("rights")),
-        "component-blocks",
+        "component-blocks", documents,
     )
     by = ["label", "i", "j", "left", "node"]
     lefts = join_often(apart, blocks, "label", "nodes", total)
@@ -481,23 +481,23 @@ def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     and the number of documents."""
     documents = docs.count()
     weights = common_shingles(docs, documents)
-    drawn = stored(sketches(docs, weights), "sketches")
-    nodes = stored(make_nodes(drawn), "nodes")
-    near = components(candidate_edges(nodes))
+    drawn = stored(sketches(docs, weights), "sketches", documents)
+    nodes = stored(make_nodes(drawn), "nodes", documents)
+    near = components(candidate_edges(nodes, documents), documents)
     wanted = nodes.join(near, "node").select("node", "digest", "first_id")
-    texts = stored(texts_of(docs, stored(wanted, "candidates")), "candidate-texts")
-    classes = components(stored(verified_links(near, texts, weights), "links"))
+    texts = stored(texts_of(docs, stored(wanted, "candidates", documents)), "candidate-texts", documents)
+    classes = components(stored(verified_links(near, texts, weights, documents), "links", documents), documents)
     label = F.coalesce("label", "node").alias("label")
     labels = nodes.join(classes, "node", "left").select("digest", label, "copies")
-    return drawn.select("doc_id", "digest"), stored(labels, "text-labels"), documents
+    return drawn.select("doc_id", "digest"), stored(labels, "text-labels", documents), documents
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size: a row for each document."""
     ids, labels, documents = text_classes(docs)
     sizes = labels.groupBy("label").agg(F.sum("copies").alias("class_size"))
-    sized = join_often(labels, stored(sizes, "class-sizes"), "label", "class_size", documents)
-    sized = stored(sized.select("digest", F.col("label").alias("class_id"), "class_size", "copies"), "text-classes")
+    sized = join_often(labels, stored(sizes, "class-sizes", documents), "label", "class_size", documents)
+    sized = stored(sized.select("digest", F.col("label").alias("class_id"), "class_size", "copies"), "text-classes", documents)
     out = join_often(ids, sized, "digest", "copies", documents).select("doc_id", "class_id", "class_size")
     alone = docs.where("text is null").select(F.col("doc_id").cast("long"))
     return out.unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
