@@ -15,17 +15,18 @@ from clicklake.operators.completeness import missing_dates
 from clicklake.operators.metrics import METRICS, aggregate_metric, ranked_metric
 from clicklake.operators.rebuild import competing_rows, date_list, refine, refine_dates, touched_dates
 from clicklake.operators.sessions import conversion_funnel, session_summary
+from clicklake.operators.sketches import ERROR, PRECISION, distinct_counts, hourly_sketches, united
 from clicklake.operators.slices import changed_between, day_with_late, history_and_live, late_slice
 from clicklake.operators.versions import latest_versions
 from clicklake.plans.bronze import land, with_metadata
-from clicklake.plans.gold import build_sessions
-from clicklake.plans.health import Layer, lake_health, layer_row_counts, stored_layers
+from clicklake.plans.gold import build_sessions, read_sessions_table, read_sketches, update_sessions
+from clicklake.plans.health import Layer, lake_health, layer_row_counts, run_measures, stored_layers
 from clicklake.plans.runs import run_range
 from clicklake.plans.silver import rebuild_silver
 from clicklake.schemas import CLICK_TABLE, SESSION_TABLE
 from clicklake.session import scratch_path
 from clicklake.sources.derived import read_clicks, read_events, read_feed, read_sessions, stream_clicks, write_feed
-from clicklake.sources.lake import Lake, read_bronze, read_silver
+from clicklake.sources.lake import Lake, read_bronze, read_silver, read_with_evolution
 from clicklake.sources.samples import sample_clicks, sample_sessions
 from clicklake.streaming.jobs import hybrid_run, repair_late, replay, stream_to_bronze, stream_to_files, stream_to_silver
 from clicklake.streaming.operators import first_versions, live_sessions, windowed_counts, windowed_users
@@ -240,9 +241,72 @@ def stored_user_sessions(spark, folder):
     return spark.read.parquet(lake.gold("user_sessions"))
 
 
+@query
+def evolved_source(spark, folder):
+    """Clicks read from one folder of files of three generations: short ids, a column that came, long ids."""
+    path = scratch_path(spark, "evolved_source")
+    clicks = read_clicks(spark, folder)
+    short = clicks.withColumn("click_id", F.col("click_id").cast("int"))
+    for number, rows in enumerate((short.drop("referrer_url"), short.withColumn("campaign", F.col("click_id") % 5), clicks)):
+        rows.filter(F.pmod("click_id", F.lit(3)) == number).write.mode("append").parquet(path)
+    return read_with_evolution(spark, path)
+
+
+@query
+def incremental_sessions(spark, folder):
+    """The session table kept by two loads, the second rebuilding only the sessions that it touches."""
+    lake = Lake(scratch_path(spark, "incremental_sessions"))
+    clicks = read_feed(spark, folder).drop("arrival")
+    first, middle, last = change_range(clicks)
+    for start, end in ((first, middle), (middle, last)):
+        landed = land(spark, lake, clicks, start, end, BATCH)
+        rebuild_silver(spark, lake, landed.event_dates)
+        update_sessions(spark, lake, landed.event_dates)
+    return read_sessions_table(spark, lake)
+
+
+@query
+def run_measures_of(spark, folder):
+    """Duration, lag and success of the runs in a stored log: of a batch for each day of change, as long as it has rows, and of a stream's."""
+    lake = Lake(scratch_path(spark, "run_measures"))
+    days = read_clicks(spark, folder).groupBy(F.to_date("updated_at").alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    started = "CAST(date_add(day, 1) AS TIMESTAMP) + INTERVAL 2 HOURS"
+    batches = days.selectExpr(
+        "concat('batch_', day) AS batch_id", "'bronze.clicks' AS table", "rows", f"{started} AS started_at",
+        f"{started} + make_dt_interval(0, 0, 0, CAST(rows AS INT)) AS finished_at", "dayofmonth(day) % 13 <> 0 AS success",
+    )
+    streamed = days.selectExpr(
+        "concat('stream_', day) AS batch_id", "'bronze.clicks' AS table", "rows", "CAST(day AS TIMESTAMP) AS started_at",
+        "CAST(day AS TIMESTAMP) + INTERVAL 3 MINUTES AS finished_at", "true AS success",
+    )
+    batches.unionByName(streamed).write.parquet(lake.batch_log)
+    return run_measures(spark, lake, NOW)
+
+
 # Aggregated layer
 
 
+@query
+def distinct_sketches(spark, folder):
+    """Users of each day and month: counted exactly, and by stored hourly sketches, whose union equals one sketch of all rows."""
+    lake, refined = Lake(scratch_path(spark, "distinct_sketches")), silver(spark, folder)
+    rows = hourly_sketches(refined).hint("rebalance", "date")
+    rows.write.partitionBy("date").parquet(lake.gold("hourly_sketches"))
+    out = None
+    for level, period in (("day", F.col("date")), ("month", F.trunc("date", "month"))):
+        parts = distinct_counts(united(read_sketches(spark, lake), period.alias("period")))
+        whole = refined.withColumn("date", F.col("event_date")).groupBy(period.alias("period"))
+        exact = whole.agg(F.countDistinct("user_id").alias("exact_users"), F.hll_sketch_agg("user_id", F.lit(PRECISION)).alias("sketch"))
+        same = exact.groupBy("period", "exact_users").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("whole"))
+        told = same.join(parts, "period").select(
+            F.lit(level).alias("level"), "period", "exact_users", "event_count",
+            (F.abs(F.col("users") - F.col("exact_users")) <= F.lit(ERROR) * F.col("exact_users") + 1).alias("within"),
+            (F.col("users") == F.col("whole")).alias("parts_equal_whole"),
+        )
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
 @query
 def daily_metrics(spark, folder):
     return ranked_metric(silver(spark, folder), "daily_metrics")

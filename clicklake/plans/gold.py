@@ -6,12 +6,14 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from clicklake.operators.metrics import METRIC_COLUMNS, METRICS, aggregate_metric
 from clicklake.operators.rebuild import date_list
 from clicklake.operators.sessions import conversion_funnel, session_summary
+from clicklake.operators.sketches import hourly_sketches
 from clicklake.plans.bronze import batch_name
 from clicklake.sources.lake import (
     Lake,
@@ -23,6 +25,7 @@ from clicklake.sources.lake import (
     replace_table,
     write_idempotent,
 )
+from clicklake.sources.snapshots import expire, publish, read_snapshot, stage
 
 
 @dataclass
@@ -66,6 +69,68 @@ def build_gold(
     return report
 
 
+def build_sketches(spark: SparkSession, lake: Lake, dates: Iterable[date] | None = None, batch_id: str | None = None) -> Written:
+    """Rebuild the hourly sketches of ``dates`` (all when None). Days and months are united from them when they are read."""
+    dates = None if dates is None else sorted(dates)
+    rows, path = hourly_sketches(read_silver(spark, lake, dates)), lake.gold("hourly_sketches")
+    held = dates if dates is not None else date_list(read_table(spark, path, rows.schema).select("date").distinct())
+    return write_idempotent(spark, rows, lake, path, "date", batch_id or batch_name(), "gold.hourly_sketches", held)
+
+
+def read_sketches(spark: SparkSession, lake: Lake) -> DataFrame:
+    return spark.read.parquet(lake.gold("hourly_sketches"))
+
+
+#: The session table lies in so many buckets.
+SESSION_BUCKETS = 64
+
+
+def bucket_of(buckets: int = SESSION_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64("session_id"), F.lit(buckets)).cast("int")
+
+
+def update_sessions(spark: SparkSession, lake: Lake, dates: Iterable[date], buckets: int = SESSION_BUCKETS) -> int:
+    """Rebuild the sessions that have or had an event on ``dates``, which the refined layer just rebuilt, and leave all others. Returns how
+    many were rebuilt.
+
+    A session's other rows lie between the ends that are stored for it, so refined dates outside are not read. Only buckets
+    that hold such a session are read and replaced, all at once.
+    """
+    dates, path = sorted(dates), lake.gold("session_buckets")
+    if not dates:
+        return 0
+    schema = StructType([*session_summary(read_silver(spark, lake, [])).schema.fields, StructField("bucket", IntegerType())])
+    stored = read_snapshot(spark, path, schema)
+    first, last = F.to_date("started_at"), F.to_date("ended_at")
+    on_dates = F.exists(F.lit(dates), lambda day: (day >= first) & (day <= last))
+    near = stored.filter((last >= F.lit(dates[0])) & (first <= F.lit(dates[-1])) & on_dates)
+    now = read_silver(spark, lake, dates).select("session_id").distinct()
+    changed = now.unionByName(near.select("session_id")).distinct()
+    spans = stored.join(changed, "session_id", "left_semi").agg(F.min(first), F.max(last)).first()
+    start, end = min(dates[0], spans[0] or dates[0]), max(dates[-1], spans[1] or dates[-1])
+    touched = {r[0] for r in changed.select(bucket_of(buckets)).distinct().collect()}
+    if not touched:
+        return 0
+    rows = read_silver(spark, lake).filter(F.col("event_date").between(F.lit(start), F.lit(end)))
+    # a null session_id is a session too
+    same = F.col("r.session_id").eqNullSafe(F.col("c.session_id"))
+    rebuilt = session_summary(rows.alias("r").join(changed.alias("c"), same, "left_semi").select("r.*"))
+    rebuilt = rebuilt.withColumn("bucket", bucket_of(buckets))
+    held = read_snapshot(spark, path, schema, {str(b) for b in touched}.__contains__)
+    same = F.col("h.session_id").eqNullSafe(F.col("c.session_id"))
+    kept = held.alias("h").join(changed.alias("c"), same, "left_anti").select("h.*")
+    staged = stage(kept.withColumn("_new", F.lit(0)).unionByName(rebuilt.withColumn("_new", F.lit(1))), path, "bucket", [F.col("user_id")],
+                   facts={"rebuilt": F.sum("_new")})
+    publish(spark, staged, map(str, touched))
+    expire(spark, path)
+    return staged.facts["rebuilt"] or 0
+
+
+def read_sessions_table(spark: SparkSession, lake: Lake) -> DataFrame:
+    schema = StructType([*session_summary(read_silver(spark, lake, [])).schema.fields, StructField("bucket", IntegerType())])
+    return read_snapshot(spark, lake.gold("session_buckets"), schema).drop("bucket")
+
+
 def build_sessions(spark: SparkSession, lake: Lake) -> int:
     """Rebuild the session table, laid out by user so that reading one user touches few files."""
     by_user = session_summary(read_silver(spark, lake)).hint("rebalance", "user_id").sortWithinPartitions("user_id")

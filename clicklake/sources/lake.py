@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ByteType, DataType, DoubleType, IntegerType, LongType, ShortType, StructType
 
 from clicklake.operators.slices import Moment, as_day
 from clicklake.schemas import BATCH_LOG, CLICK_TABLE, TableSpec
@@ -68,10 +69,53 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def read_with_evolution(spark: SparkSession, path: str) -> DataFrame:
-    """Scan with the union of all file schemas; a column new files added is null in old ones. A path that does not
-    exist raises, so this is how sources are read.
+    """Scan of files whose schemas differ: a column that some files lack is null there, and a type that was widened between files (a whole
+    number to a longer one or to a fraction, a date to a moment) is the widest. A path that does not exist raises, so this is how sources are read.
+
+    Files of one schema are read together, brought to the common types, and united.
     """
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    partitioned = spark.read.parquet(path)
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        files = partitioned.inputFiles()
+        for file, schema in zip(files, pool.map(lambda f: spark.read.parquet(f).schema, files)):
+            groups.setdefault(schema.json(), (schema, []))[1].append(file)
+    if len(groups) < 2:
+        return partitioned
+    common: dict[str, DataType] = {}
+    for schema, _ in groups.values():
+        for held in schema:
+            common[held.name] = wider(common[held.name], held.dataType, held.name) if held.name in common else held.dataType
+    folders = [f for f in partitioned.schema if f.name not in common]
+    out = None
+    for schema, members in groups.values():
+        rows = spark.read.option("basePath", path).schema(StructType([*schema.fields, *folders])).parquet(*members)
+        columns = [
+            F.col(f"`{n}`").cast(t).alias(n) if n in schema.names else F.lit(None).cast(t).alias(n) for n, t in common.items()
+        ]
+        rows = rows.select(*columns, *[f"`{f.name}`" for f in folders])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+#: Types that hold all values of those before them.
+WHOLE = (ByteType(), ShortType(), IntegerType(), LongType())
+
+
+def wider(one: DataType, other: DataType, name: str = "") -> DataType:
+    """The type that holds all values of both; raises where there is none."""
+    if one == other:
+        return one
+    pair = {one.typeName(), other.typeName()}
+    if one in WHOLE and other in WHOLE:
+        return max(one, other, key=WHOLE.index)
+    if pair == {"float", "double"} or "double" in pair and pair <= {"double", "byte", "short", "integer"}:
+        return DoubleType()
+    if pair in ({"date", "timestamp"}, {"date", "timestamp_ntz"}):
+        return one if one.typeName() != "date" else other
+    if "void" in pair:
+        return other if one.typeName() == "void" else one
+    raise TypeError(f"{name}: no type holds both {one.simpleString()} and {other.simpleString()}")
 
 
 def preview(df: DataFrame, *columns: str, rows: int = 5) -> DataFrame:

@@ -485,6 +485,26 @@ WHERE click_id IN (SELECT click_id FROM clicks WHERE CAST(updated_at AS DATE) =
     "feed_hybrid_raw": FEED + "SELECT extract_date, count(*) AS raw_rows FROM raw GROUP BY ALL",
     "feed_replayed": FEED_SILVER,
     "feed_live_sessions": FEED + LIVE_SESSIONS,
+    "evolved_source": CLICKS
+    + """SELECT * REPLACE (CASE WHEN click_id % 3 <> 0 THEN referrer_url END AS referrer_url),
+  CASE WHEN click_id % 3 = 1 THEN CAST(click_id % 5 AS INTEGER) END AS campaign FROM clicks""",
+    "incremental_sessions": FEED + SESSION_SUMMARY.removeprefix(CLICKS),
+    "distinct_sketches": CLICKS
+    + """SELECT 'day' AS level, event_date AS period, count(DISTINCT user_id) AS exact_users, count(*) AS event_count,
+  TRUE AS within, TRUE AS parts_equal_whole FROM silver GROUP BY ALL
+UNION ALL
+SELECT 'month', CAST(date_trunc('month', event_date) AS DATE) AS period, count(DISTINCT user_id), count(*), TRUE, TRUE
+FROM silver GROUP BY ALL""",
+    "run_measures": CLICKS
+    + """, days AS (SELECT CAST(updated_at AS DATE) AS day, count(*) AS n FROM clicks GROUP BY ALL)
+SELECT 'batch_duration_hours' AS measure, CAST(max(n) AS DOUBLE) * 1000000 / 3600000000 AS value, max(n) > 4 * 3600 AS breached FROM days
+UNION ALL
+SELECT 'streaming_lag_minutes',
+  CAST(epoch_us(TIMESTAMP '2024-01-31 03:00:00') - epoch_us(CAST(max(day) AS TIMESTAMP) + INTERVAL 3 MINUTES) AS DOUBLE) / 60000000,
+  epoch_us(TIMESTAMP '2024-01-31 03:00:00') - epoch_us(CAST(max(day) AS TIMESTAMP) + INTERVAL 3 MINUTES) > 5 * 60000000 FROM days
+UNION ALL
+SELECT 'backfill_success_pct', avg(CASE WHEN day(day) % 13 <> 0 THEN 1.0::DOUBLE ELSE 0 END) * 100, min(CASE WHEN day(day) % 13 <> 0 THEN 1 ELSE 0 END) = 0
+FROM days""",
     "sample_sessions": SAMPLE_SESSIONS,
     "sample_clicks": SAMPLE_CLICKS,
 }
