@@ -171,7 +171,8 @@ def write_tokens(
     manifest = ordered.select("key", "text").mapInArrow(
         write, "part long, number long, file string, documents long, tokens long, sequences long"
     )
-    return stored(manifest, "token-manifest")
+    # a short row for each token file: one file, and no task that encodes writes another
+    return stored(manifest.repartition(1), "token-manifest")
 
 
 def read_documents(manifest: DataFrame, kind: str, key: str = "doc_id") -> DataFrame:
