@@ -49,7 +49,7 @@ SPELLINGS = [
     ("https", "http"),
 ]
 
-#: Licence texts and notices that the SQL knows too. Fixed values.
+#: Licence texts and notices. Fixed values.
 LISTED = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
     "Apache-1.1": ["Licensed under the Apache License, Version 1.1."],
@@ -296,6 +296,10 @@ LONG = {
 }
 
 
+#: Known texts that are few enough to be broadcast: some megabytes of digests.
+SHORT = 50_000
+
+
 def spelled(words):
     for given, kept in SPELLINGS:
         words = F.replace(words, F.lit(given), F.lit(kept))
@@ -343,7 +347,10 @@ def scan(docs: DataFrame, known: dict[str, list[str]] = KNOWN, key: str = "doc_i
     digests = F.transform(
         units, lambda u: F.struct(u["scope"].alias("scope"), u["line"].alias("line"), F.sha2(u["form"], 256).alias("digest"))
     )
-    found = lines.select("key", "row", F.inline(digests)).join(F.broadcast(known_digests(docs.sparkSession, known)), "digest")
+    digested = known_digests(docs.sparkSession, known)
+    # a list of a caller may be of any length: a short one goes to all tasks, adaptive execution decides about others
+    short = sum(map(len, known.values())) <= SHORT
+    found = lines.select("key", "row", F.inline(digests)).join(F.broadcast(digested) if short else digested, "digest")
     return (
         found.groupBy("key", "row", "scope", "licence")
         .agg(F.when(F.col("scope") == "text", 1).otherwise(F.count("*")).cast("long").alias("units"), F.min("line").alias("first_line"))
@@ -352,31 +359,52 @@ def scan(docs: DataFrame, known: dict[str, list[str]] = KNOWN, key: str = "doc_i
 
 
 def _sql() -> str:
-    def canonical(text: str, lowered: str) -> str:
-        words = f"regexp_replace({lowered}, '{SEPARATORS}', ' ', 'g')"
+    """The same scan in SQL, whose patterns know no look-ahead: a letter or digit that must not follow is one other character, or the end."""
+    notice, prose = (p.replace("(?![0-9])", "(?:[^0-9]|$)").replace("(?![a-z])", "(?:[^a-z]|$)") for p in (NOTICE, PROSE))
+
+    def spelling(words: str) -> str:
         for given, kept in SPELLINGS:
             words = f"replace({words}, '{given}', '{kept}')"
-        return f"CASE WHEN regexp_matches({lowered}, '{COPYRIGHT}') THEN '' ELSE trim({words}) END"
+        return words
+
+    def values(rows) -> str:
+        return ", ".join("({})".format(", ".join("'" + v.replace("'", "''") + "'" for v in row)) for row in rows)
 
     lower = "translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    lines = f"list_transform(string_split(text, chr(10)), lambda l: {canonical('l', lower)})"
-    entire = "array_to_string(list_filter(lines, lambda l: l <> ''), ' ')"
-    values = ", ".join(
-        "('{}', '{}')".format(name, text.replace("'", "''")) for name, texts in LISTED.items() for text in texts
-    )
+    like = lambda pattern: f"regexp_matches({lower}, '{pattern}')"
+    words = spelling(f"regexp_replace({lower}, '{SEPARATORS}', ' ', 'g')")
+    form = f"CASE WHEN {like(COPYRIGHT)} AND {like(notice)} THEN '' ELSE trim({words}) END"
+    doubtful = f"{like(COPYRIGHT)} AND NOT {like(notice)} AND NOT {like(prose)}"
+    lines = f"list_transform(string_split(text, chr(10)), lambda l: {{'form': {form}, 'doubtful': {doubtful}}})"
+
+    def entire(kept: str) -> str:
+        return spelling(f"array_to_string(list_transform(list_filter(lines, lambda l: {kept}), lambda l: l.form), ' ')")
+
+    forms = f"list_distinct([{entire("l.form <> ''")}, {entire("l.form <> '' AND NOT l.doubtful")}])"
+    listed = [(name, text) for name, texts in LISTED.items() for text in texts]
+    listed += [(name, f"{t}\n\n{body}") for name, (titles, bodies) in TEXTS.items() for t in ["", *titles] for body in bodies]
+    listed += [(name, f"SPDX-License-Identifier: {name}") for name in NAMES]
     return f"""
-WITH given(licence, text) AS (VALUES {values}),
+WITH names(licence, called) AS (VALUES {values((n, c) for n, called in NAMES.items() for c in called)}),
+openings(opening) AS (VALUES {values((o,) for o in OPENINGS)}),
+given(licence, text) AS (
+  VALUES {values(listed)}
+  UNION ALL SELECT licence, opening || ' ' || called || '.' FROM names, openings
+),
 known_lines AS (SELECT licence, {lines} AS lines FROM given),
-known AS (SELECT DISTINCT licence, {entire} AS form FROM known_lines),
+known AS (
+  SELECT licence, sha256(form) AS digest FROM (SELECT licence, unnest({forms}) AS form FROM known_lines) WHERE form <> ''
+  UNION VALUES {values((n, d) for d, n in LONG.items())}
+),
 split AS (SELECT doc_id, row_number() OVER () AS r, {lines} AS lines FROM documents),
 units AS (
-  SELECT doc_id, r, 'text' AS scope, 0 AS line, {entire} AS form FROM split
+  SELECT doc_id, r, 'text' AS scope, 0 AS line, unnest({forms}) AS form FROM split
   UNION ALL
-  SELECT doc_id, r, 'line', line, form FROM (
-    SELECT doc_id, r, unnest(lines) AS form, unnest(range(1, len(lines) + 1)) AS line FROM split)
+  SELECT doc_id, r, 'line', line, l.form FROM (
+    SELECT doc_id, r, unnest(lines) AS l, unnest(range(1, len(lines) + 1)) AS line FROM split)
 )
-SELECT doc_id, scope, licence, count(*) AS units, min(line)::INTEGER AS first_line
-FROM units JOIN known USING (form) WHERE form <> '' GROUP BY doc_id, r, scope, licence
+SELECT doc_id, scope, licence, CASE WHEN scope = 'text' THEN 1 ELSE count(*) END AS units, min(line)::INTEGER AS first_line
+FROM (SELECT *, sha256(form) AS digest FROM units WHERE form <> '') JOIN known USING (digest) GROUP BY doc_id, r, scope, licence
 """
 
 

@@ -126,3 +126,31 @@ def test_common_texts_and_families_of_notices_are_known(spark):
 def test_no_two_licences_share_a_form(spark):
     digests = licences.known_digests(spark)
     assert digests.groupBy("digest").count().where("count > 1").count() == 0
+
+
+def test_titles_names_notices_and_wrappings_match_sql(spark):
+    body = licences.TEXTS["BSD-3-Clause"][1][0]
+    titles = [f"{t}\n\n{licences.TEXTS[n][1][0]}" for n in licences.TEXTS for t in ["", *licences.TEXTS[n][0]]]
+    called = [f"{o} {c}." for n, names in licences.NAMES.items() for o, c in zip(licences.OPENINGS, names)]
+    notices = [
+        "Copyright holders be liable for any claim", "(c) the third item", "Copyright (c) 1999, 2001 A. N. Other", "copyright year name", "© all",
+        "All rights reserved.", "Copyright Jane Doe", "copyrighted material", "COPYRIGHT 20011 x", "Copyright yyyyx", "copyright licence applies",
+        "Licensed under the ISC License.", "SPDX-License-Identifier: MIT",
+    ]
+    wrapped = ["\n".join(textwrap.wrap(body.replace("\n", " "), n)) for n in (30, 55, 72)]
+    mixed = [f"{n}\n{body}" for n in notices] + [f"{body}\n{n}\n{n}" for n in notices]
+    texts = [*titles, "\n".join(called), *called[::7], "\n".join(notices), *wrapped, *mixed, *TEXTS]
+    connection = duckdb.connect()
+    connection.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    expected = connection.sql(licences.SQL).select("doc_id, scope, licence, units, first_line").fetchall()
+    got = as_rows(licences.scan(documents(spark, *texts)))
+    assert got == sorted(expected, key=str)
+    assert len({r[2] for r in got}) > 40 and {r[1] for r in got} == {"text", "line"}
+
+
+def test_long_lists_are_joined_without_a_broadcast(spark, monkeypatch):
+    known = {"Own": [f"own licence text number {i}" for i in range(60)]}
+    docs = documents(spark, "Own licence, text number 7", "other")
+    before = as_rows(licences.scan(docs, known))
+    monkeypatch.setattr(licences, "SHORT", 10)
+    assert as_rows(licences.scan(docs, known)) == before and len(before) == 2
