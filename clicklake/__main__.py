@@ -8,12 +8,14 @@ import sys
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clicklake.operators.slices import as_day, next_day
 from clicklake.plans.bronze import dates_touched_by, land
 from clicklake.plans.gate import validate_layer, warn_about_nulls
-from clicklake.plans.gold import build_funnel, build_gold, build_sessions
+from clicklake.plans.gold import build_funnel, build_gold, build_sessions, build_sketches
 from clicklake.plans.health import lake_health, run_measures, stored_layers
+from clicklake.plans.keys import rebuild_keys
 from clicklake.plans.runs import STAGES, backfill_gaps, run_day, run_range
 from clicklake.plans.silver import rebuild_all_silver, rebuild_silver
 from clicklake.schemas import BRONZE_ROW_RANGE, TABLES
@@ -21,6 +23,10 @@ from clicklake.session import build_session
 from clicklake.sources.jdbc import extract_jdbc
 from clicklake.sources.lake import Lake, preview, read_bronze, read_silver, read_with_evolution
 from clicklake.sources.samples import SAMPLE_CLICKS, SAMPLE_SESSIONS, generate
+from clicklake.sources.snapshots import compact, expire
+from clicklake.streaming.jobs import hybrid_run, late_rows, repair_late, replay, stream_to_silver
+from clicklake.streaming.positions import batch_at
+from clicklake.streaming.sources import stream_files
 
 log = logging.getLogger("clicklake")
 
@@ -64,6 +70,26 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--dry-run", action="store_true")
         sub.add_argument("--gate", choices=["bronze", "strict"], help="suite the raw rows must pass")
         rows_option(sub)
+    command("sketches", "rebuild the hourly sketches of users and sessions").add_argument("--date")
+    stream = command("stream", "keep raw and refined clicks current from a folder of files")
+    hybrid = command("hybrid", "history by one batch up to a moment, then the stream from it")
+    hybrid.add_argument("--history", required=True, help="path of the source table")
+    hybrid.add_argument("--cutover", required=True, help="moment of change from which the stream is taken")
+    for sub in (stream, hybrid):
+        sub.add_argument("--source", required=True, help="folder that files arrive in")
+        sub.add_argument("--checkpoint", required=True)
+        sub.add_argument("--files", type=int, help="files of a micro-batch")
+        sub.add_argument("--drain", action="store_true", help="stop when all there is now is landed")
+    stream.add_argument("--delay", help="set rows behind a watermark of this delay aside, for repair-late")
+    command("repair-late", "land the rows that streams set aside")
+    again = command("replay", "land the batches of a stream again, from a recorded position")
+    again.add_argument("--checkpoint", required=True)
+    position = again.add_mutually_exclusive_group(required=True)
+    position.add_argument("--from-batch", type=int)
+    position.add_argument("--since", help="first batch that ran at this moment (UTC) or later")
+    tidy = command("compact", "merge small commits of the raw layer, and delete files that no kept version names")
+    tidy.add_argument("--table", choices=sorted(TABLES), default="clicks")
+    tidy.add_argument("--rebuild-keys", action="store_true", help="make the index of keys anew")
     command("verify-backfill", "list the dates a layer has no rows for", dates=True)
     health = command("health", "state of every layer and of the runs; fails when a target is missed", dates=True)
     health.add_argument("--now", help="moment to judge by; the present if not given")
@@ -116,6 +142,31 @@ def execute(spark: SparkSession, args: argparse.Namespace) -> bool:
         return not report.failures
     elif args.command == "sessions":
         log.info("%d sessions, %d days of the funnel", build_sessions(spark, lake), build_funnel(spark, lake))
+    elif args.command == "sketches":
+        log.info("%d sketches", build_sketches(spark, lake, [as_day(args.date)] if args.date else None).rows)
+    elif args.command in ("stream", "hybrid"):
+        arriving = stream_files(spark, args.source, args.files)
+        if args.command == "stream":
+            query = stream_to_silver(arriving, lake, args.checkpoint, args.drain, delay=args.delay)
+        else:
+            history = read_with_evolution(spark, args.history)
+            query = hybrid_run(spark, lake, history, arriving, args.cutover, args.checkpoint, args.drain)
+        query.awaitTermination()
+        log.info("%d rows came behind the watermark so far", late_rows(spark, lake))
+    elif args.command == "repair-late":
+        log.info("%d late rows landed", repair_late(spark, lake))
+    elif args.command == "replay":
+        start = args.from_batch if args.since is None else batch_at(spark, args.checkpoint, args.since)
+        if start is None:
+            log.error("no batch ran at %s or later", args.since)
+            return False
+        log.info("%d batches landed again from number %d", replay(spark, lake, args.checkpoint, start), start)
+    elif args.command == "compact":
+        spec = TABLES[args.table]
+        log.info("%d commits merged", compact(spark, lake.bronze(spec), spec.bronze, [F.col(spec.key)], most=1))
+        expire(spark, lake.bronze(spec))
+        if args.rebuild_keys:
+            rebuild_keys(spark, lake, spec)
     elif args.command in ("run-day", "backfill"):
         options = {
             "skip": args.skip or (), "dry_run": args.dry_run, "gate": args.gate, "spec": TABLES[args.table],

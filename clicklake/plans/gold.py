@@ -89,14 +89,14 @@ def bucket_of(buckets: int = SESSION_BUCKETS) -> Column:
     return F.pmod(F.xxhash64("session_id"), F.lit(buckets)).cast("int")
 
 
-def update_sessions(spark: SparkSession, lake: Lake, dates: Iterable[date], buckets: int = SESSION_BUCKETS) -> int:
-    """Rebuild the sessions that have or had an event on ``dates``, which the refined layer just rebuilt, and leave all others. Returns how
-    many were rebuilt.
+def update_sessions(spark: SparkSession, lake: Lake, dates: Iterable[date] = (), buckets: int = SESSION_BUCKETS) -> int:
+    """Rebuild the sessions that have or had an event on ``dates`` or on dates that the refined layer rebuilt since the last call, and leave
+    all others. Returns how many were rebuilt.
 
     A session's other rows lie between the ends that are stored for it, so refined dates outside are not read. Only buckets
     that hold such a session are read and replaced, all at once.
     """
-    dates, path = sorted(dates), lake.gold("session_buckets")
+    dates, path = sorted({*dates, *pending_dates(spark, lake, stage="sessions")}), lake.gold("session_buckets")
     if not dates:
         return 0
     schema = StructType([*session_summary(read_silver(spark, lake, [])).schema.fields, StructField("bucket", IntegerType())])
@@ -110,6 +110,7 @@ def update_sessions(spark: SparkSession, lake: Lake, dates: Iterable[date], buck
     start, end = min(dates[0], spans[0] or dates[0]), max(dates[-1], spans[1] or dates[-1])
     touched = {r[0] for r in changed.select(bucket_of(buckets)).distinct().collect()}
     if not touched:
+        clear_pending(spark, lake, dates, stage="sessions")
         return 0
     rows = read_silver(spark, lake).filter(F.col("event_date").between(F.lit(start), F.lit(end)))
     # a null session_id is a session too
@@ -123,6 +124,7 @@ def update_sessions(spark: SparkSession, lake: Lake, dates: Iterable[date], buck
                    facts={"rebuilt": F.sum("_new")})
     publish(spark, staged, map(str, touched))
     expire(spark, path)
+    clear_pending(spark, lake, dates, stage="sessions")
     return staged.facts["rebuilt"] or 0
 
 

@@ -15,7 +15,7 @@ from clicklake.operators.rebuild import date_list
 from clicklake.operators.slices import Moment, as_day, next_day
 from clicklake.plans.bronze import batch_name, dates_touched_by, days_between, land
 from clicklake.plans.gate import quality_gate, require, validate_frame
-from clicklake.plans.gold import build_gold
+from clicklake.plans.gold import build_gold, update_sessions
 from clicklake.plans.silver import dates_to_rebuild, rebuild_silver
 from clicklake.schemas import BRONZE_ROW_RANGE, CLICK_TABLE, TableSpec
 from clicklake.sources.lake import Lake, log_batch, pending_dates, read_bronze, read_silver
@@ -56,7 +56,7 @@ def run_range(
     """Backfill ``[start, end)``. A failing raw or refined stage stops the later ones; a failing metric
     does not stop the other metrics. ``gate`` names a suite the raw rows must pass, ``row_range`` how many rows
     it accepts: new rows pass it before they are published, so a failed gate leaves all layers as they were; where the raw stage is skipped, the
-    stored ones do. Only clicks are aggregated: other tables end with the refined layer.
+    stored ones do. Sessions follow where all metrics do. Only clicks are aggregated: other tables end with the refined layer.
     """
     if spec != CLICK_TABLE:
         skip = {*skip, "gold"}
@@ -99,6 +99,12 @@ def run_range(
     report.event_dates = sorted(set(rebuilt) | set(days_between(start, end)))
     if "gold" not in skip:
         dates = {*report.event_dates, *pending_dates(spark, lake, spec, "gold")}
+        if set(metrics) >= set(METRICS):
+            try:
+                report.rows["session_buckets"] = update_sessions(spark, lake, dates)
+            except Exception as error:
+                log.exception("sessions failed")
+                report.failures["session_buckets"] = str(error)
         gold = build_gold(spark, lake, dates, metrics, batch_id)
         report.rows.update({name: written.rows for name, written in gold.written.items()})
         report.failures.update(gold.failures)

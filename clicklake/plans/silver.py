@@ -53,14 +53,14 @@ def rebuild_all_silver(
 
 
 def _store(spark, lake, rows, dates, waiting, spec, batch_id) -> Written:
-    """The aggregated layer has to follow on every date: noted before the write, and after it for dates that it added."""
-    has_gold = spec == CLICK_TABLE
-    if has_gold:
-        add_pending(spark, lake, dates, spec, "gold")
+    """Metrics and sessions have to follow on every date: noted before the write, and after it for dates that it added."""
+    followers = ("gold", "sessions") if spec == CLICK_TABLE else ()
+    for stage in followers:
+        add_pending(spark, lake, dates, spec, stage)
     written = write_idempotent(
         spark, rows, lake, lake.silver(spec), "event_date", batch_id or batch_name(), f"silver.{spec.name}", dates
     )
-    if has_gold:
-        add_pending(spark, lake, written.dates, spec, "gold")
+    for stage in followers:
+        add_pending(spark, lake, written.dates, spec, stage)
     clear_pending(spark, lake, waiting, spec)
     return written

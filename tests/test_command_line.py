@@ -10,7 +10,7 @@ from clicklake.plans.health import lake_health, stored_layers
 from clicklake.operators.sessions import conversion_funnel, session_summary
 from clicklake.schemas import SESSION_TABLE
 from clicklake.sources.lake import Lake, read_bronze, read_silver
-from conftest import rows_of
+from conftest import click, rows_of
 
 
 @pytest.fixture(scope="module")
@@ -117,3 +117,29 @@ def test_health_scans_each_layer_once(spark, folder):
     lake = Lake(str(folder / "health"))
     plan = lake_health(stored_layers(spark, lake), "2024-01-03", "2024-01-01", "2024-01-03")._jdf.queryExecution()
     assert plan.optimizedPlan().toString().count("Relation [") == 3
+
+
+def test_streams_late_rows_and_replays(spark, clicks, tmp_path):
+    lake, feed, log = (str(tmp_path / n) for n in ("lake", "feed", "log"))
+    for rows in (
+        [click(1, "2024-01-05 10:00:00"), click(2, "2024-01-06 10:00:00")], [click(3, "2024-01-07 10:00:00")],
+        [click(4, "2024-01-04 10:00:00", updated="2024-01-07 11:00:00"), click(5, "2024-01-07 12:00:00")],
+    ):
+        clicks(*rows).coalesce(1).write.mode("append").parquet(feed)
+    stream = ["stream", "--source", feed, "--checkpoint", log, "--files", "1", "--drain", "--delay", "10 minutes"]
+    assert main(["--lake", lake, *stream]) == 0
+    held = lambda: rows_of(read_silver(spark, Lake(lake)), "click_id")
+    assert held() == [(1,), (2,), (3,), (5,)]
+    assert main(["--lake", lake, "repair-late"]) == 0
+    assert held() == [(1,), (2,), (3,), (4,), (5,)]
+    assert main(["--lake", lake, "compact", "--rebuild-keys"]) == 0
+    assert main(["--lake", lake, "sketches"]) == 0
+    assert held() == [(1,), (2,), (3,), (4,), (5,)]
+    other = str(tmp_path / "other")
+    assert main(["--lake", other, "replay", "--checkpoint", log, "--from-batch", "1"]) == 0
+    assert rows_of(read_silver(spark, Lake(other)), "click_id") == [(3,), (4,), (5,)]
+    assert main(["--lake", other, "replay", "--checkpoint", log, "--since", "2100-01-01"]) == 1
+    third = str(tmp_path / "third")
+    hybrid = ["hybrid", "--history", feed, "--source", feed, "--cutover", "2024-01-07", "--checkpoint", str(tmp_path / "log3"), "--drain"]
+    assert main(["--lake", third, *hybrid]) == 0
+    assert rows_of(read_silver(spark, Lake(third)), "click_id") == [(1,), (2,), (3,), (4,), (5,)]
