@@ -13,6 +13,8 @@ fold rule; an empty table gives no rows; other columns are not read, or pass thr
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -156,23 +158,36 @@ def fold(key):
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def train(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> Network:
-    """Fits on at most ``limit`` labelled documents that are not held out, drawn by a hash of their id and text."""
+def labelled(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
+    """order, quality, text: at most ``limit`` labelled documents that are not held out, drawn by a hash of their id and text."""
     drawn = (
         labels.where(F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != 0))
         .select("doc_id", F.col("quality").cast("int").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "quality")
         .limit(limit)
     )
-    rows = (
+    return (
         docs.select("doc_id", "text")
         .join(F.broadcast(drawn), "doc_id")
-        .orderBy(F.xxhash64("doc_id", "text"), "quality")
+        .select(F.xxhash64("doc_id", "text").alias("order"), "quality", "text")
+        .orderBy("order", "quality")
         .limit(limit)
-        .select("text", "quality")
-        .toArrow()
     )
-    return fit(rows["text"].to_pylist(), rows["quality"].to_pylist())
+
+
+def train(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> Network:
+    """A network fitted on the ``labelled`` documents. One task holds those few rows, the driver no more than the parameters."""
+
+    def learn(batches):
+        held = sorted((row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))), key=lambda row: row[:2])
+        net = fit([text for *_, text in held], [label for _, label, _ in held])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((net.prior, net.p))], pa.binary())], names=["net"])
+
+    found = labelled(docs, labels, limit).repartition(1).mapInArrow(learn, "net binary").first()
+    net = fit([], [])
+    if found:
+        net.prior, net.p = pickle.loads(found["net"])
+    return net
 
 
 def score(docs: DataFrame, net: Network) -> DataFrame:

@@ -93,17 +93,18 @@ def test_held_out_accuracy_of_the_query(spark):
     assert np.mean([s >= 0.3 for s in good]) > 0.95
 
 
-def test_labels_of_held_out_rows_are_not_read(spark, monkeypatch):
-    seen = []
-    monkeypatch.setattr(q, "fit", lambda texts, labels: seen.extend(texts))
+def test_labels_of_held_out_rows_are_not_read(spark):
     texts = [f"text {i}" for i in range(40)]
     labels = spark.createDataFrame([(i, i % 2, None) for i in range(40)] * 2 + [(None, 1, 1), (3, None, 0), (4, 7, 0)], LABELS)
-    q.train(documents(spark, *texts), labels)
+    seen = [r["text"] for r in q.labelled(documents(spark, *texts), labels).collect()]
     expected = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5]
     assert sorted(seen) == sorted(expected * 2)
-    seen.clear()
-    q.train(documents(spark, *texts), labels, limit=10)
-    assert len(seen) == 10
+    assert q.labelled(documents(spark, *texts), labels, limit=10).count() == 10
+    # what the task fits is what these rows give, and a table without labels gives the even prior
+    rows = q.labelled(documents(spark, *texts), labels).orderBy("order", "quality").collect()
+    fitted, direct = q.train(documents(spark, *texts), labels), q.fit([r["text"] for r in rows], [r["quality"] for r in rows])
+    assert all(np.allclose(fitted.p[k], direct.p[k], atol=1e-3) for k in direct.p)
+    assert q.train(documents(spark, *texts), labels.limit(0)).prior == 0.5
 
 
 def test_odd_rows(spark, net):
