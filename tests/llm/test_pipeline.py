@@ -69,3 +69,20 @@ def test_odd_rows_pass_every_stage(spark):
         for name, stage in corpus_pipeline.STAGES[1:]:
             held = stored(stage(spark, held, FOLDER), name)
         assert held.count() == 0 or {r["doc_id"] for r in held.collect()} <= {2, 3, 4, 5}
+
+
+def test_quality_filter_takes_odd_rows(spark):
+    docs = documents(spark, None, "", "same words here", "same words here", "x" * 50_000, "### %%%").selectExpr(
+        "nullif(doc_id, 3) doc_id", "text", "lang", "source", "n_chars", "1 AS score", "true AS held_out", "'q' AS quality"
+    )
+    docs = docs.unionAll(docs.where("doc_id in (1, 2)"))
+    kept = corpus_pipeline.quality_filter(spark, docs, FOLDER)
+    assert kept.schema == docs.schema
+    held, all_rows = Counter(as_rows(kept)), Counter(as_rows(docs))
+    assert not held - all_rows
+    # equal texts are judged alike, whatever their id
+    by_text = {}
+    for row, n in all_rows.items():
+        by_text.setdefault(row[1], set()).add(held[row] == n)
+    assert all(len(judged) == 1 for judged in by_text.values())
+    assert corpus_pipeline.quality_filter(spark, docs.limit(0), FOLDER).count() == 0
