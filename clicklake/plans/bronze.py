@@ -15,8 +15,8 @@ from clicklake.operators.rebuild import date_list, touched_dates
 from clicklake.operators.slices import Moment, as_day, changed_between
 from clicklake.plans.keys import add_keys, block_of, dates_of_keys
 from clicklake.schemas import CLICK_TABLE, TableSpec
-from clicklake.sources.lake import Lake, Written, add_pending, log_batch, read_bronze, verify_rows
-from clicklake.sources.snapshots import Staged, current, discard, publish, read_staged, stage
+from clicklake.sources.lake import Lake, Written, add_pending, day_of, log_batch, read_bronze, verify_rows
+from clicklake.sources.snapshots import NULL, Staged, current, discard, holds_rows, is_snapshot_table, publish, read_staged, stage
 
 log = logging.getLogger(__name__)
 
@@ -53,12 +53,9 @@ Audit = Callable[[DataFrame], object]
 
 def stage_rows(rows: DataFrame, lake: Lake, spec: TableSpec = CLICK_TABLE, name: str | None = None) -> Staged:
     """Write raw rows, which have ``batch_id`` and ``extract_date``, where no reader sees them yet: one job, which also tells their
-    days and blocks of keys.
+    event days, as numbers, and blocks of keys.
     """
-    text = lambda column: F.collect_set(column.cast("string"))
-    facts = {
-        "dates": text(F.col("extract_date")), "event_dates": text(F.to_date(spec.event_column)), "blocks": F.collect_set(block_of(spec)),
-    }
+    facts = {"event_days": F.collect_set(F.unix_date(F.to_date(spec.event_column))), "blocks": F.collect_set(block_of(spec))}
     return stage(rows, lake.bronze(spec), "extract_date", [F.col(spec.key)], name, facts)
 
 
@@ -74,7 +71,7 @@ def publish_rows(
     """Make staged rows the raw rows of ``days`` (and add them to those of other days), all at once.
 
     ``event_dates`` are the days of every version, old or new, of each key in the new rows or in the rows they replace: the index of
-    keys knows those of all that landed before. Before the raw layer changes, the new keys are indexed and the dates
+    keys, asked before the new ones are added, knows those of all that landed before. Before the raw layer changes, the new keys are indexed and the dates
     noted as pending for the refined layer, so a run that dies at any point is made good by the next one, whatever its own range; if
     it dies earlier, or the audit fails, the raw layer is as it was.
     """
@@ -92,13 +89,18 @@ def publish_rows(
         old = old.where(F.col("extract_date").isin(list(days)))
         blocks |= {r[0] for r in old.select(block_of(spec)).distinct().collect() if r[0] is not None}
         keys = keys.unionByName(old.select(spec.key))
-    dates = {date.fromisoformat(d) for d in staged.facts["event_dates"]}
+    dates = {day_of(number) for number in staged.facts["event_days"]}
     if blocks:
+        # the dates of the new rows are known, so an index is asked as it was before them; one of older rows may have yet to be made
+        indexed, older = is_snapshot_table(spark, lake.keys(spec)), holds_rows(spark, lake.bronze(spec))
+        if indexed:
+            dates |= set(date_list(dates_of_keys(spark, lake, keys, blocks, spec)))
         add_keys(spark, lake, rows.select(spec.key, spec.event_column), spec)
-        dates |= set(date_list(dates_of_keys(spark, lake, keys, blocks, spec)))
+        if older and not indexed:
+            dates |= set(date_list(dates_of_keys(spark, lake, keys, blocks, spec)))
     add_pending(spark, lake, dates, spec)
     publish(spark, staged, names, series=series)
-    written = Written(staged.rows, tuple(sorted(date.fromisoformat(d) for d in staged.facts["dates"])))
+    written = Written(staged.rows, tuple(sorted(date.fromisoformat(p) for p in staged.partitions if p != NULL)))
     return Landed(written, sorted(dates))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql.types import DateType, LongType, NumericType, StructType
 
 from clicklake.schemas import CLICK_TABLE, TableSpec
 from clicklake.sources.lake import Lake, read_bronze
-from clicklake.sources.snapshots import compact, current, expire, is_snapshot_table, publish, read_snapshot, stage
+from clicklake.sources.snapshots import compact, current, expire, holds_rows, is_snapshot_table, publish, read_snapshot, stage
 
 BLOCK = 1 << 24
 HASHED = 256
@@ -44,7 +44,7 @@ def pairs(rows: DataFrame, spec: TableSpec = CLICK_TABLE) -> DataFrame:
 def add_keys(spark: SparkSession, lake: Lake, rows: DataFrame, spec: TableSpec = CLICK_TABLE) -> None:
     """Add the keys of rows that are about to be published. A raw layer without an index gets one of all it holds."""
     path = lake.keys(spec)
-    if not is_snapshot_table(spark, path):
+    if not is_snapshot_table(spark, path) and holds_rows(spark, lake.bronze(spec)):
         rows = rows.unionByName(read_bronze(spark, lake, spec=spec).select(*rows.columns))
     added = stage(pairs(rows, spec), path, "block", [F.col(spec.key)])
     publish(spark, added)

@@ -6,11 +6,14 @@ rule of the refined layer then has rows to act on. Works on a batch or a streami
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicklake.schemas import DEVICE_TYPES, SESSIONS, TRAFFIC_SOURCES
 from clicklake.sources.samples import pick
+from clicklake.sources.snapshots import names_in
 
 # The agent of an event by its id modulo 9; the last one is null.
 AGENTS = [
@@ -75,18 +78,23 @@ SLICES, SLICE_DAYS, FEED_START = 6, 5, "2024-01-01"
 LATE_SLICES = 3
 
 
-def as_feed(clicks: DataFrame) -> DataFrame:
+def as_feed(clicks: DataFrame, arrivals: Iterable[int] = range(SLICES)) -> DataFrame:
     """Clicks as a feed delivers them, with the slice of their ``arrival``: some are repeated exactly, some of the first slices are
     redelivered late, changed 1 to 6 days after, and some are moved to the next day by a change 8 days after.
+
+    Rows that arrive outside ``arrivals`` are left out before they are repeated, so that the scan drops events of other slices.
     """
-    last = SLICES - LATE_SLICES
+    now, last = sorted({*arrivals}), SLICES - LATE_SLICES
+    before = [number - LATE_SLICES for number in now if LATE_SLICES <= number < last + LATE_SLICES]
     own = f"least(greatest(datediff(to_date(event_timestamp), DATE '{FEED_START}') div {SLICE_DAYS}, 0), {SLICES - 1})"
+    inside = lambda numbers: f"slice IN ({', '.join(map(str, numbers))})" if numbers else "false"
+    # one array of plain values: lambda functions over structs would be interpreted row by row
     kinds = (
-        "filter(array(struct('first' AS kind, true AS there), struct('copy' AS kind, click_id % 11 = 2 AS there),"
-        f" struct('late' AS kind, click_id % 7 = 3 AND slice < {last} AS there),"
-        f" struct('moved' AS kind, click_id % 31 = 5 AND slice < {last} AS there)), k -> k.there)"
+        f"array_remove(array(if({inside(now)}, 'first', ''), if({inside(now)} AND click_id % 11 = 2, 'copy', ''),"
+        f" if({inside(before)} AND click_id % 7 = 3, 'late', ''), if({inside(before)} AND click_id % 31 = 5, 'moved', '')), '')"
     )
-    rows = clicks.withColumn("slice", F.expr(own)).withColumn("kind", F.explode(F.expr(f"transform({kinds}, k -> k.kind)")))
+    late = f"{inside(before)} AND (click_id % 7 = 3 OR click_id % 31 = 5)"
+    rows = clicks.withColumn("slice", F.expr(own)).filter(f"{inside(now)} OR {late}").withColumn("kind", F.explode(F.expr(kinds)))
     days = "CASE kind WHEN 'late' THEN 1 + click_id % 6 WHEN 'moved' THEN 8 ELSE 0 END"
     return rows.withColumns(
         {
@@ -97,14 +105,31 @@ def as_feed(clicks: DataFrame) -> DataFrame:
     ).drop("slice", "kind")
 
 
-def read_feed(spark: SparkSession, folder: str) -> DataFrame:
-    return as_feed(read_clicks(spark, folder))
+def read_feed(spark: SparkSession, folder: str, arrivals: Iterable[int] = range(SLICES)) -> DataFrame:
+    return as_feed(read_clicks(spark, folder), arrivals)
+
+
+#: A file of a slice holds the clicks of about so many events.
+FEED_FILE = 250_000
 
 
-def write_feed(feed: DataFrame, path: str, files: int = 2) -> None:
-    """The feed as files, slice after slice, so that a stream that takes ``files`` at once sees a slice in each batch."""
+def feed_files(events: int) -> int:
+    """Files of each slice: two, and more of a large feed, so that neither its writers nor its readers are two tasks."""
+    return max(2, -(-events // (SLICES * FEED_FILE)))
+
+
+def write_feed(clicks: DataFrame, path: str, files: int = 2) -> None:
+    """The feed of ``clicks`` as files, slice after slice, so that a stream that takes ``files`` at once sees a slice in each batch.
+
+    A slice with fewer rows than files gets empty ones, else later slices would be cut between batches.
+    """
+    spark = clicks.sparkSession
     for number in range(SLICES):
-        feed.filter(F.col("arrival") == number).drop("arrival").repartition(files).write.mode("append").parquet(path)
+        rows = as_feed(clicks, [number]).drop("arrival")
+        rows.repartition(files).write.mode("append").parquet(path)
+        held = sum(name.startswith("part-") for name in names_in(spark, path))
+        for _ in range(files * (number + 1) - held):
+            spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(path)
 
 
 def read_clicks(spark: SparkSession, folder: str) -> DataFrame:

@@ -120,6 +120,11 @@ def is_snapshot_table(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/{VERSIONS}")
 
 
+def holds_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a folder has more than what is staged in it: published versions, or partitions as they were before there were any."""
+    return is_snapshot_table(spark, path) or any(not n.startswith((f"{COMMIT}=", "_", ".")) for n in names_in(spark, path))
+
+
 def current(spark: SparkSession, path: str) -> Snapshot:
     """The latest version; an empty one where nothing is published."""
     numbers = [int(n) for n in names_in(spark, f"{path}/{VERSIONS}") if n.isdigit()]

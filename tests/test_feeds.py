@@ -6,6 +6,7 @@ import pytest
 from clicklake.operators.rebuild import refine
 from clicklake.plans import silver as silver_plan
 from clicklake.schemas import CLICK_TABLE
+from clicklake.sources.derived import SLICES, as_feed, feed_files, write_feed
 from clicklake.sources.lake import Lake, read_bronze, read_silver
 from clicklake.sources.snapshots import current, names_in
 from clicklake.streaming import jobs
@@ -115,3 +116,19 @@ def test_sessions_close_by_a_gap_across_batches(spark, feed, tmp_path):
     want = [(1, at("10:00"), at("10:45"), 3, 2), (2, at("10:25"), at("10:25"), 1, 1)]
     assert rows_of(out, "user_id", "started_at", "ended_at", "event_count", "page_views_count") == want
     assert stored_state(spark, log).count() >= 1  # the session that is still open
+
+
+def test_a_large_feed_has_more_files_and_each_slice_is_one_batch(spark, clicks, tmp_path):
+    """Slices with fewer rows than files, and one without rows, still fill a batch each."""
+    assert feed_files(100_000) == 2 and feed_files(36_000_000) == 24
+    rows = clicks(*[click(i, f"2024-01-{day:02d} 10:00:00") for i, day in enumerate((1, 2, 7, 17, 18, 22, 28, 29, 30))])
+    write_feed(rows, str(tmp_path / "feed"), 3)
+    log = str(tmp_path / "log")
+    stream_to_bronze(stream_files(spark, str(tmp_path / "feed"), 3), str(tmp_path / "raw"), log, drain=True).awaitTermination()
+    taken = files_by_batch(spark, log)
+    assert [len(files) for files in taken.values()] == [3] * SLICES
+    columns = ["click_id", "event_timestamp", "updated_at"]
+    for number, files in taken.items():
+        wanted = as_feed(rows).filter(f"arrival = {number}")
+        assert rows_of(spark.read.schema(CLICK_TABLE.schema).parquet(*files), *columns) == rows_of(wanted, *columns)
+        assert rows_of(as_feed(rows, [number]), *columns, "arrival") == rows_of(wanted, *columns, "arrival")

@@ -86,6 +86,18 @@ def test_a_raw_layer_without_an_index_gets_one(spark, clicks, lake, monkeypatch)
     assert land(spark, lake, clicks(click(1, "2024-01-06 10:00:00")), D6, D7).event_dates == [D5, D6]
 
 
+def test_the_first_landing_reads_its_rows_once_and_no_index(spark, clicks, lake, monkeypatch):
+    def unasked(*args, **options):
+        raise AssertionError("nothing had landed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("clicklake.plans.bronze.dates_of_keys", unasked)
+        patched.setattr(keys_plan, "read_bronze", unasked)
+        assert land(spark, lake, clicks(click(1, "2024-01-05 10:00:00")), D5, D6).event_dates == [D5]
+    later = clicks(click(1, "2024-01-04 10:00:00", updated="2024-01-06 10:00:00"), click(2, "2024-01-06 10:00:00"))
+    assert land(spark, lake, later, D6, D7).event_dates == [D5 - timedelta(days=1), D5, D6]
+
+
 def test_text_keys_are_dealt_to_blocks(spark, lake):
     sessions = sample_sessions(spark.range(50))
     landed = land(spark, lake, sessions, date(2024, 1, 1), date(2024, 4, 1), spec=SESSION_TABLE)
