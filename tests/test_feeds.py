@@ -132,3 +132,12 @@ def test_a_large_feed_has_more_files_and_each_slice_is_one_batch(spark, clicks,
         wanted = as_feed(rows).filter(f"arrival = {number}")
         assert rows_of(spark.read.schema(CLICK_TABLE.schema).parquet(*files), *columns) == rows_of(wanted, *columns)
         assert rows_of(as_feed(rows, [number]), *columns, "arrival") == rows_of(wanted, *columns, "arrival")
+
+
+def test_a_replay_rebuilds_the_refined_dates_once(spark, feed, tmp_path, monkeypatch):
+    lake, log, path = Lake(str(tmp_path / "lake")), str(tmp_path / "log"), late_feed(feed)
+    stream_to_bronze(stream_files(spark, path, 1), str(tmp_path / "raw"), log, drain=True).awaitTermination()
+    rebuild, calls = jobs.rebuild_silver, []
+    monkeypatch.setattr(jobs, "rebuild_silver", lambda *a: calls.append(a) or rebuild(*a))
+    assert replay(spark, lake, log, 0) == 3 and len(calls) == 1
+    assert rows_of(read_silver(spark, lake), *PLAIN) == rows_of(refine(spark.read.schema(CLICK_TABLE.schema).parquet(path)), *PLAIN)
