@@ -106,9 +106,10 @@ def update_sessions(spark: SparkSession, lake: Lake, dates: Iterable[date] = (),
     near = stored.filter((last >= F.lit(dates[0])) & (first <= F.lit(dates[-1])) & on_dates)
     now = read_silver(spark, lake, dates).select("session_id").distinct()
     changed = now.unionByName(near.select("session_id")).distinct()
-    spans = stored.join(changed, "session_id", "left_semi").agg(F.min(first), F.max(last)).first()
-    start, end = min(dates[0], spans[0] or dates[0]), max(dates[-1], spans[1] or dates[-1])
-    touched = {r[0] for r in changed.select(bucket_of(buckets)).distinct().collect()}
+    # one job tells the span and the buckets: each use of ``changed`` scans the refined dates
+    spans = changed.join(stored.select("session_id", first.alias("first"), last.alias("last")), "session_id", "left")
+    low, high, touched = spans.agg(F.min("first"), F.max("last"), F.collect_set(bucket_of(buckets))).first()
+    start, end = min(dates[0], low or dates[0]), max(dates[-1], high or dates[-1])
     if not touched:
         clear_pending(spark, lake, dates, stage="sessions")
         return 0
