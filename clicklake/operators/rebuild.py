@@ -34,6 +34,22 @@ def refine(bronze: DataFrame, spec: TableSpec = CLICK_TABLE) -> DataFrame:
 NEIGHBOURS, RUNS = 1 << 24, 64
 
 
+#: The keys of so many rows are sent to every executor, so that history that does not hold them is dropped where it is read.
+FEW_ROWS = 500_000
+
+
+def _numbered(spec: TableSpec) -> bool:
+    return isinstance(spec.schema[spec.key].dataType, NumericType)
+
+
+def key_blocks(rows: DataFrame, spec: TableSpec) -> list[tuple]:
+    """For each block of neighbours its lowest and highest key in ``rows``, and how many rows lie between; one block for keys without numbers."""
+    key = F.col(spec.key)
+    block = F.floor(key / F.lit(NEIGHBOURS)) if _numbered(spec) else F.lit(0)
+    told = [F.min(key), F.max(key), F.count(F.lit(1))]
+    return [tuple(row)[1:] for row in rows.where(key.isNotNull()).groupBy(block.alias("block")).agg(*told).collect()]
+
+
 def key_ranges(rows: DataFrame, spec: TableSpec) -> Column | None:
     """A test that the keys of ``rows`` pass and most others don't; None when they hold no key.
 
@@ -41,14 +57,15 @@ def key_ranges(rows: DataFrame, spec: TableSpec) -> Column | None:
     key, and keys that arrive together lie together. Numbered keys are tested by up to ``RUNS`` ranges, so that an old key among new ones
     does not open all that lies between them.
     """
-    key = F.col(spec.key)
-    numbered = isinstance(spec.schema[spec.key].dataType, NumericType)
-    block = F.floor(key / F.lit(NEIGHBOURS)) if numbered else F.lit(0)
-    found = rows.where(key.isNotNull()).groupBy(block.alias("block")).agg(F.min(key), F.max(key)).collect()
-    runs = sorted((low, high) for _, low, high in found)
+    return ranges_over(key_blocks(rows, spec), spec)
+
+
+def ranges_over(blocks: list[tuple], spec: TableSpec) -> Column | None:
+    """``key_ranges`` of the rows that ``key_blocks`` tells of."""
+    key, runs = F.col(spec.key), sorted((low, high) for low, high, _ in blocks)
     if not runs:
         return None
-    gaps = sorted((b[0] - a[1] for a, b in zip(runs, runs[1:])), reverse=True)[: RUNS - 1] if numbered else []
+    gaps = sorted((b[0] - a[1] for a, b in zip(runs, runs[1:])), reverse=True)[: RUNS - 1] if _numbered(spec) else []
     widest, joined = min((g for g in gaps if g > NEIGHBOURS), default=None), [runs[0]]
     for low, high in runs[1:]:
         if widest is not None and low - joined[-1][1] >= widest:
@@ -105,11 +122,13 @@ def refine_dates(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_T
 
     A version on another date can still win a key, so all of them compete, but only rows on ``dates``
     carry their payload through the shuffle; the others are a key and what orders them. Keys outside the ranges
-    of those on ``dates`` are not read, and versions of keys that are not on ``dates`` go no further than a semi join.
+    of those on ``dates`` are not read. Where ``dates`` have few rows, versions of other keys go no further than a semi join with a broadcast;
+    to join many keys would shuffle and sort all versions a second time, so there the winners without payload are dropped instead.
     """
     on_dates = valid_row(spec) & F.to_date(spec.event_column).isin(dates)
     keys = bronze.filter(on_dates).select(spec.key)
-    inside = key_ranges(keys, spec) if dates else None
+    blocks = key_blocks(keys, spec) if dates else []
+    inside = ranges_over(blocks, spec)
     if inside is None:
         return refine(bronze.limit(0), spec)
     ordering = [spec.key, spec.change_column, spec.event_column]
@@ -121,7 +140,8 @@ def refine_dates(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_T
         content_hash(spec).alias(TIEBREAK),
         F.when(F.to_date(spec.event_column).isin(dates), payload).alias("payload"),
     )
-    versions = versions.join(keys.distinct(), spec.key, "left_semi")
+    if sum(rows for _, _, rows in blocks) <= FEW_ROWS:
+        versions = versions.join(F.broadcast(keys.distinct()), spec.key, "left_semi")
     winners = newest(versions, spec).filter("payload IS NOT NULL")
     columns = [F.col(c) if c in ordering else F.col("payload")[c].alias(c) for c in bronze.columns]
     return enrich(winners.select(*columns), spec)

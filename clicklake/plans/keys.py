@@ -19,6 +19,8 @@ from clicklake.sources.snapshots import compact, current, expire, holds_rows, is
 
 BLOCK = 1 << 24
 HASHED = 256
+#: Numbered keys of a block are written in parts of so many neighbours.
+PART = 1 << 20
 #: Commits of a block that are read side by side before they are merged.
 MOST = 8
 
@@ -35,6 +37,11 @@ def block_of(spec: TableSpec) -> Column:
     return F.when(key.isNotNull(), F.pmod(F.xxhash64(key), F.lit(HASHED).cast("long")))
 
 
+def part_of(spec: TableSpec) -> Column | None:
+    """What part of its block a numbered key lies in: a pair is a few bytes, so that a block of millions would be one task."""
+    return F.floor(F.col(spec.key) / F.lit(PART)) if isinstance(spec.schema[spec.key].dataType, NumericType) else None
+
+
 def pairs(rows: DataFrame, spec: TableSpec = CLICK_TABLE) -> DataFrame:
     """The index rows of raw rows. Versions without an event time have no date."""
     dated = rows.select(spec.key, F.to_date(spec.event_column).alias("event_date"), block_of(spec).alias("block"))
@@ -46,7 +53,7 @@ def add_keys(spark: SparkSession, lake: Lake, rows: DataFrame, spec: TableSpec =
     path = lake.keys(spec)
     if not is_snapshot_table(spark, path) and holds_rows(spark, lake.bronze(spec)):
         rows = rows.unionByName(read_bronze(spark, lake, spec=spec).select(*rows.columns))
-    added = stage(pairs(rows, spec), path, "block", [F.col(spec.key)])
+    added = stage(pairs(rows, spec), path, "block", [F.col(spec.key)], near=part_of(spec))
     publish(spark, added)
     if compact(spark, path, index_schema(spec), [F.col(spec.key)], MOST, added.partitions, merge=DataFrame.distinct):
         expire(spark, path)
@@ -55,7 +62,7 @@ def add_keys(spark: SparkSession, lake: Lake, rows: DataFrame, spec: TableSpec =
 def rebuild_keys(spark: SparkSession, lake: Lake, spec: TableSpec = CLICK_TABLE) -> None:
     """The index anew from the raw layer, without the pairs of rows that were replaced."""
     path = lake.keys(spec)
-    held = stage(pairs(read_bronze(spark, lake, spec=spec), spec), path, "block", [F.col(spec.key)])
+    held = stage(pairs(read_bronze(spark, lake, spec=spec), spec), path, "block", [F.col(spec.key)], near=part_of(spec))
     publish(spark, held, current(spark, path).partitions)
     expire(spark, path)
 

@@ -86,7 +86,11 @@ def as_feed(clicks: DataFrame, arrivals: Iterable[int] = range(SLICES)) -> DataF
     """
     now, last = sorted({*arrivals}), SLICES - LATE_SLICES
     before = [number - LATE_SLICES for number in now if LATE_SLICES <= number < last + LATE_SLICES]
-    own = f"least(greatest(datediff(to_date(event_timestamp), DATE '{FEED_START}') div {SLICE_DAYS}, 0), {SLICES - 1})"
+    # comparisons with fixed moments: every slice's scan tests every event
+    ends = "".join(
+        f" WHEN event_timestamp < TIMESTAMP '{FEED_START}' + INTERVAL {SLICE_DAYS * (number + 1)} DAYS THEN {number}" for number in range(SLICES - 1)
+    )
+    own = f"CASE WHEN event_timestamp IS NULL THEN 0{ends} ELSE {SLICES - 1} END"
     inside = lambda numbers: f"slice IN ({', '.join(map(str, numbers))})" if numbers else "false"
     # one array of plain values: lambda functions over structs would be interpreted row by row
     kinds = (
@@ -121,12 +125,13 @@ def feed_files(events: int) -> int:
 def write_feed(clicks: DataFrame, path: str, files: int = 2) -> None:
     """The feed of ``clicks`` as files, slice after slice, so that a stream that takes ``files`` at once sees a slice in each batch.
 
-    A slice with fewer rows than files gets empty ones, else later slices would be cut between batches.
+    A slice with fewer rows than files gets empty ones, else later slices would be cut between batches. Rows are dealt by their hash: dealt in
+    turn they would be sorted first.
     """
     spark = clicks.sparkSession
     for number in range(SLICES):
         rows = as_feed(clicks, [number]).drop("arrival")
-        rows.repartition(files).write.mode("append").parquet(path)
+        rows.repartition(files, "click_id", "updated_at").write.mode("append").parquet(path)
         held = sum(name.startswith("part-") for name in names_in(spark, path))
         for _ in range(files * (number + 1) - held):
             spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(path)

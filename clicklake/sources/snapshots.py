@@ -176,16 +176,23 @@ def read_staged(spark: SparkSession, staged: Staged, schema: StructType) -> Data
 
 
 def stage(
-    df: DataFrame, path: str, column: str, order: Iterable[Column] = (), name: str | None = None, facts: dict[str, Column] | None = None
+    df: DataFrame,
+    path: str,
+    column: str,
+    order: Iterable[Column] = (),
+    name: str | None = None,
+    facts: dict[str, Column] | None = None,
+    near: Column | None = None,
 ) -> Staged:
     """Write rows to a new commit, in one job that also counts them and takes ``facts``, aggregates over them.
 
-    ``column`` decides the partition. Adaptive execution cuts a large one into several tasks and gathers small ones. The same
-    name again replaces what an earlier attempt staged under it.
+    ``column`` decides the partition. Adaptive execution cuts a large one into several tasks and gathers small ones. Rows so narrow that it
+    would not cut them are dealt by ``near`` as well, which tells parts of a partition apart. The same name again replaces what an earlier attempt
+    staged under it.
     """
     spark, seen = df.sparkSession, Observation()
     commit = name or uuid.uuid4().hex
-    df = df.hint("rebalance", column)
+    df = df.hint("rebalance", column) if near is None else df.withColumn("_near", near).hint("rebalance", column, "_near").drop("_near")
     if order:
         df = df.sortWithinPartitions(column, *order)
     told = {"_rows": F.count(F.lit(1)), **(facts or {})}

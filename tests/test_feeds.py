@@ -15,6 +15,7 @@ from clicklake.streaming.operators import live_sessions
 from clicklake.streaming.positions import batch_at, batches, files_by_batch, stored_state, watermark_of
 from clicklake.streaming.sources import stream_files
 from conftest import click, rows_of
+from pyspark.sql import functions as F
 
 PLAIN = ["click_id", "user_id", "event_type", "event_timestamp", "updated_at", "domain", "event_date"]
 
@@ -141,3 +142,21 @@ def test_a_replay_rebuilds_the_refined_dates_once(spark, feed, tmp_path, monkeyp
     monkeypatch.setattr(jobs, "rebuild_silver", lambda *a: calls.append(a) or rebuild(*a))
     assert replay(spark, lake, log, 0) == 3 and len(calls) == 1
     assert rows_of(read_silver(spark, lake), *PLAIN) == rows_of(refine(spark.read.schema(CLICK_TABLE.schema).parquet(path)), *PLAIN)
+
+
+def test_slices_of_a_feed_have_their_days(spark, clicks):
+    """Rows without an event time belong to the first slice, days outside all slices to the outer ones."""
+    stamps = ["2023-12-01 00:00:00", "2024-01-05 23:59:59.999999", "2024-01-06 00:00:00", "2024-01-25 23:59:59", "2024-01-26 00:00:00", "2024-03-01 00:00:00"]
+    rows = clicks(*[click(77 * 31 * i, at) for i, at in enumerate(stamps)])
+    undated = rows.limit(1).selectExpr("* EXCEPT (event_timestamp)", "CAST(NULL AS TIMESTAMP) AS event_timestamp").withColumn("click_id", F.lit(-77 * 31))
+    found = as_feed(undated.unionByName(rows)).groupBy("click_id").agg(F.min("arrival"))
+    assert [n for _, n in sorted(map(tuple, found.collect()))] == [0] * 3 + [1, 4, 5, 5]
+
+
+def test_a_feed_is_dealt_to_its_files_by_hash(spark, clicks, tmp_path):
+    """Exact copies share a file: rows dealt in turn would part them, and be sorted before to be dealt alike by each attempt."""
+    write_feed(clicks(*[click(11 * i + 2, "2024-01-08 10:00:00") for i in range(60)]), str(tmp_path / "feed"), 3)
+    held = spark.read.schema(CLICK_TABLE.schema).parquet(str(tmp_path / "feed")).filter("updated_at < '2024-01-09'")
+    per_file = held.groupBy("click_id", F.input_file_name()).count()
+    assert held.count() == 120 and rows_of(per_file.select("count")) == [(2,)] * 60
+    assert per_file.select("input_file_name()").distinct().count() == 3

@@ -2,6 +2,7 @@ import os
 from datetime import date, timedelta
 
 import pytest
+from clicklake.operators import rebuild
 from clicklake.operators.rebuild import key_ranges, refine, refine_dates
 from clicklake.plans import keys as keys_plan
 from clicklake.plans.bronze import land
@@ -11,8 +12,9 @@ from clicklake.plans.silver import rebuild_silver
 from clicklake.schemas import CLICK_TABLE, SESSION_TABLE
 from clicklake.sources.lake import Lake, pending_dates, read_bronze, read_silver
 from clicklake.sources.samples import sample_sessions
-from clicklake.sources.snapshots import current
+from clicklake.sources.snapshots import current, read_snapshot
 from conftest import click, rows_of
+from pyspark.sql import functions as F
 
 D5, D6, D7, D8 = (date(2024, 1, d) for d in (5, 6, 7, 8))
 FAR = keys_plan.BLOCK * 900
@@ -140,3 +142,31 @@ def test_all_days_of_a_range_show_at_once(spark, clicks, lake, monkeypatch):
         assert rows_of(read_bronze(spark, lake), "click_id") == left
     assert run_day(spark, lake, lambda: new, D8).success
     assert rows_of(read_silver(spark, lake), "click_id") == [(3,), (4,)]
+
+
+def test_many_keys_are_not_joined_and_few_are_broadcast(spark, clicks, monkeypatch):
+    """Both ways leave what a full rebuild has on the dates, with keys that moved away, moved in and never were there."""
+    rows = [click(i, f"2024-01-0{1 + i % 4} 10:00:00") for i in range(40)]
+    rows += [click(i, f"2024-01-0{1 + (i + 1) % 4} 11:00:00", updated="2024-01-09 00:00:00") for i in range(0, 40, 3)]
+    rows += [click(3, "2024-01-02 12:00:00", "unknown", updated="2024-01-10 00:00:00"), click(1, "2024-01-02 10:00:00")]
+    raw = clicks(*rows)
+    dates = [date(2024, 1, 2), date(2024, 1, 4)]
+    wanted = rows_of(refine(raw).where(F.col("event_date").isin(dates)))
+    for few, join in ((rebuild.FEW_ROWS, "BroadcastHashJoin"), (1, None)):
+        monkeypatch.setattr(rebuild, "FEW_ROWS", few)
+        found = refine_dates(raw, dates)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert join in plan if join else "Join" not in plan
+        assert rows_of(found) == wanted
+
+
+def test_a_block_of_many_keys_is_indexed_by_several_tasks(spark, clicks, lake):
+    rows = [click(i << 20, "2024-01-05 10:00:00") for i in range(12)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keys_plan.add_keys(spark, lake, clicks(*rows))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    index = read_snapshot(spark, lake.keys(), keys_plan.index_schema(CLICK_TABLE))
+    assert sorted(r[0] for r in index.select("click_id").collect()) == [i << 20 for i in range(12)]
+    assert len(index.inputFiles()) > 1 and index.select("block").distinct().count() == 1
