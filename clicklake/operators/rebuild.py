@@ -5,6 +5,7 @@ Only a list of dates ever reaches the driver; its length is bounded by the calen
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
@@ -97,37 +98,75 @@ def date_list(dates: DataFrame) -> list[date]:
     return sorted(row[0] for row in dates.collect() if row[0] is not None)
 
 
-def competing_rows(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_TABLE) -> DataFrame:
-    """The raw rows that can decide who wins a key on ``dates``, by whole partitions.
-
-    ``extract_date`` is the day a version changed, and the latest change wins. So a partition older than
-    every row on ``dates`` holds only losers against them, and history before the first such partition is
-    never read. Finding it reads two date columns of the row groups that reach into ``dates``.
+@dataclass(frozen=True)
+class OnDates:
+    """What a rebuild has to know of the raw rows on its dates: the first day they changed, whether some have no such day, and their
+    ``key_blocks``, of valid rows only.
     """
-    on_dates = (
+
+    first: date | None
+    undated: bool
+    blocks: list[tuple]
+
+
+def rows_on(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_TABLE) -> OnDates:
+    """One scan of a few columns of the row groups that reach into ``dates``."""
+    valid, key = valid_row(spec), F.col(spec.key)
+    block = F.floor(key / F.lit(NEIGHBOURS)) if _numbered(spec) else F.lit(0)
+    told = [
+        F.min("extract_date"),
+        F.max(F.col("extract_date").isNull()),
+        F.min(F.when(valid, key)),
+        F.max(F.when(valid, key)),
+        F.count_if(valid),
+    ]
+    found = [tuple(row)[1:] for row in bronze.filter(_reaching(dates, spec)).groupBy(block.alias("block")).agg(*told).collect()]
+    first = min((day for day, *_ in found if day is not None), default=None)
+    return OnDates(first, any(undated for _, undated, *_ in found), [tuple(rest) for _, _, *rest in found if rest[-1]])
+
+
+def _reaching(dates: list[date], spec: TableSpec) -> Column:
+    return (
         (F.col(spec.event_column) >= F.lit(min(dates)))
         & (F.col(spec.event_column) < F.lit(max(dates) + timedelta(days=1)))
         & F.to_date(spec.event_column).isin(dates)
     )
-    undated = F.coalesce(F.max(F.col("extract_date").isNull()), F.lit(False))
-    first, has_undated = bronze.filter(on_dates).agg(F.min("extract_date"), undated).first()
+
+
+def competing_rows(
+    bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_TABLE, found: OnDates | None = None
+) -> DataFrame:
+    """The raw rows that can decide who wins a key on ``dates``, by whole partitions.
+
+    ``extract_date`` is the day a version changed, and the latest change wins. So a partition older than
+    every row on ``dates`` holds only losers against them, and history before the first such partition is
+    never read. Finding it reads two date columns of the row groups that reach into ``dates``, unless ``found`` tells it.
+    """
+    if found:
+        first, has_undated = found.first, found.undated
+    else:
+        undated = F.coalesce(F.max(F.col("extract_date").isNull()), F.lit(False))
+        first, has_undated = bronze.filter(_reaching(dates, spec)).agg(F.min("extract_date"), undated).first()
     if first is None:
         return bronze if has_undated else bronze.filter(F.lit(False))
     since = F.col("extract_date") >= F.lit(first)
     return bronze if has_undated else bronze.filter(since)
 
 
-def refine_dates(bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_TABLE) -> DataFrame:
+def refine_dates(
+    bronze: DataFrame, dates: list[date], spec: TableSpec = CLICK_TABLE, found: OnDates | None = None
+) -> DataFrame:
     """The refined rows of ``dates``, as a full rebuild would leave them.
 
     A version on another date can still win a key, so all of them compete, but only rows on ``dates``
     carry their payload through the shuffle; the others are a key and what orders them. Keys outside the ranges
     of those on ``dates`` are not read. Where ``dates`` have few rows, versions of other keys go no further than a semi join with a broadcast;
     to join many keys would shuffle and sort all versions a second time, so there the winners without payload are dropped instead.
+    The ranges take a scan, unless ``found`` tells them.
     """
     on_dates = valid_row(spec) & F.to_date(spec.event_column).isin(dates)
     keys = bronze.filter(on_dates).select(spec.key)
-    blocks = key_blocks(keys, spec) if dates else []
+    blocks = found.blocks if found else key_blocks(keys, spec) if dates else []
     inside = ranges_over(blocks, spec)
     if inside is None:
         return refine(bronze.limit(0), spec)

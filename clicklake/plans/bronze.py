@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,11 +95,18 @@ def publish_rows(
     if blocks:
         # the dates of the new rows are known, so an index is asked as it was before them; one of older rows may have yet to be made
         indexed, older = is_snapshot_table(spark, lake.keys(spec)), holds_rows(spark, lake.bronze(spec))
+        new = rows.select(spec.key, spec.event_column)
         if indexed:
-            dates |= set(date_list(dates_of_keys(spark, lake, keys, blocks, spec)))
-        add_keys(spark, lake, rows.select(spec.key, spec.event_column), spec)
-        if older and not indexed:
-            dates |= set(date_list(dates_of_keys(spark, lake, keys, blocks, spec)))
+            # the look-up holds the version from before the new keys, whose files stay, so that both run side by side
+            asked = dates_of_keys(spark, lake, keys, blocks, spec)
+            with ThreadPoolExecutor(1) as pool:
+                told = pool.submit(inheritable_thread_target(spark)(date_list), asked)
+                add_keys(spark, lake, new, spec)
+            dates |= set(told.result())
+        else:
+            add_keys(spark, lake, new, spec)
+            if older:
+                dates |= set(date_list(dates_of_keys(spark, lake, keys, blocks, spec)))
     add_pending(spark, lake, dates, spec)
     publish(spark, staged, names, series=series)
     written = Written(staged.rows, tuple(sorted(date.fromisoformat(p) for p in staged.partitions if p != NULL)))

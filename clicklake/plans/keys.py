@@ -20,7 +20,7 @@ from clicklake.sources.snapshots import compact, current, expire, holds_rows, is
 BLOCK = 1 << 24
 HASHED = 256
 #: Numbered keys of a block are written in parts of so many neighbours.
-PART = 1 << 20
+PART = 1 << 18
 #: Commits of a block that are read side by side before they are merged.
 MOST = 8
 

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from clicklake.operators.rebuild import competing_rows, date_list, refine, refine_dates
+from clicklake.operators.rebuild import competing_rows, date_list, refine, refine_dates, rows_on
 from clicklake.plans.bronze import batch_name
 from clicklake.schemas import CLICK_TABLE, TableSpec
 from clicklake.sources.lake import (
@@ -38,7 +38,9 @@ def rebuild_silver(
     dates = dates_to_rebuild(spark, lake, dates, spec)
     if not dates:
         return Written(0, ())
-    rows = refine_dates(competing_rows(read_bronze(spark, lake, spec=spec), dates, spec), dates, spec)
+    bronze = read_bronze(spark, lake, spec=spec)
+    found = rows_on(bronze, dates, spec)
+    rows = refine_dates(competing_rows(bronze, dates, spec, found), dates, spec, found)
     return _store(spark, lake, rows, dates, dates, spec, batch_id)
 
 

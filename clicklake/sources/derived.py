@@ -44,6 +44,13 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(EVENTS).parquet(f"{folder}/event[s].parquet")
 
 
+#: The text of ``k`` of an event's properties. Those that are nothing but a short whole number in the events' own form are cut, since a
+#: parser for each row costs more than the rest of a click.
+SECONDS = (
+    "if(props RLIKE '^[{]\"k\": (0|[1-9][0-9]{0,8})[}]\\\\z', substring(props, 7, length(props) - 7), get_json_object(props, '$.k'))"
+)
+
+
 def as_clicks(events: DataFrame, pages: DataFrame) -> DataFrame:
     """Clicks of ``events``: one scan, one join; the repeated versions are exploded, not unioned."""
     agents = ", ".join(f"'{agent}'" for agent in AGENTS)
@@ -67,7 +74,7 @@ def as_clicks(events: DataFrame, pages: DataFrame) -> DataFrame:
         f"element_at(array({agents}, NULL), CAST(event_id % 9 + 1 AS INT)) AS user_agent",
         "CAST(NULL AS STRING) AS ip_address",
         "CAST(NULL AS STRING) AS referrer_url",
-        "at - make_dt_interval(0, 0, 0, CAST(get_json_object(props, '$.k') AS INT)) AS created_at",
+        f"at - make_dt_interval(0, 0, 0, CAST({SECONDS} AS INT)) AS created_at",
         "at + make_dt_interval(0, 0, 0, event_id % 3600 + delay) AS updated_at",
     )
 
@@ -115,11 +122,14 @@ def read_feed(spark: SparkSession, folder: str, arrivals: Iterable[int] = range(
 
 #: A file of a slice holds the clicks of about so many events.
 FEED_FILE = 250_000
+#: Up to so many files, one holds fewer: those of a middling feed would else be written by a few long tasks.
+FEW_FILES, SMALL_FILE = 24, 50_000
 
 
 def feed_files(events: int) -> int:
     """Files of each slice: two, and more of a large feed, so that neither its writers nor its readers are two tasks."""
-    return max(2, -(-events // (SLICES * FEED_FILE)))
+    small = -(-events // (SLICES * SMALL_FILE))
+    return max(2, min(FEW_FILES, small), -(-events // (SLICES * FEED_FILE)))
 
 
 def write_feed(clicks: DataFrame, path: str, files: int = 2) -> None:

@@ -232,8 +232,10 @@ def log_batch(
     success: bool = True,
 ) -> None:
     finished = datetime.now(timezone.utc)
-    entry = spark.createDataFrame([(batch_id, table, rows, started or finished, finished, success)], BATCH_LOG)
-    entry.coalesce(1).write.mode("append").parquet(lake.batch_log)
+    values = (batch_id, table, rows, started or finished, finished, success)
+    # literals over one row: rows made in Python would start a worker for each entry
+    entry = [F.lit(value).cast(held.dataType).alias(held.name) for value, held in zip(values, BATCH_LOG)]
+    spark.range(0, 1, 1, 1).select(*entry).write.mode("append").parquet(lake.batch_log)
 
 
 def read_batch_log(spark: SparkSession, lake: Lake) -> DataFrame:
